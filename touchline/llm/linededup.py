@@ -126,14 +126,16 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return found.join(keepers, "key").where("doc_id > keeper").select("key", "doc_id")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """doc_id, n_lines, n_dropped, text of every row of ``docs``, the text
     without lines that a smaller document holds too; other lines as they were.
+    The columns named in ``keep`` come along.
 
     Null or empty texts have one empty line.  Rows that share a doc_id count as
     one document (each loses the same lines); rows without one are left alone.
-    An empty table gives an empty result; other columns are ignored.
+    An empty table gives an empty result; columns not kept are ignored.
     """
+    keep = keep or []
     drops = repeated_lines(docs, id_col, text_col).groupBy("doc_id").agg(F.collect_set("key").alias("drops"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,8 +151,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                     row = (text.count("\n") + 1, 0, text)
                 for column, value in zip(out, row, strict=True):
                     column.append(value)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string())], names=["doc_id", "n_lines", "n_dropped", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string()), *batch.columns[3:]], names=["doc_id", "n_lines", "n_dropped", "text", *batch.schema.names[3:]])
 
-    narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    joined = narrow.join(drops, "doc_id", "left").select("doc_id", "text", "drops")
-    return joined.mapInArrow(cut, "doc_id long, n_lines long, n_dropped long, text string")
+    along = {f"along_{i}": c for i, c in enumerate(keep)}
+    narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"), *(F.col(c).alias(a) for a, c in along.items()))
+    joined = narrow.join(drops, "doc_id", "left").select("doc_id", "text", "drops", *along)
+    kinds = "".join(f", {a} {docs.schema[c].dataType.simpleString()}" for a, c in along.items())
+    return joined.mapInArrow(cut, "doc_id long, n_lines long, n_dropped long, text string" + kinds).withColumnsRenamed(along)

@@ -20,6 +20,7 @@ RULES = (
     ("n_words", None, (80, float("inf")), (50, float("inf"))),
     ("word_chars", "n_words", (3.0, 9.0), (2.2, 14.0)),
     ("n_symbols", "n_words", (0.0, 0.02), (0.0, 0.2)),
+    ("n_letters", "word_chars", (0.93, 1.0), (0.88, 1.0)),
     ("n_dup_lines", "n_lines", (0.0, 0.1), (0.0, 0.3)),
     ("n_repeat_words", "n_words", (0.0, 0.1), (0.0, 0.35)),
     ("n_upper", "n_letters", (0.0, 0.12), (0.0, 0.4)),
@@ -73,15 +74,16 @@ def votes(f: dict[str, int]) -> list[int]:
     return out
 
 
-def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, floor: float = 0.55) -> np.ndarray:
+def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, floor: float = 0.97) -> np.ndarray:
     """Posterior probability of good quality of each vote pattern.
 
     Expectation-maximisation for a two-class model: every rule has an accuracy
     for good and one for bad documents, votes are independent given the class
-    and an abstention says nothing.  Accuracies start at 0.8, stay at or above
-    ``floor`` (rules are better than chance) and below 0.99.
+    and an abstention says nothing.  A rule's votes on good documents are right
+    at least as often as ``floor`` says; on bad ones they may mostly be wrong,
+    as each rule knows one kind of flaw and takes the others for good.
     """
-    right = np.full((2, patterns.shape[1]), 0.8)  # row 0: bad documents voted -1, row 1: good ones voted 1
+    right = np.stack([np.full(patterns.shape[1], 0.4), np.full(patterns.shape[1], 0.95)])  # bad documents voted -1, good ones voted 1
     prior, total = 0.8, max(counts.sum(), 1)
     posterior = np.full(len(patterns), prior)
     for _ in range(rounds):
@@ -91,7 +93,7 @@ def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, floor: floa
         good, bad = (counts * new)[:, None], (counts * (1 - new))[:, None]
         right[1] = ((good * (patterns > 0)).sum(0) + 4) / ((good * (patterns != 0)).sum(0) + 5)
         right[0] = ((bad * (patterns < 0)).sum(0) + 4) / ((bad * (patterns != 0)).sum(0) + 5)
-        right = right.clip(floor, 0.99)
+        right = right.clip([[0.01], [floor]], [[0.99], [0.999]])
         prior = float(np.clip(good.sum() / total, 0.05, 0.95))
         if np.abs(new - posterior).max(initial=0) < 1e-9:
             break
@@ -104,7 +106,7 @@ def judge(docs: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_
 
     One narrow pass counts and votes; its small result is written once.  What
     reaches the driver is the number of rows of each vote pattern: at most 3 to
-    the power of the number of rules rows (6,561), whatever the input's size.
+    the power of the number of rules rows (19,683), whatever the input's size.
     The posterior of each pattern joins back as a table of that many rows.
 
     Null texts count as texts without words: they fail the base rules.  Repeated

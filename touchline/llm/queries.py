@@ -6,18 +6,42 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, linededup, packing, quality, tokens
+from . import classifier, decontam, html, linededup, packing, quality, secret_scan, simhash, tokens, urls
 from .common import table
 
 
+#: The rules of the URL filter's contract.
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(table(spark, sf_dir, "pages"), URL_RULES).drop("score")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.fingerprint_components(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -31,7 +55,19 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op4_packing, op8_quality_rules, op9_line_dedup, op10_quality_classifier)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_secret_scan, op2_token_counts, op3_url_filter, op4_packing, op5_html_extraction, op6_decontamination,
+        op7_simhash_near_dedup, op8_quality_rules, op9_line_dedup, op10_quality_classifier, pipeline,
+    )
+}
 
 ORACLES = {
     "op9_line_dedup": r"""
@@ -43,5 +79,18 @@ marked AS (SELECT l.*, q.keeper IS NOT NULL AND l.doc_id <> q.keeper AS gone FRO
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
+""",
+    "op6_decontamination": r"""
+WITH w AS (
+  SELECT 'd' AS side, doc_id AS id, [x FOR x IN regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+') IF x <> ''] AS words FROM documents
+  UNION ALL
+  SELECT 'b', item_id, [x FOR x IN regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+') IF x <> ''] FROM benchmark),
+s AS (
+  SELECT DISTINCT side, id, CASE WHEN len(words) >= 5 THEN array_to_string(words[i:i + 4], ' ') ELSE array_to_string(words, ' ') END AS shingle
+  FROM (SELECT side, id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT id, count(*) AS n_shingles FROM s WHERE side = 'b' GROUP BY id),
+m AS (SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n_shared FROM s d JOIN s b ON d.shingle = b.shingle AND d.side = 'd' AND b.side = 'b' GROUP BY 1, 2)
+SELECT doc_id, item_id, n_shared, n_shingles, n_shared / n_shingles AS containment
+FROM m JOIN n ON m.item_id = n.id WHERE n_shared >= 0.8 * n_shingles - 1e-9
 """,
 }
