@@ -25,16 +25,18 @@ CLOSES_P = frozenset("address article aside blockquote details dialog div dl fie
 TAG_ODDS = {"nav": -8.0, "footer": -8.0, "aside": -8.0, "form": -8.0, "menu": -8.0, "dialog": -8.0, "header": -6.0, "article": 4.0, "main": 3.0}
 BAD_HINT = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|alert|popup|modal|newsletter|subscribe|signup|login|nav\w*|menu|breadcrumbs?|pagination|pager|sidebar|side|widget|related|recommend\w*|share|sharing|social|footer|header|masthead|copyright|legal|comments?|comment-?\w*|replies|reply|disqus|respond|toolbar|skip|search|tags?|taboola|outbrain)(?:$|[\s_-])", re.I)
 GOOD_HINT = re.compile(r"(?:^|[\s_-])(?:article|articlebody|post|entry|content|main|story|body|text)(?:$|[\s_-])", re.I)
-BAD_ODDS, GOOD_ODDS, LINK_ODDS, LENGTH_ODDS, BASE_ODDS = -8.0, 1.5, -4.0, 0.02, -0.5
+BAD_ODDS, GOOD_ODDS, LINK_ODDS, LENGTH_ODDS = -8.0, 1.5, -4.0, 0.02
+#: What a block starts from: anywhere, and outside of <article> and <main> on a page that has one.
+BASE_ODDS, OUTSIDE_ODDS = 0.3, -3.5
 #: Capacity of the edge between neighbours in page order, and between blocks of one parent.
 NEXT_EDGE, SIBLING_EDGE = 0.6, 1.2
 
 
 class Block:
-    __slots__ = ("linked", "odds", "parent", "parts", "text")
+    __slots__ = ("inside", "linked", "odds", "parent", "parts", "text")
 
-    def __init__(self, parent: int, odds: float):
-        self.parent, self.odds, self.parts, self.linked, self.text = parent, odds, [], 0, ""
+    def __init__(self, parent: int, odds: float, inside: bool):
+        self.parent, self.odds, self.inside, self.parts, self.linked, self.text = parent, odds, inside, [], 0, ""
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -57,7 +59,7 @@ def blocks_of(page: str) -> list[Block]:
             if raw.isspace():
                 return
             block_parent = next((s for s in reversed(stack) if s[0] not in INLINE), ("", 0, 0.0, True))
-            current = Block(block_parent[1], stack[-1][2] if stack else 0.0)
+            current = Block(block_parent[1], stack[-1][2] if stack else 0.0, any(t[0] in ("article", "main") for t in stack))
             out.append(current)
         current.parts.append(raw)
         if links:
@@ -177,14 +179,15 @@ def min_cut(gain: list[float], edges: list[tuple[int, int, float]]) -> list[bool
                 break
 
 
-def odds_of(b: Block) -> float:
+def odds_of(b: Block, outside: bool) -> float:
     """The classifier: log-odds that a block is content."""
-    return BASE_ODDS + max(-24.0, min(8.0, b.odds)) + min(2.0, LENGTH_ODDS * len(b.text)) + LINK_ODDS * min(1.0, b.linked / max(1, len(b.text)))
+    return (OUTSIDE_ODDS if outside else BASE_ODDS) + max(-24.0, min(8.0, b.odds)) + min(2.0, LENGTH_ODDS * len(b.text)) + LINK_ODDS * min(1.0, b.linked / max(1, len(b.text)))
 
 
 def main_text(page: str) -> str:
     blocks = blocks_of(page)
-    gain = [odds_of(b) for b in blocks]
+    marked = any(b.inside for b in blocks)
+    gain = [odds_of(b, marked and not b.inside) for b in blocks]
     edges, last = [], {}
     for i, b in enumerate(blocks):
         if i and (b.odds >= 0) == (blocks[i - 1].odds >= 0):
