@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .common import stash, text_of
 
 WORDS, CONTAINMENT = 5, 0.8
-#: Sketch entries (hash, item) up to which the sketches are broadcast: 16 bytes each and overhead, about 30 MB.
+#: Sketch entries (hash, item), and candidate pairs, up to which they are broadcast: 16 bytes each and overhead, about 30 MB.
 BROADCAST_ROWS = 400_000
 
 
@@ -51,7 +51,8 @@ def contained(docs: DataFrame, items: DataFrame, k: int = WORDS, containment: fl
     with all items: their shingle hashes meet the items' sketches in one join
     (broadcast while the sketches are small, else shuffled on the hash), the
     candidates are made distinct map-side, and each is verified exactly on the
-    shingles.  Words are lower-cased and split at ASCII white space; fewer than
+    shingles: they are broadcast to the documents while they are few, so no text
+    is shuffled, and join them by doc_id beyond.  Words are lower-cased and split at ASCII white space; fewer than
     k words are one shingle, which only the same words match.  Texts that are
     null or without words match nothing.  Rows of one doc_id count as one
     document (the best row's share counts), rows without an id are left out.
@@ -66,7 +67,8 @@ def contained(docs: DataFrame, items: DataFrame, k: int = WORDS, containment: fl
     pairs = stash(hashed.join(side, "hash").select("doc_id", "item_id").distinct())
     full = base.select("item_id", shingles(k).alias("item_shingles"))
     per_doc = pairs.groupBy("doc_id").agg(F.collect_list("item_id").alias("item_ids"))
-    texts = own.join(per_doc, "doc_id").select("doc_id", "item_ids", words_of(F.col("text")).alias("words")).select("doc_id", "item_ids", shingles(k).alias("doc_shingles"))
+    few = pairs.count() <= BROADCAST_ROWS
+    texts = own.join(F.broadcast(per_doc) if few else per_doc, "doc_id").select("doc_id", "item_ids", words_of(F.col("text")).alias("words")).select("doc_id", "item_ids", shingles(k).alias("doc_shingles"))
     both = texts.select("doc_id", "doc_shingles", F.explode("item_ids").alias("item_id")).join(F.broadcast(full) if small else full, "item_id")
     shared = both.select("doc_id", "item_id", F.size(F.array_intersect("doc_shingles", "item_shingles")).cast("long").alias("n_shared"), F.size("item_shingles").cast("long").alias("n_shingles"))
     best = shared.where(F.col("n_shared") >= F.lit(containment) * F.col("n_shingles") - 1e-9).groupBy("doc_id", "item_id").agg(F.max("n_shared").alias("n_shared"), F.max("n_shingles").alias("n_shingles"))
