@@ -14,10 +14,15 @@ ROLES_ASIAN = ("Home", "Away")
 TRUE_WORDS = ("true", "1", "t", "y", "yes")
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once: inside lambdas nothing else
+    keeps Spark from working a repeated subexpression out again and again."""
+    return F.transform(F.array(value), use)[0]
+
+
 def duplicate_flag(choices: Column) -> Column:
     """Two choices share a name as sent; a missing name is ''."""
-    names = F.transform(choices, lambda c: F.coalesce(c["name"], F.lit("")))
-    return F.size(F.array_distinct(names)) < F.size(names)
+    return F.size(F.array_distinct(F.transform(choices, lambda c: F.coalesce(c["name"], F.lit(""))))) < F.size(choices)
 
 
 def _named(choices: Column, names: tuple[str, ...]) -> Column:
@@ -44,8 +49,8 @@ def dedupe_names(choices: Column) -> Column:
 
     def step(seen: Column, c: Column) -> Column:
         name = F.coalesce(c["name"], F.lit(""))
-        free = F.filter(F.transform(F.sequence(F.lit(1), F.size(seen) + 1), lambda k: F.concat(name, F.lit("_dup_"), k.cast("string"))), lambda n: ~F.array_contains(seen, n))
-        return F.concat(seen, F.array(F.when(F.array_contains(seen, name), free[0]).otherwise(name)))
+        free = lambda: F.filter(F.transform(F.sequence(F.lit(1), F.size(seen)), lambda k: F.concat(name, F.lit("_dup_"), k.cast("string"))), lambda n: ~F.array_contains(seen, n))[0]
+        return F.concat(seen, F.array(F.when(F.array_contains(seen, name), free()).otherwise(name)))
 
     names = F.aggregate(choices, F.array().cast("array<string>"), step)
     return F.zip_with(choices, names, lambda c, n: c.withField("name", n))
@@ -73,6 +78,7 @@ def winning_flags(choices: Column, corrupted: Column, keep_all: Column | None =
 
 def sanitise_choices(market: Column, group: Column, choices: Column) -> Column:
     """All steps in order; ``winning`` comes out as 'true', 'false' or null."""
-    corrupted = duplicate_flag(choices)
-    named = dedupe_names(names_asian(market, names_first_team(market, names_1x2(group, choices))))
-    return F.zip_with(named, winning_flags(choices, corrupted), lambda c, w: c.withField("winning", w.cast("string")))
+    named = let(names_1x2(group, choices), lambda c: let(names_first_team(market, c), lambda d: let(names_asian(market, d), dedupe_names)))
+    flags = let(F.transform(choices, lambda c: winning_bool(c["winning"])), single_winner)
+    flags = F.when(duplicate_flag(choices), F.transform(choices, lambda c: F.lit(None).cast("boolean"))).otherwise(flags)
+    return F.zip_with(named, flags, lambda c, w: c.withField("winning", w.cast("string")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -21,3 +21,14 @@ def epoch_utc(seconds: Column) -> Column:
 def safe_get(parent: Column, child: str, default: Column | None = None) -> Column:
     """A member; the default stands for a null parent only."""
     return F.when(parent.isNull(), default if default is not None else F.lit(None)).otherwise(parent[child])
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with more columns, each worked out once a row.
+
+    They come from a generator of one row, through which the optimizer moves no
+    filter: else a filter on a parsed column would carry the whole parsing
+    expression, once for every mention, down to the scan.
+    """
+    out = df.select("*", F.inline(F.array(F.struct(*(v.alias(f"_new_{k}") for k, v in columns.items())))))
+    return out.drop(*columns).withColumnsRenamed({f"_new_{k}": k for k in columns})

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .contracts import INCIDENT_NULLABLE, INCIDENT_REQUIRED, Contract
-from .scalars import fraction
+from .scalars import fraction, once
 
 ERROR = "struct<path:string,code:string,value:string>"
 TYPES = {"str": "string", "int": "bigint", "float": "double", "bool": "boolean", "map": "map<string,double>", "raw": "string", "fraction": "struct<num:int,den:int>"}
@@ -151,16 +151,16 @@ def validate_payload(df: DataFrame, contract: Contract, payload: str = "payload"
     """
     text = F.col(payload)
     code = envelope_code(text) if not parity or contract.name == "odds" else F.lit(None).cast("int")
-    out = df.withColumn("_shadow", F.from_json(text, shadow(contract.fields)))
+    out = once(df, _shadow=F.from_json(text, shadow(contract.fields)))
     value = F.col("_shadow")
     ones, many = faults(value, contract.fields, "", False, True, None)
     if contract.name == "incidents":
         many.append(incident_errors(value["incidents"]))
     for where, names in contract.no_nulls:
         ones += explicit_nulls(text, where, names)
-    out = out.withColumn("parsed", typed_value(value, contract.fields)).withColumn("errors", _gather(ones, many)).drop("_shadow")
-    reason = F.when(is_empty(text), "empty").when(code.isNotNull(), F.concat(F.lit("http_"), code.cast("string"))).when(F.size("errors") > 0, "invalid_contract")
-    return out.withColumn("reason", reason).withColumn("is_valid", F.col("reason").isNull())
+    out = once(out, parsed=typed_value(value, contract.fields), errors=_gather(ones, many), _code=code).drop("_shadow")
+    reason = F.when(is_empty(text), "empty").when(F.col("_code").isNotNull(), F.concat(F.lit("http_"), F.col("_code").cast("string"))).when(F.size("errors") > 0, "invalid_contract")
+    return once(out, reason=reason).drop("_code").withColumn("is_valid", F.col("reason").isNull())
 
 
 def normalise_status(event: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.scalars import once
 from .qa import comparable, delta
 
 # Weights of components in the quality score.
@@ -23,8 +24,8 @@ def with_fingerprints(runs: DataFrame, schemas: dict[str, str]) -> DataFrame:
     """``runs`` (match_id, component, run_id, payload) with fp."""
     out = None
     for component, schema in schemas.items():
-        one = runs.where(F.col("component") == component).withColumn("doc", F.from_json("payload", schema))
-        one = one.withColumn("fp", fingerprint(F.when(F.col("payload").isNotNull(), F.col("doc")), one.schema["doc"].dataType)).drop("doc")
+        one = once(runs.where(F.col("component") == component), doc=F.from_json("payload", schema))
+        one = once(one, fp=fingerprint(F.when(F.col("payload").isNotNull(), F.col("doc")), one.schema["doc"].dataType)).drop("doc")
         out = one if out is None else out.unionByName(one)
     return out
 

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from ..functions.contracts import CONTRACTS
 from ..functions.sanitise import sanitise_choices
+from ..functions.scalars import once
 from ..functions.validate import is_empty, shadow, validate_payload
 
 
 def parse_markets(df: DataFrame) -> DataFrame:
     """``df`` with its markets as text leaves."""
-    return df.withColumn("doc", F.from_json("payload", shadow(CONTRACTS["odds"].fields)))
+    return once(df, doc=F.from_json("payload", shadow(CONTRACTS["odds"].fields)))
 
 
 def sanitise_payload(df: DataFrame) -> DataFrame:
@@ -21,7 +22,7 @@ def sanitise_payload(df: DataFrame) -> DataFrame:
     parsed = parse_markets(df)
     clean = F.transform("doc.markets", lambda m: m.withField("choices", sanitise_choices(m["marketName"], m["marketGroup"], m["choices"])))
     text = F.when(is_empty(F.col("payload")) | F.col("doc.markets").isNull(), F.col("payload")).otherwise(F.to_json(F.col("doc").withField("markets", clean)))
-    return parsed.withColumn("raw_payload", F.col("payload")).withColumn("payload", text).drop("doc")
+    return once(parsed.withColumn("raw_payload", F.col("payload")), payload=text).drop("doc")
 
 
 def clean_odds(df: DataFrame) -> DataFrame:

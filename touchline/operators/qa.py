@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
+from ..functions.scalars import once
+
 
 def pair(landing: DataFrame) -> DataFrame:
     """entity_id, a, b: both captures in one row, by one shuffle."""
@@ -53,9 +55,9 @@ def delta(a: str, b: str, kind: StructType) -> Column:
 
 def compare(paired: DataFrame, schema: str) -> DataFrame:
     """``paired`` with verdict (match, unavailable, mismatch) and delta."""
-    parsed = paired.withColumn("pa", F.from_json("a", schema)).withColumn("pb", F.from_json("b", schema))
+    parsed = once(paired, pa=F.from_json("a", schema), pb=F.from_json("b", schema))
     whole = F.array(F.struct(F.lit("root_payload").alias("path"), F.col("a").alias("a"), F.col("b").alias("b")))
-    parsed = parsed.withColumn("delta", F.when(F.col("a").isNull() & F.col("b").isNull(), F.array().cast("array<struct<path:string,a:string,b:string>>")).when(F.col("a").isNull() | F.col("b").isNull(), whole).otherwise(delta("pa", "pb", parsed.schema["pa"].dataType)))
+    parsed = once(parsed, delta=F.when(F.col("a").isNull() & F.col("b").isNull(), F.array().cast("array<struct<path:string,a:string,b:string>>")).when(F.col("a").isNull() | F.col("b").isNull(), whole).otherwise(delta("pa", "pb", parsed.schema["pa"].dataType)))
     verdict = F.when(F.col("a").isNull() & F.col("b").isNull(), "unavailable").when(F.size("delta") > 0, "mismatch").otherwise("match")
     return parsed.withColumn("verdict", verdict).drop("pa", "pb")
 

@@ -46,7 +46,7 @@ def season_id(nation: Column, year: Column) -> Column:
 def matches(spark: SparkSession, sf: str) -> DataFrame:
     """Orders with their customer, nation and region."""
     customers = table(spark, sf, "customer").join(F.broadcast(nations(spark, sf)), F.col("c_nationkey") == F.col("n_nationkey"))
-    return table(spark, sf, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey")).withColumn("year", F.year("o_orderdate"))
+    return by(table(spark, sf, "orders"), "o_custkey").join(customers, F.col("o_custkey") == F.col("c_custkey")).withColumn("year", F.year("o_orderdate"))
 
 
 def season() -> Column:
@@ -95,8 +95,13 @@ def enc_base(spark: SparkSession, sf: str) -> DataFrame:
     return matches(spark, sf).select(F.col("o_orderkey").alias("entity_id"), F.to_json(s(event=event(True))).alias("payload"))
 
 
+def by(df: DataFrame, key: str) -> DataFrame:
+    """Dealt out by ``key`` once; all grouping and joining by it reuses that."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def lines(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "lineitem")
+    return by(table(spark, sf, "lineitem"), "l_orderkey")
 
 
 def per_order(spark: SparkSession, sf: str, grouped: DataFrame) -> DataFrame:
