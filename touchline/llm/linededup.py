@@ -122,7 +122,8 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([pa.array([keys[i] for i in hit], pa.string()), pa.array([ids[i] for i in hit], pa.int64())], names=["key", "doc_id"])
 
     found = stash(narrow.where(F.col("doc_id").isNotNull()).mapInArrow(suspects, "key string, doc_id long"))
-    keepers = found.groupBy("key").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last")).where("last > keeper").select("key", "keeper")
+    # written, so that the join has a plain shuffle on either side and Spark can split a hot key's rows over tasks
+    keepers = stash(found.groupBy("key").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last")).where("last > keeper").select("key", "keeper"))
     return found.join(keepers, "key").where("doc_id > keeper").select("key", "doc_id")
 
 
