@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .scalars import let
+
 # The names by position in the market kinds that are renamed.
 NAMES_1X2 = ("1", "X", "2")
 NAMES_FIRST_TEAM = ("Home", "No goal", "Away")
@@ -14,12 +16,6 @@ ROLES_ASIAN = ("Home", "Away")
 TRUE_WORDS = ("true", "1", "t", "y", "yes")
 
 
-def let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once: inside lambdas nothing else
-    keeps Spark from working a repeated subexpression out again and again."""
-    return F.transform(F.array(value), use)[0]
-
-
 def duplicate_flag(choices: Column) -> Column:
     """Two choices share a name as sent; a missing name is ''."""
     return F.size(F.array_distinct(F.transform(choices, lambda c: F.coalesce(c["name"], F.lit(""))))) < F.size(choices)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,12 @@ def safe_get(parent: Column, child: str, default: Column | None = None) -> Colum
     return F.when(parent.isNull(), default if default is not None else F.lit(None)).otherwise(parent[child])
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once: inside lambdas nothing else
+    keeps Spark from working a repeated subexpression out again and again."""
+    return F.transform(F.array(value), lambda x: use(x))[0]
+
+
 def once(df: DataFrame, **columns: Column) -> DataFrame:
     """``df`` with more columns, each worked out once a row.
 

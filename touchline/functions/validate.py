@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .contracts import INCIDENT_NULLABLE, INCIDENT_REQUIRED, Contract
-from .scalars import fraction, once
+from .scalars import fraction, let, once
 
 ERROR = "struct<path:string,code:string,value:string>"
 TYPES = {"str": "string", "int": "bigint", "float": "double", "bool": "boolean", "map": "map<string,double>", "raw": "string", "fraction": "struct<num:int,den:int>"}
@@ -120,17 +120,17 @@ def incident_errors(incidents: Column) -> Column:
     return F.flatten(F.transform(incidents, one))
 
 
-def explicit_nulls(payload: Column, where: str, names: tuple[str, ...]) -> list[Column]:
+def explicit_nulls(payload: Column, where: str, names: tuple[str, ...]) -> Column:
     """Errors for keys that are present with a null where only absence may stand."""
     first, _, rest = where.partition(".")
     bad = lambda keys, n: F.coalesce(F.map_contains_key(keys, n) & keys[n].isNull(), F.lit(False))
+    errors = lambda hit: F.array_compact(F.array(*(F.when(hit(n), _fault(f"{where}.{n}", "null")) for n in names)))
     if not first.endswith("[]"):
         keys = F.from_json(F.get_json_object(payload, f"$.{where}"), "map<string,string>")
-        return [F.when(bad(keys, n), _fault(f"{where}.{n}", "null")) for n in names]
+        return let(keys, lambda m: errors(lambda n: bad(m, n)))
     elements = F.from_json(F.get_json_object(payload, f"$.{first[:-2]}"), "array<string>")
     maps = F.transform(elements, lambda x: F.from_json(F.get_json_object(x, f"$.{rest}") if rest else x, "map<string,string>"))
-    any_bad = lambda n: F.exists(maps, lambda keys: bad(keys, n))
-    return [F.when(any_bad(n), _fault(f"{where}.{n}", "null")) for n in names]
+    return let(maps, lambda all_: errors(lambda n: F.coalesce(F.exists(all_, lambda m: bad(m, n)), F.lit(False))))
 
 
 def is_empty(payload: Column) -> Column:
@@ -150,14 +150,15 @@ def validate_payload(df: DataFrame, contract: Contract, payload: str = "payload"
     With ``parity`` the error envelope is not looked for, except in odds.
     """
     text = F.col(payload)
-    code = envelope_code(text) if not parity or contract.name == "odds" else F.lit(None).cast("int")
-    out = once(df, _shadow=F.from_json(text, shadow(contract.fields)))
+    wanted = contract.fields | {"error": {"code": "str"}}
+    out = once(df, _shadow=F.from_json(text, shadow(wanted)))
+    code = F.col("_shadow.error.code").try_cast("int") if not parity or contract.name == "odds" else F.lit(None).cast("int")
     value = F.col("_shadow")
     ones, many = faults(value, contract.fields, "", False, True, None)
     if contract.name == "incidents":
         many.append(incident_errors(value["incidents"]))
     for where, names in contract.no_nulls:
-        ones += explicit_nulls(text, where, names)
+        many.append(explicit_nulls(text, where, names))
     out = once(out, parsed=typed_value(value, contract.fields), errors=_gather(ones, many), _code=code).drop("_shadow")
     reason = F.when(is_empty(text), "empty").when(F.col("_code").isNotNull(), F.concat(F.lit("http_"), F.col("_code").cast("string"))).when(F.size("errors") > 0, "invalid_contract")
     return once(out, reason=reason).drop("_code").withColumn("is_valid", F.col("reason").isNull())
