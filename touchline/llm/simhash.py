@@ -21,6 +21,8 @@ GENERATOR = 0b101011100011
 #: The 64 bits of a fingerprint as three segments of at most 23 bits: first bit and width.
 SEGMENTS = ((0, 21), (21, 21), (42, 22))
 SEED = 42
+#: Candidate pairs (16 bytes each) up to which they are broadcast to the texts, about 100 MB with overhead.
+BROADCAST_PAIRS = 2_000_000
 
 
 def words_of(text: str) -> list[bytes]:
@@ -115,20 +117,19 @@ def keys_of(fps: np.ndarray, wide: bool) -> tuple[np.ndarray, np.ndarray]:
 
 
 def keyed(fps: DataFrame, columns: list[str], wide: bool) -> DataFrame:
-    """key, node, fp of the fingerprints in ``columns`` of ``fps`` (node, ...);
-    a column's number is part of the key."""
+    """key, node and the fingerprints in ``columns`` of ``fps`` (node, ...) by
+    the keys of each column; a column's number is part of the key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, whole.num_rows, 2000):
                 batch = whole.slice(start, 2000)
-                node = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-                for c in range(len(columns)):
-                    fp = batch.column(1 + c).to_numpy(zero_copy_only=False).astype(np.int64)
-                    row, key = keys_of(fp, wide)
-                    yield pa.RecordBatch.from_arrays([pa.array(key | c << 26, pa.int64()), pa.array(node[row], pa.int64()), pa.array(fp[row], pa.int64())], names=["key", "node", "fp"])
+                node, *values = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns)
+                for c, value in enumerate(values):
+                    row, key = keys_of(value, wide)
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (key | c << 26, node[row], *(v[row] for v in values))], names=["key", "node", *columns])
 
-    return fps.select("node", *columns).mapInArrow(run, "key long, node long, fp long")
+    return fps.select("node", *columns).mapInArrow(run, "key long, node long, " + ", ".join(f"{c} long" for c in columns))
 
 
 def _differ(a: str, b: str):
@@ -173,7 +174,7 @@ def fingerprint_components(docs: DataFrame, k: int = 3, bits: int = 3, id_col: s
     return rows.join(named, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits: int = 14, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, component_id (smallest doc_id of the group) of every document
     whose group is not its own.
 
@@ -210,11 +211,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits:
     rows = stash(own.mapInArrow(sketch, "doc_id long, same binary, fp1 long, fp2 long"))
     nodes = stash(rows.groupBy("same").agg(F.min("doc_id").alias("node"), F.first("fp1").alias("fp1"), F.first("fp2").alias("fp2")))
     keys = keyed(nodes, ["fp1", "fp2"], wide=True)
-    one, other = keys.select("key", F.col("node").alias("a"), F.col("fp").alias("fp_a")), keys.select("key", F.col("node").alias("b"), F.col("fp").alias("fp_b"))
-    pairs = stash(one.join(other, "key").where((F.col("a") < F.col("b")) & (_differ("fp_a", "fp_b") <= bits)).select("a", "b").distinct())
+    one, other = (keys.select("key", F.col("node").alias(n), F.col("fp1").alias(f"fp1_{n}"), F.col("fp2").alias(f"fp2_{n}")) for n in ("a", "b"))
+    near = (F.col("a") < F.col("b")) & (_differ("fp1_a", "fp1_b") + _differ("fp2_a", "fp2_b") <= bits)
+    pairs = stash(one.join(other, "key").where(near).select("a", "b").distinct())
+    few = F.broadcast if pairs.count() <= BROADCAST_PAIRS else lambda x: x
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = stash(own.join(wanted, "doc_id", "left_semi").mapInArrow(shingled, "node long, shingles array<long>").dropDuplicates(["node"]))
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("s_b")), "b")
+    sets = stash(own.join(few(wanted), "doc_id", "left_semi").mapInArrow(shingled, "node long, shingles array<long>").dropDuplicates(["node"]))
+    both = few(pairs).join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("s_b")), "b")
     both = both.select("a", "b", F.size(F.array_intersect("s_a", "s_b")).alias("n"), (F.size("s_a") + F.size("s_b")).alias("total"))
     links = both.where(F.col("n") >= similarity * (F.col("total") - F.col("n")) - 1e-9).select("a", "b")
     named = nodes.join(components(links), "node", "left").select("same", F.coalesce("component", "node").alias("component_id"))
