@@ -9,7 +9,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stash, text_of, worker_cache
@@ -116,20 +116,21 @@ def keys_of(fps: np.ndarray, wide: bool) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def keyed(fps: DataFrame, columns: list[str], wide: bool) -> DataFrame:
+def keyed(fps: DataFrame, columns: list[str], wide: bool, along: tuple[str, ...] = ()) -> DataFrame:
     """key, node and the fingerprints in ``columns`` of ``fps`` (node, ...) by
-    the keys of each column; a column's number is part of the key."""
+    the keys of each column; a column's number is part of the key.  The long
+    columns ``along`` come along."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, whole.num_rows, 2000):
                 batch = whole.slice(start, 2000)
                 node, *values = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns)
-                for c, value in enumerate(values):
+                for c, value in enumerate(values[: len(columns)]):
                     row, key = keys_of(value, wide)
-                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (key | c << 26, node[row], *(v[row] for v in values))], names=["key", "node", *columns])
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (key | c << 26, node[row], *(v[row] for v in values))], names=["key", "node", *columns, *along])
 
-    return fps.select("node", *columns).mapInArrow(run, "key long, node long, " + ", ".join(f"{c} long" for c in columns))
+    return fps.select("node", *columns, *along).mapInArrow(run, "key long, node long, " + ", ".join(f"{c} long" for c in (*columns, *along)))
 
 
 def _differ(a: str, b: str):
@@ -174,7 +175,7 @@ def fingerprint_components(docs: DataFrame, k: int = 3, bits: int = 3, id_col: s
     return rows.join(named, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits: int = 18, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, component_id (smallest doc_id of the group) of every document
     whose group is not its own.
 
@@ -210,15 +211,26 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits:
     own = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text")).where("doc_id is not null")
     rows = stash(own.mapInArrow(sketch, "doc_id long, same binary, fp1 long, fp2 long"))
     nodes = stash(rows.groupBy("same").agg(F.min("doc_id").alias("node"), F.first("fp1").alias("fp1"), F.first("fp2").alias("fp2")))
-    keys = keyed(nodes, ["fp1", "fp2"], wide=True)
-    one, other = (keys.select("key", F.col("node").alias(n), F.col("fp1").alias(f"fp1_{n}"), F.col("fp2").alias(f"fp2_{n}")) for n in ("a", "b"))
-    near = (F.col("a") < F.col("b")) & (_differ("fp1_a", "fp1_b") + _differ("fp2_a", "fp2_b") <= bits)
-    pairs = stash(one.join(other, "key").where(near).select("a", "b").distinct())
-    few = F.broadcast if pairs.count() <= BROADCAST_PAIRS else lambda x: x
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = stash(own.join(few(wanted), "doc_id", "left_semi").mapInArrow(shingled, "node long, shingles array<long>").dropDuplicates(["node"]))
-    both = few(pairs).join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("s_b")), "b")
-    both = both.select("a", "b", F.size(F.array_intersect("s_a", "s_b")).alias("n"), (F.size("s_a") + F.size("s_b")).alias("total"))
-    links = both.where(F.col("n") >= similarity * (F.col("total") - F.col("n")) - 1e-9).select("a", "b")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        few = F.broadcast if pairs.count() <= BROADCAST_PAIRS else lambda x: x
+        wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+        sets = stash(own.join(few(wanted), "doc_id", "left_semi").mapInArrow(shingled, "node long, shingles array<long>").dropDuplicates(["node"]))
+        both = few(pairs).join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("s_b")), "b")
+        both = both.select("a", "b", F.size(F.array_intersect("s_a", "s_b")).alias("n"), (F.size("s_a") + F.size("s_b")).alias("total"))
+        return stash(both.where(F.col("n") >= similarity * (F.col("total") - F.col("n")) - 1e-9).select("a", "b"))
+
+    def near(a: str, b: str):
+        return _differ(f"{a}fp1", f"{b}fp1") + _differ(f"{a}fp2", f"{b}fp2") <= bits
+
+    # first each document with the smallest one of each of its keys: this joins up large groups by links linear in them
+    star = keyed(nodes, ["fp1", "fp2"], wide=True).withColumn("m", F.min(F.struct("node", "fp1", "fp2")).over(Window.partitionBy("key")))
+    links = verified(stash(star.where((F.col("m.node") < F.col("node")) & near("m.", "")).select(F.col("m.node").alias("a"), F.col("node").alias("b")).distinct()))
+    # then all pairs that share a key and are still apart
+    parted = stash(nodes.join(components(links), "node", "left").select("node", "fp1", "fp2", F.coalesce("component", "node").alias("part")))
+    keys = keyed(parted, ["fp1", "fp2"], wide=True, along=("part",))
+    one, other = (keys.select("key", *(F.col(c).alias(f"{n}_{c}") for c in ("node", "fp1", "fp2", "part"))) for n in ("a", "b"))
+    apart = (F.col("a_node") < F.col("b_node")) & (F.col("a_part") != F.col("b_part")) & near("a_", "b_")
+    links = links.union(verified(stash(one.join(other, "key").where(apart).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct())))
     named = nodes.join(components(links), "node", "left").select("same", F.coalesce("component", "node").alias("component_id"))
     return rows.join(named, "same").select("doc_id", "component_id").where("doc_id <> component_id").distinct()
