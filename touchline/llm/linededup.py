@@ -13,24 +13,16 @@ from pyspark.sql import functions as F
 from .common import stash, text_of
 
 STRIP = " \t\n\x0b\x0c\r"
-FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 #: Each filter has 2 to the power of BITS bits (16 MB) and HASHES probes a line.
 #: A larger corpus fills them up: then more lines are suspected and confirmed, none is missed.
 BITS, HASHES, SEGMENT = 27, 3, 1 << 14
 MIN_CHARS = 10
 
 
-def line_key(line: str) -> str:
-    return line.strip(STRIP).translate(FOLD)
-
-
 def long_keys(text: str, least: int = MIN_CHARS) -> list[str | None]:
     """The key of each line, None where it is too short to count."""
-    if text.isascii():  # str.lower() changes A-Z alone there
-        keys = [x.strip(STRIP) for x in text.lower().split("\n")]
-    else:
-        keys = [line_key(x) for x in text.split("\n")]
-    return [k if len(k) >= least else None for k in keys]
+    lines = text.encode().lower().decode().split("\n")  # bytes.lower() changes A-Z alone
+    return [k if len(k) >= least else None for k in (x.strip(STRIP) for x in lines)]
 
 
 def probes(keys: list[str]) -> np.ndarray:
