@@ -23,6 +23,8 @@ SEGMENTS = ((0, 21), (21, 21), (42, 22))
 SEED = 42
 #: Candidate pairs (16 bytes each) up to which they are broadcast to the texts, about 100 MB with overhead.
 BROADCAST_PAIRS = 2_000_000
+#: Smallest shingle hashes of a text by which texts without a partner are told.
+LOW = 32
 
 
 def words_of(text: str) -> list[bytes]:
@@ -188,20 +190,31 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits:
     same words collapse first, so copies cost one row each; no pairs within a
     group of copies are made.
 
+    A shingle that one text alone holds counts against each of its pairs: with
+    r shingles that others hold too, a text of n can't reach r / n.  First the
+    ``LOW`` smallest hashes of each text tell which texts may have a partner (a
+    link loses this test about once in 10,000), which spares most texts the
+    search; among those left all shingles are counted and the bound is exact.
+    So is a second one in the join: two texts differ in their lone shingles and
+    in at least as many others as there are bits in which the parities of their
+    other hashes, dealt to 128 buckets, differ.
+
     Null and blank texts count as the same words; rows of one doc_id as one
     document; rows without doc_id are left out.
     """
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], []]
+            out: list[list] = [[], [], [], []]
             for x in batch.column(1):
                 words = words_of(x.as_py())
                 h = np.unique(hashes(grams(words, 2)))
                 out[0].append(hashlib.md5(b" ".join(words)).digest())
                 out[1].append(fingerprint(h))
                 out[2].append(fingerprint(h * np.uint64(0x9E3779B97F4A7C15) ^ (h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out[0], pa.binary()), *(pa.array(np.array(c, np.uint64).view(np.int64), pa.int64()) for c in out[1:])], names=["doc_id", "same", "fp1", "fp2"])
+                out[3].append(np.unique(hashes(grams(words, k)))[:LOW].view(np.int64))
+            columns = [batch.column(0), pa.array(out[0], pa.binary()), *(pa.array(np.array(c, np.uint64).view(np.int64), pa.int64()) for c in out[1:3]), pa.array(out[3], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "same", "fp1", "fp2", "low"])
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -209,27 +222,47 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
 
     own = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text")).where("doc_id is not null")
-    rows = stash(own.mapInArrow(sketch, "doc_id long, same binary, fp1 long, fp2 long"))
-    nodes = stash(rows.groupBy("same").agg(F.min("doc_id").alias("node"), F.first("fp1").alias("fp1"), F.first("fp2").alias("fp2")))
+    rows = stash(own.mapInArrow(sketch, "doc_id long, same binary, fp1 long, fp2 long, low array<long>"))
+    nodes = stash(rows.groupBy("same").agg(F.min("doc_id").alias("node"), F.first("fp1").alias("fp1"), F.first("fp2").alias("fp2"), F.first("low").alias("low")))
+
+    def with_lone(sets: DataFrame, column: str) -> DataFrame:
+        """``sets`` with how many hashes of an array no other row has (lone),
+        and the parities of those that others have (p0, p1)."""
+        bit = ["if(h & 64 = 0, shiftleft(1L, cast(h & 63 as int)), 0L)", "if(h & 64 = 0, 0L, shiftleft(1L, cast(h & 63 as int)))"]
+        held = sets.select("node", F.explode(column).alias("h")).groupBy("h").agg(F.count("*").alias("n"), F.min("node").alias("node"))
+        lone = held.where("n = 1").groupBy("node").agg(F.count("*").alias("lone"), *(F.expr(f"bit_xor({x}) AS lone{i}") for i, x in enumerate(bit)))
+        others = {f"p{i}": F.expr(f"aggregate({column}, 0L, (all, h) -> all ^ {x}) ^ coalesce(lone{i}, 0L)") for i, x in enumerate(bit)}
+        return sets.join(lone, "node", "left").withColumns(others | {"lone": F.coalesce("lone", F.lit(0)).cast("long")}).drop("lone0", "lone1")
+
+    n = F.size("low")
+    most_lone = F.when(n < LOW, (1 - similarity) * n + 1e-9).otherwise((1 - similarity) * LOW + 4 * (similarity * (1 - similarity) * LOW) ** 0.5)
+    some = stash(with_lone(nodes.select("node", "fp1", "fp2", "low"), "low").where(F.col("lone") <= most_lone).select("node", "fp1", "fp2"))
+    chosen = some.select(F.col("node").alias("doc_id"))
+    sets = stash(own.join(F.broadcast(chosen) if chosen.count() <= BROADCAST_PAIRS else chosen, "doc_id", "left_semi").mapInArrow(shingled, "node long, shingles array<long>").dropDuplicates(["node"]))
+    counted = with_lone(sets, "shingles").select("node", F.size("shingles").cast("long").alias("size"), "lone", "p0", "p1").where(F.col("lone") <= (1 - similarity) * F.col("size") + 1e-9)
+    some = stash(some.join(counted, "node"))
 
     def verified(pairs: DataFrame) -> DataFrame:
         few = F.broadcast if pairs.count() <= BROADCAST_PAIRS else lambda x: x
-        wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        sets = stash(own.join(few(wanted), "doc_id", "left_semi").mapInArrow(shingled, "node long, shingles array<long>").dropDuplicates(["node"]))
         both = few(pairs).join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("s_b")), "b")
         both = both.select("a", "b", F.size(F.array_intersect("s_a", "s_b")).alias("n"), (F.size("s_a") + F.size("s_b")).alias("total"))
         return stash(both.where(F.col("n") >= similarity * (F.col("total") - F.col("n")) - 1e-9).select("a", "b"))
 
     def near(a: str, b: str):
-        return _differ(f"{a}fp1", f"{b}fp1") + _differ(f"{a}fp2", f"{b}fp2") <= bits
-
-    # first each document with the smallest one of each of its keys: this joins up large groups by links linear in them
-    star = keyed(nodes, ["fp1", "fp2"], wide=True).withColumn("m", F.min(F.struct("node", "fp1", "fp2")).over(Window.partitionBy("key")))
-    links = verified(stash(star.where((F.col("m.node") < F.col("node")) & near("m.", "")).select(F.col("m.node").alias("a"), F.col("node").alias("b")).distinct()))
+        total, shared = F.col(f"{a}size") + F.col(f"{b}size"), F.least(*(F.col(f"{x}size") - F.col(f"{x}lone") for x in (a, b)))
+        apart = F.col(f"{a}lone") + F.col(f"{b}lone") + _differ(f"{a}p0", f"{b}p0") + _differ(f"{a}p1", f"{b}p1")
+        able = (shared >= similarity * (total - shared) - 1e-9) & (apart * (1 + similarity) <= total * (1 - similarity) + 1e-9)
+        return able & (_differ(f"{a}fp1", f"{b}fp1") + _differ(f"{a}fp2", f"{b}fp2") <= bits)
+
+    # first each text with the least edited one of each of its keys: this joins up large groups by links linear in them
+    known = ("size", "lone", "p0", "p1")
+    star = keyed(some, ["fp1", "fp2"], wide=True, along=known).withColumn("m", F.min(F.struct("lone", "node", "fp1", "fp2", "size", "p0", "p1")).over(Window.partitionBy("key")))
+    links = verified(stash(star.where((F.col("m.node") != F.col("node")) & near("m.", "")).select(F.col("m.node").alias("a"), F.col("node").alias("b")).distinct()))
     # then all pairs that share a key and are still apart
-    parted = stash(nodes.join(components(links), "node", "left").select("node", "fp1", "fp2", F.coalesce("component", "node").alias("part")))
-    keys = keyed(parted, ["fp1", "fp2"], wide=True, along=("part",))
-    one, other = (keys.select("key", *(F.col(c).alias(f"{n}_{c}") for c in ("node", "fp1", "fp2", "part"))) for n in ("a", "b"))
+    parted = stash(some.join(components(links), "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component"))
+    along = ("part", *known)
+    keys = keyed(parted, ["fp1", "fp2"], wide=True, along=along)
+    one, other = (keys.select("key", *(F.col(c).alias(f"{n}_{c}") for c in ("node", "fp1", "fp2", *along))) for n in ("a", "b"))
     apart = (F.col("a_node") < F.col("b_node")) & (F.col("a_part") != F.col("b_part")) & near("a_", "b_")
     links = links.union(verified(stash(one.join(other, "key").where(apart).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct())))
     named = nodes.join(components(links), "node", "left").select("same", F.coalesce("component", "node").alias("component_id"))
