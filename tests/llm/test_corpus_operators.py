@@ -106,6 +106,23 @@ def test_near_duplicates(spark, docs, nothing):
     assert simhash.near_duplicates(nothing).count() == 0
 
 
+def test_near_duplicates_of_one_base(spark):
+    """Many edited copies of a base that is not there: which edits link, and no pairs by the square."""
+    r = np.random.default_rng(6)
+    base, rows, sets = [f"b{i}" for i in range(150)], [], {}
+    for n in range(240):
+        words = list(base)
+        for at in r.choice(150, n % 6 + 1, replace=False):
+            words[at] = f"e{r.integers(0, 400)}"
+        rows.append((n, " ".join(words)))
+        sets[n] = {tuple(words[i : i + 5]) for i in range(146)}
+    frame = spark.createDataFrame([*rows, *rows[:40]], "doc_id long, text string").repartition(5)
+    got = {x.doc_id: x.component_id for x in simhash.near_duplicates(frame).collect()}
+    similar = [(a, b) for a, b in combinations(sets, 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    want = {n: c for n, c in smallest_reachable(sets, similar).items() if n != c}
+    assert all(want.get(n) == c for n, c in got.items()) and len(got) >= 0.97 * len(want) > 50
+
+
 def test_containment(spark, docs, nothing):
     item = " ".join(f"i{k}" for k in range(24))  # 20 shingles
     broken = item.replace("i11", "other")  # 5 of them are gone
