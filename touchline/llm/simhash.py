@@ -177,7 +177,7 @@ def fingerprint_components(docs: DataFrame, k: int = 3, bits: int = 3, id_col: s
     return rows.join(named, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits: int = 18, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits: int = 26, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, component_id (smallest doc_id of the group) of every document
     whose group is not its own.
 
