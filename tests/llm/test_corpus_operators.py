@@ -123,6 +123,27 @@ def test_near_duplicates_of_one_base(spark):
     assert all(want.get(n) == c for n, c in got.items()) and len(got) >= 0.97 * len(want) > 50
 
 
+def test_near_duplicates_of_block_edits(spark):
+    """Pairs at 0.8 or just above that differ by one block; no third copy joins them."""
+    r = np.random.default_rng(8)
+    rows, want = [], {}
+    for g in range(400):
+        words = [f"p{g}w{x}" for x in r.integers(0, 10**6, 404)]
+        n, block = 2 * g, [f"p{g}x{x}" for x in r.integers(0, 10**6, 110)]
+        if g % 2:
+            other = words + block[:100]  # 400 of 500
+        else:
+            at = int(r.integers(20, 340))
+            other = words[:at] + block[:40] + words[at + 40 :]  # 356 of 444
+        rows += [(n, " ".join(words)), (n + 1, " ".join(other))]
+        a, b = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (words, other))
+        if len(a & b) >= 0.8 * len(a | b):
+            want[n + 1] = n
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {x.doc_id: x.component_id for x in simhash.near_duplicates(frame).collect()}
+    assert len(want) == 400 and got == want
+
+
 def test_containment(spark, docs, nothing):
     item = " ".join(f"i{k}" for k in range(24))  # 20 shingles
     broken = item.replace("i11", "other")  # 5 of them are gone

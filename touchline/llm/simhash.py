@@ -23,8 +23,10 @@ SEGMENTS = ((0, 21), (21, 21), (42, 22))
 SEED = 42
 #: Candidate pairs (16 bytes each) up to which they are broadcast to the texts, about 100 MB with overhead.
 BROADCAST_PAIRS = 2_000_000
-#: Smallest shingle hashes of a text by which texts without a partner are told.
+#: Shingle hashes beyond its prefix by which texts without a partner are told; a pair shares as many.
 LOW = 32
+#: Texts that hold a shingle from which on it counts as hot and is ordered by that number, after all others.
+HOT = 50
 
 
 def words_of(text: str) -> list[bytes]:
@@ -183,38 +185,45 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits:
 
     Groups are components of links: the same words, or sets of ``k``-word
     shingles of Jaccard similarity ``similarity`` or more, verified exactly.
-    Candidates come from two fingerprints over two-word runs (which an edit
-    disturbs less than longer ones), by wide keys on both sides: found for sure
-    where some two segments differ in two bits each at most, and mostly beyond;
-    pairs whose fingerprints differ in more than ``bits`` bits are let go.  The
-    same words collapse first, so copies cost one row each; no pairs within a
-    group of copies are made.
-
-    A shingle that one text alone holds counts against each of its pairs: with
-    r shingles that others hold too, a text of n can't reach r / n.  First the
-    ``LOW`` smallest hashes of each text tell which texts may have a partner (a
-    link loses this test about once in 10,000), which spares most texts the
-    search; among those left all shingles are counted and the bound is exact.
-    So is a second one in the join: two texts differ in their lone shingles and
+    The same words collapse first, so copies cost one row each; no pairs within
+    a group of copies are made.
+
+    No link is missed.  Of two texts that share ``similarity`` of their union, a
+    text of n shingles lacks at most (1 - similarity) n in the other one; so in
+    any order of shingles that holds for all texts, their first
+    (1 - similarity) n + j ones have j in common.  First this is applied to the
+    smallest hashes with j of ``LOW``, which tells texts that can't have a partner.
+    Among those left all shingles are counted: one that a text alone holds counts
+    against each of its pairs, and two texts differ in their lone shingles and
     in at least as many others as there are bits in which the parities of their
     other hashes, dealt to 128 buckets, differ.
 
+    Large groups are then joined up by links linear in them: two fingerprints
+    over two-word runs (which an edit disturbs less than longer ones) are
+    searched by wide Golay keys, and pairs that differ in more than ``bits`` bits
+    of both are left to the next step.  Last the texts still apart meet on their
+    first (1 - similarity) n + 1 shingles, hot ones ordered last; keys that only
+    texts of one group hold are dropped before.
+
     Null and blank texts count as the same words; rows of one doc_id as one
     document; rows without doc_id are left out.
     """
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             for x in batch.column(1):
                 words = words_of(x.as_py())
                 h = np.unique(hashes(grams(words, 2)))
                 out[0].append(hashlib.md5(b" ".join(words)).digest())
                 out[1].append(fingerprint(h))
                 out[2].append(fingerprint(h * np.uint64(0x9E3779B97F4A7C15) ^ (h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)))
-                out[3].append(np.unique(hashes(grams(words, k)))[:LOW].view(np.int64))
-            columns = [batch.column(0), pa.array(out[0], pa.binary()), *(pa.array(np.array(c, np.uint64).view(np.int64), pa.int64()) for c in out[1:3]), pa.array(out[3], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "same", "fp1", "fp2", "low"])
+                s = np.unique(hashes(grams(words, k))).view(np.int64)
+                least = int(np.ceil(similarity * len(s) - 1e-9))
+                out[3].append(np.sort(s)[: len(s) - least + min(LOW, least)])
+                out[4].append(min(LOW, int(np.ceil(similarity * np.ceil(similarity * len(s) - 1e-9) - 1e-9))))
+            columns = [batch.column(0), pa.array(out[0], pa.binary()), *(pa.array(np.array(c, np.uint64).view(np.int64), pa.int64()) for c in out[1:3]), pa.array(out[3], pa.list_(pa.int64())), pa.array(out[4], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "same", "fp1", "fp2", "low", "need"])
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,8 +231,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
 
     own = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text")).where("doc_id is not null")
-    rows = stash(own.mapInArrow(sketch, "doc_id long, same binary, fp1 long, fp2 long, low array<long>"))
-    nodes = stash(rows.groupBy("same").agg(F.min("doc_id").alias("node"), F.first("fp1").alias("fp1"), F.first("fp2").alias("fp2"), F.first("low").alias("low")))
+    rows = stash(own.mapInArrow(sketch, "doc_id long, same binary, fp1 long, fp2 long, low array<long>, need long"))
+    nodes = stash(rows.groupBy("same").agg(F.min("doc_id").alias("node"), F.first("fp1").alias("fp1"), F.first("fp2").alias("fp2"), F.first("low").alias("low"), F.first("need").alias("need")))
 
     def with_lone(sets: DataFrame, column: str) -> DataFrame:
         """``sets`` with how many hashes of an array no other row has (lone),
@@ -234,9 +243,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits:
         others = {f"p{i}": F.expr(f"aggregate({column}, 0L, (all, h) -> all ^ {x}) ^ coalesce(lone{i}, 0L)") for i, x in enumerate(bit)}
         return sets.join(lone, "node", "left").withColumns(others | {"lone": F.coalesce("lone", F.lit(0)).cast("long")}).drop("lone0", "lone1")
 
-    n = F.size("low")
-    most_lone = F.when(n < LOW, (1 - similarity) * n + 1e-9).otherwise((1 - similarity) * LOW + 4 * (similarity * (1 - similarity) * LOW) ** 0.5)
-    some = stash(with_lone(nodes.select("node", "fp1", "fp2", "low"), "low").where(F.col("lone") <= most_lone).select("node", "fp1", "fp2"))
+    held = nodes.select("node", F.explode("low").alias("h")).groupBy("h").agg(F.count("*").alias("n"), F.min("node").alias("node"))
+    alone = held.where("n = 1").groupBy("node").agg(F.count("*").alias("alone"))
+    some = stash(nodes.select("node", "fp1", "fp2", "need", F.size("low").alias("n")).join(alone, "node", "left").where(F.col("n") - F.coalesce("alone", F.lit(0)) >= F.col("need")).select("node", "fp1", "fp2"))
     chosen = some.select(F.col("node").alias("doc_id"))
     sets = stash(own.join(F.broadcast(chosen) if chosen.count() <= BROADCAST_PAIRS else chosen, "doc_id", "left_semi").mapInArrow(shingled, "node long, shingles array<long>").dropDuplicates(["node"]))
     counted = with_lone(sets, "shingles").select("node", F.size("shingles").cast("long").alias("size"), "lone", "p0", "p1").where(F.col("lone") <= (1 - similarity) * F.col("size") + 1e-9)
@@ -248,22 +257,33 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits:
         both = both.select("a", "b", F.size(F.array_intersect("s_a", "s_b")).alias("n"), (F.size("s_a") + F.size("s_b")).alias("total"))
         return stash(both.where(F.col("n") >= similarity * (F.col("total") - F.col("n")) - 1e-9).select("a", "b"))
 
-    def near(a: str, b: str):
+    def able(a: str, b: str):
         total, shared = F.col(f"{a}size") + F.col(f"{b}size"), F.least(*(F.col(f"{x}size") - F.col(f"{x}lone") for x in (a, b)))
         apart = F.col(f"{a}lone") + F.col(f"{b}lone") + _differ(f"{a}p0", f"{b}p0") + _differ(f"{a}p1", f"{b}p1")
-        able = (shared >= similarity * (total - shared) - 1e-9) & (apart * (1 + similarity) <= total * (1 - similarity) + 1e-9)
-        return able & (_differ(f"{a}fp1", f"{b}fp1") + _differ(f"{a}fp2", f"{b}fp2") <= bits)
+        return (shared >= similarity * (total - shared) - 1e-9) & (apart * (1 + similarity) <= total * (1 - similarity) + 1e-9)
 
     # first each text with the least edited one of each of its keys: this joins up large groups by links linear in them
     known = ("size", "lone", "p0", "p1")
     star = keyed(some, ["fp1", "fp2"], wide=True, along=known).withColumn("m", F.min(F.struct("lone", "node", "fp1", "fp2", "size", "p0", "p1")).over(Window.partitionBy("key")))
-    links = verified(stash(star.where((F.col("m.node") != F.col("node")) & near("m.", "")).select(F.col("m.node").alias("a"), F.col("node").alias("b")).distinct()))
-    # then all pairs that share a key and are still apart
-    parted = stash(some.join(components(links), "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component"))
-    along = ("part", *known)
-    keys = keyed(parted, ["fp1", "fp2"], wide=True, along=along)
-    one, other = (keys.select("key", *(F.col(c).alias(f"{n}_{c}") for c in ("node", "fp1", "fp2", *along))) for n in ("a", "b"))
-    apart = (F.col("a_node") < F.col("b_node")) & (F.col("a_part") != F.col("b_part")) & near("a_", "b_")
+    close = _differ("m.fp1", "fp1") + _differ("m.fp2", "fp2") <= bits
+    links = verified(stash(star.where((F.col("m.node") != F.col("node")) & close & able("m.", "")).select(F.col("m.node").alias("a"), F.col("node").alias("b")).distinct()))
+    # then all pairs that are still apart and share one of their first shingles
+    parted = stash(some.select("node", *known).join(components(links), "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component"))
+    own_sets = sets.join(parted.select("node", "part"), "node")
+    each = own_sets.select("node", F.explode("shingles").alias("h"))
+    hot = stash(each.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= HOT))
+    late = each.join(F.broadcast(hot) if hot.count() <= BROADCAST_PAIRS else hot, "h").groupBy("node").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "h"))), lambda x: x["h"]).alias("late"))
+    last = F.coalesce("late", F.array().cast("array<long>"))
+    ordered = own_sets.join(late, "node", "left").select("node", "part", F.concat(F.array_except("shingles", last), last).alias("s"))
+    first = F.slice("s", 1, (F.size("s") - F.ceil(F.lit(similarity) * F.size("s") - 1e-9) + 1).cast("int"))
+    keys = stash(ordered.where("size(s) > 0").select("node", "part", F.posexplode(first).alias("at", "key")))
+    mixed = keys.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("key")
+    keys = stash(keys.join(mixed, "key").drop("part").join(parted, "node"))
+    one, other = (keys.select("key", *(F.col(c).alias(f"{n}_{c}") for c in ("node", "part", "at", *known))) for n in ("a", "b"))
+    apart = (F.col("a_node") < F.col("b_node")) & (F.col("a_part") != F.col("b_part")) & able("a_", "b_")
+    # at the first shingle in common, no more can be shared than what follows in either
+    rest = F.least(*(F.col(f"{n}_size") - F.col(f"{n}_at") for n in ("a", "b")))
+    apart &= rest * (1 + similarity) >= similarity * (F.col("a_size") + F.col("b_size")) - 1e-9
     links = links.union(verified(stash(one.join(other, "key").where(apart).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct())))
     named = nodes.join(components(links), "node", "left").select("same", F.coalesce("component", "node").alias("component_id"))
     return rows.join(named, "same").select("doc_id", "component_id").where("doc_id <> component_id").distinct()
