@@ -9,7 +9,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stash, text_of, worker_cache
@@ -264,7 +264,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits:
 
     # first each text with the least edited one of each of its keys: this joins up large groups by links linear in them
     known = ("size", "lone", "p0", "p1")
-    star = keyed(some, ["fp1", "fp2"], wide=True, along=known).withColumn("m", F.min(F.struct("lone", "node", "fp1", "fp2", "size", "p0", "p1")).over(Window.partitionBy("key")))
+    star = keyed(some, ["fp1", "fp2"], wide=True, along=known)
+    least = star.groupBy("key").agg(F.min(F.struct("lone", "node", "fp1", "fp2", "size", "p0", "p1")).alias("m"), F.count("*").alias("n")).where("n > 1").drop("n")
+    star = star.join(least, "key")
     close = _differ("m.fp1", "fp1") + _differ("m.fp2", "fp2") <= bits
     links = verified(stash(star.where((F.col("m.node") != F.col("node")) & close & able("m.", "")).select(F.col("m.node").alias("a"), F.col("node").alias("b")).distinct()))
     # then all pairs that are still apart and share one of their first shingles
