@@ -195,6 +195,19 @@ def test_url_models(spark):
     assert urls.ratio(model, "http://a/") == 0
 
 
+def test_url_models_keep_all_grams_apart(spark):
+    """More distinct n-grams than any fixed number of counters: each has its own exact count."""
+    r = np.random.default_rng(11)
+    rows = [("".join(r.choice(list("abcdefghijklmnopqrstuvwxyz0123456789"), 40)), bool(i % 2)) for i in range(6000)]
+    want = Counter()
+    for url, good in rows:
+        raw = b"\x02" * 4 + url.encode() + b"\x03"
+        want.update((good, k, raw[i - k : i + 1]) for i in range(4, len(raw)) for k in range(5))
+    model = urls.train(spark.createDataFrame(rows, "url string, good boolean").repartition(5)).collect()
+    assert sorted(n for m in model for n in (m.bad, m.good) if n) == sorted(want.values())
+    assert len(model) == len({key[1:] for key in want}) > 2 * (1 << 16)
+
+
 PAGE = """<html><head><title>t</title><script>var a="</p>";</script></head><body><header><p>Site name and more</p></header><nav><a href=x>Home</a></nav>
 <div class="cookie-notice"><p>We use cookies and this text is quite long, so that its length speaks for it; accept all of them now.</p></div>
 <article><h1>Title &eacute;</h1><p><b>First&nbsp;para

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from .common import lower_ascii, stash
 
-#: Longest context plus one; hashed n-grams of each length share 2 to the power of BITS counters.
-ORDER, BITS, STRENGTH = 5, 16, 4.0
+#: Longest context plus one; 2 to the power of BITS URLs are scored together.
+ORDER, BITS, STRENGTH = 5, 11, 4.0
 #: Steps of the score in which the threshold is chosen, and how far they reach on either side.
 STEP, REACH = 0.01, 500
 
@@ -41,75 +41,85 @@ def longest_rule(rules: list[tuple[str, str]]) -> Column:
 
 
 def grams(url: str) -> np.ndarray:
-    """Bucket of the n-gram that ends at each byte, for n = 1 to ORDER (rows)."""
+    """64-bit hash of the n-gram that ends at each byte, for n = 1 to ORDER (rows)."""
     raw = np.frombuffer(b"\x02" * (ORDER - 1) + url.encode() + b"\x03", np.uint8).astype(np.uint64)
     n = len(raw) - ORDER + 1
-    h, out = np.zeros(n, np.uint64), np.empty((ORDER, n), np.int64)
+    h, out = np.zeros(n, np.uint64), np.empty((ORDER, n), np.uint64)
     for k in range(ORDER):
         h = (h + raw[ORDER - 1 - k : ORDER - 1 - k + n] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
-        out[k] = (h >> np.uint64(64 - BITS)).astype(np.int64) | k << BITS
-    return out
-
-
-def log_likelihood(seen: np.ndarray, buckets: np.ndarray) -> float:
-    """Of all bytes under the smoothed variable-order model whose counters are
-    ``seen``: the estimate of each order backs off to the next lower one by a
-    Dirichlet prior of STRENGTH, so an unseen context leaves it as it is."""
-    p = np.full(buckets.shape[1], 1 / 256)
-    total = seen[: 1 << BITS].sum()
-    for k in range(ORDER):
-        n = seen[buckets[k]]
+        # the order in the lowest three bits
+        out[k] = h << np.uint64(3) | np.uint64(k)
+    return out.view(np.int64)
+
+
+def log_likelihood(n_of: np.ndarray, total: float) -> float:
+    """Of all bytes under the smoothed variable-order model that has seen the
+    n-grams at each byte ``n_of`` times, and ``total`` bytes: the estimate of
+    each order backs off to the next lower one by a Dirichlet prior of STRENGTH,
+    so an unseen context leaves it as it is."""
+    p = np.full(n_of.shape[1], 1 / 256)
+    for k, n in enumerate(n_of):
         # the context is the k-gram that ends one byte earlier
-        context = np.full(len(n), total) if k == 0 else np.concatenate([[total], seen[buckets[k - 1][:-1]]])
-        context = np.maximum(context, n)
+        context = np.full(len(n), total) if k == 0 else np.concatenate([[total], n_of[k - 1][:-1]])
         p = (n + STRENGTH * p) / (context + STRENGTH)
     return float(np.log(p).sum())
 
 
-def ratio(model: np.ndarray, url: str) -> float:
-    """Log-likelihood difference of the accepted and the rejected model a byte."""
-    b = grams(url)
-    return (log_likelihood(model[1], b) - log_likelihood(model[0], b)) / b.shape[1]
+def ratio(model: np.ndarray, url: str, known: np.ndarray | None = None, total: tuple[float, float] = (0.0, 0.0)) -> float:
+    """Log-likelihood difference of the accepted and the rejected model a byte.
 
+    ``model`` has the counts of the n-grams ``known`` (sorted) by class, and
+    zeros in a last column."""
+    g = grams(url)
+    at = np.full(g.shape, -1)
+    if known is not None and len(known):
+        found = np.minimum(np.searchsorted(known, g), len(known) - 1)
+        at = np.where(known[found] == g, found, -1)
+    return (log_likelihood(model[1][at], total[1]) - log_likelihood(model[0][at], total[0])) / g.shape[1]
 
-def train(labelled: DataFrame) -> np.ndarray:
-    """Counters of the n-grams of all rows of ``labelled`` (url, good).
 
-    Each task counts its rows into ORDER x 2**BITS counters a class, so what a
-    task sends and what reaches the driver is bounded whatever the input's size.
-    """
-    size = ORDER << BITS
+def train(labelled: DataFrame) -> DataFrame:
+    """gram, bad, good: how often each n-gram is in the rows of ``labelled``
+    (url, good) of either class.  As many rows as there are distinct n-grams;
+    counted map-side first, never gathered."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((2, size), np.int64)
         for batch in batches:
-            for url, good in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                np.add.at(held[int(good)], grams(url.as_py()).ravel(), 1)
-        at = np.flatnonzero(held.ravel())
-        for i in range(0, len(at), 50_000):
-            part = at[i : i + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(held.ravel()[part], pa.int64())], names=["bucket", "n"])
+            for good in (False, True):
+                own = [grams(url.as_py()).ravel() for url, g in zip(batch.column(0), batch.column(1).to_pylist(), strict=True) if g == good]
+                if own:
+                    found, n = np.unique(np.concatenate(own), return_counts=True)
+                    none = np.zeros(len(n), np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(none if good else n, pa.int64()), pa.array(n if good else none, pa.int64())], names=["gram", "bad", "good"])
 
-    model = np.zeros(2 * size, np.float64)
-    total = labelled.select("url", "good").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    got = total.toPandas()
-    model[got["bucket"].to_numpy(np.int64)] = got["n"].to_numpy(np.float64)
-    return model.reshape(2, size)
+    return labelled.select("url", "good").mapInArrow(run, "gram long, bad long, good long").groupBy("gram").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
 
 
-def score(df: DataFrame, model: np.ndarray) -> DataFrame:
-    """``df`` with score: 0 for an empty url."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
-    at = df.columns.index("url")
+def score(df: DataFrame, model: DataFrame, total: tuple[float, float]) -> DataFrame:
+    """``df`` (with url and chunk) with score: 0 for an empty url.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+    The distinct n-grams of each chunk meet the model in a join, and what it has
+    of them goes back to the chunk's URLs."""
+
+    def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [ratio(m, u.as_py()) if u.as_py() else 0.0 for u in batch.column(at)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=[*batch.schema.names, "score"])
+            chunks = batch.column(0).to_numpy()
+            for chunk in np.unique(chunks):
+                own = [grams(batch.column(1)[int(i)].as_py()).ravel() for i in np.flatnonzero(chunks == chunk)]
+                found = np.unique(np.concatenate(own))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), chunk)), pa.array(found)], names=["chunk", "gram"])
+
+    def judge(rows: pa.Table, seen: pa.Table) -> pa.Table:
+        gram, bad, good = (seen[c].to_numpy() for c in ("gram", "bad", "good"))
+        known, first = np.unique(gram, return_index=True)  # a chunk over two batches may ask twice
+        counts = np.concatenate([np.stack([bad[first], good[first]]), np.zeros((2, 1))], axis=1)
+        found = [ratio(counts, u.as_py(), known, total) if u.as_py() else 0.0 for u in rows["url"]]
+        return rows.append_column("score", pa.array(found, pa.float64()))
 
-    return df.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", score double")
+    asked = df.select("chunk", "url").where("url <> ''").mapInArrow(needed, "chunk long, gram long").join(model, "gram")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", score double"
+    return df.groupby("chunk").cogroup(asked.groupby("chunk")).applyInArrow(judge, kinds)
 
 
 def calibrate(held_out: DataFrame) -> float:
@@ -131,20 +141,23 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "p
 
     URLs that a rule accepts or rejects train the two models, those of one fold
     (crc32 of the id mod 5 = 0) choose the threshold, and the models judge the
-    URLs without a rule.  Two narrow passes over the URLs; the models (5 MB) are
-    broadcast.  Null URLs and those without ``://`` have an empty host and path
+    URLs without a rule.  The models are exact counts of n-grams, one row each
+    however many there are; chunks of URLs join them.  Null URLs and those without ``://`` have an empty host and path
     and no rule; a null or empty URL scores 0.  Without URLs of both kinds every
     score is 0 and the verdict allow.  Repeated rows give repeated results.
     """
     url = F.col(url_col)
     own = pages.select(pages[id_col].cast("long").alias("page_id"), F.coalesce(url, F.lit("")).alias("url"), host_of(url).alias("host"), path_of(url).alias("path"))
-    found = own.withColumn("found", longest_rule(rules)).select("page_id", "url", "host", "path", "found.rule", "found.verdict")
+    chunk = F.shiftright(F.monotonically_increasing_id(), BITS).alias("chunk")
+    found = stash(own.withColumn("found", longest_rule(rules)).select("page_id", "url", "host", "path", "found.rule", "found.verdict", chunk))
     labelled = found.where("verdict is not null").withColumn("good", F.col("verdict") == "allow")
     held_out = F.coalesce(F.crc32(F.col("page_id").cast("string")) % 5 == 0, F.lit(False))
-    model = train(labelled.where(~held_out))
-    if not (model.sum(1) > 0).all():
-        model[:] = 0
-    scored = stash(score(found, model))
+    own = labelled.where(~held_out)
+    total = {r["good"]: float(r["n"]) for r in own.groupBy("good").agg(F.sum(F.octet_length("url") + 1).alias("n")).collect()}
+    if len(total) == 2:
+        scored = stash(score(found, train(own), (total[False], total[True])))
+    else:
+        scored = found.withColumn("score", F.lit(0.0))
     threshold = calibrate(scored.where(F.col("verdict").isNotNull() & held_out).select((F.col("verdict") == "allow").alias("good"), "score"))
     own_verdict = F.when(F.col("score") >= threshold, "allow").otherwise("block")
     return scored.select("page_id", "host", "path", "rule", F.coalesce("verdict", own_verdict).alias("verdict"), "score")
