@@ -223,6 +223,22 @@ def test_html_extraction(spark):
     assert all(r.n_chars == len(r.text) for r in got)
 
 
+STORY = "<h1>Title</h1><p>The first paragraph of a story that is long enough to be read.</p><p>A second one, also long enough to be taken for text.</p>"
+BESIDE = '<div class="sidebar"><p>Beside the story stands a text that is long as well, but no part of it.</p></div><div class="comments"><article class="comment"><p>A comment that somebody left.</p></article></div>'
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<body class="has-sidebar single comments-open"><article>{STORY}</article>{BESIDE}', f'<body class="sidebar nav">{STORY}{BESIDE}', f'<div class="nav-open"><article class="post tag-python">{STORY}</article>{BESIDE}</div>',
+        f'<div id="page" class="sidebar-right"><main>{STORY}</main>{BESIDE}</div>', f'<div class="sidebar-right"><div class="story">{STORY}</div></div>{BESIDE}', f'<article class="post sidebar-left overflow-hidden">{STORY}</article>{BESIDE}',
+        f'<article aria-hidden="false" data-x="hidden">{STORY}</article><div hidden><p>{STORY}</p></div><div aria-hidden="true">{STORY}</div><div style="color:red; display: none">{STORY}</div>{BESIDE}',
+    ],
+)
+def test_html_wrappers_with_hints_keep_the_article(page):
+    assert html.main_text(page).split("\n") == ["Title", "The first paragraph of a story that is long enough to be read.", "A second one, also long enough to be taken for text."]
+
+
 def test_minimum_cut_is_the_best_labelling():
     r = np.random.default_rng(4)
     for _ in range(60):

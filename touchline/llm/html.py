@@ -25,6 +25,10 @@ CLOSES_P = frozenset("address article aside blockquote details dialog div dl fie
 TAG_ODDS = {"nav": -8.0, "footer": -8.0, "aside": -8.0, "form": -8.0, "menu": -8.0, "dialog": -8.0, "header": -6.0, "article": 4.0, "main": 3.0}
 BAD_HINT = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|alert|popup|modal|newsletter|subscribe|signup|login|nav\w*|menu|breadcrumbs?|pagination|pager|sidebar|side|widget|related|recommend\w*|share|sharing|social|footer|header|masthead|copyright|legal|comments?|comment-?\w*|replies|reply|disqus|respond|toolbar|skip|search|tags?|taboola|outbrain)(?:$|[\s_-])", re.I)
 GOOD_HINT = re.compile(r"(?:^|[\s_-])(?:article|articlebody|post|entry|content|main|story|body|text)(?:$|[\s_-])", re.I)
+#: Words that tell a page's state or an article's subject, not what an element is.
+STATE = re.compile(r"(?<!\S)(?:(?:has|is|no|with|without|hide|show)[_-]\S*|\S*[_-](?:open|opened|closed|enabled|disabled|visible|collapsed|expanded|active|inactive|on|off)|(?:tags?|category|cat)[_-]\S+)(?!\S)", re.I)
+HIDDEN = re.compile(r"\s(?:hidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true\b|style\s*=\s*(?:\"[^\"]*display\s*:\s*none|'[^']*display\s*:\s*none|display:none))", re.I)
+QUOTED = re.compile(r"(\s(?:style|aria-hidden)\s*=\s*(?:\"[^\"]*\"|'[^']*'))|\"[^\"]*\"|'[^']*'", re.I)
 BAD_ODDS, GOOD_ODDS, LINK_ODDS, LENGTH_ODDS = -8.0, 1.5, -4.0, 0.02
 #: What a block starts from: anywhere, and outside of <article> and <main> on a page that has one.
 BASE_ODDS, OUTSIDE_ODDS = 0.3, -3.5
@@ -33,10 +37,27 @@ NEXT_EDGE, SIBLING_EDGE = 0.6, 1.2
 
 
 class Block:
-    __slots__ = ("inside", "linked", "odds", "parent", "parts", "text")
+    __slots__ = ("hints", "inside", "linked", "odds", "parent", "parts", "text")
 
-    def __init__(self, parent: int, odds: float, inside: bool):
-        self.parent, self.odds, self.inside, self.parts, self.linked, self.text = parent, odds, inside, [], 0, ""
+    def __init__(self, parent: int, odds: float, hints: list[list], inside: bool):
+        self.parent, self.odds, self.hints, self.inside, self.parts, self.linked, self.text = parent, odds, hints, inside, [], 0, ""
+
+
+def hint_of(tag: str, attributes: str) -> float:
+    """Log-odds of an element's attributes; of <article> and <main> only a whole word speaks against them."""
+    odds = 0.0
+    for hint in ATTRIBUTE.findall(attributes):
+        words = STATE.sub(" ", "".join(hint))
+        if tag in ("article", "main"):
+            bad = any((m := BAD_HINT.match(w)) and m.end() == len(w) for w in words.split())
+        else:
+            bad = BAD_HINT.search(words)
+        odds += BAD_ODDS if bad else GOOD_ODDS if GOOD_HINT.search(words) else 0.0
+    return odds
+
+
+def is_hidden(attributes: str) -> bool:
+    return bool(HIDDEN.search(QUOTED.sub(lambda m: m[1] or '""', " " + attributes)))
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -44,8 +65,13 @@ def blocks_of(page: str) -> list[Block]:
 
     A forgiving reader: an end tag closes up to its start tag if that is open
     and is ignored otherwise; what is open at the end of the page is closed.
+    What the attributes of an element say against it is void where it holds the
+    page's first article or main, and where it holds the first h1 and half of
+    the text outside of links: it is a wrapper then.
     """
-    stack: list[tuple[str, int, float, bool]] = []  # tag, number, odds, shown
+    stack: list[tuple[str, int, float, bool, list[list]]] = []  # tag, number, odds, shown, hints [odds] of it and its ancestors
+    marked = False
+    headed: list[list] | None = None
     out: list[Block] = []
     current: Block | None = None
     number = links = 0
@@ -58,8 +84,8 @@ def blocks_of(page: str) -> list[Block]:
         if current is None:
             if raw.isspace():
                 return
-            block_parent = next((s for s in reversed(stack) if s[0] not in INLINE), ("", 0, 0.0, True))
-            current = Block(block_parent[1], stack[-1][2] if stack else 0.0, any(t[0] in ("article", "main") for t in stack))
+            block_parent = next((s for s in reversed(stack) if s[0] not in INLINE), ("", 0, 0.0, True, []))
+            current = Block(block_parent[1], stack[-1][2] if stack else 0.0, stack[-1][4] if stack else [], marked and any(t[0] in ("article", "main") for t in stack))
             out.append(current)
         current.parts.append(raw)
         if links:
@@ -101,12 +127,19 @@ def blocks_of(page: str) -> list[Block]:
             continue
         number += 1
         odds = (stack[-1][2] if stack else 0.0) + TAG_ODDS.get(tag, 0.0)
-        if m[4]:
-            for hint in ATTRIBUTE.findall(m[4]):
-                words = "".join(hint)
-                odds += BAD_ODDS if BAD_HINT.search(words) else GOOD_ODDS if GOOD_HINT.search(words) else 0.0
-        hidden = tag in NEVER or bool(m[4] and re.search(r"\bhidden\b|display\s*:\s*none", m[4], re.I))
-        stack.append((tag, number, odds, (not stack or stack[-1][3]) and not hidden))
+        hints = stack[-1][4] if stack else []
+        own = hint_of(tag, m[4]) if m[4] and tag not in ("html", "body") else 0.0
+        hidden = tag in NEVER or bool(m[4] and is_hidden(m[4]))
+        shown = (not stack or stack[-1][3]) and not hidden
+        if shown and not marked and own >= 0 and tag in ("article", "main"):
+            marked = True
+            for hint in hints:
+                hint[0] = max(0.0, hint[0])
+        if shown and tag == "h1" and headed is None:
+            headed = hints
+        if own:
+            hints = [*hints, [own]]
+        stack.append((tag, number, odds, shown, hints))
         links += tag == "a"
     tail = page[at:]
     cut = tail.find("<")
@@ -116,6 +149,12 @@ def blocks_of(page: str) -> list[Block]:
         b.text = SPACE.sub(" ", html.unescape("".join(b.parts))).strip()
         if b.text:
             kept.append(b)
+    plain = [max(0, len(b.text) - b.linked) for b in kept]
+    for hint in headed or []:
+        if hint[0] < 0 and 2 * sum(n for b, n in zip(kept, plain, strict=True) if any(h is hint for h in b.hints)) >= sum(plain):
+            hint[0] = 0.0
+    for b in kept:
+        b.odds += sum(h[0] for h in b.hints)
     return kept
 
 
