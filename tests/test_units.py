@@ -136,3 +136,18 @@ def test_plans_stay_in_the_jvm(spark, sf):
 
     plan = core.odds_rows(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ArrowEval" not in plan and plan.count("from_json") <= 4
+
+
+def test_calendar_documents_are_bounded(spark, tmp_path):
+    """A season of more matches than a page holds is more than one document, and no match is lost."""
+    from pyspark.sql import functions as F
+
+    from touchline.sources import encode as enc
+
+    d, n = str(tmp_path), 3 << enc.PAGE_BITS
+    spark.createDataFrame([(0, "R")], "r_regionkey int, r_name string").write.parquet(f"{d}/region.parquet")
+    spark.createDataFrame([(1, "N", 0)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{d}/nation.parquet")
+    spark.createDataFrame([(1, "C", 1)], "c_custkey long, c_name string, c_nationkey int").write.parquet(f"{d}/customer.parquet")
+    spark.range(n).select(F.col("id").alias("o_orderkey"), F.lit(1).cast("long").alias("o_custkey"), F.lit("F").alias("o_orderstatus"), F.lit(10.0).alias("o_totalprice"), F.lit("1995-01-01").cast("timestamp").alias("o_orderdate"), F.lit("1-URGENT").alias("o_orderpriority")).write.parquet(f"{d}/orders.parquet")
+    held = [r.n for r in enc.enc_events(spark, d).select(F.size(F.split("payload", '"startTimestamp"')).alias("n")).collect()]
+    assert max(held) - 1 <= 1 << enc.PAGE_BITS and sum(held) - len(held) == n

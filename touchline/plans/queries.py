@@ -142,7 +142,7 @@ def src_table_scan(spark, sf):
 def src_id_list(spark, sf):
     path = scratch(spark)
     ids = table(spark, sf, "orders").where("o_orderkey % 10 = 0").select(F.col("o_orderkey").alias("i"))
-    ids.withColumn("part", F.pmod(F.xxhash64("i"), F.lit(16))).groupBy("part").agg(F.collect_list("i").alias("match_ids")).select("match_ids").write.option("maxRecordsPerFile", 1).json(path)  # one document a file
+    ids.withColumn("page", F.shiftright("i", enc.PAGE_BITS)).groupBy("page").agg(F.collect_list("i").alias("match_ids")).select("match_ids").write.option("maxRecordsPerFile", 1).json(path)  # one document a file
     return landing.id_list(spark, path, []).union(landing.id_list(spark, path + "-absent", [-1]))
 
 
@@ -153,7 +153,8 @@ def _checked(name, made, contract, ids, bad="NULL", landing_name=None):
     def run(spark, sf):
         rows = enc.enc_landing(spark, sf, made(spark, sf), landing_name or name)
         rows = clean_odds(rows) if contract == "odds" else validate_payload(rows, CONTRACTS[contract])
-        return rows.select("entity_id", "is_valid", F.coalesce("reason", F.lit("ok")).alias("reason"))
+        rows = rows.select("entity_id", "is_valid", F.coalesce("reason", F.lit("ok")).alias("reason"))
+        return rows.distinct() if made is enc.enc_events else rows  # a season's calendar has pages
 
     run.__name__ = f"val_{name}"
     ctes = (M,) if " m" in ids else ()

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: A document of a list holds the ids of a range of 2 to the power of this, whatever the input's size.
+PAGE_BITS = 14
 #: A total order of an order's line items.
 LINE_ORDER = ("l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate")
 
@@ -86,9 +88,10 @@ def event(base: bool) -> Column:
 
 
 def enc_events(spark: SparkSession, sf: str) -> DataFrame:
-    """A calendar a season: entity_id is the season."""
-    one = matches(spark, sf).select(season_id(F.col("n_nationkey"), F.col("year")).alias("entity_id"), "o_orderkey", event(False).alias("event"))
-    return one.groupBy("entity_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", F.to_json("event").alias("event")))), lambda x: x["event"]).alias("events")).select("entity_id", F.concat(F.lit('{"events":['), F.array_join("events", ","), F.lit("]}")).alias("payload"))
+    """Calendars of a season, in pages of at most 2 to the power of PAGE_BITS
+    matches (by match id): entity_id is the season."""
+    one = matches(spark, sf).select(season_id(F.col("n_nationkey"), F.col("year")).alias("entity_id"), F.shiftright("o_orderkey", PAGE_BITS).alias("page"), "o_orderkey", event(False).alias("event"))
+    return one.groupBy("entity_id", "page").agg(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", F.to_json("event").alias("event")))), lambda x: x["event"]).alias("events")).select("entity_id", F.concat(F.lit('{"events":['), F.array_join("events", ","), F.lit("]}")).alias("payload"))
 
 
 def enc_base(spark: SparkSession, sf: str) -> DataFrame:
