@@ -157,6 +157,13 @@ def test_containment(spark, docs, nothing):
     assert decontam.contained(docs, items).count() == 0
 
 
+def test_containment_of_items_with_many_texts(spark):
+    question, answer = (" ".join(f"{c}{k}" for k in range(14)) for c in "qa")
+    docs = spark.createDataFrame([(1, f"x {question} y"), (2, f"x {answer} y")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, question), (7, answer), (7, answer)], "item_id long, text string")
+    assert sorted(tuple(x) for x in decontam.contained(docs, items).collect()) == [(1, 7, 10, 10, 1.0), (2, 7, 10, 10, 1.0)]
+
+
 def test_quality_classifier(spark, docs, nothing):
     r = np.random.default_rng(5)
     words = [f"{a}{b}{c}" for a in "the of and to in".split() for b in "ra me lo".split() for c in "sing ted ly".split()]

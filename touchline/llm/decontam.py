@@ -56,20 +56,23 @@ def contained(docs: DataFrame, items: DataFrame, k: int = WORDS, containment: fl
     k words are one shingle, which only the same words match.  Texts that are
     null or without words match nothing.  Rows of one doc_id count as one
     document (the best row's share counts), rows without an id are left out.
+    Texts of one item_id are searched each on its own; the best share is reported.
     """
     own = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text")).where("doc_id is not null")
     base = items.select(items[item_id_col].cast("long").alias("item_id"), words_of(text_of(item_text_col)).alias("words")).where("item_id is not null")
-    base = base.groupBy("item_id").agg(F.max("words").alias("words"))
+    # every distinct text of an item is a query of its own, numbered once; the item's id comes back at the end
+    named = stash(base.distinct().select(F.col("item_id").alias("item"), F.monotonically_increasing_id().alias("item_id"), "words"))
+    base = named.select("item_id", "words")
     sketch = stash(sketches(base, k, containment))
     small = sketch.count() <= BROADCAST_ROWS
     side = F.broadcast(sketch) if small else sketch
     hashed = own.select("doc_id", words_of(F.col("text")).alias("words")).select("doc_id", F.explode(shingle_hashes(k)).alias("hash"))
     pairs = stash(hashed.join(side, "hash").select("doc_id", "item_id").distinct())
-    full = base.select("item_id", shingles(k).alias("item_shingles"))
+    full = named.select("item_id", "item", shingles(k).alias("item_shingles"))
     per_doc = pairs.groupBy("doc_id").agg(F.collect_list("item_id").alias("item_ids"))
     few = pairs.count() <= BROADCAST_ROWS
     texts = own.join(F.broadcast(per_doc) if few else per_doc, "doc_id").select("doc_id", "item_ids", words_of(F.col("text")).alias("words")).select("doc_id", "item_ids", shingles(k).alias("doc_shingles"))
     both = texts.select("doc_id", "doc_shingles", F.explode("item_ids").alias("item_id")).join(F.broadcast(full) if small else full, "item_id")
-    shared = both.select("doc_id", "item_id", F.size(F.array_intersect("doc_shingles", "item_shingles")).cast("long").alias("n_shared"), F.size("item_shingles").cast("long").alias("n_shingles"))
-    best = shared.where(F.col("n_shared") >= F.lit(containment) * F.col("n_shingles") - 1e-9).groupBy("doc_id", "item_id").agg(F.max("n_shared").alias("n_shared"), F.max("n_shingles").alias("n_shingles"))
-    return best.withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
+    shared = both.select("doc_id", F.col("item").alias("item_id"), F.size(F.array_intersect("doc_shingles", "item_shingles")).cast("long").alias("n_shared"), F.size("item_shingles").cast("long").alias("n_shingles"))
+    best = shared.where(F.col("n_shared") >= F.lit(containment) * F.col("n_shingles") - 1e-9).withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
+    return best.groupBy("doc_id", "item_id").agg(F.max(F.struct("containment", "n_shared", "n_shingles")).alias("best")).select("doc_id", "item_id", "best.n_shared", "best.n_shingles", "best.containment")
