@@ -10,13 +10,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bloom import LARGEST, Growing, by_segment, filter_of, split_by_ids
 from .common import stash, text_of
 
 STRIP = " \t\n\x0b\x0c\r"
-#: Each filter has 2 to the power of BITS bits (16 MB) and HASHES probes a line.
-#: A larger corpus fills them up: then more lines are suspected and confirmed, none is missed.
-BITS, HASHES, SEGMENT = 27, 3, 1 << 14
 MIN_CHARS = 10
+#: Hashes of one task that are made distinct together before they are sent on.
+FLUSH = 1 << 21
+#: Confirmed lines (24 bytes each) that are broadcast, those in most documents; the others are joined.
+BROADCAST_LINES = 400_000
 
 
 def long_keys(text: str, least: int = MIN_CHARS) -> list[str | None]:
@@ -25,129 +27,167 @@ def long_keys(text: str, least: int = MIN_CHARS) -> list[str | None]:
     return [k if len(k) >= least else None for k in (x.strip(STRIP) for x in lines)]
 
 
-def probes(keys: list[str]) -> np.ndarray:
-    """HASHES bit positions of each key, from two halves of a 64-bit hash."""
-    h = np.fromiter((xxhash.xxh3_64_intdigest(k) for k in keys), np.uint64, len(keys))
-    a, b = h & np.uint64(0xFFFFFFFF), (h >> np.uint64(32)) | np.uint64(1)
-    return ((a[:, None] + np.arange(HASHES, dtype=np.uint64) * b[:, None]) & np.uint64((1 << BITS) - 1)).astype(np.int64)
+def hashes(keys: list[str]) -> np.ndarray:
+    """128-bit hashes of keys, as rows of two numbers.  Lines are told apart by
+    them: among 10^12 different lines two share one with probability 10^-15."""
+    return np.array(np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, keys)) or b"", ">u8"), np.uint64).reshape(-1, 2)
 
 
-def _set(bits: np.ndarray, where: np.ndarray) -> None:
-    np.bitwise_or.at(bits, where >> 3, (1 << (where & 7)).astype(np.uint8))
+def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of one task's lines by segment, each once, and which of them were in several documents."""
 
+    def sent(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        found, n = np.unique(np.concatenate(parts), return_counts=True)
+        again = dict(by_segment(found[n > 1]))
+        rows = [(k, h.tobytes(), again.get(k, h[:0]).tobytes()) for k, h in by_segment(found)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["segment", "once", "twice"])
 
-def _has(bits: np.ndarray, where: np.ndarray) -> np.ndarray:
-    return (bits[where >> 3] >> (where & 7).astype(np.uint8) & 1).astype(bool)
-
-
-def _local_filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Both filters of one task's documents, as the segments that have bits."""
-    once, twice = np.zeros(1 << BITS - 3, np.uint8), np.zeros(1 << BITS - 3, np.uint8)
+    parts, held = [], 0
     for batch in batches:
         keys = [k for x in batch.column(0) for k in {*long_keys(x.as_py())} if k is not None]
-        if not keys:
-            continue
-        where = probes(keys)
-        # a key of this batch was seen before if all its bits are set, or if it comes twice within the batch
-        _, first, n = np.unique(where[:, 0] << 32 | where[:, -1], return_index=True, return_counts=True)
-        again = np.zeros(len(keys), bool)
-        again[first[n > 1]] = True
-        _set(twice, where[_has(once, where).all(1) | again].ravel())
-        _set(once, where.ravel())
-    yield from _segments(dict(enumerate(zip(once.reshape(-1, SEGMENT), twice.reshape(-1, SEGMENT), strict=True))))
-
-
-def _segments(found: dict) -> Iterator[pa.RecordBatch]:
-    rows = [(k, o, t) for k, (o, t) in found.items() if o.any()]
-    for i in range(0, len(rows), 256):
-        part = rows[i : i + 256]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in part], pa.int32()), *(pa.array([r[c].tobytes() for r in part], pa.binary()) for c in (1, 2))], names=["segment", "once", "twice"]
-        )
-
-
-def _merge_filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Merges the segments of many tasks, one at a time: what two tasks have
-    both seen once has been seen twice."""
-    held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        if keys:
+            parts.append(hashes(keys)[:, 0])
+            held += len(keys)
+        if held >= FLUSH:
+            yield from sent(parts)
+            parts, held = [], 0
+    if parts:
+        yield from sent(parts)
+
+
+def _twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes that tasks have seen twice or that a filter of those seen once
+    holds already when another task brings them."""
+    once: dict[int, Growing] = {}
+    twice: dict[int, list[np.ndarray]] = {}
     for batch in batches:
-        for k, once, twice in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            o, t = np.frombuffer(once, np.uint8), np.frombuffer(twice, np.uint8)
-            if k in held:
-                held_o, held_t = held[k]
-                held_t |= t | (held_o & o)
-                held_o |= o
-            else:
-                held[k] = (o.copy(), t.copy())
-    yield from _segments(held)
-
-
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """key, doc_id of every long line of ``docs`` held by a document other than
-    the smallest one that holds it, where at least two do.
-
-    Two Bloom filters (lines seen once, lines seen twice) are filled where the
-    documents are, merged segment by segment, and the second one (16 MB at any
-    input size) is broadcast.  Only lines it suspects are shuffled, as distinct
-    (key, doc_id); a count by key confirms them exactly.  A hot key is counted
-    map-side first, and the join back splits its rows over tasks.
+        for k, new, again in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            seen, h = once.setdefault(k, Growing()), np.frombuffer(new, np.uint64)
+            hit = seen.has(h)
+            seen.add(h[~hit])
+            twice.setdefault(k, []).extend((h[hit], np.frombuffer(again, np.uint64)))
+    for k, parts in twice.items():
+        h = np.unique(np.concatenate(parts))
+        if len(h):
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([h.tobytes()], pa.binary()), pa.array([len(h)], pa.int64())], names=["segment", "hashes", "n"])
+
+
+def repeated_lines(narrow: DataFrame, largest: int = LARGEST) -> tuple[DataFrame, DataFrame]:
+    """Of ``narrow`` (doc_id, text): suspected lines (k1, k2, doc_id), and the
+    lines that several documents hold (k1, k2, keeper: the smallest of them, n).
+
+    The filter of lines seen once lies in partitions, a segment of the hashes
+    each, and grows with what it gets: 8 bytes a distinct line of a task are
+    shuffled for it.  The filter of lines seen twice is sized by its content,
+    up to 2^30 bits, and broadcast.  Lines it suspects are shuffled as 24 bytes
+    and confirmed by an aggregate, which starts map-side, so a hot line costs a
+    row a task.  Beyond 67 million repeated lines it suspects ever more lines
+    that aren't: at worst all are confirmed, none is missed.
     """
-    spark = docs.sparkSession
-    narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    local = narrow.select("text").mapInArrow(_local_filters, "segment int, once binary, twice binary")
+    spark = narrow.sparkSession
+    local = narrow.select("text").mapInArrow(_local, "segment int, once binary, twice binary")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    merged = local.repartition(n, "segment").mapInArrow(_merge_filters, "segment int, once binary, twice binary")
-    twice = np.zeros((1 << BITS - 3) // SEGMENT * SEGMENT, np.uint8).reshape(-1, SEGMENT)
-    for row in merged.select("segment", "twice").toLocalIterator():
-        twice[row["segment"]] = np.frombuffer(row["twice"], np.uint8)
-    shared = spark.sparkContext.broadcast(twice.ravel())
+    twice = stash(local.repartition(n, "segment").mapInArrow(_twice, "segment int, hashes binary, n long"))
+    shared = spark.sparkContext.broadcast(filter_of(twice, twice.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], largest))
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
         for batch in batches:
             ids, keys = [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 own = [k for k in {*long_keys(text.as_py())} if k is not None]
                 ids += [doc_id] * len(own)
                 keys += own
-            hit = np.flatnonzero(_has(bits, probes(keys)).all(1)) if keys else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array([keys[i] for i in hit], pa.string()), pa.array([ids[i] for i in hit], pa.int64())], names=["key", "doc_id"])
+            h = hashes(keys)
+            hit = shared.value.has(h[:, 0])
+            h = h[hit].view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(np.array(ids, np.int64)[hit])], names=["k1", "k2", "doc_id"])
+
+    found = stash(narrow.where("doc_id is not null").mapInArrow(suspects, "k1 long, k2 long, doc_id long"))
+    keepers = found.groupBy("k1", "k2").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
+    return found, stash(keepers.where("last > keeper").drop("last"))
+
 
-    found = stash(narrow.where(F.col("doc_id").isNotNull()).mapInArrow(suspects, "key string, doc_id long"))
-    # written, so that the join has a plain shuffle on either side and Spark can split a hot key's rows over tasks
-    keepers = stash(found.groupBy("key").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last")).where("last > keeper").select("key", "keeper"))
-    return found.join(keepers, "key").where("doc_id > keeper").select("key", "doc_id")
+class Keepers:
+    """The broadcast lines: which document keeps each."""
 
+    def __init__(self, table: pa.Table):
+        k1 = table["k1"].to_numpy()
+        order = np.argsort(k1, kind="stable")
+        self.k1, self.k2, self.keeper = (table[c].to_numpy()[order] for c in ("k1", "k2", "keeper"))
+        self.runs = int(np.unique(k1, return_counts=True)[1].max(initial=0))  # lines that share their first number: 1 in practice
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    def others(self, h: np.ndarray, doc_id: int) -> np.ndarray:
+        """Which of the hashes belong to a smaller document."""
+        h = h.view(np.int64)
+        out, at = np.zeros(len(h), bool), np.searchsorted(self.k1, h[:, 0])
+        for step in range(self.runs):
+            i = np.minimum(at + step, len(self.k1) - 1)
+            out |= (self.k1[i] == h[:, 0]) & (self.k2[i] == h[:, 1]) & (self.keeper[i] < doc_id)
+        return out
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, broadcast_lines: int = BROADCAST_LINES, largest: int = LARGEST) -> DataFrame:
     """doc_id, n_lines, n_dropped, text of every row of ``docs``, the text
     without lines that a smaller document holds too; other lines as they were.
-    The columns named in ``keep`` come along.
+    The columns named in ``keep`` come along after these four, as they were,
+    whatever their names are.
+
+    No text is shuffled that loses no line, nor one that loses only lines that
+    very many documents hold: the lines in most documents (``broadcast_lines``
+    at most, chosen by a power of two of their count) are broadcast.  The
+    others are joined to the documents that lose them, found by a filter.
 
     Null or empty texts have one empty line.  Rows that share a doc_id count as
     one document (each loses the same lines); rows without one are left alone.
     An empty table gives an empty result; columns not kept are ignored.
     """
-    keep = keep or []
-    drops = repeated_lines(docs, id_col, text_col).groupBy("doc_id").agg(F.collect_set("key").alias("drops"))
+    along = {f"along_{i}": c for i, c in enumerate(keep or [])}
+    narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"), *(docs[c].alias(a) for a, c in along.items()))
+    found, keepers = repeated_lines(narrow.select("doc_id", "text"), largest)
+    level = F.floor(F.log2("n")).cast("int")
+    sizes = sorted(((r["level"], r["n"]) for r in keepers.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect()), reverse=True)
+    hot, least, cold = 0, 64, 0
+    for k, n in sizes:
+        if cold or hot + n > broadcast_lines:
+            cold += n
+        else:
+            hot, least = hot + n, k
+    table = Keepers(keepers.where(level >= least).select("k1", "k2", "keeper").toArrow())
+    shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[], [], []]
-            for text, gone in zip(batch.column(1), batch.column(2), strict=True):
+            for doc_id, text, gone in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 text = text.as_py()
-                if gone.as_py():
-                    gone, lines = set(gone.as_py()), text.split("\n")
-                    kept = [x for x, k in zip(lines, long_keys(text), strict=True) if k is None or k not in gone]
-                    row = (len(lines), len(lines) - len(kept), "\n".join(kept))
-                else:
-                    row = (text.count("\n") + 1, 0, text)
-                for column, value in zip(out, row, strict=True):
+                lines = text.split("\n")
+                own = [(i, k) for i, k in enumerate(long_keys(text)) if k is not None] if doc_id is not None else []
+                if own:
+                    h = hashes([k for _, k in own])
+                    drop = shared.value.others(h, doc_id)
+                    if gone:
+                        cold_keys = {(g["k1"], g["k2"]) for g in gone}
+                        drop |= np.fromiter((tuple(x) in cold_keys for x in h.view(np.int64).tolist()), bool, len(h))
+                    if drop.any():
+                        lost = {own[i][0] for i in np.flatnonzero(drop).tolist()}
+                        lines = [x for i, x in enumerate(lines) if i not in lost]
+                n_lines = text.count("\n") + 1
+                for column, value in zip(out, (n_lines, n_lines - len(lines), "\n".join(lines)), strict=True):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string()), *batch.columns[3:]], names=["doc_id", "n_lines", "n_dropped", "text", *batch.schema.names[3:]])
 
-    along = {f"along_{i}": c for i, c in enumerate(keep)}
-    narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"), *(F.col(c).alias(a) for a, c in along.items()))
-    joined = narrow.join(drops, "doc_id", "left").select("doc_id", "text", "drops", *along)
     kinds = "".join(f", {a} {docs.schema[c].dataType.simpleString()}" for a, c in along.items())
-    return joined.mapInArrow(cut, "doc_id long, n_lines long, n_dropped long, text string" + kinds).withColumnsRenamed(along)
+    kind = "array<struct<k1:long,k2:long>>"
+    none = narrow
+    some = None
+    if cold:
+        drops = found.join(keepers.where(level < least), ["k1", "k2"]).where("doc_id > keeper").select("doc_id", "k1", "k2")
+        drops = stash(drops.groupBy("doc_id").agg(F.collect_set(F.struct("k1", "k2")).alias("drops")))
+        ids = drops.select(F.col("doc_id").alias("id"))
+        maybe, none = split_by_ids(narrow, ids, ids.count())
+        some = maybe.join(drops, "doc_id", "left")
+    rows = none.withColumn("drops", F.lit(None).cast(kind))
+    order = ["doc_id", "text", "drops", *along]
+    rows = rows.select(*order) if some is None else rows.select(*order).union(some.select(*order))
+    out = rows.mapInArrow(cut, "doc_id long, n_lines long, n_dropped long, text string" + kinds)
+    return out.toDF("doc_id", "n_lines", "n_dropped", "text", *along.values())
