@@ -14,10 +14,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, worker_cache
+from .common import stash, text_of, worker_cache
 
 #: Pieces that one packing group holds on average, whatever the input's size.
 GROUP_PIECES = 2048
+PIECE = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
 MEMO_CHARS, MEMO_WORDS = 48, 600_000
 #: Texts of these characters alone are cut into words here; others go to the library whole.
 PLAIN = re.compile("[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
@@ -143,43 +144,47 @@ def best_fit_decreasing(lengths: np.ndarray, window: int) -> tuple[np.ndarray, n
     return where, offset
 
 
-def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = 4096, group_pieces: int = GROUP_PIECES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces of documents and their places in sequences of ``window`` tokens.
 
     A document is its ids and ``end_id``.  Overlong documents are first cut
-    into full windows; what is left of each is packed by best-fit decreasing.
-    Tokenising is a narrow pass; only piece descriptions (a few numbers each)
-    are shuffled, into groups of about GROUP_PIECES by a hash, so no task sees
-    more than a bounded number of pieces and the padding of each group's last
-    windows stays a small share.  A sequence lies within one group.
-
-    Null texts count as empty (one piece, the end id).  Repeated rows are
-    packed one by one; an empty table gives an empty result.
+    into full windows, each a sequence of its own (odd sequence_id); what is
+    left of each is packed by best-fit decreasing (even sequence_id).
+    Tokenising is a narrow pass whose small result, a few numbers a piece, is
+    written once.  A piece's row in those files deals it to a group, so groups
+    hold about ``group_pieces`` pieces whatever ids and texts repeat, and a rerun
+    after a lost executor deals it again as before.  Only pieces under a full
+    window are shuffled; each group's last windows alone lose padding.
+
+    Null texts count as empty (one piece, the end id).  Rows without doc_id and
+    repeated rows are packed one by one; texts of any length are cut whole; an
+    empty table gives an empty result; other columns are ignored.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder_for(tokenizer_path), np.asarray([end_id], "<u4").tobytes()
-        row = 0
         for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = encode(text.as_py()) + end
                 total = len(ids) // 4
                 for start in range(0, total, window):
                     length = min(window, total - start)
                     crc = zlib.crc32(memoryview(ids)[4 * start : 4 * (start + length)])
-                    for column, value in zip(out, (doc_id, start, length, crc, total, row), strict=True):
+                    for column, value in zip(out, (doc_id, start, length, crc, total), strict=True):
                         column.append(value)
-                row += 1
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "row"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=[*PIECE])
 
     def place(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["doc_id", "start", "ids_crc32", "row"], kind="stable")
         where, offset = best_fit_decreasing(group["length"].to_numpy(), window)
-        return group[["doc_id", "start", "length", "ids_crc32", "doc_tokens"]].assign(sequence_id=(group["pack_group"].to_numpy() << 32) + where, offset=offset)
+        return group[[*PIECE]].assign(sequence_id=2 * ((group["pack_group"].to_numpy() << 32) + where), offset=offset)
 
-    groups = max(1, -(-docs.count() // GROUP_PIECES))
+    kinds = ", ".join(f"{c} long" for c in PIECE)
     narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    pieces = narrow.mapInArrow(cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, row long")
-    pieces = pieces.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "row", "start"), F.lit(groups)))
-    return pieces.groupBy("pack_group").applyInPandas(place, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    pieces = stash(narrow.mapInArrow(cut, kinds)).withColumn("row", F.monotonically_increasing_id())
+    full, part = pieces.where(F.col("length") == window), pieces.where(F.col("length") < window)
+    groups = max(1, -(-part.count() // group_pieces))
+    part = part.withColumn("pack_group", F.pmod(F.xxhash64("row"), F.lit(groups)))
+    placed = part.groupBy("pack_group").applyInPandas(place, kinds + ", sequence_id long, offset long")
+    return placed.union(full.select(*PIECE, (2 * F.col("row") + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset")))
