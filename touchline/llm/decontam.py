@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from .common import stash, text_of
 
 WORDS, CONTAINMENT = 5, 0.8
-#: Sketch entries (hash, item), and candidate pairs, up to which they are broadcast: 16 bytes each and overhead, about 30 MB.
-BROADCAST_ROWS = 400_000
+#: Sketch hashes and ids (a long each), candidate pairs (two), and words of all items, up to which they are broadcast: 100 MB at most with overhead.
+BROADCAST_LONGS, BROADCAST_PAIRS, BROADCAST_WORDS = 2_000_000, 400_000, 1_000_000
 
 
 def words_of(text: Column) -> Column:
@@ -43,36 +43,65 @@ def sketches(items: DataFrame, k: int, containment: float) -> DataFrame:
     return hashes.select("item_id", F.explode(F.slice("h", 1, length)).alias("hash"))
 
 
-def contained(docs: DataFrame, items: DataFrame, k: int = WORDS, containment: float = CONTAINMENT, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def contained(docs: DataFrame, items: DataFrame, k: int = WORDS, containment: float = CONTAINMENT, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", most_hashes: int = BROADCAST_LONGS, most_pairs: int = BROADCAST_PAIRS, most_words: int = BROADCAST_WORDS) -> DataFrame:
     """doc_id, item_id, n_shared, n_shingles, containment of every pair in which
     the document holds at least that share of the item's distinct shingles.
 
     The items are the queries.  Documents are never compared with each other or
-    with all items: their shingle hashes meet the items' sketches in one join
-    (broadcast while the sketches are small, else shuffled on the hash), the
-    candidates are made distinct map-side, and each is verified exactly on the
-    shingles: they are broadcast to the documents while they are few, so no text
-    is shuffled, and join them by doc_id beyond.  Words are lower-cased and split at ASCII white space; fewer than
-    k words are one shingle, which only the same words match.  Texts that are
-    null or without words match nothing.  Rows of one doc_id count as one
-    document (the best row's share counts), rows without an id are left out.
-    Texts of one item_id are searched each on its own; the best share is reported.
+    with all items: the hashes of their shingles are looked up among those of
+    the items' sketches, which alone are broadcast (up to ``most_hashes``,
+    shuffled beyond), and what is found, rarely more than a few rows a document,
+    meets the sketches' items.  Each candidate is verified exactly on the
+    shingles: the candidates are broadcast to the documents while they are at
+    most ``most_pairs``, so no text is shuffled, and join them by doc_id beyond;
+    so are the items while they have ``most_words`` words.
+
+    Words are lower-cased and split at ASCII white space; fewer than k words are
+    one shingle, which only the same words match.  Texts that are null or
+    without words match nothing; texts of any length are searched whole.  Rows
+    of one doc_id are one document, which holds the shingles of all of them;
+    rows without an id are left out.  Each distinct text of an item_id is
+    searched on its own, and the best share is reported.  Empty tables on either
+    side give an empty result; other columns are ignored.
     """
     own = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text")).where("doc_id is not null")
     base = items.select(items[item_id_col].cast("long").alias("item_id"), words_of(text_of(item_text_col)).alias("words")).where("item_id is not null")
     # every distinct text of an item is a query of its own, numbered once; the item's id comes back at the end
     named = stash(base.distinct().select(F.col("item_id").alias("item"), F.monotonically_increasing_id().alias("item_id"), "words"))
-    base = named.select("item_id", "words")
-    sketch = stash(sketches(base, k, containment))
-    small = sketch.count() <= BROADCAST_ROWS
-    side = F.broadcast(sketch) if small else sketch
+    sketch = stash(sketches(named.select("item_id", "words"), k, containment))
+    known = stash(sketch.select("hash").distinct())
+    known = F.broadcast(known) if known.count() <= most_hashes else known
     hashed = own.select("doc_id", words_of(F.col("text")).alias("words")).select("doc_id", F.explode(shingle_hashes(k)).alias("hash"))
-    pairs = stash(hashed.join(side, "hash").select("doc_id", "item_id").distinct())
+    hits = stash(hashed.join(known, "hash", "left_semi").distinct())
+    pairs = stash(hits.join(sketch, "hash").select("doc_id", "item_id").distinct())
     full = named.select("item_id", "item", shingles(k).alias("item_shingles"))
     per_doc = pairs.groupBy("doc_id").agg(F.collect_list("item_id").alias("item_ids"))
-    few = pairs.count() <= BROADCAST_ROWS
+    few = pairs.count() <= most_pairs
+    short = (named.agg(F.sum(F.size("words"))).first()[0] or 0) <= most_words
     texts = own.join(F.broadcast(per_doc) if few else per_doc, "doc_id").select("doc_id", "item_ids", words_of(F.col("text")).alias("words")).select("doc_id", "item_ids", shingles(k).alias("doc_shingles"))
-    both = texts.select("doc_id", "doc_shingles", F.explode("item_ids").alias("item_id")).join(F.broadcast(full) if small else full, "item_id")
-    shared = both.select("doc_id", F.col("item").alias("item_id"), F.size(F.array_intersect("doc_shingles", "item_shingles")).cast("long").alias("n_shared"), F.size("item_shingles").cast("long").alias("n_shingles"))
+    both = texts.select("doc_id", "doc_shingles", F.explode("item_ids").alias("item_id")).join(F.broadcast(full) if short else full, "item_id")
+    shared = both.select("doc_id", "item", "item_id", F.size("item_shingles").cast("long").alias("n_shingles"), F.explode(F.array_intersect("doc_shingles", "item_shingles")).alias("shingle")).distinct()
+    shared = shared.groupBy("doc_id", "item", "item_id", "n_shingles").agg(F.count("*").alias("n_shared"))
     best = shared.where(F.col("n_shared") >= F.lit(containment) * F.col("n_shingles") - 1e-9).withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
-    return best.groupBy("doc_id", "item_id").agg(F.max(F.struct("containment", "n_shared", "n_shingles")).alias("best")).select("doc_id", "item_id", "best.n_shared", "best.n_shingles", "best.containment")
+    best = best.groupBy("doc_id", F.col("item").alias("item_id")).agg(F.max(F.struct("containment", "n_shared", "n_shingles")).alias("best"))
+    return best.select("doc_id", "item_id", "best.n_shared", "best.n_shingles", "best.containment")
+
+
+def clean(docs: DataFrame, items: DataFrame, k: int = WORDS, containment: float = CONTAINMENT, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` without those that contain an item, with their columns
+    as they are.  Rows without an id are searched one by one, and items without
+    one too."""
+    inner = [f"in_{i}" for i in range(len(docs.columns))]
+    own, doc_id, text = docs.toDF(*inner), inner[docs.columns.index(id_col)], inner[docs.columns.index(text_col)]
+    queries = items.select(F.coalesce(items[item_id_col].cast("long"), F.lit(-1)).alias("item_id"), items[item_text_col].alias("text"))
+
+    def free(part: DataFrame, key: str) -> DataFrame:
+        found = stash(contained(part.select(key, text), queries, k, containment, id_col=key, text_col=text).select(F.col("doc_id").alias("id")).distinct())
+        return part.join(F.broadcast(found) if found.count() <= BROADCAST_LONGS else found, part[key] == found["id"], "left_anti")
+
+    out = free(own.where(F.col(doc_id).isNotNull()), doc_id)
+    nameless = own.where(F.col(doc_id).isNull())
+    if not nameless.isEmpty():
+        numbered = stash(nameless).withColumn("row", F.monotonically_increasing_id())
+        out = out.union(free(numbered, "row").select(*inner))
+    return out.toDF(*docs.columns)
