@@ -1,6 +1,7 @@
 from itertools import combinations
 
 import numpy as np
+import pytest
 import xxhash
 
 from touchline.llm import classifier, decontam, simhash
@@ -164,6 +165,37 @@ def test_containment_of_items_with_many_texts(spark):
     assert sorted(tuple(x) for x in decontam.contained(docs, items).collect()) == [(1, 7, 10, 10, 1.0), (2, 7, 10, 10, 1.0)]
 
 
+@pytest.mark.parametrize("limits", [{}, {"most_hashes": 0}, {"most_pairs": 0}, {"most_words": 0}, {"most_hashes": 0, "most_pairs": 0, "most_words": 0}])
+def test_containment_beyond_its_broadcasts(spark, limits):
+    r = np.random.default_rng(15)
+    texts = [(g, " ".join(f"t{x}" for x in r.integers(0, 10**6, 12 + g))) for g in range(30)]
+    rows = [(i, " ".join(["pre", *texts[i % 30][1].split()[i % 4 :], "post"])) for i in range(90)]
+    rows += [(500, " ".join(texts[3][1].split()[:10])), (500, " ".join(texts[3][1].split()[6:]))]  # two halves of an item in two rows
+    sets = {}
+    for i, t in rows:
+        w = t.split()
+        sets.setdefault(i, set()).update(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+    want = []
+    for g, t in texts:
+        w = t.split()
+        own = {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+        want += [(i, g, len(own & s), len(own), len(own & s) / len(own)) for i, s in sets.items() if len(own & s) >= 0.8 * len(own)]
+    frame = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, item_id long, hash string").repartition(5)
+    items = spark.createDataFrame([(g, t, 2) for g, t in texts], "item_id long, text string, doc_id long")
+    assert sorted(tuple(x) for x in decontam.contained(frame, items, **limits).collect()) == sorted(want)
+    assert any(x[0] == 500 for x in want)
+
+
+def test_clean_rows(spark):
+    item = " ".join(f"i{k}" for k in range(24))
+    rows = [(1, f"a {item} b", 0), (1, "other row of it", 0), (2, "clean text", 0), (None, f"x {item} y", 0), (None, "clean without id", 0), (None, None, 0), (3, None, 0), (2, "clean text", 0)]
+    frame = spark.createDataFrame(rows, "doc_id int, text string, id long").repartition(3)
+    items = spark.createDataFrame([(None, item), (4, None)], "item_id long, text string")
+    got = decontam.clean(frame, items)
+    assert got.schema == frame.schema
+    assert sorted((str(x.doc_id), str(x.text)) for x in got.collect()) == [("2", "clean text"), ("2", "clean text"), ("3", "None"), ("None", "None"), ("None", "clean without id")]
+
+
 def test_quality_classifier(spark, docs, nothing):
     r = np.random.default_rng(5)
     words = [f"{a}{b}{c}" for a in "the of and to in".split() for b in "ra me lo".split() for c in "sing ted ly".split()]
@@ -185,3 +217,28 @@ def test_quality_classifier(spark, docs, nothing):
     assert sum(p == y for p, y in held) >= 0.97 * len(held) > 20
     assert classifier.classify(nothing, labels).count() == 0
     assert {x.score for x in classifier.classify(docs, labels.limit(0)).collect()} == {0.5}
+
+
+def test_votes_by_brute_force():
+    r = np.random.default_rng(16)
+    unit = lambda n: (lambda v: (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32))(r.normal(size=(n, 8)))
+    model = {"vectors": unit(90), "good": (r.random(90) < 0.6).astype(float), "weight": r.random(90) + 0.5, "prior": 0.6}
+    asked = unit(40)
+    asked[7] = 0
+    got = classifier.vote(model, asked)
+    for v, score in zip(asked, got):
+        near = sorted(((float(v @ m), w, g) for m, w, g in zip(model["vectors"], model["weight"], model["good"])), reverse=True)[: classifier.NEIGHBOURS]
+        up, all_ = (sum(np.exp(classifier.SHARPNESS * c) * w * y for c, w, y in ((c, w, g if k else 1) for c, w, g in near)) for k in (1, 0))
+        assert abs(score - (up / all_ if v.any() else 0.6)) < 1e-5
+
+
+def test_classifier_of_clashing_labels_and_columns(spark):
+    rows = [(i, f"good plain words number {i} here" if i % 2 else f"BAD !! {i} ##", 0.5, 1, True) for i in range(60)] + [(2, "BAD !! again ##", 0.5, 1, True), (None, "BAD !! none ##", 0.5, 1, True)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, score double, predicted int, held_out boolean").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(4, 1), (4, 0), (4, None)], "doc_id long, quality int")
+    got = classifier.classify(frame, labels)
+    assert got.columns == ["doc_id", "held_out", "score", "predicted"] and got.count() == 62
+    again = classifier.classify(frame.repartition(7), labels)
+    assert sorted((x.doc_id or -1, round(x.score, 5)) for x in got.collect()) == sorted((x.doc_id or -1, round(x.score, 5)) for x in again.collect())
+    kept = classifier.accepted(frame, labels)
+    assert kept.schema == frame.schema and {x.text for x in kept.collect()} - {"BAD !! 4 ##"} == {t for _, t, *_ in rows if t.startswith("good")}  # 4 is labelled 1

@@ -36,3 +36,34 @@ def test_pipeline_stages(spark, tmp_path):
     assert good <= set(seen["near_dups"])
     assert 1001 not in seen["decontaminate"] and good <= set(seen["decontaminate"])
     assert sorted((x.doc_id, x.start, x.ids_crc32) for x in corpus_pipeline.run(spark, d).collect()) == sorted((x.doc_id, x.start, x.ids_crc32) for x in docs.collect())
+
+
+def test_stages_on_odd_tables(spark, tmp_path):
+    """Empty tables, repeated rows, null ids and texts, and columns named as the operators name theirs."""
+    d = str(tmp_path)
+    item = " ".join(f"item{k}" for k in range(20))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    kinds = "doc_id int, text string, n_lines long, n_dropped string, id double, row int, component_id long, score double, tags array<string>"
+    rest = (1, "d", 0.5, 3, 4, 0.1, ["a", "b"])
+    long = "\n".join(f"line {k} of a very long text" for k in range(3000))
+    rows = [(1, "the same long line\nmore"), (2, "the same long line\nother"), (2, "the same long line\nother"), (None, "the same long line\nnull id"), (3, None), (4, ""), (5, f"x {item} y"), (None, f"z {item}"), (6, long)]
+    frame = spark.createDataFrame([(*r, *rest) for r in rows], kinds)
+    for name, stage in corpus_pipeline.STAGES:
+        for docs in (frame.limit(0), frame):
+            out = stage(spark, docs, d)
+            found = out.collect()
+            if docs is not frame:
+                assert found == [], name
+            if name != "pack":
+                assert out.columns == frame.columns and [f.dataType for f in out.schema] == [f.dataType for f in frame.schema], name
+                assert all(tuple(r)[2:] == rest for r in found), name
+            texts = sorted((str(r.doc_id), str(r.text)) for r in found) if name != "pack" and docs is frame else None
+            if name == "quality" and texts:
+                assert len(texts) == len(rows)
+            if name == "lines" and texts:
+                assert texts.count(("2", "other")) == 2 and ("1", "the same long line\nmore") in texts and ("None", "the same long line\nnull id") in texts and ("6", long) in texts
+            if name == "near_dups" and texts:
+                assert [i for i, _ in texts].count("2") == 2 and "4" not in [i for i, _ in texts] and [i for i, _ in texts].count("None") == 2
+            if name == "decontaminate" and texts:
+                assert len(texts) == len(rows) - 2 and "5" not in [i for i, _ in texts]

@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from touchline.llm import html, linededup, packing, quality, secret_scan, tokens, urls
+from touchline.llm import bloom, html, linededup, packing, quality, secret_scan, tokens, urls
 
 PIECES, WORDS = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json")
 
@@ -61,6 +61,27 @@ def test_packing_round_trip(spark, docs, nothing):
     assert packing.pack(nothing, WORDS, end_id=2).count() == 0
 
 
+def test_packing_of_hot_rows_and_full_windows(spark):
+    """A third of all rows is one empty document, long ones fill windows: groups stay bounded, each id has one place."""
+    rows = [(1, None)] * 300 + [(None, "a b c")] * 40 + [(i, "one two three four five six seven " * (i % 60)) for i in range(2, 400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = packing.pack(frame, WORDS, end_id=2, window=64, group_pieces=50).collect()
+    assert len(got) == sum(-(-n // 64) for n in Counter(dict(enumerate([1] * 300 + [4] * 40 + [7 * (i % 60) + 1 for i in range(2, 400)]))).values())
+    windows = defaultdict(list)
+    for r in got:
+        windows[r.sequence_id].append((r.offset, r.length))
+    for key, spans in windows.items():
+        spans.sort()
+        assert [o for o, _ in spans] == [sum(n for _, n in spans[:i]) for i in range(len(spans))] and sum(n for _, n in spans) <= 64
+        assert (key & 1) == (spans == [(0, 64)])
+    per_group = Counter(r.sequence_id >> 33 for r in got if not r.sequence_id & 1)
+    assert len(per_group) > 8 and max(per_group.values()) < 120
+    used, made = sum(r.length for r in got), 64 * len(windows)
+    assert used > 0.9 * made
+    narrow = packing.pack(frame, WORDS, end_id=2, window=64).collect()
+    assert Counter((r.doc_id, r.start, r.ids_crc32) for r in narrow) == Counter((r.doc_id, r.start, r.ids_crc32) for r in got)
+
+
 def test_best_fit_decreasing_takes_the_tightest_window():
     r = np.random.default_rng(1)
     for _ in range(200):
@@ -111,6 +132,36 @@ def test_line_dedup(spark, docs, nothing):
     assert along.columns[-2:] == ["lang", "key"] and {r.key for r in along.collect()} == {"clash"}
 
 
+@pytest.mark.parametrize(("broadcast_lines", "largest"), [(0, 30), (5, 30), (10**6, 16), (0, 16)])
+def test_line_dedup_beyond_its_broadcasts(spark, broadcast_lines, largest):
+    """All lines joined instead of broadcast, some of each, and a filter so small that it suspects most lines."""
+    r = np.random.default_rng(7)
+    many = [(int(i), "\n".join(f"line number {min(int(r.exponential(2000)), 40000)} of it" for _ in range(r.integers(0, 120)))) for i in range(900)]
+    frame = spark.createDataFrame(many, "doc_id long, text string").repartition(9)
+    got = linededup.dedup_lines(frame, broadcast_lines=broadcast_lines, largest=largest).collect()
+    assert sorted(map(tuple, got)) == brute_lines(many)
+
+
+def test_filters_forget_nothing(spark):
+    r = np.random.default_rng(9)
+    h = r.integers(0, 1 << 63, 50_000).astype(np.uint64)
+    once = bloom.Growing()
+    for part in np.split(h, 50):
+        assert not len(part) or once.has(part).mean() < 0.2
+        once.add(part)
+        assert once.has(part).all()
+    assert once.has(h).all() and len(once.arrays) > 3
+
+
+@pytest.mark.parametrize("most", [0, 10**6])
+def test_rows_without_ids(spark, most):
+    docs = spark.createDataFrame([(i % 700, f"t{i}", i) for i in range(2000)] + [(None, "none", 0)], "doc_id int, text string, id long").repartition(5)
+    gone = spark.createDataFrame([(i,) for i in range(0, 900, 3)] + [(None,)], "id long").distinct()
+    got = sorted((x.doc_id if x.doc_id is not None else -1, x.text, x.id) for x in bloom.without(docs, gone, most=most).collect())
+    assert got == sorted([(i % 700, f"t{i}", i) for i in range(2000) if i % 700 % 3] + [(-1, "none", 0)])
+    assert bloom.without(docs, gone, most=most).schema == docs.schema
+
+
 def brute_spans(text):
     kinds = {"assign": (r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6), "access": (r"AKIA[A-Z0-9]+", 0, 20), "hex": (r"[0-9a-f]+", 0, 24)}
     found = [(m.start(), k, m.end(), kind) for k, (kind, (p, g, n)) in enumerate(kinds.items()) for m in re.finditer(p, text, re.A) if len(m[g]) >= n]
@@ -139,6 +190,40 @@ def test_secret_scan(spark, docs, nothing):
     assert secret_scan.scan(nothing).count() == 0
 
 
+def brute_links(spans, scope):
+    """All pairs: which candidates stay, and which spans are in one scope, directly or through others."""
+    rank = {k: i for i, k in enumerate(secret_scan.KINDS)}
+    base = [s for s in spans if rank[s[2]] < 3]
+    spans = [s for s in spans if s[2] != "weak" or not any(b[0] < s[1] and s[0] < b[1] for b in base)]
+    secret, named = (lambda s: s[2] in ("assign", "hex", "weak")), (lambda s: s[2] in ("access", "identifier"))
+    near = lambda s, role: any(role(o) and o is not s and abs(o[0] - s[0]) <= scope for o in spans)
+    need = {"weak": [named], "identifier": [secret], "endpoint": [secret, named]}
+    kept = sorted((s for s in spans if all(near(s, role) for role in need.get(s[2], []))), key=lambda s: (s[0], rank[s[2]], s[1]))
+    group = list(range(len(kept)))
+    for i in range(len(kept)):
+        for j in range(i):
+            if kept[i][0] - kept[j][0] <= scope:
+                a, b = group[i], group[j]
+                group = [min(a, b) if g in (a, b) else g for g in group]
+    number = {g: k + 1 for k, g in enumerate(sorted(set(group)))}
+    return [(*s, number[g]) for s, g in zip(kept, group)]
+
+
+def test_secret_links_by_all_pairs(spark):
+    r = np.random.default_rng(12)
+    parts = ["user: bob", "login=amy_1", "a.b@c.org", "AKIA" + "Q" * 18, "password = hunter22", "deadbeef" * 4, "zX9" * 9, "kL4+" * 7, "https://db.example.org/x", "10.0.0.7:5432", "and some other words", "x " * 150]
+    rows = [(i, " ".join(r.choice(parts, r.integers(1, 14)))) for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    every = {k: secret_scan.BASE.get(k) or secret_scan.WEAK[k] for k in secret_scan.KINDS}
+    loose = {k: (re.compile(p if k not in ("weak", "identifier", "endpoint") else p, re.A), g, n) for k, (p, g, n) in every.items()}
+    for x in secret_scan.scan(frame).collect():
+        text = dict(rows)[x.doc_id]
+        spans = [(m.start(), m.end(), k) for k, (p, g, n) in loose.items() for m in p.finditer(text) if len(m[g]) >= n]
+        want = brute_links(spans, secret_scan.SCOPE)
+        assert x.spans == ",".join(f"{k}:{a}:{b}" for a, b, k, _ in want)
+        assert x.credentials == ",".join(str(c) for *_, c in want)
+
+
 def brute_repeats(text):
     w = text.encode().split()
     at = defaultdict(list)
@@ -169,6 +254,31 @@ def test_expectation_maximisation_tells_bad_patterns():
     assert p[0] > 0.9 and p[1] < 0.5
 
 
+def test_expectation_maximisation_step_by_step():
+    """Against the same estimate written with loops, on votes drawn from known accuracies."""
+    r = np.random.default_rng(13)
+    truth = r.random(4000) < 0.8
+    votes = np.stack([np.where(r.random(4000) < 0.1, 0, np.where(truth, np.where(r.random(4000) < 0.95, 1, -1), np.where(r.random(4000) < 0.5 + 0.04 * k, -1, 1))) for k in range(9)], axis=1)
+    patterns, which, n = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    got = quality.fit(patterns, n.astype(float))
+    good, bad, prior = [0.95] * 9, [0.4] * 9, 0.8
+    for _ in range(200):
+        p = []
+        for row in patterns:
+            a, b = prior, 1 - prior
+            for k, v in enumerate(row):
+                a *= {1: good[k], -1: 1 - good[k], 0: 1}[int(v)]
+                b *= {1: 1 - bad[k], -1: bad[k], 0: 1}[int(v)]
+            p.append(a / (a + b))
+        for k in range(9):
+            cast = [(w * q, w * (1 - q), v[k]) for w, q, v in zip(n, p, patterns) if v[k]]
+            good[k] = min(0.999, max(0.5, (sum(g for g, _, v in cast if v > 0) + 4) / (sum(g for g, _, _ in cast) + 5)))
+            bad[k] = min(0.99, max(0.01, (sum(b for _, b, v in cast if v < 0) + 4) / (sum(b for _, b, _ in cast) + 5)))
+        prior = min(0.95, max(0.05, sum(w * q for w, q in zip(n, p)) / sum(n)))
+    assert np.abs(got - np.array(p)).max() < 1e-3
+    assert ((got[which.ravel()] >= 0.5) == truth).mean() > 0.95
+
+
 @pytest.mark.parametrize(
     ("url", "host", "path", "rule"),
     [
@@ -195,6 +305,39 @@ def test_url_models(spark):
     assert urls.ratio(model, "http://a/") == 0
 
 
+def test_url_scores_by_brute_force(spark):
+    """Scores of the joined models against back-off written out over all substrings."""
+    r = np.random.default_rng(14)
+    make = lambda letters: "".join(r.choice(list(letters), r.integers(1, 30)))
+    rows = [(i, f"http://a.com/{make('abcde/')}" if i % 2 else f"http://b.net/es/{make('efghi-')}") for i in range(120)] + [(i, f"http://c.org/{make('abcdefghié/')}") for i in range(200, 260)]
+    rules = [("allow", "com/"), ("block", "net/es/")]
+    frame = spark.createDataFrame(rows, "page_id long, url string").repartition(4)
+    got = {x.page_id: x for x in urls.filter_urls(frame, rules).collect()}
+    counts, total = {True: Counter(), False: Counter()}, {True: 0, False: 0}
+    for i, url in rows:
+        if i < 120 and zlib.crc32(str(i).encode()) % 5:
+            raw = b"\x02" * 4 + url.encode() + b"\x03"
+            total[bool(i % 2)] += len(raw) - 4
+            counts[bool(i % 2)].update(raw[e - k : e + 1] for e in range(4, len(raw)) for k in range(5))
+    for i, url in rows:
+        raw, score = b"\x02" * 4 + url.encode() + b"\x03", 0.0
+        for e in range(4, len(raw)):
+            for good, sign in ((True, 1), (False, -1)):
+                p = 1 / 256
+                for k in range(5):
+                    context = total[good] if k == 0 or e == 4 else counts[good][raw[e - k : e]]
+                    p = (counts[good][raw[e - k : e + 1]] + urls.STRENGTH * p) / (context + urls.STRENGTH)
+                score += sign * np.log(p)
+        assert abs(got[i].score - score / (len(raw) - 4)) < 1e-9
+
+
+def test_url_filter_of_clashing_columns_and_long_urls(spark):
+    rows = [(i, f"http://s.com/{'ab/' * (i * 500)}", 1.0, "x", 2) for i in range(6)] + [(9, f"http://s.net/es/{'zq-' * 9000}", 1.0, "x", 2)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, score double, verdict string, chunk long")
+    got = {x.page_id: x for x in urls.filter_urls(frame, [("allow", "com/"), ("block", "net/es/")]).collect()}
+    assert len(got) == 7 and got[9].verdict == "block" and {got[i].verdict for i in range(6)} == {"allow"}
+
+
 def test_url_models_keep_all_grams_apart(spark):
     """More distinct n-grams than any fixed number of counters: each has its own exact count."""
     r = np.random.default_rng(11)
@@ -239,6 +382,13 @@ def test_html_wrappers_with_hints_keep_the_article(page):
     assert html.main_text(page).split("\n") == ["Title", "The first paragraph of a story that is long enough to be read.", "A second one, also long enough to be taken for text."]
 
 
+def test_html_of_clashing_columns_and_long_pages(spark):
+    long = "<article>" + "".join(f"<p>Paragraph number {i} of a very long page, with some words in it.</p>" for i in range(4000)) + "</article>"
+    frame = spark.createDataFrame([(1, "u", long, "t", 3)], "page_id long, url string, html string, text string, n_chars long")
+    (got,) = html.extract(frame).collect()
+    assert got.text.count("\n") == 3999 and got.n_chars == len(got.text)
+
+
 def test_minimum_cut_is_the_best_labelling():
     r = np.random.default_rng(4)
     for _ in range(60):

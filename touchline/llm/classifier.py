@@ -84,7 +84,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
             )
 
     taken = own.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text").mapInArrow(sparse, "doc_id long, label int, at binary, n binary")
-    rows = {r["doc_id"]: r for r in taken.toLocalIterator()}  # one row of each doc_id, SAMPLE_PER_LABEL of each label at most
+    taken = taken.groupBy("doc_id", "label").agg(F.max(F.struct("n", "at")).alias("of")).select("doc_id", "label", "of.n", "of.at")
+    rows = {r["doc_id"]: r for r in taken.collect()}  # SAMPLE_PER_LABEL of each label at most
     x, y = np.zeros((len(rows), GRAMS + SHAPES)), np.zeros(len(rows))
     for k, doc_id in enumerate(sorted(rows)):
         x[k, np.frombuffer(rows[doc_id]["at"], "<u2")] = np.frombuffer(rows[doc_id]["n"], "<u4")
@@ -109,27 +110,47 @@ def vote(model: dict, vectors: np.ndarray) -> np.ndarray:
     return np.where(np.abs(vectors).sum(1) > 0, score, model["prior"]).clip(0, 1)
 
 
-def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, block: int = 128, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
+def scores_of(model: dict, texts: pa.Array, block: int = 128) -> np.ndarray:
+    """Scores of a batch of texts, by blocks of exact cosines."""
+    out = [np.zeros(0)]
+    for start in range(0, len(texts), block):
+        x = np.stack([counts(t.as_py() or "") for t in texts[start : start + block]])
+        out.append(vote(model, embed(x, model["idf"], model["axes"])))
+    return np.concatenate(out)
+
+
+def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
     """doc_id, held_out, score, predicted of every row of ``docs``.
 
     Two narrow passes over the documents: feature frequencies, then exact
     cosines of blocks of documents with all broadcast labelled vectors
     (2 x SAMPLE_PER_LABEL x DIMS numbers at most).  Only the text is an input of
     a score.  Null and very short texts have no features and get the share of
-    label 1 as score; without labels that share is 0.5.  Repeated rows give
-    repeated results; an empty table gives an empty one.
+    label 1 as score; without labels that share is 0.5.  Of several rows of one
+    labelled doc_id one, the greatest by its feature counts, is learned from; of clashing labels of one
+    doc_id the larger holds.  Repeated rows give repeated results; an empty table
+    gives an empty one; other columns are ignored.
     """
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, text_col, label_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
-        for whole in batches:
-            for start in range(0, whole.num_rows, block):
-                batch = whole.slice(start, block)
-                x = np.stack([counts(t.as_py()) for t in batch.column(1)])
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(vote(m, embed(x, m["idf"], m["axes"])), pa.float64())], names=["doc_id", "score"])
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores_of(model.value, batch.column(1)), pa.float64())], names=["doc_id", "score"])
 
     own = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
     scored = own.mapInArrow(run, "doc_id long, score double")
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
+    """The rows of ``docs`` that ``classify`` predicts 1, with all their columns
+    as they were.  Each row is judged on its own text, in the pass that scores
+    it, so nothing is joined; rows without an id are judged like any other."""
+    model, at = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, text_col, label_col)), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(scores_of(model.value, batch.column(at)) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

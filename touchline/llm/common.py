@@ -28,10 +28,13 @@ def lower_ascii(column: Column) -> Column:
 
 
 def scratch(spark: SparkSession) -> str:
-    """The shared folder of the cluster (spark.checkpoint.dir); where it is
-    unset, as in tests on one machine, a new temporary folder."""
+    """A new place in the shared folder of the cluster (spark.checkpoint.dir).
+    Where that is unset, as in tests on one machine, a temporary folder; a
+    cluster has no such folder that all its machines see, so it must be set there."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="touchline-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/touchline-{uuid.uuid4().hex}"
@@ -41,13 +44,24 @@ def stash(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and reread it.
 
     Cuts the lineage: a lost executor costs a reread, not a recomputation, and
-    several readers of the result compute it once.
+    several readers of the result compute it once.  Whoever owns the shared
+    folder clears it when the job is done; what is read no more within an
+    operator goes by ``release``.
     """
     path = scratch(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(stashed: DataFrame) -> None:
+    """Delete a ``stash`` that nothing reads any more."""
+    spark = stashed.sparkSession
+    files = stashed.inputFiles()
+    if files:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def worker_cache() -> dict:
     """A dictionary that lives as long as the Python worker does, so that what
     is loaded or memoised in one task serves the next one."""

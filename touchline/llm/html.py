@@ -246,7 +246,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     neighbours in page order and blocks of one parent are tied by smoothness
     edges; a minimum cut labels all blocks of a page at once.  One narrow pass,
     a page at a time.  Null, empty and malformed pages give what text they
-    have; repeated rows give repeated results, an empty table an empty one.
+    have, very long ones all of theirs; repeated rows give repeated results, an
+    empty table an empty one; other columns are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -74,14 +74,15 @@ def votes(f: dict[str, int]) -> list[int]:
     return out
 
 
-def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, floor: float = 0.97) -> np.ndarray:
+def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, floor: float = 0.5) -> np.ndarray:
     """Posterior probability of good quality of each vote pattern.
 
     Expectation-maximisation for a two-class model: every rule has an accuracy
     for good and one for bad documents, votes are independent given the class
-    and an abstention says nothing.  A rule's votes on good documents are right
-    at least as often as ``floor`` says; on bad ones they may mostly be wrong,
-    as each rule knows one kind of flaw and takes the others for good.
+    and an abstention says nothing.  All accuracies are estimated.  ``floor``
+    only says which class is which: a rule's votes on good documents are right
+    more often than not; on bad ones they may mostly be wrong, as each rule
+    knows one kind of flaw and takes the others for good.
     """
     right = np.stack([np.full(patterns.shape[1], 0.4), np.full(patterns.shape[1], 0.95)])  # bad documents voted -1, good ones voted 1
     prior, total = 0.8, max(counts.sum(), 1)

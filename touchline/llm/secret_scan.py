@@ -80,13 +80,25 @@ def linked(spans: DataFrame, scope: int) -> DataFrame:
     return out.where(wanted).select("rid", "doc_id", "kind", "rank", "start", "end")
 
 
+def numbered(spans: DataFrame, scope: int) -> DataFrame:
+    """``spans`` with credential: parts within ``scope`` of each other, directly
+    or through parts between them, belong to one credential of their row.  On a
+    line these are the runs between wider gaps: a running sum, no pairs."""
+    order = Window.partitionBy("rid").orderBy("start", "rank", "end")
+    opens = F.coalesce(F.col("start") - F.lag("start").over(order) > scope, F.lit(True)).cast("int")
+    return spans.withColumn("opens", opens).withColumn("credential", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("opens")
+
+
 def scan(docs: DataFrame, scope: int = SCOPE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans of every row.
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, credentials of every row.
+
+    ``credentials`` has a number for each span, in the order of ``spans``: spans
+    of one number were found in one scope and belong together.
 
     The texts are read once: what is kept of them, the lengths of matches and
     gaps, is written and cut apart, and only rows with matches are shuffled, by
     a row number.  Null texts count as empty; a row without spans has the digest
-    of the empty string and empty spans; repeated rows give repeated results;
+    of the empty string, empty spans and credentials; repeated rows give repeated results;
     an empty table gives an empty one; other columns are ignored.
     """
     own = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"))
@@ -95,10 +107,10 @@ def scan(docs: DataFrame, scope: int = SCOPE, id_col: str = "doc_id", text_col:
     some = F.lit(False)
     for kind in KINDS:
         some = some | (F.coalesce(F.size(f"m_{kind}"), F.lit(0)) > 0)
-    every = F.array_sort(F.collect_list(F.struct("start", "rank", "end", "kind")))
+    every = F.array_sort(F.collect_list(F.struct("start", "rank", "end", "kind", "credential")))
     text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    grouped = linked(spans_of(found.where(some)), scope).groupBy("rid").agg(*(F.count_if(F.col("kind") == k).alias(f"n_{k}") for k in BASE), every.alias("all"))
-    hits = grouped.select("rid", *(f"n_{k}" for k in BASE), F.sha2(text(F.filter("all", lambda s: s["rank"] < len(BASE))), 256).alias("base_sha256"), text(F.col("all")).alias("spans"))
-    zero = {f"n_{k}": F.lit(0).cast("long") for k in BASE} | {"base_sha256": F.sha2(F.lit("").cast("binary"), 256), "spans": F.lit("")}
+    grouped = numbered(linked(spans_of(found.where(some)), scope), scope).groupBy("rid").agg(*(F.count_if(F.col("kind") == k).alias(f"n_{k}") for k in BASE), every.alias("all"))
+    hits = grouped.select("rid", *(f"n_{k}" for k in BASE), F.sha2(text(F.filter("all", lambda s: s["rank"] < len(BASE))), 256).alias("base_sha256"), text(F.col("all")).alias("spans"), F.array_join(F.transform("all", lambda s: s["credential"].cast("string")), ",").alias("credentials"))
+    zero = {f"n_{k}": F.lit(0).cast("long") for k in BASE} | {"base_sha256": F.sha2(F.lit("").cast("binary"), 256), "spans": F.lit(""), "credentials": F.lit("")}
     rows = found.where(some).select("rid", "doc_id").join(hits, "rid", "left").select("doc_id", *(F.coalesce(c, v).alias(c) for c, v in zero.items()))
     return rows.unionByName(found.where(~some).select("doc_id", *(v.alias(c) for c, v in zero.items())))

@@ -74,10 +74,22 @@ class PieceCounter:
         self.rank = {p: order[s] for p, s in score.items()}  # pieces of one score share a rank; the leftmost goes first
         self.cut_spaces = not any(SPACE in p.lstrip(SPACE) for p in self.rank)
         self.cut_lines = not any("\n" in p for p in self.rank)
-        self.plain = sp.normalize(" a  b\néﬁ ") == f"{SPACE}{SPACE}a{SPACE}{SPACE}b\néﬁ{SPACE}"
+        probe = " a  b\néﬁ e\u0301Ａ①\u00a0x\u200b\t\u3000ſ½ "
+        self.plain = sp.normalize(probe) == SPACE + probe.replace(" ", SPACE)
         self.inside = {p[i : i + 2] for p in self.rank for i in range(len(p) - 1)}
         self.unit = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
         self.marked, self.bare, self.kernels = Memo(self.count_cut, SPACE), Memo(self.count_cut), Memo(self.count_unit)
+        # pieces that a user has defined are matched before any merge; they have the score of none
+        best = [p.replace(SPACE, " ") for p, s in score.items() if s >= 0 and len(p) > 1]
+        for text in (probe, *(f"x{p}y" for p in best), *self.sample(score)):
+            if self.count(text) != len(sp.encode(text)):
+                raise ValueError(f"{path}: a model with rules that this counter doesn't know, as in {text!r}")
+
+    @staticmethod
+    def sample(score: dict[str, float], step: int = 97) -> list[str]:
+        """Texts of some of the pieces, run together, to hold the counter against the library."""
+        some = sorted(score)[::step]
+        return ["".join(some[i : i + 20]).replace(SPACE, " ") for i in range(0, len(some), 20)]
 
     def count_unit(self, unit: str) -> int:
         """Tokens of one unit: a symbol that is no piece falls back to bytes."""

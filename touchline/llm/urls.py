@@ -142,7 +142,8 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "p
     URLs that a rule accepts or rejects train the two models, those of one fold
     (crc32 of the id mod 5 = 0) choose the threshold, and the models judge the
     URLs without a rule.  The models are exact counts of n-grams, one row each
-    however many there are; chunks of URLs join them.  Null URLs and those without ``://`` have an empty host and path
+    however many there are; chunks of URLs join them.  URLs of any length are
+    scored whole; columns of ``pages`` that aren't named are ignored.  Null URLs and those without ``://`` have an empty host and path
     and no rule; a null or empty URL scores 0.  Without URLs of both kinds every
     score is 0 and the verdict allow.  Repeated rows give repeated results.
     """
