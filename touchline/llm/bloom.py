@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import bounded_batches, stash
 
 #: A hash's lowest bits choose one of 2 to the power of SEGMENT_BITS segments; HASHES probes each.
 SEGMENT_BITS, HASHES = 10, 3
@@ -71,22 +71,16 @@ def by_segment(h: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield k, part
 
 
-class Filter:
-    """A filter over all segments, as it is broadcast."""
+def within(filter_: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which hashes a filter over all segments (a row of bytes each) may hold."""
+    where = places(h, filter_.shape[1].bit_length() + 2)
+    return (filter_[segment_of(h)[:, None], where >> 3] >> (where & 7).astype(np.uint8) & 1).astype(bool).all(1)
 
-    def __init__(self, bits: int):
-        self.bits = bits - SEGMENT_BITS
-        self.array = np.zeros((1 << SEGMENT_BITS, 1 << self.bits - 3), np.uint8)
 
-    def has(self, h: np.ndarray) -> np.ndarray:
-        where = places(h, self.bits)
-        return (self.array[segment_of(h)[:, None], where >> 3] >> (where & 7).astype(np.uint8) & 1).astype(bool).all(1)
-
-
-def filter_of(segments: DataFrame, n: int, largest: int = LARGEST) -> Filter:
+def filter_of(segments: DataFrame, n: int, largest: int = LARGEST) -> np.ndarray:
     """The filter of all hashes in ``segments`` (segment, hashes: packed 64-bit
-    numbers), sized by their number ``n`` up to 2 to the power of ``largest``
-    bits, which bounds what the driver gets.  More hashes fill it up: it then
+    numbers), a plain array to broadcast, sized by their number ``n`` up to 2 to
+    the power of ``largest`` bits, which bounds what the driver gets.  More hashes fill it up: it then
     says yes more often, never no to a hash it was given."""
     bits = min(largest, max(SEGMENT_BITS + 6, n.bit_length() + PER_HASH))
 
@@ -97,9 +91,9 @@ def filter_of(segments: DataFrame, n: int, largest: int = LARGEST) -> Filter:
                 put(array, places(np.frombuffer(packed.as_py(), np.uint64), bits - SEGMENT_BITS).ravel())
                 yield pa.RecordBatch.from_arrays([pa.array([segment], pa.int32()), pa.array([array.tobytes()], pa.binary())], names=["segment", "bits"])
 
-    out = Filter(bits)
+    out = np.zeros((1 << SEGMENT_BITS, 1 << bits - SEGMENT_BITS - 3), np.uint8)
     for row in segments.select("segment", "hashes").mapInArrow(build, "segment int, bits binary").collect():
-        out.array[row["segment"]] |= np.frombuffer(row["bits"], np.uint8)
+        out[row["segment"]] |= np.frombuffer(row["bits"], np.uint8)
     return out
 
 
@@ -120,6 +114,7 @@ def split_by_ids(docs: DataFrame, ids: DataFrame, n: int, id_col: str = "doc_id"
             for segment, h in by_segment(mix(batch.column(0).to_numpy(zero_copy_only=False))):
                 yield pa.RecordBatch.from_arrays([pa.array([segment], pa.int32()), pa.array([h.tobytes()], pa.binary())], names=["segment", "hashes"])
 
+    bounded_batches(docs.sparkSession)
     made = docs.sparkSession.sparkContext.broadcast(filter_of(ids.mapInArrow(pack, "segment int, hashes binary"), n))
     at = docs.columns.index(id_col)
 
@@ -127,7 +122,7 @@ def split_by_ids(docs: DataFrame, ids: DataFrame, n: int, id_col: str = "doc_id"
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 own = batch.column(at)
-                maybe = made.value.has(mix(own.fill_null(0).to_numpy(zero_copy_only=False))) & own.is_valid().to_numpy(zero_copy_only=False)
+                maybe = within(made.value, mix(own.fill_null(0).to_numpy(zero_copy_only=False))) & own.is_valid().to_numpy(zero_copy_only=False)
                 yield batch.filter(pa.array(maybe == wanted))
 
         return docs.mapInArrow(run, docs.schema)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import bounded_batches, text_of
 
 #: Hashed features: byte trigrams, and windows of four character shapes.
 GRAMS, SHAPES = 1536, 512
@@ -60,6 +60,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     """Inverse document frequencies over all rows of ``docs``; latent axes and
     labelled vectors from a bounded sample of the rows that may be learned from.
     """
+    bounded_batches(docs.sparkSession)
     own = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     seen = {r["feature"]: r["n"] for r in own.select("text").mapInArrow(_frequencies, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()}
     df = np.array([seen.get(k, 0) for k in range(GRAMS + SHAPES)], np.float64)

@@ -14,6 +14,18 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Bytes of an Arrow batch: what a task holds of long texts at once, in the executor and in its Python worker.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let Spark hand rows to Python in batches of BATCH_BYTES at most, instead
+    of 10,000 rows of any length; a smaller setting of the session stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(str(spark.conf.get(name)).rstrip("b")) <= BATCH_BYTES:
+        spark.conf.set(name, BATCH_BYTES)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

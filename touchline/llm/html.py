@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import text_of
+from .common import bounded_batches, text_of
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|iframe|object|math)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>", re.S | re.I)
 ATTRIBUTE = re.compile(r"\b(?:class|id|role|aria-label|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -255,5 +255,6 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             texts = [main_text(x.as_py()) for x in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
+    bounded_batches(pages.sparkSession)
     own = pages.select(pages[id_col].cast("long").alias("page_id"), pages[url_col].cast("string").alias("url"), text_of(html_col).alias("html"))
     return own.mapInArrow(run, "page_id long, url string, text string, n_chars long")

@@ -10,8 +10,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bloom import LARGEST, Growing, by_segment, filter_of, split_by_ids
-from .common import stash, text_of
+from .bloom import LARGEST, Growing, by_segment, filter_of, split_by_ids, within
+from .common import bounded_batches, stash, text_of
 
 STRIP = " \t\n\x0b\x0c\r"
 MIN_CHARS = 10
@@ -98,7 +98,7 @@ def repeated_lines(narrow: DataFrame, largest: int = LARGEST) -> tuple[DataFrame
                 ids += [doc_id] * len(own)
                 keys += own
             h = hashes(keys)
-            hit = shared.value.has(h[:, 0])
+            hit = within(shared.value, h[:, 0])
             h = h[hit].view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(np.array(ids, np.int64)[hit])], names=["k1", "k2", "doc_id"])
 
@@ -107,23 +107,23 @@ def repeated_lines(narrow: DataFrame, largest: int = LARGEST) -> tuple[DataFrame
     return found, stash(keepers.where("last > keeper").drop("last"))
 
 
-class Keepers:
-    """The broadcast lines: which document keeps each."""
+def arranged(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """The lines to broadcast (k1, k2, keeper), by k1, as plain arrays; at last
+    how many share their first number at most: 1 in practice."""
+    k1 = table["k1"].to_numpy()
+    order = np.argsort(k1, kind="stable")
+    return *(table[c].to_numpy()[order] for c in ("k1", "k2", "keeper")), np.unique(k1, return_counts=True)[1].max(initial=0)
 
-    def __init__(self, table: pa.Table):
-        k1 = table["k1"].to_numpy()
-        order = np.argsort(k1, kind="stable")
-        self.k1, self.k2, self.keeper = (table[c].to_numpy()[order] for c in ("k1", "k2", "keeper"))
-        self.runs = int(np.unique(k1, return_counts=True)[1].max(initial=0))  # lines that share their first number: 1 in practice
 
-    def others(self, h: np.ndarray, doc_id: int) -> np.ndarray:
-        """Which of the hashes belong to a smaller document."""
-        h = h.view(np.int64)
-        out, at = np.zeros(len(h), bool), np.searchsorted(self.k1, h[:, 0])
-        for step in range(self.runs):
-            i = np.minimum(at + step, len(self.k1) - 1)
-            out |= (self.k1[i] == h[:, 0]) & (self.k2[i] == h[:, 1]) & (self.keeper[i] < doc_id)
-        return out
+def others(lines: tuple[np.ndarray, ...], h: np.ndarray, doc_id: int) -> np.ndarray:
+    """Which of the hashes are ``lines`` that a smaller document keeps."""
+    k1, k2, keeper, runs = lines
+    h = h.view(np.int64)
+    out, at = np.zeros(len(h), bool), np.searchsorted(k1, h[:, 0])
+    for step in range(runs):
+        i = np.minimum(at + step, len(k1) - 1)
+        out |= (k1[i] == h[:, 0]) & (k2[i] == h[:, 1]) & (keeper[i] < doc_id)
+    return out
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, broadcast_lines: int = BROADCAST_LINES, largest: int = LARGEST) -> DataFrame:
@@ -141,6 +141,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     one document (each loses the same lines); rows without one are left alone.
     An empty table gives an empty result; columns not kept are ignored.
     """
+    bounded_batches(docs.sparkSession)
     along = {f"along_{i}": c for i, c in enumerate(keep or [])}
     narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"), *(docs[c].alias(a) for a, c in along.items()))
     found, keepers = repeated_lines(narrow.select("doc_id", "text"), largest)
@@ -152,8 +153,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             cold += n
         else:
             hot, least = hot + n, k
-    table = Keepers(keepers.where(level >= least).select("k1", "k2", "keeper").toArrow())
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+    shared = docs.sparkSession.sparkContext.broadcast(arranged(keepers.where(level >= least).select("k1", "k2", "keeper").toArrow()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,7 +164,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 own = [(i, k) for i, k in enumerate(long_keys(text)) if k is not None] if doc_id is not None else []
                 if own:
                     h = hashes([k for _, k in own])
-                    drop = shared.value.others(h, doc_id)
+                    drop = others(shared.value, h, doc_id)
                     if gone:
                         cold_keys = {(g["k1"], g["k2"]) for g in gone}
                         drop |= np.fromiter((tuple(x) in cold_keys for x in h.view(np.int64).tolist()), bool, len(h))

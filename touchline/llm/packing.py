@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stash, text_of, worker_cache
+from .common import bounded_batches, stash, text_of, worker_cache
 
 #: Pieces that one packing group holds on average, whatever the input's size.
 GROUP_PIECES = 2048
@@ -180,6 +180,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = 4096,
         where, offset = best_fit_decreasing(group["length"].to_numpy(), window)
         return group[[*PIECE]].assign(sequence_id=2 * ((group["pack_group"].to_numpy() << 32) + where), offset=offset)
 
+    bounded_batches(docs.sparkSession)
     kinds = ", ".join(f"{c} long" for c in PIECE)
     narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     pieces = stash(narrow.mapInArrow(cut, kinds)).withColumn("row", F.monotonically_increasing_id())

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stash, text_of
+from .common import bounded_batches, stash, text_of
 
 SYMBOLS, SPACES = "#*$%&|<>", " \t\n\x0b\x0c\r"
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_shouts", "n_stops")
@@ -121,6 +121,7 @@ def judge(docs: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_
             pattern = ["".join("-0+"[v + 1] for v in votes(dict(zip(FEATURES, r, strict=True)))) for r in rows]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in columns), pa.array(pattern, pa.string())], names=["doc_id", *FEATURES, "pattern"])
 
+    bounded_batches(docs.sparkSession)
     narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     seen = stash(narrow.mapInArrow(run, "doc_id long, " + ", ".join(f"{f} long" for f in FEATURES) + ", pattern string"))
     tally = seen.groupBy("pattern").count().collect()

@@ -12,7 +12,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stash, text_of, worker_cache
+from .bloom import without
+from .common import bounded_batches, stash, text_of, worker_cache
 from .components import components
 
 FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -23,8 +24,8 @@ SEGMENTS = ((0, 21), (21, 21), (42, 22))
 SEED = 42
 #: Candidate pairs (16 bytes each) up to which they are broadcast to the texts, about 100 MB with overhead.
 BROADCAST_PAIRS = 2_000_000
-#: Shingle hashes beyond its prefix by which texts without a partner are told; a pair shares as many.
-LOW = 32
+#: Shingle hashes beyond its prefix by which texts without a partner are told, and the least share of its shingles (1 in so many); a pair has as many in common.
+LOW, LOW_SHARE = 32, 20
 #: Texts that hold a shingle from which on it counts as hot and is ordered by that number, after all others.
 HOT = 50
 
@@ -149,6 +150,7 @@ def fingerprints(docs: DataFrame, k: int = 3, id_col: str = "doc_id", text_col:
             fp = np.array([fingerprint(hashes(grams(words_of(x.as_py()), k))) for x in batch.column(1)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64())], names=["doc_id", "fp"])
 
+    bounded_batches(docs.sparkSession)
     own = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     return own.mapInArrow(run, "doc_id long, fp long")
 
@@ -179,7 +181,7 @@ def fingerprint_components(docs: DataFrame, k: int = 3, bits: int = 3, id_col: s
     return rows.join(named, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits: int = 26, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits: int = 26, id_col: str = "doc_id", text_col: str = "text", few: int = BROADCAST_PAIRS) -> DataFrame:
     """doc_id, component_id (smallest doc_id of the group) of every document
     whose group is not its own.
 
@@ -192,7 +194,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits:
     text of n shingles lacks at most (1 - similarity) n in the other one; so in
     any order of shingles that holds for all texts, their first
     (1 - similarity) n + j ones have j in common.  First this is applied to the
-    smallest hashes with j of ``LOW``, which tells texts that can't have a partner.
+    smallest hashes with j of ``LOW`` or a share of n, which tells texts that can't have a partner.
     Among those left all shingles are counted: one that a text alone holds counts
     against each of its pairs, and two texts differ in their lone shingles and
     in at least as many others as there are bits in which the parities of their
@@ -205,10 +207,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits:
     first (1 - similarity) n + 1 shingles, hot ones ordered last; keys that only
     texts of one group hold are dropped before.
 
+    No text is shuffled, and no shingle set but those of candidate pairs: hashes
+    are, one by one, to be counted, and numbers about texts.  Pairs and chosen
+    texts' numbers are broadcast to the texts while they are at most ``few`` and
+    join them beyond.
+
     Null and blank texts count as the same words; rows of one doc_id as one
-    document; rows without doc_id are left out.
+    document, which is linked as any of its texts is; rows without doc_id are
+    left out; an empty table gives an empty result; other columns are ignored.
     """
 
+    def common(n: int) -> int:
+        """How many of its first shingles a text of n has in common with one at least as large."""
+        return min(int(np.ceil(similarity * n - 1e-9)), max(LOW, -(-n // LOW_SHARE)))
+
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
@@ -220,40 +232,61 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits:
                 out[2].append(fingerprint(h * np.uint64(0x9E3779B97F4A7C15) ^ (h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)))
                 s = np.unique(hashes(grams(words, k))).view(np.int64)
                 least = int(np.ceil(similarity * len(s) - 1e-9))
-                out[3].append(np.sort(s)[: len(s) - least + min(LOW, least)])
-                out[4].append(min(LOW, int(np.ceil(similarity * np.ceil(similarity * len(s) - 1e-9) - 1e-9))))
+                out[3].append(np.sort(s)[: len(s) - least + common(len(s))])
+                out[4].append(common(least))
             columns = [batch.column(0), pa.array(out[0], pa.binary()), *(pa.array(np.array(c, np.uint64).view(np.int64), pa.int64()) for c in out[1:3]), pa.array(out[3], pa.list_(pa.int64())), pa.array(out[4], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "same", "fp1", "fp2", "low", "need"])
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The shingles of those texts whose words are the ones asked for, and
+        their parities by bucket."""
         for batch in batches:
-            sets = [np.unique(hashes(grams(words_of(x.as_py()), k))).view(np.int64) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
-
+            nodes, sets, sums = [], [], []
+            for text, node, same in zip(*batch.columns, strict=True):
+                words = words_of(text.as_py())
+                if hashlib.md5(b" ".join(words)).digest() == same.as_py():
+                    h = np.unique(hashes(grams(words, k)))
+                    nodes.append(node.as_py())
+                    sets.append(h.view(np.int64))
+                    sums.append([int(np.bitwise_xor.reduce(np.uint64(1) << (h[h >> np.uint64(6) & np.uint64(1) == b] & np.uint64(63)))) for b in (0, 1)])
+            columns = [pa.array(nodes, pa.int64()), pa.array([len(x) for x in sets], pa.int64()), *(pa.array(np.array([x[b] for x in sums], np.uint64).view(np.int64), pa.int64()) for b in (0, 1)), pa.array(sets, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "size", "all0", "all1", "shingles"])
+
+    bounded_batches(docs.sparkSession)
+    # rows are numbered where they are written; the first row of each text is its node
     own = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text")).where("doc_id is not null")
-    rows = stash(own.mapInArrow(sketch, "doc_id long, same binary, fp1 long, fp2 long, low array<long>, need long"))
-    nodes = stash(rows.groupBy("same").agg(F.min("doc_id").alias("node"), F.first("fp1").alias("fp1"), F.first("fp2").alias("fp2"), F.first("low").alias("low"), F.first("need").alias("need")))
-
-    def with_lone(sets: DataFrame, column: str) -> DataFrame:
-        """``sets`` with how many hashes of an array no other row has (lone),
-        and the parities of those that others have (p0, p1)."""
-        bit = ["if(h & 64 = 0, shiftleft(1L, cast(h & 63 as int)), 0L)", "if(h & 64 = 0, 0L, shiftleft(1L, cast(h & 63 as int)))"]
-        held = sets.select("node", F.explode(column).alias("h")).groupBy("h").agg(F.count("*").alias("n"), F.min("node").alias("node"))
-        lone = held.where("n = 1").groupBy("node").agg(F.count("*").alias("lone"), *(F.expr(f"bit_xor({x}) AS lone{i}") for i, x in enumerate(bit)))
-        others = {f"p{i}": F.expr(f"aggregate({column}, 0L, (all, h) -> all ^ {x}) ^ coalesce(lone{i}, 0L)") for i, x in enumerate(bit)}
-        return sets.join(lone, "node", "left").withColumns(others | {"lone": F.coalesce("lone", F.lit(0)).cast("long")}).drop("lone0", "lone1")
+    rows = stash(own.mapInArrow(sketch, "doc_id long, same binary, fp1 long, fp2 long, low array<long>, need long")).withColumn("row", F.monotonically_increasing_id())
+    firsts = rows.groupBy("same").agg(F.min("row").alias("node"))
+    named = stash(rows.select("doc_id", "row", "same").join(firsts, "same").select("doc_id", "row", "node"))
+    nodes = without(rows, named.where("row <> node").select(F.col("row").alias("id")), "row").withColumnRenamed("row", "node")
 
     held = nodes.select("node", F.explode("low").alias("h")).groupBy("h").agg(F.count("*").alias("n"), F.min("node").alias("node"))
     alone = held.where("n = 1").groupBy("node").agg(F.count("*").alias("alone"))
-    some = stash(nodes.select("node", "fp1", "fp2", "need", F.size("low").alias("n")).join(alone, "node", "left").where(F.col("n") - F.coalesce("alone", F.lit(0)) >= F.col("need")).select("node", "fp1", "fp2"))
-    chosen = some.select(F.col("node").alias("doc_id"))
-    sets = stash(own.join(F.broadcast(chosen) if chosen.count() <= BROADCAST_PAIRS else chosen, "doc_id", "left_semi").mapInArrow(shingled, "node long, shingles array<long>").dropDuplicates(["node"]))
-    counted = with_lone(sets, "shingles").select("node", F.size("shingles").cast("long").alias("size"), "lone", "p0", "p1").where(F.col("lone") <= (1 - similarity) * F.col("size") + 1e-9)
-    some = stash(some.join(counted, "node"))
+    some = stash(nodes.select("doc_id", "same", "node", "fp1", "fp2", "need", F.size("low").alias("n")).join(alone, "node", "left").where(F.col("n") - F.coalesce("alone", F.lit(0)) >= F.col("need")).select("doc_id", "same", "node", "fp1", "fp2"))
+
+    def spread(small: DataFrame) -> DataFrame:
+        return F.broadcast(small) if small.count() <= few else small
+
+    # a text that a document has in several rows is taken once
+    copies = named.groupBy("doc_id", "node").agg(F.count("*").alias("n")).where("n > 1").select("node")
+    chosen = stash(some.select("doc_id", "node", "same").join(copies.withColumn("again", F.lit(True)), "node", "left"))
+
+    def sets_of(part: DataFrame) -> DataFrame:
+        return own.join(spread(part.select("doc_id", "node", "same")), "doc_id").select("text", "node", "same").mapInArrow(shingled, "node long, size long, all0 long, all1 long, shingles array<long>")
+
+    sets, many = sets_of(chosen.where("again is null")), chosen.where("again")
+    sets = stash(sets if many.isEmpty() else sets.union(sets_of(many).dropDuplicates(["node"])))
+    # how many shingles no other text has (lone), and the parities of those that others have (p0, p1)
+    bit = ["if(h & 64 = 0, shiftleft(1L, cast(h & 63 as int)), 0L)", "if(h & 64 = 0, 0L, shiftleft(1L, cast(h & 63 as int)))"]
+    held = sets.select("node", F.explode("shingles").alias("h")).groupBy("h").agg(F.count("*").alias("n"), F.min("node").alias("node"))
+    lone = held.where("n = 1").groupBy("node").agg(F.count("*").alias("lone"), *(F.expr(f"bit_xor({x}) AS lone{i}") for i, x in enumerate(bit)))
+    counted = sets.select("node", "size", "all0", "all1").join(lone, "node", "left").select("node", "size", F.coalesce("lone", F.lit(0)).cast("long").alias("lone"), *(F.expr(f"all{i} ^ coalesce(lone{i}, 0L) AS p{i}") for i in (0, 1)))
+    some = stash(some.select("node", "fp1", "fp2").join(counted.where(F.col("lone") <= (1 - similarity) * F.col("size") + 1e-9), "node"))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        few = F.broadcast if pairs.count() <= BROADCAST_PAIRS else lambda x: x
-        both = few(pairs).join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("s_b")), "b")
+        asked = spread(stash(pairs.select("b").distinct()))
+        others = sets.select(F.col("node").alias("b"), F.col("shingles").alias("s_b")).join(asked, "b", "left_semi")
+        both = spread(pairs).join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s_a")), "a").join(others, "b")
         both = both.select("a", "b", F.size(F.array_intersect("s_a", "s_b")).alias("n"), (F.size("s_a") + F.size("s_b")).alias("total"))
         return stash(both.where(F.col("n") >= similarity * (F.col("total") - F.col("n")) - 1e-9).select("a", "b"))
 
@@ -271,14 +304,24 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits:
     links = verified(stash(star.where((F.col("m.node") != F.col("node")) & close & able("m.", "")).select(F.col("m.node").alias("a"), F.col("node").alias("b")).distinct()))
     # then all pairs that are still apart and share one of their first shingles
     parted = stash(some.select("node", *known).join(components(links), "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component"))
-    own_sets = sets.join(parted.select("node", "part"), "node")
-    each = own_sets.select("node", F.explode("shingles").alias("h"))
-    hot = stash(each.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= HOT))
-    late = each.join(F.broadcast(hot) if hot.count() <= BROADCAST_PAIRS else hot, "h").groupBy("node").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "h"))), lambda x: x["h"]).alias("late"))
-    last = F.coalesce("late", F.array().cast("array<long>"))
-    ordered = own_sets.join(late, "node", "left").select("node", "part", F.concat(F.array_except("shingles", last), last).alias("s"))
-    first = F.slice("s", 1, (F.size("s") - F.ceil(F.lit(similarity) * F.size("s") - 1e-9) + 1).cast("int"))
-    keys = stash(ordered.where("size(s) > 0").select("node", "part", F.posexplode(first).alias("at", "key")))
+    own_sets = sets.select("node", "shingles").join(spread(parted.select("node", "part")), "node")
+    often = stash(own_sets.select(F.explode("shingles").alias("h")).groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= HOT))
+    late = docs.sparkSession.sparkContext.broadcast(most_frequent(often))
+
+    def firsts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot, n = late.value
+        for batch in batches:
+            out: list[list[np.ndarray]] = [[], [], [], []]
+            for node, part, h in zip(*batch.columns, strict=True):
+                s = np.sort(h.values.to_numpy())
+                at = np.minimum(np.searchsorted(hot, s), max(0, len(hot) - 1))
+                s = s[np.argsort(np.where(hot[at] == s, n[at], 0), kind="stable")] if len(hot) else s
+                s = s[: len(s) - int(np.ceil(similarity * len(s) - 1e-9)) + 1]
+                for column, value in zip(out, (np.full(len(s), node.as_py()), np.full(len(s), part.as_py()), np.arange(len(s)), s), strict=True):
+                    column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *c]), pa.int64()) for c in out], names=["node", "part", "at", "key"])
+
+    keys = stash(own_sets.where("size(shingles) > 0").select("node", "part", "shingles").mapInArrow(firsts_of, "node long, part long, at long, key long"))
     mixed = keys.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("key")
     keys = stash(keys.join(mixed, "key").drop("part").join(parted, "node"))
     one, other = (keys.select("key", *(F.col(c).alias(f"{n}_{c}") for c in ("node", "part", "at", *known))) for n in ("a", "b"))
@@ -287,5 +330,26 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits:
     rest = F.least(*(F.col(f"{n}_size") - F.col(f"{n}_at") for n in ("a", "b")))
     apart &= rest * (1 + similarity) >= similarity * (F.col("a_size") + F.col("b_size")) - 1e-9
     links = links.union(verified(stash(one.join(other, "key").where(apart).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct())))
-    named = nodes.join(components(links), "node", "left").select("same", F.coalesce("component", "node").alias("component_id"))
-    return rows.join(named, "same").select("doc_id", "component_id").where("doc_id <> component_id").distinct()
+    # the texts of a document are one, too
+    texts = named.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("doc_id", "a")
+    links = links.union(named.join(texts, "doc_id").where("a <> node").select("a", F.col("node").alias("b")).distinct())
+    parts = stash(named.join(components(links), "node", "left").select("doc_id", F.coalesce("component", "node").alias("part")))
+    least = parts.groupBy("part").agg(F.min("doc_id").alias("component_id"), F.max("doc_id").alias("last")).where("last > component_id").drop("last")
+    return parts.join(least, "part").select("doc_id", "component_id").where("doc_id <> component_id").distinct()
+
+
+def most_frequent(counts: DataFrame, most: int = BROADCAST_PAIRS) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (sorted) of ``counts`` (h, n) and their counts: those of the largest
+    counts, by powers of two, ``most`` at most.  Which ones these are decides
+    about work only: any order of shingles that holds for all texts will do."""
+    level = F.floor(F.log2("n")).cast("int")
+    sizes = sorted(((r["level"], r["rows"]) for r in counts.groupBy(level.alias("level")).agg(F.count("*").alias("rows")).collect()), reverse=True)
+    taken, least = 0, 64
+    for at, n in sizes:
+        if taken + n > most:
+            break
+        taken, least = taken + n, at
+    found = counts.where(level >= least).select("h", "n").toArrow()
+    h, n = (found[c].to_numpy() for c in ("h", "n"))
+    order = np.argsort(h)
+    return h[order], n[order]

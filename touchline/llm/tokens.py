@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import text_of, worker_cache
+from .common import bounded_batches, text_of, worker_cache
 
 #: Longest unit, and most units, that one Python worker remembers.
 MEMO_CHARS, MEMO_UNITS = 48, 400_000
@@ -173,5 +173,6 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096, id_col: st
                 names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
             )
 
+    bounded_batches(docs.sparkSession)
     narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     return narrow.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

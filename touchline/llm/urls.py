@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, stash
+from .common import bounded_batches, lower_ascii, stash
 
 #: Longest context plus one; 2 to the power of BITS URLs are scored together.
 ORDER, BITS, STRENGTH = 5, 11, 4.0
@@ -147,6 +147,7 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "p
     and no rule; a null or empty URL scores 0.  Without URLs of both kinds every
     score is 0 and the verdict allow.  Repeated rows give repeated results.
     """
+    bounded_batches(pages.sparkSession)
     url = F.col(url_col)
     own = pages.select(pages[id_col].cast("long").alias("page_id"), F.coalesce(url, F.lit("")).alias("url"), host_of(url).alias("host"), path_of(url).alias("path"))
     chunk = F.shiftright(F.monotonically_increasing_id(), BITS).alias("chunk")
