@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; what one
 returns is written as Parquet and read again as the next one's ``docs``.  All
-but the last return the columns of ``docs``.
+but the last return the columns of ``docs``, whatever they are named: only
+doc_id and text are required.  Empty tables pass through every stage.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm import classifier, decontam, linededup, packing, simhash
+from touchline.llm.bloom import without
 from touchline.llm.common import stash, table
 
 #: No stage pair decides by SQL alone: the classifier is a trained model.
@@ -19,34 +21,43 @@ ORACLE_SQL = None
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts."""
-    scores = classifier.classify(docs, table(spark, sf_dir, "labels"))
-    rejected = scores.where("predicted = 0").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    """Rows that the classifier accepts, each judged on its own text: repeated
+    rows alike, those with a null doc_id too.  A null or empty text has the
+    share of good labels as its score."""
+    return classifier.accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that an earlier document holds; n_chars
-    follows the text."""
-    new = linededup.dedup_lines(docs, keep=[c for c in docs.columns if c not in ("doc_id", "text")])
-    if "n_chars" in docs.columns:
-        new = new.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return new.select(*docs.columns)
+    """All rows, without lines that a document with a smaller doc_id holds;
+    n_chars follows the text.  Rows of one doc_id lose the same lines, rows
+    without one none; a null text becomes an empty one."""
+    names = docs.columns
+    inner = [f"in_{i}" for i in range(len(names))]
+    own = docs.toDF(*inner)
+    doc_id, text = (inner[names.index(c)] for c in ("doc_id", "text"))
+    new = linededup.dedup_lines(own, id_col=doc_id, text_col=text, keep=[c for c in inner if c != text])
+    if "n_chars" in names:
+        at = inner[names.index("n_chars")]
+        new = new.withColumn(at, F.length("text").cast(own.schema[at].dataType))
+    return new.select(*(F.col("text" if c == text else c).alias(n) for c, n in zip(inner, names, strict=True)))
 
 
 def near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the smallest doc_id."""
-    extra = simhash.near_duplicates(docs).select("doc_id")
-    return docs.join(extra, "doc_id", "left_anti").select(*docs.columns)
+    """Rows of one document of each group of near-duplicates: the smallest
+    doc_id.  Null and blank texts are one group; repeated rows of the document
+    that stays all stay; rows without doc_id stay."""
+    return without(docs, simhash.near_duplicates(docs).select(F.col("doc_id").alias("id")))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
-    found = decontam.contained(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    """Rows of documents that contain no benchmark item.  Rows without doc_id
+    are searched row by row."""
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all rows in sequences of 4096 tokens, repeated rows and those
+    without doc_id one by one; a null text is its end token."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
