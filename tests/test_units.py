@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from touchline.functions import sanitise
 from touchline.functions.contracts import CONTRACTS
 from touchline.functions.scalars import fraction
 from touchline.functions.validate import validate_payload
@@ -115,8 +116,8 @@ def test_table_states(spark, tmp_path):
     assert sorted(map(tuple, wiped.collect())) == [(1, 1, "x"), (1, 1, "y")]
     path = f"{tmp_path}/t"
     tables.write_state(old, path)
-    tables.write_state(tables.keyed_upsert(spark.read.parquet(path), new, ["match_id", "k"], [F.col("seq")]), path)
-    assert spark.read.parquet(path).count() == 4
+    tables.write_state(tables.keyed_upsert(tables.read_state(spark, path, old.schema), new, ["match_id", "k"], [F.col("seq")]), path)
+    assert tables.read_state(spark, path, old.schema).count() == 4
     ids = tables.surrogate_ids(spark.range(1000).withColumn("x", F.xxhash64("id")), ["x"], start=10, name="n").collect()
     assert sorted(r.n for r in ids) == list(range(11, 1011)) and [r.n for r in sorted(ids, key=lambda r: r.x)] == list(range(11, 1011))
 
@@ -151,3 +152,69 @@ def test_calendar_documents_are_bounded(spark, tmp_path):
     spark.range(n).select(F.col("id").alias("o_orderkey"), F.lit(1).cast("long").alias("o_custkey"), F.lit("F").alias("o_orderstatus"), F.lit(10.0).alias("o_totalprice"), F.lit("1995-01-01").cast("timestamp").alias("o_orderdate"), F.lit("1-URGENT").alias("o_orderpriority")).write.parquet(f"{d}/orders.parquet")
     held = [r.n for r in enc.enc_events(spark, d).select(F.size(F.split("payload", '"startTimestamp"')).alias("n")).collect()]
     assert max(held) - 1 <= 1 << enc.PAGE_BITS and sum(held) - len(held) == n
+
+
+@pytest.mark.parametrize("step", ["write", "before_commit", "after_commit"])
+def test_a_crash_loses_no_state(spark, tmp_path, monkeypatch, step):
+    path, schema = f"{tmp_path}/t", "match_id long, v string"
+    frame = lambda rows: spark.createDataFrame(rows, schema)
+    tables.write_state(frame([(i, "a") for i in range(200)]), path)
+    commit = tables._commit
+
+    def crash(*a):
+        if step == "after_commit":
+            commit(*a)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(tables, "_commit", crash)
+    touched = [r.b for r in frame([(5, "b"), (900, "b")]).select(tables.bucket_of("match_id").alias("b")).distinct().collect()]
+
+    def write():
+        state = tables.wipe_replace(tables.read_state(spark, path, frame([]).schema, touched), frame([(5, ""), (900, "")]), frame([(5, "b"), (900, "b")]))
+        if step == "write":
+            state = state.withColumn("v", F.when(F.col("v") == "b", F.raise_error(F.lit("lost")).cast("string")).otherwise(F.col("v")))
+        tables.write_state(state, path, buckets=touched)
+
+    with pytest.raises(Exception, match="lost"):
+        write()
+    read = lambda: sorted(map(tuple, tables.read_state(spark, path, frame([]).schema).collect()))
+    before, after = sorted((i, "a") for i in range(200)), sorted([(i, "a") for i in range(200) if i != 5] + [(5, "b"), (900, "b")])
+    assert read() == (after if step == "after_commit" else before)
+    monkeypatch.setattr(tables, "_commit", commit)
+    step = ""
+    for _ in range(3):  # delivered again and again
+        write()
+        assert read() == after
+    made = [p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("v")]
+    assert len(made) <= 4
+    tables.write_state(frame([]), path, buckets=touched)
+    assert len(read()) < 200
+
+
+def test_renamings_exclude_each_other(spark):
+    made = spark.createDataFrame([("First team to score", "1X2", [("a", "true"), ("b", "false"), ("c", "false")])], "m string, g string, c array<struct<name:string,winning:string>>")
+    (got,) = made.select(sanitise.sanitise_choices(F.col("m"), F.col("g"), F.col("c")).alias("c")).collect()
+    assert [x.name for x in got.c] == ["1", "X", "2"]
+
+
+def test_lineup_defaults_and_types(spark):
+    player = '{"player":{"id":%d,"name":"n","slug":"s-l"},"teamId":1%s}'
+    side = lambda extra="": '{"players":[' + player % (1, "") + "," + player % (2, ',"captain":true,"statistics":{"totalKeeperSweeper":2,"rating":7.5}') + "]" + extra + "}"
+    frame = spark.createDataFrame([(1, '{"home":%s}' % side()), (2, '{"home":%s}' % side(',"missingPlayers":null')), (3, '{"home":%s}' % side(',"missingPlayers":[{"reason":"x"}]'))], "entity_id long, payload string")
+    got = {r.entity_id: r for r in validate_payload(frame, CONTRACTS["lineups"]).collect()}
+    assert got[1].is_valid and got[1].parsed.home.missingPlayers == [] and got[1].parsed.home.supportStaff == [] and got[1].parsed.home.players[1].statistics.totalKeeperSweeper == 2
+    assert [(e.path, e.code) for e in got[2].errors] == [("home.missingPlayers", "null")]
+    assert sorted((e.path, e.code) for e in got[3].errors) == [("home.missingPlayers[].player", "missing"), ("home.missingPlayers[].reason", "int")]
+    a, b = flatten.lineups(validate_payload(frame.where("entity_id = 1"), CONTRACTS["lineups"])).orderBy("seq").collect()
+    assert (a.goals, a.minutes_played, a.assists, a.rating, a.expected_assists, a.captain, a.substitute, a.player_slug) == (0, 0, None, None, None, None, None, "s-l")
+    assert (b.goals, b.minutes_played, b.rating, b.captain) == (None, None, 7.5, True)
+
+
+def test_network_actions_are_checked(spark):
+    goal = '{"incidentType":"goal","id":1,"time":5,"isHome":true,"incidentClass":"regular","reversedPeriodTime":40,"footballPassingNetworkAction":[%s]}'
+    page = '{"incidents":[' + goal + '],"home":{"goalkeeperColor":{},"playerColor":{}},"away":{"goalkeeperColor":{},"playerColor":{}}}'
+    action = '{"player":{"name":"p","id":1},"eventType":"pass","time":3,"playerCoordinates":{"x":1,"y":%s},"isHome":true}'
+    frame = spark.createDataFrame([(1, page % (action % "2.5")), (2, page % (action % '"far"'))], "entity_id long, payload string")
+    got = {r.entity_id: r for r in validate_payload(frame, CONTRACTS["incidents"]).collect()}
+    assert got[1].is_valid and got[1].parsed.incidents[0].footballPassingNetworkAction[0].playerCoordinates.y == 2.5
+    assert [(e.path, e.code, e.value) for e in got[2].errors] == [("incidents[].footballPassingNetworkAction[].playerCoordinates.y", "float", "far")]

@@ -47,16 +47,22 @@ PLAYER_INTS = (
     "minutesPlayed", "touches", "goals", "goalAssist", "totalPass", "accuratePass", "totalLongBalls", "accurateLongBalls", "totalCross", "accurateCross", "keyPass", "duelWon", "duelLost",
     "aerialWon", "aerialLost", "totalContest", "wonContest", "challengeLost", "dispossessed", "possessionLostCtrl", "fouls", "wasFouled", "totalTackle", "interceptionWon", "totalClearance",
     "outfielderBlock", "onTargetScoringAttempt", "blockedScoringAttempt", "shotOffTarget", "bigChanceCreated", "bigChanceMissed", "totalOffside", "saves", "punches", "goodHighClaim",
-    "savedShotsFromInsideTheBox", "errorLeadToAShot", "errorLeadToAGoal", "penaltyConceded",
+    "savedShotsFromInsideTheBox", "totalKeeperSweeper", "accurateKeeperSweeper", "errorLeadToAShot",
 )
 PLAYER_STATS = {**{k: "int" for k in PLAYER_INTS}, **{k: "float" for k in PLAYER_FLOATS}, "ratingVersions": "map"}
 LINEUP_PLAYER = {"player!": PLAYER, "teamId!": "int", "shirtNumber": "int", "jerseyNumber": "str", "position": "str", "substitute": "bool", "captain": "bool", "statistics": PLAYER_STATS}
 KIT = {"primary": "str", "number": "str", "outline": "str", "fancyNumber": "str"}
-SIDE = {"players!": [LINEUP_PLAYER], "supportStaff": ["raw"], "formation": "str", "playerColor": KIT, "goalkeeperColor": KIT, "missingPlayers": ["raw"]}
+MISSING = {"player!": PLAYER, "type": "str", "reason": "int"}
+SIDE = {"players!": [LINEUP_PLAYER], "supportStaff": (["raw"], []), "formation": "str", "playerColor": KIT, "goalkeeperColor": KIT, "missingPlayers": ([MISSING], [])}
+POINT = {"x!": "float", "y!": "float"}
+NETWORK_ACTION = {
+    "player!": PLAYER, "eventType!": "str", "time!": "int", "playerCoordinates!": POINT, "passEndCoordinates": POINT, "gkCoordinates": POINT, "goalShotCoordinates": POINT, "goalMouthCoordinates": POINT,
+    "goalkeeper": PLAYER, "isHome!": "bool", "isAssist": "bool", "bodyPart": "str", "goalType": "str",
+}
 INCIDENT = {
     "incidentType!": "str", "id": "int", "time": "int", "addedTime": "int", "text": "str", "homeScore": "int", "awayScore": "int", "isLive": "bool", "timeSeconds": "int", "reversedPeriodTime": "int",
     "reversedPeriodTimeSeconds": "int", "periodTimeSeconds": "int", "length": "int", "injury": "bool", "isHome": "bool", "incidentClass": "str", "playerIn": PLAYER, "playerOut": PLAYER,
-    "player": PLAYER, "playerName": "str", "reason": "str", "rescinded": "bool", "confirmed": "bool", "decision": "str", "assist1": PLAYER, "assist2": PLAYER, "footballPassingNetworkAction": ["raw"],
+    "player": PLAYER, "playerName": "str", "reason": "str", "rescinded": "bool", "confirmed": "bool", "decision": "str", "assist1": PLAYER, "assist2": PLAYER, "footballPassingNetworkAction": [NETWORK_ACTION],
 }
 # Required fields of each incident type; those in NULLABLE may hold a null.
 INCIDENT_REQUIRED = {
@@ -93,7 +99,7 @@ CONTRACTS = {
         Contract("events", {"events!": [EVENT]}, (("events[]", _flags), ("events[].time", ("injuryTime1", "injuryTime2")))),
         Contract("base", {"event!": BASE_EVENT}, (("event", _flags), ("event.time", ("injuryTime1", "injuryTime2")))),
         Contract("stats", {"statistics!": [{"period!": "str", "groups!": [{"groupName!": "str", "statisticsItems!": [STAT_ITEM]}]}]}),
-        Contract("lineups", {"confirmed": "bool", "home": SIDE, "away": SIDE}),
+        Contract("lineups", {"confirmed": "bool", "home": SIDE, "away": SIDE}, tuple((s, ("supportStaff", "missingPlayers")) for s in ("home", "away"))),
         Contract("incidents", {"incidents!": [INCIDENT], "home!": COLOUR_SIDE, "away!": COLOUR_SIDE}),
         Contract("graph", {"graphPoints": [{"minute!": "float", "value!": "int"}], "periodTime!": "int", "overtimeLength!": "int", "periodCount!": "int"}),
         Contract("odds", {"markets!": [MARKET], "eventId!": "int"}),

@@ -33,6 +33,13 @@ def names_first_team(market: Column, choices: Column) -> Column:
     return F.when((market == "First team to score") & (F.size(choices) == 3), _named(choices, NAMES_FIRST_TEAM)).otherwise(choices)
 
 
+def renamed(market: Column, group: Column, choices: Column) -> Column:
+    """The one renaming that fits, in this order: 1X2, first team, Asian."""
+    three, kind = F.size(choices) == 3, F.lower(market) == "asian handicap"
+    first = F.when((market == "First team to score") & three, names_first_team(market, choices)).when(kind, names_asian(market, choices)).otherwise(choices)
+    return F.when((group == "1X2") & three, names_1x2(group, choices)).otherwise(first)
+
+
 def names_asian(market: Column, choices: Column) -> Column:
     """The line in brackets stays, the rest becomes the role."""
     roles = F.array(*map(F.lit, ROLES_ASIAN))
@@ -74,7 +81,7 @@ def winning_flags(choices: Column, corrupted: Column, keep_all: Column | None =
 
 def sanitise_choices(market: Column, group: Column, choices: Column) -> Column:
     """All steps in order; ``winning`` comes out as 'true', 'false' or null."""
-    named = let(names_1x2(group, choices), lambda c: let(names_first_team(market, c), lambda d: let(names_asian(market, d), dedupe_names)))
+    named = let(renamed(market, group, choices), dedupe_names)
     flags = let(F.transform(choices, lambda c: winning_bool(c["winning"])), single_winner)
     flags = F.when(duplicate_flag(choices), F.transform(choices, lambda c: F.lit(None).cast("boolean"))).otherwise(flags)
     return F.zip_with(named, flags, lambda c, w: c.withField("winning", w.cast("string")))

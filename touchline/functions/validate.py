@@ -73,7 +73,8 @@ def _gather(ones: list[Column], many: list[Column]) -> Column:
 
 def typed_value(value: Column, kind: Any) -> Column:
     if isinstance(kind, tuple):
-        return F.when(value.isNull(), F.lit(kind[1])).otherwise(typed_value(value, kind[0]))
+        default = F.array().cast(typed(kind)) if isinstance(kind[0], list) else F.lit(kind[1])
+        return F.when(value.isNull(), default).otherwise(typed_value(value, kind[0]))
     if isinstance(kind, list):
         return value if kind[0] in ("str", "raw") else F.transform(value, lambda x: typed_value(x, kind[0]))
     if isinstance(kind, dict):
@@ -81,9 +82,10 @@ def typed_value(value: Column, kind: Any) -> Column:
     return value if kind in ("str", "raw", "map") else coerce(value, kind)
 
 
-def faults(value: Column, kind: Any, path: str, required: bool, nullable: bool, parent: Column | None) -> tuple[list[Column], list[Column]]:
-    """Errors of a value: single ones, and arrays of those inside arrays.  What
-    is required is only missed where ``parent`` is there."""
+def faults(value: Column, made: Column, kind: Any, path: str, required: bool, nullable: bool, parent: Column | None) -> tuple[list[Column], list[Column]]:
+    """Errors of a value and what was ``made`` of it: single ones, and arrays of
+    those inside arrays.  A leaf that is there but could not be made is wrong.
+    What is required is only missed where ``parent`` is there."""
     if isinstance(kind, tuple):
         kind = kind[0]
     ones, many = [], []
@@ -91,15 +93,15 @@ def faults(value: Column, kind: Any, path: str, required: bool, nullable: bool,
         ones.append(F.when(value.isNull() if parent is None else value.isNull() & parent.isNotNull(), _fault(path, "missing")))
     if isinstance(kind, list):
         if isinstance(kind[0], dict):
-            many.append(F.flatten(F.transform(value, lambda x: _gather(*faults(x, kind[0], path + "[]", True, False, None)))))
+            many.append(F.flatten(F.zip_with(value, made, lambda x, t: _gather(*faults(x, t, kind[0], path + "[]", True, False, None)))))
     elif isinstance(kind, dict):
         for name, sub in kind.items():
             key, need, may_null = _split(name)
-            more = faults(value[key], sub, f"{path}.{key}".lstrip("."), need, may_null, value)
+            more = faults(value[key], made[key], sub, f"{path}.{key}".lstrip("."), need, may_null, value)
             ones += more[0]
             many += more[1]
     elif kind not in ("str", "raw", "map"):
-        ones.append(F.when(value.isNotNull() & coerce(value, kind).isNull(), _fault(path, kind, value)))
+        ones.append(F.when(value.isNotNull() & made.isNull(), _fault(path, kind, value)))
     return ones, many
 
 
@@ -154,12 +156,13 @@ def validate_payload(df: DataFrame, contract: Contract, payload: str = "payload"
     out = once(df, _shadow=F.from_json(text, shadow(wanted)))
     code = F.col("_shadow.error.code").try_cast("int") if not parity or contract.name == "odds" else F.lit(None).cast("int")
     value = F.col("_shadow")
-    ones, many = faults(value, contract.fields, "", False, True, None)
+    out = once(out, parsed=typed_value(value, contract.fields), _code=code)
+    ones, many = faults(value, F.col("parsed"), contract.fields, "", False, True, None)
     if contract.name == "incidents":
         many.append(incident_errors(value["incidents"]))
     for where, names in contract.no_nulls:
-        many.append(explicit_nulls(text, where, names))
-    out = once(out, parsed=typed_value(value, contract.fields), errors=_gather(ones, many), _code=code).drop("_shadow")
+        many.append(F.when(text.contains("null"), explicit_nulls(text, where, names)))  # most payloads have none
+    out = once(out, errors=_gather(ones, many)).drop("_shadow")
     reason = F.when(is_empty(text), "empty").when(F.col("_code").isNotNull(), F.concat(F.lit("http_"), F.col("_code").cast("string"))).when(F.size("errors") > 0, "invalid_contract")
     return once(out, reason=reason).drop("_code").withColumn("is_valid", F.col("reason").isNull())
 

@@ -108,10 +108,11 @@ def workflow(runs: DataFrame, schemas: dict[str, str], attempts: DataFrame) -> D
 
 
 def review_report(fps: DataFrame, component: str, schema: str) -> DataFrame:
-    """Paths in which other runs differ from the largest group's."""
+    """Paths in which other runs differ from the largest group of equal ones; of
+    several largest the one with the smallest run_id leads."""
     own = fps.where((F.col("component") == component) & F.col("fp").isNotNull())
-    sized = own.withColumn("size", F.count("*").over(Window.partitionBy("match_id", "fp")))
-    lead = sized.groupBy("match_id").agg(F.max_by("payload", F.struct("size", "fp", "run_id")).alias("lead"), F.max_by("fp", F.struct("size", "fp", "run_id")).alias("lead_fp"))
+    groups = own.groupBy("match_id", "fp").agg(F.count("*").alias("size"), F.min("run_id").alias("first"), F.min_by("payload", "run_id").alias("payload"))
+    lead = groups.groupBy("match_id").agg(F.min_by(F.struct("payload", "fp"), F.struct(-F.col("size"), "first")).alias("lead")).select("match_id", F.col("lead.payload").alias("lead"), F.col("lead.fp").alias("lead_fp"))
     both = own.join(lead, "match_id").where("fp <> lead_fp").withColumn("a", F.from_json("lead", schema)).withColumn("b", F.from_json("payload", schema))
     kind = StructType([f for f in both.schema["a"].dataType.fields if f.name not in EXCLUDED])
     return both.select("match_id", F.lit(component).alias("component"), "run_id", F.explode(delta("a", "b", kind)).alias("d")).select("match_id", "component", "run_id", "d.path", "d.a", "d.b")

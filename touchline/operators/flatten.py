@@ -54,8 +54,9 @@ def match(df: DataFrame) -> DataFrame:
         e["id"].alias("match_id"), e["season"]["id"].alias("season_id"), e["tournament"]["id"].alias("tournament_id"), e["slug"].alias("slug"), epoch_utc(e["startTimestamp"]).alias("start_time"), e["status"]["type"].alias("status_type"),
         e["status"]["description"].alias("status_text"), e["winnerCode"].alias("winner_code"), e["roundInfo"]["round"].alias("round"), e["homeTeam"]["name"].alias("home_team"), e["awayTeam"]["name"].alias("away_team"),
         safe_get(e["homeScore"], "current").alias("home_score"), safe_get(e["awayScore"], "current").alias("away_score"), safe_get(e["homeScore"], "period1").alias("home_score_ht"), safe_get(e["awayScore"], "period1").alias("away_score_ht"),
-        safe_get(e["homeTeam"]["manager"], "name").alias("home_manager"), safe_get(e["awayTeam"]["manager"], "name").alias("away_manager"), e["venue"]["name"].alias("venue"), e["venue"]["city"]["name"].alias("venue_city"),
-        safe_get(e["referee"], "name").alias("referee"), e["attendance"].alias("attendance"), e["time"]["injuryTime1"].alias("injury_time1"), e["time"]["injuryTime2"].alias("injury_time2"), F.col("payload").alias("raw"),
+        e["homeTeam"]["slug"].alias("home_slug"), e["awayTeam"]["slug"].alias("away_slug"), safe_get(e["homeTeam"]["manager"], "name").alias("home_manager"), safe_get(e["awayTeam"]["manager"], "name").alias("away_manager"), e["venue"]["name"].alias("venue"), e["venue"]["city"]["name"].alias("venue_city"),
+        *(e[f"{side}Team"]["venue"]["name"].alias(f"{side}_venue") for side in ("home", "away")), *(e[f"{side}Team"]["venue"]["city"]["name"].alias(f"{side}_venue_city") for side in ("home", "away")),
+        safe_get(e["referee"], "name").alias("referee"), e["attendance"].alias("attendance"), *(safe_get(e["time"], f"injuryTime{k}", F.lit(0).cast("long")).alias(f"injury_time{k}") for k in (1, 2)), F.col("payload").alias("raw"),
     )
 
 
@@ -71,19 +72,21 @@ def statistics(df: DataFrame) -> DataFrame:
 
 
 #: Line-up statistics that have a column of their own.
-PROMOTED = {"goals": "goals", "goalAssist": "assists", "minutesPlayed": "minutes_played", "rating": "rating", "expectedGoals": "expected_goals"}
+PROMOTED = {"goals": "goals", "goalAssist": "assists", "minutesPlayed": "minutes_played", "rating": "rating", "expectedGoals": "expected_goals", "expectedAssists": "expected_assists"}
+#: Those that are 0 for a player without a statistics object; the others are null there.
+ZERO = ("goals", "minutesPlayed")
 
 
 def lineups(df: DataFrame) -> DataFrame:
-    """Home then away players; a promoted statistic is 0 only where the player
-    has no statistics object at all."""
+    """Home then away players; of a player without a statistics object
+    goals and minutes are 0 and the other promoted statistics null."""
     side = lambda name: F.transform(F.coalesce(F.col(f"parsed.{name}.players"), F.array().cast(df.schema["parsed"].dataType[name].dataType["players"].dataType)), lambda p: F.struct(F.lit(name).alias("side"), p.alias("p")))
     one = df.select(F.col("entity_id").alias("match_id"), F.posexplode(F.concat(side("home"), side("away"))).alias("seq", "x")).select("match_id", "seq", "x.side", "x.p")
     stats = F.col("p.statistics")
-    kept = {k: safe_get(stats, k, F.lit(0).cast("double" if k in ("rating", "expectedGoals") else "long")).alias(v) for k, v in PROMOTED.items()}
+    kept = {k: safe_get(stats, k, F.lit(0).cast("long") if k in ZERO else None).alias(v) for k, v in PROMOTED.items()}
     return one.select(
-        "match_id", F.col("p.player.id").alias("player_id"), "side", "seq", F.col("p.teamId").alias("team_id"), F.col("p.player.name").alias("player_name"), F.coalesce(F.nullif(F.col("p.position"), F.lit("")), F.col("p.player.position")).alias("position"),
-        F.col("p.shirtNumber").alias("shirt_number"), F.coalesce("p.substitute", F.lit(False)).alias("substitute"), F.coalesce("p.captain", F.lit(False)).alias("captain"), *kept.values(), F.to_json(stats).alias("statistics"),
+        "match_id", F.col("p.player.id").alias("player_id"), "side", "seq", F.col("p.teamId").alias("team_id"), F.col("p.player.name").alias("player_name"), F.col("p.player.slug").alias("player_slug"), F.coalesce(F.nullif(F.col("p.position"), F.lit("")), F.col("p.player.position")).alias("position"),
+        F.col("p.shirtNumber").alias("shirt_number"), F.col("p.substitute").alias("substitute"), F.col("p.captain").alias("captain"), *kept.values(), F.to_json(stats).alias("statistics"),
     )
 
 
@@ -114,7 +117,7 @@ def odds(df: DataFrame) -> DataFrame:
     markets = zipped(df.select("entity_id", "payload", "parsed"), "parsed.markets", "$.markets", ("m", "raw"))
     one = markets.select(F.col("entity_id").alias("match_id"), "m", "raw", F.explode("m.choices").alias("c"))
     return one.select(
-        "match_id", F.col("m.marketId").alias("market_id"), F.col("m.marketName").alias("market_name"), F.coalesce(F.nullif(F.col("m.choiceGroup"), F.lit("")), F.lit("default")).alias("choice_group"), F.col("c.name").alias("choice_name"),
+        "match_id", F.col("m.marketId").alias("market_id"), F.col("m.marketName").alias("market_name"), F.col("m.isLive").alias("is_live"), F.col("m.suspended").alias("suspended"), F.coalesce(F.nullif(F.col("m.choiceGroup"), F.lit("")), F.lit("default")).alias("choice_group"), F.col("c.name").alias("choice_name"),
         F.col("c.initialFractionalValue.num").alias("initial_num"), F.col("c.initialFractionalValue.den").alias("initial_den"), F.col("c.fractionalValue.num").alias("num"), F.col("c.fractionalValue.den").alias("den"),
         F.col("c.winning").alias("winning"), F.col("c.change").alias("change"), "raw",
     )

@@ -1,16 +1,19 @@
 """Writing and checking the stored tables, on plain Parquet.
 
 Parquet has no MERGE or DELETE, so both write modes compute the new state as a
-DataFrame; ``write_state`` stages it beside the table and swaps folders, and
-never overwrites what the plan is still reading.
+DataFrame; ``write_state`` writes the buckets it touches into a new folder and
+commits them by one small file, so a crash leaves the state before.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 @dataclass(frozen=True)
@@ -27,14 +30,14 @@ TABLES = {
     for t in (
         TableSpec("tournaments", "tournament_id bigint, name string, sport string, country string, raw string", ("tournament_id",), ("name",)),
         TableSpec("seasons", "season_id bigint, tournament_id bigint, year string, name string, raw string", ("season_id",), ("year",)),
-        TableSpec("events", "match_id bigint, season_id bigint, tournament_id bigint, slug string, status_type string, start_timestamp bigint, has_xg boolean, has_player_heat_map boolean, raw string", ("match_id",), ("season_id",)),
+        TableSpec("events", "match_id bigint, season_id bigint, tournament_id bigint, slug string, home_slug string, away_slug string, round bigint, status_type string, start_timestamp bigint, has_global_highlights boolean, has_xg boolean, has_player_statistics boolean, has_player_heat_map boolean, raw string", ("match_id",), ("home_slug", "away_slug")),
         TableSpec("match_component_audit", "audit_id bigint, match_id bigint, component_name string, status string, retry_count int, last_attempted_at timestamp, error_message string", ("match_id", "component_name"), ("match_id", "component_name", "status")),
-        TableSpec("matches", "match_id bigint, season_id bigint, home_team string, away_team string, home_score bigint, away_score bigint, raw string", ("match_id",)),
-        TableSpec("match_statistics", "match_id bigint, period string, group_name string, stat_key string, home_value double, away_value double", ("match_id", "period", "group_name", "stat_key"), (), "replace"),
-        TableSpec("match_player_lineups", "match_id bigint, player_id bigint, side string, team_id bigint, statistics string", ("match_id", "player_id")),
-        TableSpec("match_incidents", "id bigint, match_id bigint, incident_type string, time bigint, added_time bigint, is_home boolean, data string", ("id",), ("incident_type",), "replace"),
+        TableSpec("matches", "match_id bigint, tournament_id bigint, season_id bigint, slug string, start_time timestamp, home_slug string, away_slug string, status_type string, injury_time1 bigint, injury_time2 bigint, home_score_ht bigint, home_score bigint, away_score_ht bigint, away_score bigint, round bigint, winner_code bigint, home_manager string, away_manager string, home_venue string, away_venue string, home_venue_city string, away_venue_city string, raw string", ("match_id",), ("home_slug", "away_slug")),
+        TableSpec("match_statistics", "match_id bigint, period string, group_name string, stat_key string, name string, home string, away string, home_value double, away_value double, home_total bigint, away_total bigint, compare_code bigint, statistics_type string, value_type string, render_type bigint", ("match_id", "period", "group_name", "stat_key"), (), "replace"),
+        TableSpec("match_player_lineups", "match_id bigint, player_id bigint, team_id bigint, side string, player_name string, player_slug string, position string, shirt_number bigint, substitute boolean, captain boolean, minutes_played bigint, rating double, goals bigint, expected_goals double, expected_assists double, statistics string", ("match_id", "player_id"), ("team_id", "side", "player_name")),
+        TableSpec("match_incidents", "id bigint, match_id bigint, incident_type string, time bigint, added_time bigint, is_home boolean, data string", ("id",), ("match_id", "incident_type"), "replace"),
         TableSpec("match_graph", "match_id bigint, period_time bigint, overtime_length bigint, period_count bigint, points string", ("match_id",)),
-        TableSpec("match_odds", "match_id bigint, market_id bigint, choice_group string, choice_name string, num int, den int, winning boolean, change bigint, raw string", ("match_id", "market_id", "choice_group", "choice_name"), (), "replace"),
+        TableSpec("match_odds", "match_id bigint, market_id bigint, choice_group string, choice_name string, market_name string, is_live boolean, suspended boolean, initial_num int, initial_den int, num int, den int, winning boolean, change bigint, raw string", ("match_id", "market_id", "choice_group", "choice_name"), ("market_name",), "replace"),
     )
 }
 
@@ -83,7 +86,7 @@ def violations(df: DataFrame, table: str, key: list[str], not_null: list[str] =
 
 
 def create_schema(spark: SparkSession, database: str, drop: bool = False) -> None:
-    """All tables as Parquet tables of a database; ``drop`` removes it first."""
+    """All tables as Parquet tables of a database; ``drop`` removes it first, with all its tables."""
     if drop:
         spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
@@ -91,16 +94,72 @@ def create_schema(spark: SparkSession, database: str, drop: bool = False) -> Non
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{t.name} ({t.ddl}) USING parquet")
 
 
-def write_state(df: DataFrame, path: str) -> None:
-    """Replaces the table folder at ``path`` by ``df``: staged, then swapped."""
+#: Rows of a state lie in so many buckets by the hash of their key; a write makes those it touches anew.
+BUCKETS = 64
+
+
+def bucket_of(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def _files(spark: SparkSession, path: str):
+    """Hadoop's file system of ``path`` and its maker of paths."""
+    of = spark._jvm.org.apache.hadoop.fs.Path
+    return of(path).getFileSystem(spark._jsc.hadoopConfiguration()), of
+
+
+def _commits(spark: SparkSession, path: str) -> list[int]:
+    fs, of = _files(spark, path)
+    where = of(f"{path}/commits")
+    names = [x.getPath().getName() for x in fs.listStatus(where)] if fs.exists(where) else []
+    return sorted(int(n[:-5]) for n in names if n.endswith(".json"))
+
+
+def _manifest(spark: SparkSession, path: str, number: int) -> dict[int, str]:
+    """The folder of each bucket after a commit."""
+    (text,) = [r["value"] for r in spark.read.text(f"{path}/commits/{number:010d}.json").collect()]
+    return {int(k): v for k, v in json.loads(text).items()}
+
+
+def read_state(spark: SparkSession, path: str, schema: StructType, buckets: list[int] | None = None) -> DataFrame:
+    """The rows of a state after its last commit, or of some of its buckets;
+    none before the first one."""
+    done = _commits(spark, path)
+    found = _manifest(spark, path, done[-1]) if done else {}
+    folders = [f"{path}/{v}/bucket={k}" for k, v in sorted(found.items()) if buckets is None or k in buckets]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
+def write_state(df: DataFrame, path: str, key: str = "match_id", buckets: list[int] | None = None) -> None:
+    """``df`` is the state at ``path``, or all of some of its ``buckets``.
+
+    New files go to a folder of their own; then one small file names the folder
+    of each bucket, which takes effect as a whole by a rename, the last step.
+    Until then the state before stands: a crash at any point loses nothing and
+    leaves at most a folder that nobody names.  Folders that neither this state
+    nor the one before names are deleted, so running readers end in peace.
+    """
     spark = df.sparkSession
-    staged, old = f"{path}._staging", f"{path}._old"
-    df.write.mode("overwrite").parquet(staged)
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(conf)
-    if fs.exists(target):
-        fs.delete(jvm.org.apache.hadoop.fs.Path(old), True)
-        fs.rename(target, jvm.org.apache.hadoop.fs.Path(old))
-    fs.rename(jvm.org.apache.hadoop.fs.Path(staged), target)
-    fs.delete(jvm.org.apache.hadoop.fs.Path(old), True)
+    done = _commits(spark, path)
+    number, before = (done[-1] + 1, _manifest(spark, path, done[-1])) if done else (0, {})
+    folder = f"v{number:010d}-{uuid.uuid4().hex[:8]}"
+    df.withColumn("bucket", bucket_of(key)).write.partitionBy("bucket").parquet(f"{path}/{folder}")
+    fs, of = _files(spark, path)
+    made = {int(n[7:]): folder for n in (x.getPath().getName() for x in fs.listStatus(of(f"{path}/{folder}"))) if n.startswith("bucket=")}
+    now = {k: v for k, v in before.items() if buckets is not None and k not in buckets} | made
+    _commit(spark, path, number, now)
+    kept = {*now.values(), *before.values(), "commits"}
+    for x in fs.listStatus(of(path)):
+        name = x.getPath().getName()
+        if name not in kept and name < folder:
+            fs.delete(x.getPath(), True)
+
+
+def _commit(spark: SparkSession, path: str, number: int, manifest: dict[int, str]) -> None:
+    fs, of = _files(spark, path)
+    staged = of(f"{path}/commits/.{uuid.uuid4().hex}")
+    out = fs.create(staged, True)
+    out.write(bytearray(json.dumps(manifest).encode()))
+    out.close()
+    if not fs.rename(staged, of(f"{path}/commits/{number:010d}.json")):
+        raise OSError(f"{path}: another writer has made commit {number}")
