@@ -46,9 +46,11 @@ def season_id(nation: Column, year: Column) -> Column:
 
 
 def matches(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders with their customer, nation and region."""
+    """Orders with their customer, nation and region, dealt out by the order
+    after the join: where Spark broadcasts one side the other's partitions, which
+    may be one, would hold all documents."""
     customers = table(spark, sf, "customer").join(F.broadcast(nations(spark, sf)), F.col("c_nationkey") == F.col("n_nationkey"))
-    return by(table(spark, sf, "orders"), "o_custkey").join(customers, F.col("o_custkey") == F.col("c_custkey")).withColumn("year", F.year("o_orderdate"))
+    return by(table(spark, sf, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey")), "o_orderkey").withColumn("year", F.year("o_orderdate"))
 
 
 def season() -> Column:
