@@ -7,6 +7,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -19,7 +20,7 @@ from .common import bounded_batches, stash, text_of, worker_cache
 #: Pieces that one packing group holds on average, whatever the input's size.
 GROUP_PIECES = 2048
 PIECE = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
-MEMO_CHARS, MEMO_WORDS = 48, 600_000
+MEMO_CHARS, MEMO_WORDS = 48, 300_000
 #: Texts of these characters alone are cut into words here; others go to the library whole.
 PLAIN = re.compile("[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
 #: The tokenizer's own pattern (letters first), written for lower-cased texts of those characters.
@@ -74,8 +75,8 @@ class ChunkEncoder:
         words, memo = self.parts(text.lower()), self.memo
         if new := list(set(words).difference(memo)):
             if len(memo) + len(new) > MEMO_WORDS:
-                memo.clear()
-                new = list(set(words))
+                memo = self.memo = dict(islice(memo.items(), MEMO_WORDS // 2))  # those that came first are the most frequent ones
+                new = list(set(words).difference(memo))
             self.learn(new)
         out = b"".join(map(memo.__getitem__, words))
         for word in new:
