@@ -38,10 +38,13 @@ def match_info(flat: DataFrame) -> DataFrame:
 
 
 def season_totals(errors: DataFrame, season: Column) -> DataFrame:
-    """season, matches, with and without errors, failed components, rate text."""
-    failed = F.transform(F.array_sort(F.collect_list(F.when(F.col("has_errors"), F.col("match_id")))), lambda m: m.cast("string"))
-    out = errors.groupBy(season.alias("season_id")).agg(F.count("*").alias("total"), F.count_if(~F.col("has_errors")).alias("successful"), F.count_if("has_errors").alias("failed"), F.sum(F.size("failed")).alias("failed_components"), F.array_join(failed, ",").alias("failed_matches"))
-    return out
+    """season, matches, with and without errors, failed components."""
+    return errors.groupBy(season.alias("season_id")).agg(F.count("*").alias("total"), F.count_if(~F.col("has_errors")).alias("successful"), F.count_if("has_errors").alias("failed"), F.sum(F.size("failed")).alias("failed_components"))
+
+
+def season_failures(errors: DataFrame, season: Column) -> DataFrame:
+    """The failed matches of each season, a row each: a season may have any number."""
+    return errors.where("has_errors").select(season.alias("season_id"), "match_id", error_text(F.col("failed")).alias("summary"))
 
 
 def rate_text(good: Column, total: Column) -> Column:
