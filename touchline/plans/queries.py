@@ -491,9 +491,10 @@ def snk_wipe_replace(spark, sf):
     return tables.wipe_replace(old, checked.select(F.col("entity_id").alias("match_id")), flatten.odds(checked))
 
 
-@q("SELECT 'stats' AS component, count(*) AS n FROM s UNION ALL SELECT 'odds', count(*) FROM o WHERE NOT bad UNION ALL SELECT 'graph', count(DISTINCT user_id) FROM events", (S, O))
+@q("""SELECT 'tournament' AS component, count(*) AS n FROM nation UNION ALL SELECT 'seasons', count(DISTINCT season_id) FROM m UNION ALL SELECT 'events', count(*) FROM m UNION ALL SELECT 'base', count(*) FROM m UNION ALL SELECT 'stats', count(*) FROM s UNION ALL SELECT 'lineup', count(*) FROM lineitem
+UNION ALL SELECT 'incidents', count(*) FROM events UNION ALL SELECT 'graph', count(DISTINCT user_id) FROM events UNION ALL SELECT 'odds', count(*) FROM o WHERE NOT bad""", (M, S, O))
 def snk_route(spark, sf):
-    made = {"stats": enc.enc_stats, "odds": enc.enc_odds, "graph": enc.enc_graph}
+    made = {"tournament": enc.enc_tournament, "seasons": enc.enc_seasons, "events": enc.enc_events, "base": enc.enc_base, "stats": enc.enc_stats, "lineup": enc.enc_lineups, "incidents": enc.enc_incidents, "graph": enc.enc_graph, "odds": enc.enc_odds}
     out = None
     for name, f in made.items():
         one = route(name, f(spark, sf))[0].agg(F.count("*").alias("n")).select(F.lit(name).alias("component"), "n")
@@ -622,9 +623,10 @@ def cns_runs(spark, sf):
     return cns.run_stats(spark.read.parquet(path))
 
 
-@q("SELECT o_orderkey AS match_id, sha256('{\"kind\":\"' || o_orderstatus || '\",\"total\":' || CAST(o_custkey AS VARCHAR) || '}') AS fp FROM orders")
+@q("""SELECT o_orderkey AS match_id, 'stats' AS component, 'run' || CAST(run AS VARCHAR) AS run_id, sha256('{"kind":"' || o_orderstatus || '","total":' || CAST(o_custkey + CASE WHEN (run = 2 AND o_orderkey % 5 = 0) OR (run = 3 AND o_orderkey % 7 = 0) THEN run ELSE 0 END AS VARCHAR) || '}') AS fp FROM orders, range(1, 4) z(run)
+UNION ALL SELECT o_orderkey, 'graph', 'run' || CAST(run AS VARCHAR), CASE WHEN run < 3 OR o_orderkey % 11 <> 0 THEN sha256('{"points":' || CASE WHEN o_orderkey % 4 = 0 AND ((run = 2 AND o_orderkey % 5 = 0) OR (run = 3 AND o_orderkey % 7 = 0)) THEN '9' ELSE '3' END || ',"total":' || CAST(o_custkey AS VARCHAR) || '}') END FROM orders, range(1, 4) z(run) WHERE o_orderkey % 2 = 0""")
 def cns_fingerprint(spark, sf):
-    return run_fps(spark, sf).where("component = 'stats' and run_id = 'run1'").select("match_id", "fp")
+    return run_fps(spark, sf).select("match_id", "component", "run_id", "fp")
 
 
 ASSESS = "a AS (SELECT id AS match_id, 'stats' AS component, CASE WHEN id % 17 IN (1, 3) THEN 'missing' WHEN id % 17 IN (4, 5) THEN 'error' WHEN id % 17 = 2 OR n = 0 THEN 'invalid' ELSE 'valid' END AS state FROM (SELECT o_orderkey AS id, count(l_orderkey) AS n FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1) UNION ALL SELECT id, 'graph', CASE WHEN id % 17 IN (1, 3) THEN 'missing' WHEN id % 17 IN (4, 5) THEN 'error' WHEN id % 17 = 2 OR id % 10 = 0 OR n < 5 THEN 'invalid' ELSE 'valid' END FROM (SELECT user_id AS id, count(*) AS n FROM events GROUP BY 1))"
