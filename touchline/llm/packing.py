@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from itertools import islice
@@ -28,61 +29,59 @@ PARTS = "[a-zß-öø-ÿ]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\\sa-zß-öø-ÿ0-9]+"
 PRE_TOKENIZER = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
 
+class WordIds(dict):
+    """Ids of words as little-endian unsigned 32-bit bytes, worked out by the
+    tokenizer's model when first asked for; those of short words are kept."""
+
+    def __init__(self, tokenize, byte_letters: dict[int, str]):
+        self.tokenize, self.byte_letters = tokenize, byte_letters
+
+    def __missing__(self, word: str) -> bytes:
+        ids = [t.id for t in self.tokenize(word if word.isascii() else word.translate(self.byte_letters))]
+        out = struct.pack(f"<{len(ids)}I", *ids)
+        if len(word) <= MEMO_CHARS:
+            if len(self) >= MEMO_WORDS:
+                first = [*islice(self.items(), MEMO_WORDS // 2)]  # those that came first are the most frequent ones
+                self.clear()
+                self.update(first)
+            self[word] = out
+        return out
+
+
 class ChunkEncoder:
     """Token ids of a text as little-endian unsigned 32-bit bytes.
 
     A tokenizer that lower-cases, drops white space, splits words off by
-    PRE_TOKENIZER and marks the last token of each word encodes each word on
-    its own.  So the library encodes each distinct word once (many at a time,
-    cut apart at the marks), a worker remembers the ids of short words, and a
-    text is put together from them.  Texts with other characters or a special
-    token, and all texts under a tokenizer of another make, go to the library
-    whole.
+    PRE_TOKENIZER and writes their bytes as letters encodes each word on its
+    own.  So texts of PLAIN characters are cut into words here, the tokenizer's
+    model encodes each distinct word once, and a text is put together from
+    their ids.  Texts with other characters or a special token, and all texts
+    under a tokenizer of another make, go to the library whole.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
         self.parts = re.compile(PARTS).findall
-        self.memo: dict[str, bytes] = {}
         made = json.loads(self.tok.to_str())
         steps = [n["type"] for n in (made["normalizer"] or {}).get("normalizers", [])]
-        split = ((made["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0].get("pattern", {}).get("Regex")
-        mark = made["model"].get("end_of_word_suffix")
-        self.by_word = bool(mark) and steps == ["NFC", "Replace", "Lowercase"] and split == PRE_TOKENIZER
+        split, *letters = (made["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+        as_bytes = [(x["type"], x["add_prefix_space"], x["use_regex"]) for x in letters if x["type"] == "ByteLevel"]
+        self.by_word = steps == ["NFC", "Replace", "Lowercase"] and split.get("pattern", {}).get("Regex") == PRE_TOKENIZER and len(letters) == 1 and as_bytes == [("ByteLevel", False, False)]
         self.special = [t["content"] for t in made["added_tokens"]]
-        self.ends = np.zeros(self.tok.get_vocab_size(), bool)
-        if self.by_word:
-            self.ends[[i for t, i in self.tok.get_vocab(False).items() if t.endswith(mark)]] = True
+        step = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.words = WordIds(self.tok.model.tokenize, {c: step.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)})
 
     def direct(self, text: str) -> bytes:
         (got,) = self.tok.encode_batch_fast([text], add_special_tokens=False)
         return np.asarray(got.ids, "<u4").tobytes()
 
-    def learn(self, words: list[str]) -> None:
-        ids = self.direct(" ".join(words))
-        stops = (4 * np.flatnonzero(self.ends[np.frombuffer(ids, "<u4")]) + 4).tolist()
-        if len(stops) == len(words):
-            self.memo.update(zip(words, map(ids.__getitem__, map(slice, [0, *stops], stops)), strict=False))
-        else:
-            self.memo.update((w, self.direct(w)) for w in words)
-
     def __call__(self, text: str) -> bytes:
         if not self.by_word or not PLAIN.fullmatch(text) or any(s in text for s in self.special):
             return self.direct(text)
-        words, memo = self.parts(text.lower()), self.memo
-        if new := list(set(words).difference(memo)):
-            if len(memo) + len(new) > MEMO_WORDS:
-                memo = self.memo = dict(islice(memo.items(), MEMO_WORDS // 2))  # those that came first are the most frequent ones
-                new = list(set(words).difference(memo))
-            self.learn(new)
-        out = b"".join(map(memo.__getitem__, words))
-        for word in new:
-            if len(word) > MEMO_CHARS:
-                del memo[word]
-        return out
+        return b"".join(map(self.words.__getitem__, self.parts(text.lower())))
 
 
 def encoder_for(path: str) -> ChunkEncoder:
