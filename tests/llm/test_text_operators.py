@@ -105,6 +105,16 @@ def test_words_add_up_to_the_tokenizer_s_ids():
         assert encode(text) == encode.direct(text)
 
 
+def test_words_are_right_when_a_worker_forgets_some(monkeypatch):
+    monkeypatch.setattr(packing, "MEMO_WORDS", 7)
+    encode = packing.ChunkEncoder(WORDS)
+    r = np.random.default_rng(3)
+    for _ in range(200):
+        text = " ".join(f"wörd{'x' * k}" for k in r.integers(0, 60, 30))
+        assert encode(text) == encode.direct(text)
+        assert len(encode.words) <= 7
+
+
 def brute_lines(rows):
     strip = " \t\n\x0b\x0c\r"
     fold = lambda x: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in x.strip(strip))
