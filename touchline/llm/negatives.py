@@ -193,7 +193,7 @@ def hard_negatives(vectors: DataFrame, anchor: Column, positives: int = 5, negat
             at, labels, ax, as_, scores = sent.value
             n = len(at)
             # a slot an anchor, or one for each different score of its positives; missing ones ask for nothing
-            wanted = np.array([p + [None] * (positives - len(p)) for p in scores], object).reshape(n, -1) if other else np.zeros((n, 1), object)
+            wanted = np.array([p + [None] * (positives - len(p)) for p in scores], object).reshape(n, positives) if other else np.zeros((n, 1), object)
             none = wanted == None  # noqa: E711
             score = np.where(none, 0, wanted).astype(np.int64)
             floor = np.where(none, np.iinfo(np.int64).max, -(-least_percent * score // 100)) if other else np.full((n, 1), NONE)
