@@ -105,7 +105,7 @@ def test_hard_negatives(spark, vectors, positives, negative, low, high, a_pass):
 def test_hard_negatives_of_odd_tables(spark, vectors):
     one = negatives.hard_negatives(vectors.limit(0), F.col("vec_id") % 20 == 0)
     assert one.collect() == [] and negatives.hard_negatives(vectors, F.lit(False)).collect() == []
-    rows = [(i, v, l) for i, v, l in vector_rows(60, 100, 3, 5000.0)] + [(100 + i, v, l) for i, v, l in vector_rows(60, 3, 4, 90000.0)] + [(200, [], 1)]
+    rows = [(i, v, l) for i, v, l in vector_rows(60, 100, 3, 5000.0)] + [(100 + i, v, l) for i, v, l in vector_rows(60, 3, 4, 40000.0)] + [(200, [], 1)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)  # lengths differ, sums leave the doubles' exact range
     got = negatives.hard_negatives(frame, F.col("vec_id") % 5 == 0, least_percent=1).collect()
     assert got and sorted(map(tuple, got)) == brute_negatives(frame.collect(), lambda r: r["vec_id"] % 5 == 0, 5, 5, 1, 100)
