@@ -16,7 +16,7 @@ LEVELS = (64, 16, 4)
 #: Anchors of one pass over the vectors: what is sent to all tasks, and what they keep, is in proportion to it.
 ANCHORS = 8192
 #: Pairs of an anchor and a vector that are looked at together.
-PAIRS = 1 << 20
+PAIRS = 1 << 17
 #: Largest component for which a sum of products is exact in doubles, and the largest at all.
 EXACT, MOST = 1 << 22, 1 << 26
 #: The score of a place that no row has yet.
