@@ -1,4 +1,7 @@
+import pytest
+
 import corpus_pipeline
+from touchline.llm import common
 
 
 def test_pipeline_stages(spark, tmp_path):
@@ -67,3 +70,55 @@ def test_stages_on_odd_tables(spark, tmp_path):
                 assert [i for i, _ in texts].count("2") == 2 and "4" not in [i for i, _ in texts] and [i for i, _ in texts].count("None") == 2
             if name == "decontaminate" and texts:
                 assert len(texts) == len(rows) - 2 and "5" not in [i for i, _ in texts]
+
+
+@pytest.mark.parametrize("operator", ["near_duplicates", "minhash", "clean", "pack"])
+def test_results_do_not_depend_on_the_number_of_cores(spark, tmp_path, monkeypatch, operator):
+    """How files are split changes after every written table, as when executors come or go."""
+    import numpy as np
+    import public_tokenizers
+
+    from touchline.llm import decontam, minhash, packing, simhash
+
+    r = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(500)]
+    rows = []
+    for g in range(150):
+        base = r.choice(words, 60).tolist()
+        for c in range(4):
+            text = list(base)
+            text[int(r.integers(0, 60))] = f"edit{c % 3}"
+            rows.append((4 * g + c if operator != "clean" else None, " ".join(text)))
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(path)
+    items = spark.createDataFrame([(i, " ".join(rows[40 * i][1].split(" ")[5:50])) for i in range(10)], "item_id long, text string")
+    run = {
+        "near_duplicates": lambda d: simhash.near_duplicates(d),
+        "minhash": lambda d: minhash.near_duplicates(d),
+        "clean": lambda d: decontam.clean(d, items),
+        "pack": lambda d: packing.pack(d, public_tokenizers.path("word_bpe_49k.json"), 2, group_pieces=50),
+    }[operator]
+    cores, calls = "spark.sql.leafNodeDefaultParallelism", []
+    keep = {k: spark.conf.get(k, None) for k in (cores, "spark.sql.files.openCostInBytes")}
+
+    def shaken(df, whole=common.stash):
+        out = whole(df)
+        calls.append(out)
+        spark.conf.set(cores, str((1, 24, 5)[len(calls) % 3]))
+        return out
+
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "64")
+        for module in (simhash, minhash, decontam, packing):
+            monkeypatch.setattr(module, "stash", common.stash)
+        want = sorted(map(tuple, run(spark.read.parquet(path)).collect()), key=repr)
+        for module in (simhash, minhash, decontam, packing):
+            monkeypatch.setattr(module, "stash", shaken)
+        got = sorted(map(tuple, run(spark.read.parquet(path)).collect()), key=repr)
+    finally:
+        for k, v in keep.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert calls and want
+    if operator == "pack":  # which pieces share a sequence may differ, no piece may be lost or changed
+        want, got = ([x[:5] for x in rows] for rows in (want, got))
+    assert got == want

@@ -55,6 +55,9 @@ def scratch(spark: SparkSession) -> str:
 def stash(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and reread it.
 
+    Row numbers must be written with the rows: how files are split among tasks
+    when they are read depends on how many cores there are at that time.
+
     Cuts the lineage: a lost executor costs a reread, not a recomputation, and
     several readers of the result compute it once.  Whoever owns the shared
     folder clears it when the job is done; what is read no more within an

@@ -102,6 +102,6 @@ def clean(docs: DataFrame, items: DataFrame, k: int = WORDS, containment: float
     out = free(own.where(F.col(doc_id).isNotNull()), doc_id)
     nameless = own.where(F.col(doc_id).isNull())
     if not nameless.isEmpty():
-        numbered = stash(nameless).withColumn("row", F.monotonically_increasing_id())
+        numbered = stash(nameless.withColumn("row", F.monotonically_increasing_id()))  # written with their numbers
         out = out.union(free(numbered, "row").select(*inner))
     return out.toDF(*docs.columns)

@@ -151,7 +151,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = 4096,
     into full windows, each a sequence of its own (odd sequence_id); what is
     left of each is packed by best-fit decreasing (even sequence_id).
     Tokenising is a narrow pass whose small result, a few numbers a piece, is
-    written once.  A piece's row in those files deals it to a group, so groups
+    written once.  A piece's row number, written with it, deals it to a group, so groups
     hold about ``group_pieces`` pieces whatever ids and texts repeat, and a rerun
     after a lost executor deals it again as before.  Only pieces under a full
     window are shuffled; each group's last windows alone lose padding.
@@ -183,7 +183,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = 4096,
     bounded_batches(docs.sparkSession)
     kinds = ", ".join(f"{c} long" for c in PIECE)
     narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    pieces = stash(narrow.mapInArrow(cut, kinds)).withColumn("row", F.monotonically_increasing_id())
+    pieces = stash(narrow.mapInArrow(cut, kinds).withColumn("row", F.monotonically_increasing_id()))
     full, part = pieces.where(F.col("length") == window), pieces.where(F.col("length") < window)
     groups = max(1, -(-part.count() // group_pieces))
     part = part.withColumn("pack_group", F.pmod(F.xxhash64("row"), F.lit(groups)))

@@ -255,7 +255,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits:
     bounded_batches(docs.sparkSession)
     # rows are numbered where they are written; the first row of each text is its node
     own = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text")).where("doc_id is not null")
-    rows = stash(own.mapInArrow(sketch, "doc_id long, same binary, fp1 long, fp2 long, low array<long>, need long")).withColumn("row", F.monotonically_increasing_id())
+    rows = stash(own.mapInArrow(sketch, "doc_id long, same binary, fp1 long, fp2 long, low array<long>, need long").withColumn("row", F.monotonically_increasing_id()))
     firsts = stash(rows.groupBy("same").agg(F.min("row").alias("node")))  # written, so that Spark can split the rows of a hot text
     named = stash(rows.select("doc_id", "row", "same").join(firsts, "same").select("doc_id", "row", "node"))
     nodes = without(rows, named.where("row <> node").select(F.col("row").alias("id")), "row").withColumnRenamed("row", "node")
