@@ -105,7 +105,7 @@ def test_state_machine(spark):
     assert got == {"a": ("SUCCESS", 2, None, 3), "b": ("API_ERROR", 3, "e3", 3), "c": ("UNAVAILABLE", 0, None, 1)}
 
 
-def test_table_states(spark, tmp_path):
+def test_table_states(spark):
     old = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], "match_id long, k long, v string")
     new = spark.createDataFrame([(1, 1, "x", 0), (1, 1, "y", 1), (3, 1, "z", 0)], "match_id long, k long, v string, seq int")
     once = tables.keyed_upsert(old, new, ["match_id", "k"], [F.col("seq")])
@@ -114,12 +114,6 @@ def test_table_states(spark, tmp_path):
     keys = spark.createDataFrame([(1,), (2,)], "match_id long")
     wiped = tables.wipe_replace(old, keys, new.where("match_id = 1").drop("seq"))
     assert sorted(map(tuple, wiped.collect())) == [(1, 1, "x"), (1, 1, "y")]
-    path = f"{tmp_path}/t"
-    tables.write_state(old, path)
-    tables.write_state(tables.keyed_upsert(tables.read_state(spark, path, old.schema), new, ["match_id", "k"], [F.col("seq")]), path)
-    assert tables.read_state(spark, path, old.schema).count() == 4
-    ids = tables.surrogate_ids(spark.range(1000).withColumn("x", F.xxhash64("id")), ["x"], start=10, name="n").collect()
-    assert sorted(r.n for r in ids) == list(range(11, 1011)) and [r.n for r in sorted(ids, key=lambda r: r.x)] == list(range(11, 1011))
 
 
 def test_routes_and_lists(spark, tmp_path):
@@ -154,43 +148,6 @@ def test_calendar_documents_are_bounded(spark, tmp_path):
     assert max(held) - 1 <= 1 << enc.PAGE_BITS and sum(held) - len(held) == n
 
 
-@pytest.mark.parametrize("step", ["write", "before_commit", "after_commit"])
-def test_a_crash_loses_no_state(spark, tmp_path, monkeypatch, step):
-    path, schema = f"{tmp_path}/t", "match_id long, v string"
-    frame = lambda rows: spark.createDataFrame(rows, schema)
-    tables.write_state(frame([(i, "a") for i in range(200)]), path)
-    commit = tables._commit
-
-    def crash(*a):
-        if step == "after_commit":
-            commit(*a)
-        raise RuntimeError("lost")
-
-    monkeypatch.setattr(tables, "_commit", crash)
-    touched = [r.b for r in frame([(5, "b"), (900, "b")]).select(tables.bucket_of("match_id").alias("b")).distinct().collect()]
-
-    def write():
-        state = tables.wipe_replace(tables.read_state(spark, path, frame([]).schema, touched), frame([(5, ""), (900, "")]), frame([(5, "b"), (900, "b")]))
-        if step == "write":
-            state = state.withColumn("v", F.when(F.col("v") == "b", F.raise_error(F.lit("lost")).cast("string")).otherwise(F.col("v")))
-        tables.write_state(state, path, buckets=touched)
-
-    with pytest.raises(Exception, match="lost"):
-        write()
-    read = lambda: sorted(map(tuple, tables.read_state(spark, path, frame([]).schema).collect()))
-    before, after = sorted((i, "a") for i in range(200)), sorted([(i, "a") for i in range(200) if i != 5] + [(5, "b"), (900, "b")])
-    assert read() == (after if step == "after_commit" else before)
-    monkeypatch.setattr(tables, "_commit", commit)
-    step = ""
-    for _ in range(3):  # delivered again and again
-        write()
-        assert read() == after
-    made = [p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("v")]
-    assert len(made) <= 4
-    tables.write_state(frame([]), path, buckets=touched)
-    assert len(read()) < 200
-
-
 def test_renamings_exclude_each_other(spark):
     made = spark.createDataFrame([("First team to score", "1X2", [("a", "true"), ("b", "false"), ("c", "false")])], "m string, g string, c array<struct<name:string,winning:string>>")
     (got,) = made.select(sanitise.sanitise_choices(F.col("m"), F.col("g"), F.col("c")).alias("c")).collect()

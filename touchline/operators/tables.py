@@ -1,20 +1,19 @@
 """Writing and checking the stored tables, on plain Parquet.
 
 Parquet has no MERGE or DELETE, so both write modes compute the new state as a
-DataFrame; ``write_state`` writes the buckets it touches into a new folder and
-commits them by one small file, so a crash leaves the state before.
+DataFrame; ``store`` keeps the state of a continuous ingest.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..sources.scratch import scratch
+
 
 @dataclass(frozen=True)
 class TableSpec:
@@ -57,16 +56,29 @@ def wipe_replace(target: DataFrame, payload_keys: DataFrame, rows: DataFrame, ke
     return kept.unionByName(rows.select(*target.columns))
 
 
-def surrogate_ids(df: DataFrame, order: list[str], start: int = 0, name: str = "id", bucket_rows: int = 1_000_000) -> DataFrame:
-    """Consecutive ids in a given order, distributed: rows are range-partitioned
-    and numbered within partitions, and offsets come from partition counts (one
-    row a partition)."""
-    n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranged = df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id())
-    within = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
-    counts = ranged.groupBy("_part").count()
-    offsets = counts.select("_part", (F.sum("count").over(Window.orderBy("_part")) - F.col("count")).alias("_offset"))
-    return within.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_offset") + F.col("_rn") + start).drop("_part", "_rn", "_offset")
+def surrogate_ids(df: DataFrame, order: list[str], stored: DataFrame | None = None, start: int = 0, name: str = "id") -> DataFrame:
+    """``df`` with consecutive ids in a given order, continued from the largest
+    one in ``stored`` (from ``start`` where there is none).
+
+    Rows are dealt to ranges, sorted and written once, each with its range and
+    its place in it.  The size of every range is counted on what was written, so
+    counts and places can't disagree, whatever bounds were sampled and however
+    often a lost task is rerun; a range's first id is the sum of the sizes
+    before, one row a range.
+    """
+    spark = df.sparkSession
+    n, path = max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), scratch(spark)
+    # a row's number is its range (33 bits up) and its place
+    df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    written = spark.read.schema(StructType(df.schema.fields).add("_at", "long")).parquet(path)
+    part = F.shiftright("_at", 33).alias("_part")
+    sizes = written.groupBy(part).agg(F.count("*").alias("_n"))
+    first = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_first"))
+    last = F.lit(start).cast("long")
+    if stored is not None:
+        last = F.lit(stored.agg(F.coalesce(F.max(name), last)).first()[0])
+    out = written.withColumn("_part", part).join(F.broadcast(first), "_part")
+    return out.withColumn(name, last + F.col("_first") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1).select(*(c for c in df.columns if c != name), name)
 
 
 def violations(df: DataFrame, table: str, key: list[str], not_null: list[str] = (), parent: tuple[DataFrame, str, str] | None = None, domain: tuple[str, list[str]] | None = None) -> DataFrame:
@@ -92,74 +104,3 @@ def create_schema(spark: SparkSession, database: str, drop: bool = False) -> Non
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for t in TABLES.values():
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{t.name} ({t.ddl}) USING parquet")
-
-
-#: Rows of a state lie in so many buckets by the hash of their key; a write makes those it touches anew.
-BUCKETS = 64
-
-
-def bucket_of(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
-
-
-def _files(spark: SparkSession, path: str):
-    """Hadoop's file system of ``path`` and its maker of paths."""
-    of = spark._jvm.org.apache.hadoop.fs.Path
-    return of(path).getFileSystem(spark._jsc.hadoopConfiguration()), of
-
-
-def _commits(spark: SparkSession, path: str) -> list[int]:
-    fs, of = _files(spark, path)
-    where = of(f"{path}/commits")
-    names = [x.getPath().getName() for x in fs.listStatus(where)] if fs.exists(where) else []
-    return sorted(int(n[:-5]) for n in names if n.endswith(".json"))
-
-
-def _manifest(spark: SparkSession, path: str, number: int) -> dict[int, str]:
-    """The folder of each bucket after a commit."""
-    (text,) = [r["value"] for r in spark.read.text(f"{path}/commits/{number:010d}.json").collect()]
-    return {int(k): v for k, v in json.loads(text).items()}
-
-
-def read_state(spark: SparkSession, path: str, schema: StructType, buckets: list[int] | None = None) -> DataFrame:
-    """The rows of a state after its last commit, or of some of its buckets;
-    none before the first one."""
-    done = _commits(spark, path)
-    found = _manifest(spark, path, done[-1]) if done else {}
-    folders = [f"{path}/{v}/bucket={k}" for k, v in sorted(found.items()) if buckets is None or k in buckets]
-    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
-
-
-def write_state(df: DataFrame, path: str, key: str = "match_id", buckets: list[int] | None = None) -> None:
-    """``df`` is the state at ``path``, or all of some of its ``buckets``.
-
-    New files go to a folder of their own; then one small file names the folder
-    of each bucket, which takes effect as a whole by a rename, the last step.
-    Until then the state before stands: a crash at any point loses nothing and
-    leaves at most a folder that nobody names.  Folders that neither this state
-    nor the one before names are deleted, so running readers end in peace.
-    """
-    spark = df.sparkSession
-    done = _commits(spark, path)
-    number, before = (done[-1] + 1, _manifest(spark, path, done[-1])) if done else (0, {})
-    folder = f"v{number:010d}-{uuid.uuid4().hex[:8]}"
-    df.withColumn("bucket", bucket_of(key)).write.partitionBy("bucket").parquet(f"{path}/{folder}")
-    fs, of = _files(spark, path)
-    made = {int(n[7:]): folder for n in (x.getPath().getName() for x in fs.listStatus(of(f"{path}/{folder}"))) if n.startswith("bucket=")}
-    now = {k: v for k, v in before.items() if buckets is not None and k not in buckets} | made
-    _commit(spark, path, number, now)
-    kept = {*now.values(), *before.values(), "commits"}
-    for x in fs.listStatus(of(path)):
-        name = x.getPath().getName()
-        if name not in kept and name < folder:
-            fs.delete(x.getPath(), True)
-
-
-def _commit(spark: SparkSession, path: str, number: int, manifest: dict[int, str]) -> None:
-    fs, of = _files(spark, path)
-    staged = of(f"{path}/commits/.{uuid.uuid4().hex}")
-    out = fs.create(staged, True)
-    out.write(bytearray(json.dumps(manifest).encode()))
-    out.close()
-    if not fs.rename(staged, of(f"{path}/commits/{number:010d}.json")):
-        raise OSError(f"{path}: another writer has made commit {number}")

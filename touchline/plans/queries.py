@@ -12,7 +12,7 @@ from ..functions.contracts import CONTRACTS
 from ..functions.scalars import epoch_utc, fraction, safe_get
 from ..functions.validate import coerce, envelope_code, is_empty, validate_payload
 from ..operators import consensus as cns
-from ..operators import flatten, qa, summary, tables, tasks
+from ..operators import flatten, qa, store, summary, tables, tasks
 from ..operators.odds import clean_odds, parse_markets
 from ..sources import encode as enc
 from ..sources import landing
@@ -511,10 +511,19 @@ def snk_constraints(spark, sf):
     return tables.violations(rows, "match_statistics", ["match_id", "period", "group_name", "stat_key"], ["home_value"], (parents, "match_id", "o_orderkey"), ("group_name", ["A", "N"]))
 
 
-@q("SELECT user_id AS match_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS INT) AS seq, 100 + row_number() OVER (ORDER BY user_id, ts, event_id) AS id FROM events")
+IDS = "x AS (SELECT user_id AS match_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS INT) AS seq, ts, event_id, event_type FROM events)"
+
+
+@q("""SELECT match_id, seq, CASE event_type WHEN 'click' THEN 'goal' WHEN 'error' THEN 'card' WHEN 'purchase' THEN 'substitution' WHEN 'signup' THEN 'period' ELSE 'injuryTime' END AS incident_type,
+100 + CASE WHEN match_id % 2 = 0 THEN 0 ELSE (SELECT count(*) FROM x WHERE match_id % 2 = 0) END + row_number() OVER (PARTITION BY match_id % 2 ORDER BY match_id, ts, event_id) AS id FROM x""", (IDS,))
 def snk_surrogate_id(spark, sf):
-    rows = flatten.incidents(valid(enc.enc_incidents(spark, sf), "incidents")).select("match_id", "seq")
-    return tables.surrogate_ids(rows, ["match_id", "seq"], start=100).select("match_id", "seq", "id")
+    """Incidents of even matches first, those of the others continue from the largest stored id."""
+    rows = flatten.incidents(valid(enc.enc_incidents(spark, sf), "incidents")).select("match_id", "seq", "incident_type", "data")
+    path = scratch(spark)
+    tables.surrogate_ids(rows.where("match_id % 2 = 0"), ["match_id", "seq"], start=100).write.parquet(path)
+    stored = spark.read.parquet(path)
+    more = tables.surrogate_ids(rows.where("match_id % 2 <> 0"), ["match_id", "seq"], stored, start=100)
+    return stored.unionByName(more).select("match_id", "seq", "incident_type", "id")
 
 
 @q("SELECT 'match_odds' AS table_name, count(*) AS n FROM o WHERE NOT bad", (O,))
@@ -719,9 +728,9 @@ def str_ingest(spark, sf):
         return keys, rows, bad.select("entity_id", "reason")
 
     for attempt in (1, 2):  # the second delivery of everything changes nothing
-        stream.ingest(spark, f"{root}/landing", landing.LANDING, f"{root}/table", f"{root}/bad{attempt}", f"{root}/checkpoint{attempt}", handle)
+        stream.ingest(spark, f"{root}/landing", landing.LANDING, f"{root}/table", f"{root}/bad{attempt}", f"{root}/checkpoint{attempt}", handle, files_a_batch=4, compact_after=3)
     schema = odds_rows(spark, sf).schema
-    return tables.read_state(spark, f"{root}/table", schema).groupBy("match_id").agg(F.count("*").alias("n"))
+    return store.read(spark, f"{root}/table", schema).groupBy("match_id").agg(F.count("*").alias("n"))
 
 
 @q("SELECT event_id AS entity_id, event_id % 11 <> 0 AS paired, event_id % 11 = 0 OR event_id % 7 = 0 AS mismatch FROM events")
@@ -743,9 +752,11 @@ def str_ab_pair(spark, sf):
 @q("SELECT match_id, component_name, status, retry_count, error_message, CAST(attempts AS INT) AS attempts FROM fold", (AT,))
 def str_task_state(spark, sf):
     root = scratch(spark)
-    enc.enc_attempts(spark, sf).write.parquet(f"{root}/attempts")
-    schema = spark.read.parquet(f"{root}/attempts").schema
-    states = stream.task_states(spark.readStream.schema(schema).parquet(f"{root}/attempts"))
+    log = enc.enc_attempts(spark, sf)
+    for half in (1, 0):  # each task's attempts come in two batches, out of order
+        log.where(F.col("attempt_id") % 2 == half).coalesce(1).write.mode("append").parquet(f"{root}/attempts")
+    source = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/attempts")
+    states = stream.task_states(source, late="3650 days", keep_seconds=3650 * 86400)
     states.writeStream.foreachBatch(lambda df, i: df.withColumn("batch", F.lit(i)).write.mode("append").parquet(f"{root}/out")).option("checkpointLocation", f"{root}/checkpoint").outputMode("update").trigger(availableNow=True).start().awaitTermination()
     out = spark.read.parquet(f"{root}/out")
     last = out.groupBy("match_id", "component_name").agg(F.max_by(F.struct("status", "retry_count", "error_message", "attempts"), "batch").alias("s"))
