@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from touchline.functions import sanitise
-from touchline.functions.contracts import CONTRACTS
+from touchline.functions.contracts import CONTRACTS, Contract
 from touchline.functions.scalars import fraction
 from touchline.functions.validate import validate_payload
 from touchline.operators import flatten, qa, tables, tasks
@@ -85,14 +85,20 @@ def test_incident_union(spark):
 
 
 def test_comparison(spark):
-    schema = "a struct<x:int,m:map<string,double>>, l array<int>, n string"
-    doc = lambda **k: json.dumps({"a": {"x": 1, "m": {"p": 1.0, "q": 2.0}}, "l": [1, 2], "n": "s"} | k)
-    pairs = [(0, doc(), doc(a={"m": {"q": 2.0, "p": 1.0}, "x": 1})), (1, doc(), doc(n=None, l=[2, 1])), (2, doc(a=None), doc()), (3, None, doc()), (4, None, None), (5, doc(), doc(a={"x": 2, "m": {"p": 1.5}}))]
-    rows = {r.entity_id: r for r in qa.compare(spark.createDataFrame(pairs, "entity_id long, a string, b string"), schema).collect()}
+    contract = Contract("t", {"a!": {"x!": "int", "m": "map"}, "l": ["str"], "n": "str", "k": "int"})
+    doc = lambda **k: json.dumps({"a": {"x": 1, "m": {"p": 1.0, "q": 2.0}}, "l": ["1", "2"], "n": "s"} | k)
+    bad, envelope = doc(k="x"), '{"error":{"code":404}}'
+    pairs = [
+        (0, doc(), doc(a={"m": {"q": 2.0, "p": 1.0}, "x": "1"})), (1, doc(), doc(n=None, l=["2", "1"])), (2, doc(a=None), doc()), (3, None, doc()), (4, None, None), (5, doc(), doc(a={"x": 2, "m": {"p": 1.5}})),
+        (6, doc(k=None), bad), (7, bad, doc(k="y")), (8, bad, None), (9, "garbage", "other garbage"), (10, envelope, doc()), (11, doc(k=None), doc()),
+    ]
+    frame = lambda rows: spark.createDataFrame(rows, "entity_id long, a string, b string")
+    rows = {r.entity_id: r for r in qa.compare(frame(pairs), contract).collect()}
     paths = {k: [d.path for d in r.delta] for k, r in rows.items()}
-    assert [rows[k].verdict for k in range(6)] == ["match", "mismatch", "mismatch", "mismatch", "unavailable", "mismatch"]
-    assert paths == {0: [], 1: ["l", "n"], 2: ["a"], 3: ["root_payload"], 4: [], 5: ["a.x", "a.m"]}
-    swapped = qa.compare(spark.createDataFrame([(k, b, a) for k, a, b in pairs], "entity_id long, a string, b string"), schema).collect()
+    assert [rows[k].verdict for k in range(12)] == ["match", "mismatch", "mismatch", "mismatch", "unavailable", "mismatch", "mismatch", "unavailable", "unavailable", "unavailable", "mismatch", "match"]
+    assert paths == {0: [], 1: ["l", "n"], 2: ["root_payload"], 3: ["root_payload"], 4: [], 5: ["a.x", "a.m"], 6: ["root_payload"], 7: [], 8: [], 9: [], 10: ["root_payload"], 11: []}
+    assert [(rows[k].a_state, rows[k].b_state) for k in (6, 7, 8, 10)] == [("valid", "invalid"), ("invalid", "invalid"), ("invalid", "absent"), ("absent", "valid")]
+    swapped = qa.compare(frame([(k, b, a) for k, a, b in pairs]), contract).collect()
     assert {r.entity_id: [d.path for d in r.delta] for r in swapped} == paths
     long = spark.createDataFrame([("z" * 600,)], "t string").select(qa.delta_message(F.array(F.struct("t"))).alias("m")).collect()[0].m
     assert len(long) == 500 and long.endswith("...")
@@ -175,3 +181,21 @@ def test_network_actions_are_checked(spark):
     got = {r.entity_id: r for r in validate_payload(frame, CONTRACTS["incidents"]).collect()}
     assert got[1].is_valid and got[1].parsed.incidents[0].footballPassingNetworkAction[0].playerCoordinates.y == 2.5
     assert [(e.path, e.code, e.value) for e in got[2].errors] == [("incidents[].footballPassingNetworkAction[].playerCoordinates.y", "float", "far")]
+
+
+def test_staff_and_grounds_of_a_match(spark):
+    """Venues, managers and referees must be whole where they are there; class is an alias."""
+    sport, venue = {"name": "f", "slug": "f", "id": 1}, {"name": "v", "slug": "v", "id": 3, "city": {"name": "c"}}
+    team = {"name": "t", "slug": "t", "nameCode": "T", "gender": "M", "sport": sport, "country": None, "teamColors": {"primary": "1", "secondary": "2", "text": "3"}}
+    category = {"name": "c", "id": 1, "slug": "c", "sport": sport}
+    event = {"slug": "s", "id": 5, "status": {"code": 1, "description": "d", "type": "t"}, "tournament": {"id": 1, "name": "n", "slug": "s", "category": category}, "homeTeam": team | {"class": "2"}, "awayTeam": team}
+    referee = {"name": "r", "slug": "r", "id": 2, "yellowCards": 1, "redCards": 0, "yellowRedCards": 0, "games": 3, "sport": sport}
+    more = [
+        {"venue": venue | {"venueCoordinates": {"latitude": "1.5", "longitude": 2}, "stadium": {"name": "st"}}, "referee": referee, "fanRatingEvent": "true"}, {}, {"venue": {k: v for k, v in venue.items() if k != "slug"}},
+        {"venue": venue | {"city": {}}}, {"venue": venue | {"venueCoordinates": {"latitude": 1}}}, {"referee": {k: v for k, v in referee.items() if k != "games"}}, {"homeTeam": team | {"manager": {"name": "m", "slug": "m", "id": 1}}}, {"awayTeam": team | {"class": "x"}},
+    ]
+    got = [r for r in validate_payload(docs(spark, *({"event": event | m} for m in more)), CONTRACTS["base"]).orderBy("entity_id").collect()]
+    assert [[(e.path, e.code) for e in r.errors] for r in got] == [
+        [], [], [("event.venue.slug", "missing")], [("event.venue.city.name", "missing")], [("event.venue.venueCoordinates.longitude", "missing")], [("event.referee.games", "missing")], [("event.homeTeam.manager.shortName", "missing")], [("event.awayTeam.class", "int")],
+    ]
+    assert got[0].parsed.event.homeTeam.class_ == 2 and got[0].parsed.event.venue.venueCoordinates.latitude == 1.5 and got[0].parsed.event.fanRatingEvent is True

@@ -1,7 +1,8 @@
 """Declarative contracts of the payload documents.
 
 A contract is a nested dictionary of field names.  ``name!`` is required,
-``name!?`` required but nullable, a bare name optional.  A value is a type name
+``name!?`` required but nullable, a bare name optional; ``name=other`` is read
+as name and called other from then on.  A value is a type name
 (str, int, float, bool, map, raw), a dictionary (an object), a one-element list
 (an array) or a tuple of type and default; the default stands for an absent
 key only, an explicit null there is an error.
@@ -27,11 +28,15 @@ EVENT = {
     "slug!": "str", "id!": "int", "startTimestamp": "int", "status!": STATUS, "time": TIME, "tournament": TOURNAMENT, "season": SEASON, "roundInfo": {"round": "int"},
     "winnerCode": "int", "homeScore": SCORE, "awayScore": SCORE, "homeTeam!": TEAM, "awayTeam!": TEAM, **FLAGS,
 }
-VENUE = {"name": "str", "capacity": "int", "city": {"name": "str"}}
-FOOTBALL_TEAM = {**TEAM, "fullName": "str", "manager": {"name": "str", "id": "int"}, "venue": VENUE}
+COORDINATES = {"latitude!": "float", "longitude!": "float"}
+VENUE = {"name!": "str", "slug!": "str", "capacity": "int", "id!": "int", "city!": {"name!": "str"}, "venueCoordinates": COORDINATES, "country": COUNTRY, "stadium": {"name!": "str", "capacity": "int"}}
+MANAGER = {"name!": "str", "slug!": "str", "shortName!": "str", "id!": "int", "country": COUNTRY}
+REFEREE = {"name!": "str", "slug!": "str", "id!": "int", "yellowCards!": "int", "redCards!": "int", "yellowRedCards!": "int", "games!": "int", "sport!": SPORT, "country": COUNTRY}
+FOOTBALL_TEAM = {**TEAM, "fullName": "str", "manager": MANAGER, "venue": VENUE, "class=class_": "int"}
 BASE_EVENT = {
     **{k: v for k, v in EVENT.items() if k not in ("tournament", "homeTeam!", "awayTeam!")}, "tournament!": {**TOURNAMENT, "competitionType": "int"},
-    "homeTeam!": FOOTBALL_TEAM, "awayTeam!": FOOTBALL_TEAM, "attendance": "int", "venue": VENUE, "referee": {"name": "str", "id": "int"},
+    "homeTeam!": FOOTBALL_TEAM, "awayTeam!": FOOTBALL_TEAM, "attendance": "int", "venue": VENUE, "referee": REFEREE, "defaultPeriodCount": "int", "defaultPeriodLength": "int",
+    "defaultOvertimeLength": "int", "currentPeriodStartTimestamp": "int", "fanRatingEvent": "bool", "seasonStatisticsType": "str", "showTotoPromo": "bool",
 }
 STAT_ITEM = {
     "key!": "str", "name!": "str", "home!": "str", "away!": "str", "compareCode!": "int", "statisticsType!": "str", "valueType!": "str",

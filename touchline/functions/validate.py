@@ -20,7 +20,14 @@ TYPES = {"str": "string", "int": "bigint", "float": "double", "bool": "boolean",
 
 
 def _split(name: str) -> tuple[str, bool, bool]:
-    return name.rstrip("!?"), "!" in name, name.endswith("?") or "!" not in name
+    """The key in the document, whether it is required, and whether it may be null."""
+    key = name.partition("=")[0]
+    return key.rstrip("!?"), "!" in key, key.endswith("?") or "!" not in key
+
+
+def _called(name: str) -> str:
+    """What a field is called once it is parsed."""
+    return name.partition("=")[2] or _split(name)[0]
 
 
 def shadow(kind: Any) -> str:
@@ -41,7 +48,7 @@ def typed(kind: Any) -> str:
     if isinstance(kind, list):
         return f"array<{typed(kind[0])}>"
     if isinstance(kind, dict):
-        return "struct<" + ",".join(f"`{_split(k)[0]}`:{typed(v)}" for k, v in kind.items()) + ">"
+        return "struct<" + ",".join(f"`{_called(k)}`:{typed(v)}" for k, v in kind.items()) + ">"
     return TYPES[kind]
 
 
@@ -78,7 +85,7 @@ def typed_value(value: Column, kind: Any) -> Column:
     if isinstance(kind, list):
         return value if kind[0] in ("str", "raw") else F.transform(value, lambda x: typed_value(x, kind[0]))
     if isinstance(kind, dict):
-        return F.when(value.isNotNull(), F.struct(*(typed_value(value[_split(k)[0]], v).alias(_split(k)[0]) for k, v in kind.items())))
+        return F.when(value.isNotNull(), F.struct(*(typed_value(value[_split(k)[0]], v).alias(_called(k)) for k, v in kind.items())))
     return value if kind in ("str", "raw", "map") else coerce(value, kind)
 
 
@@ -97,7 +104,7 @@ def faults(value: Column, made: Column, kind: Any, path: str, required: bool, nu
     elif isinstance(kind, dict):
         for name, sub in kind.items():
             key, need, may_null = _split(name)
-            more = faults(value[key], made[key], sub, f"{path}.{key}".lstrip("."), need, may_null, value)
+            more = faults(value[key], made[_called(name)], sub, f"{path}.{key}".lstrip("."), need, may_null, value)
             ones += more[0]
             many += more[1]
     elif kind not in ("str", "raw", "map"):

@@ -2,42 +2,164 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+from dataclasses import dataclass, replace
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
-from ..functions.scalars import once
-from .qa import comparable, delta
+from ..functions.contracts import CONTRACTS, Contract
+from ..functions.validate import envelope_code, typed, validate_payload
+from .qa import delta
 
 # Weights of components in the quality score.
 WEIGHTS = {"base": 1.0, "stats": 0.8, "lineup": 0.8, "incidents": 0.6, "graph": 0.3}
-EXCLUDED = ("fetchedAt",)
+# Fields of each component that tell of the capture, not of the match.
+EXCLUDED = {
+    "base": ("scraped_at", "currentPeriodStartTimestamp"), "stats": ("generated_at", "processing_time"), "lineup": ("lastUpdated", "cached_at"),
+    "incidents": ("processedAt",), "graph": ("calculatedAt",),
+}
+
+
+def pruned(value: Column, kind: DataType, excluded: tuple[str, ...], path: str = "") -> Column:
+    """A value without the fields that are excluded, by name at any depth or by
+    dotted path; members and map entries sorted by name."""
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda x: pruned(x, kind.elementType, excluded, path))
+    if isinstance(kind, MapType):
+        return F.array_sort(F.map_entries(F.map_filter(value, lambda k, _: ~k.isin(*excluded) if excluded else F.lit(True))))
+    if isinstance(kind, StructType):
+        kept = sorted((f for f in kind.fields if f.name not in excluded and f"{path}.{f.name}".lstrip(".") not in excluded), key=lambda f: f.name)
+        return F.when(value.isNotNull(), F.struct(*(pruned(value[f.name], f.dataType, excluded, f"{path}.{f.name}".lstrip(".")).alias(f.name) for f in kept)))
+    return value
+
+
+def with_fingerprints(runs: DataFrame, contracts: dict[str, Contract], excluded: dict[str, tuple[str, ...]] = EXCLUDED) -> DataFrame:
+    """``runs`` (match_id, component, run_id, run_at, payload) with data, the
+    typed document without what is excluded for its component, and fp, the
+    SHA-256 of that.  What can't be read or breaks its contract is no data."""
+    out = None
+    for component, contract in contracts.items():
+        checked = validate_payload(runs.where(F.col("component") == component), contract)
+        data = F.to_json(pruned(F.col("parsed"), checked.schema["parsed"].dataType, excluded.get(component, ())))
+        one = checked.withColumn("data", F.when(F.col("is_valid"), data)).drop("parsed", "errors", "reason", "is_valid")
+        out = one if out is None else out.unionByName(one)
+    return out.withColumn("fp", F.sha2("data", 256))
 
 
-def fingerprint(value: Column, kind: StructType, excluded: tuple[str, ...] = EXCLUDED) -> Column:
-    """SHA-256 of a parsed document without excluded fields, keys sorted."""
-    names = sorted(f.name for f in kind.fields if f.name not in excluded)
-    return F.when(value.isNotNull(), F.sha2(F.to_json(F.struct(*(comparable(value[n], kind[n].dataType).alias(n) for n in names))), 256))
+def run_stats(runs: DataFrame, by: tuple[str, ...] = ("run_id", "component")) -> DataFrame:
+    return runs.groupBy(*by).agg(F.min("run_at").alias("run_at"), F.count("*").alias("documents"), F.count("payload").alias("present"), F.countDistinct("match_id").alias("matches"))
 
 
-def with_fingerprints(runs: DataFrame, schemas: dict[str, str]) -> DataFrame:
-    """``runs`` (match_id, component, run_id, payload) with fp."""
-    out = None
-    for component, schema in schemas.items():
-        one = once(runs.where(F.col("component") == component), doc=F.from_json("payload", schema))
-        one = once(one, fp=fingerprint(F.when(F.col("payload").isNotNull(), F.col("doc")), one.schema["doc"].dataType)).drop("doc")
-        out = one if out is None else out.unionByName(one)
-    return out
+RUN_KEY = ("tournament_id", "season_id", "run_id")
+RUN = "component string, match_id bigint, run_at timestamp, payload string, tournament_id bigint, season_id bigint, run_id string"
+
+
+def save_run(docs: DataFrame, root: str) -> None:
+    """Stores runs: ``docs`` (tournament_id, season_id, run_id, run_at, component,
+    match_id, payload) by tournament, season and run, and a catalogue of them.
+    A run that is saved again replaces itself and no other one."""
+    own = docs.select("component", "match_id", "run_at", "payload", *RUN_KEY).repartition(*RUN_KEY)
+    own.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*RUN_KEY).parquet(f"{root}/runs")
+    saved = docs.select(*RUN_KEY).distinct()
+    written = load_runs(docs.sparkSession, root).join(saved, list(RUN_KEY), "left_semi")
+    run_stats(written, (*RUN_KEY, "component")).repartition("tournament_id", "season_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*RUN_KEY).parquet(f"{root}/catalogue")
+
+
+def list_runs(spark: SparkSession, root: str) -> DataFrame:
+    """tournament_id, season_id, run_id, component, run_at, documents, present,
+    matches of every stored run: the catalogue alone is read."""
+    kinds = "component string, run_at timestamp, documents bigint, present bigint, matches bigint, tournament_id bigint, season_id bigint, run_id string"
+    return spark.read.schema(kinds).parquet(f"{root}/catalogue").select(*RUN_KEY, "component", "run_at", "documents", "present", "matches")
+
+
+def load_runs(spark: SparkSession, root: str, tournament_id: int | None = None, season_id: int | None = None, run_ids: list[str] | None = None) -> DataFrame:
+    """Documents of stored runs; only the folders asked for are read."""
+    out = spark.read.schema(RUN).parquet(f"{root}/runs")
+    for name, value in (("tournament_id", tournament_id), ("season_id", season_id)):
+        out = out if value is None else out.where(F.col(name) == value)
+    return out if run_ids is None else out.where(F.col("run_id").isin(*run_ids))
+
+
+@dataclass(frozen=True)
+class Rule:
+    """What a valid document of a component must have beyond its contract."""
+
+    required: bool
+    holds: Callable[[Column], Column]
+    active: bool = True
 
 
-def run_stats(runs: DataFrame) -> DataFrame:
-    return runs.groupBy("run_id", "component").agg(F.count("*").alias("documents"), F.count("payload").alias("present"), F.countDistinct("match_id").alias("matches"))
+def at_least(n: int, *paths: str) -> Callable[[Column], Column]:
+    """Each array has ``n`` elements or more."""
+
+    def holds(doc: Column) -> Column:
+        out = F.lit(True)
+        for path in paths:
+            value = doc
+            for name in path.split("."):
+                value = value[name]
+            out = out & (F.coalesce(F.size(value), F.lit(0)) >= n)
+        return out
+
+    return holds
+
+
+def present(*names: str) -> Callable[[Column], Column]:
+    """Fields of the event that must not be null."""
+
+    def holds(doc: Column) -> Column:
+        out = F.lit(True)
+        for name in names:
+            out = out & doc["event"][name].isNotNull()
+        return out
+
+    return holds
+
+
+# The rules of the five components.
+RULES = {
+    "base": Rule(True, present("homeTeam", "awayTeam", "status", "startTimestamp")),
+    "stats": Rule(True, at_least(1, "statistics")),
+    "lineup": Rule(True, at_least(11, "home.players", "away.players")),
+    "incidents": Rule(False, at_least(0, "incidents")),
+    "graph": Rule(False, at_least(5, "graphPoints")),
+}
+CONTRACT_OF = {"lineup": "lineups"}
+
+
+def configured(rules: dict[str, Rule] = RULES, active: list[str] | None = None, **changed: Rule) -> dict[str, Rule]:
+    """``rules`` with some replaced, and only those of ``active`` components in force."""
+    return {k: replace(r, active=r.active and (active is None or k in active)) for k, r in (rules | changed).items()}
+
+
+def assess(docs: dict[str, DataFrame], rules: dict[str, Rule] = RULES) -> DataFrame:
+    """match_id, component, state, required of each document (entity_id,
+    payload) of the active components: missing, error, valid or invalid."""
+    out = None
+    for component, frame in docs.items():
+        rule = rules[component]
+        if not rule.active:
+            continue
+        checked = validate_payload(frame, CONTRACTS[CONTRACT_OF.get(component, component)])
+        good = F.col("is_valid") & F.coalesce(rule.holds(F.col("parsed")), F.lit(False))
+        state = F.when(F.col("payload").isNull(), "missing").when(envelope_code(F.col("payload")).isNotNull(), "error").when(good, "valid").otherwise("invalid")
+        one = checked.select(F.col("entity_id").alias("match_id"), F.lit(component).alias("component"), state.alias("state"), F.lit(rule.required).alias("required"))
+        out = one if out is None else out.union(one)
+    if out is None:
+        raise ValueError("no active component")
+    return out
 
 
-def assess(docs: DataFrame, component: str, rule: Column, failed: Column | None = None) -> DataFrame:
-    """match_id, component, state: missing, error, valid or invalid."""
-    state = F.when(F.col("payload").isNull(), "missing").when(failed if failed is not None else F.lit(False), "error").when(F.coalesce(rule, F.lit(False)), "valid").otherwise("invalid")
-    return docs.select(F.col("entity_id").alias("match_id"), F.lit(component).alias("component"), state.alias("state"))
+def match_verdicts(states: DataFrame, rules: dict[str, Rule] = RULES) -> DataFrame:
+    """match_id, components, valid, lacking, complete: complete is a match all of
+    whose required active components are valid; one without a document lacks."""
+    needed = sorted(k for k, r in rules.items() if r.required and r.active)
+    names = F.array(*map(F.lit, needed)) if needed else F.array().cast("array<string>")
+    have = F.collect_set(F.when((F.col("state") == "valid") & F.col("required"), F.col("component")))
+    per = states.groupBy("match_id").agg(F.count("*").alias("components"), F.count_if(F.col("state") == "valid").alias("valid"), F.array_except(names, have).alias("lacking"))
+    return per.withColumn("complete", F.size("lacking") == 0)
 
 
 def compare_runs(fps: DataFrame, one: str, other: str) -> DataFrame:
@@ -48,8 +170,9 @@ def compare_runs(fps: DataFrame, one: str, other: str) -> DataFrame:
 
 
 def groups(fps: DataFrame) -> DataFrame:
-    """Runs with the same data: match_id, component, fp, size, runs."""
-    return fps.groupBy("match_id", "component", "fp").agg(F.count("*").alias("size"), F.array_sort(F.collect_list("run_id")).alias("runs"))
+    """Runs with the same data: match_id, component, fp, size, runs in order of time."""
+    runs = F.transform(F.array_sort(F.collect_list(F.struct("run_at", "run_id"))), lambda r: r["run_id"])
+    return fps.groupBy("match_id", "component", "fp").agg(F.count("*").alias("size"), runs.alias("runs"))
 
 
 def consensus(grouped: DataFrame, threshold: float = 1.0, min_runs: int = 2) -> DataFrame:
@@ -81,10 +204,11 @@ def summary(found: DataFrame) -> DataFrame:
 
 
 def golden(found: DataFrame, fps: DataFrame) -> DataFrame:
-    """Consensus data of each match and component from the earliest agreeing run."""
+    """Consensus data of each match and component from the agreeing run of the earliest time."""
     agreed = found.where("has_consensus").select("match_id", "component", "fp")
-    first = fps.join(agreed, ["match_id", "component", "fp"]).groupBy("match_id", "component").agg(F.min("run_id").alias("source_run"), F.min_by("payload", "run_id").alias("payload"))
-    return first
+    first = F.min_by(F.struct("run_id", "run_at", "payload"), F.struct("run_at", "run_id"))
+    picked = fps.join(agreed, ["match_id", "component", "fp"]).groupBy("match_id", "component").agg(first.alias("first"))
+    return picked.select("match_id", "component", F.col("first.run_id").alias("source_run"), "first.run_at", "first.payload")
 
 
 def golden_matches(picked: DataFrame, components: int) -> DataFrame:
@@ -99,20 +223,20 @@ def quality_score(states: DataFrame, weights: dict[str, float] = WEIGHTS) -> Dat
     return states.groupBy("match_id").agg(F.round(F.sum(F.when(F.col("state") == "valid", w).otherwise(0.0)) / F.sum(w), 4).alias("quality_score"))
 
 
-def workflow(runs: DataFrame, schemas: dict[str, str], attempts: DataFrame) -> DataFrame:
+def workflow(runs: DataFrame, contracts: dict[str, Contract], attempts: DataFrame) -> DataFrame:
     """Runs to consensus to retries: one row a match, with whether a person must look."""
-    found = consensus(groups(with_fingerprints(runs, schemas)))
+    found = consensus(groups(with_fingerprints(runs, contracts)))
     retry = retry_candidates(found, attempts)
     out = season(found).drop("components").join(retry, "match_id", "left")
     return out.select("match_id", "full_consensus", F.coalesce(F.array_join("components", ","), F.lit("")).alias("retry"), F.col("components").isNotNull().alias("needs_manual_review"))
 
 
-def review_report(fps: DataFrame, component: str, schema: str) -> DataFrame:
+def review_report(fps: DataFrame, component: str, contract: Contract) -> DataFrame:
     """Paths in which other runs differ from the largest group of equal ones; of
-    several largest the one with the smallest run_id leads."""
+    several largest the one with the earliest run leads."""
     own = fps.where((F.col("component") == component) & F.col("fp").isNotNull())
-    groups = own.groupBy("match_id", "fp").agg(F.count("*").alias("size"), F.min("run_id").alias("first"), F.min_by("payload", "run_id").alias("payload"))
-    lead = groups.groupBy("match_id").agg(F.min_by(F.struct("payload", "fp"), F.struct(-F.col("size"), "first")).alias("lead")).select("match_id", F.col("lead.payload").alias("lead"), F.col("lead.fp").alias("lead_fp"))
-    both = own.join(lead, "match_id").where("fp <> lead_fp").withColumn("a", F.from_json("lead", schema)).withColumn("b", F.from_json("payload", schema))
-    kind = StructType([f for f in both.schema["a"].dataType.fields if f.name not in EXCLUDED])
-    return both.select("match_id", F.lit(component).alias("component"), "run_id", F.explode(delta("a", "b", kind)).alias("d")).select("match_id", "component", "run_id", "d.path", "d.a", "d.b")
+    groups = own.groupBy("match_id", "fp").agg(F.count("*").alias("size"), F.min(F.struct("run_at", "run_id")).alias("first"), F.any_value("data").alias("data"))
+    lead = groups.groupBy("match_id").agg(F.min_by(F.struct("data", "fp"), F.struct(-F.col("size"), "first")).alias("lead")).select("match_id", F.col("lead.data").alias("lead"), F.col("lead.fp").alias("lead_fp"))
+    kind = typed(contract.fields)
+    both = own.join(lead, "match_id").where("fp <> lead_fp").withColumn("a", F.from_json("lead", kind)).withColumn("b", F.from_json("data", kind))
+    return both.select("match_id", F.lit(component).alias("component"), "run_id", F.explode(delta("a", "b", both.schema["a"].dataType)).alias("d")).select("match_id", "component", "run_id", "d.path", "d.a", "d.b")

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
+from ..functions.contracts import Contract
 from ..functions.scalars import once
+from ..functions.validate import validate_payload
 
 
 def pair(landing: DataFrame) -> DataFrame:
@@ -53,12 +55,24 @@ def delta(a: str, b: str, kind: StructType) -> Column:
     return F.array_compact(F.array(*_leaves(F.col(a), F.col(b), kind, "", None)))
 
 
-def compare(paired: DataFrame, schema: str) -> DataFrame:
-    """``paired`` with verdict (match, unavailable, mismatch) and delta."""
-    parsed = once(paired, pa=F.from_json("a", schema), pb=F.from_json("b", schema))
-    whole = F.array(F.struct(F.lit("root_payload").alias("path"), F.col("a").alias("a"), F.col("b").alias("b")))
-    parsed = once(parsed, delta=F.when(F.col("a").isNull() & F.col("b").isNull(), F.array().cast("array<struct<path:string,a:string,b:string>>")).when(F.col("a").isNull() | F.col("b").isNull(), whole).otherwise(delta("pa", "pb", parsed.schema["pa"].dataType)))
-    verdict = F.when(F.col("a").isNull() & F.col("b").isNull(), "unavailable").when(F.size("delta") > 0, "mismatch").otherwise("match")
+def compare(paired: DataFrame, contract: Contract) -> DataFrame:
+    """``paired`` with a_state, b_state, verdict and delta.
+
+    Each capture is validated first and is valid, invalid or absent (no
+    document, or an error envelope); what is compared are the typed documents.
+    A capture that isn't valid counts as none: with one the verdict is a
+    mismatch of the whole, with none the document is unavailable.
+    """
+    parsed = paired
+    for side in ("a", "b"):
+        parsed = validate_payload(parsed, contract, side).withColumnsRenamed({"parsed": f"p{side}"})
+        state = F.when(F.col("is_valid"), "valid").when(F.col("reason") == "invalid_contract", "invalid").otherwise("absent")
+        parsed = parsed.withColumn(f"{side}_state", state).drop("errors", "reason", "is_valid")
+    a_ok, b_ok = (F.col(f"{side}_state") == "valid" for side in ("a", "b"))
+    whole = F.array(F.struct(F.lit("root_payload").alias("path"), F.when(a_ok, F.col("a")).alias("a"), F.when(b_ok, F.col("b")).alias("b")))
+    none = F.array().cast("array<struct<path:string,a:string,b:string>>")
+    parsed = once(parsed, delta=F.when(a_ok & b_ok, delta("pa", "pb", parsed.schema["pa"].dataType)).when(a_ok | b_ok, whole).otherwise(none))
+    verdict = F.when(~a_ok & ~b_ok, "unavailable").when(F.size("delta") > 0, "mismatch").otherwise("match")
     return parsed.withColumn("verdict", verdict).drop("pa", "pb")
 
 

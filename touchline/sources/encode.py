@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.contracts import Contract
+
 #: A document of a list holds the ids of a range of 2 to the power of this, whatever the input's size.
 PAGE_BITS = 14
 #: A total order of an order's line items.
@@ -81,11 +83,16 @@ def event(base: bool) -> Column:
         winnerCode=F.when(played, F.when(home > away, 1).when(home < away, 2).otherwise(3)), homeScore=score(home), awayScore=score(away),
         hasGlobalHighlights=flag(5), hasXg=flag(2), hasEventPlayerStatistics=flag(7), hasEventPlayerHeatMap=flag(3),
     )
-    staff = lambda who: dict(fullName=F.concat(who, F.lit(" FC")), manager=F.when(F.col("o_orderkey") % 4 != 0, s(name=F.concat(F.lit("M. "), who), id=F.col("o_custkey"))), venue=s(name=F.concat(who, F.lit(" Park")), city=s(name=F.col("n_name"))))
+    slug = lambda x: F.lower(F.replace(x, F.lit(" "), F.lit("-")))
+    venue = lambda name, city, number, **more: s(name=name, slug=slug(name), id=number, city=s(name=city), **more)
+    manager = lambda who: s(name=F.concat(F.lit("M. "), who), slug=slug(F.concat(F.lit("m-"), who)), shortName=F.concat(F.lit("M. "), F.substring(who, 1, 3)), id=F.col("o_custkey"))
+    staff = lambda who: dict(fullName=F.concat(who, F.lit(" FC")), manager=F.when(F.col("o_orderkey") % 4 != 0, manager(who)), venue=venue(F.concat(who, F.lit(" Park")), F.col("n_name"), F.col("o_custkey")), **{"class": F.col("n_nationkey") % 3})
     fields["homeTeam"] = team(F.col("c_name"), F.col("n_name"), staff(F.col("c_name")) if base else None)
     fields["awayTeam"] = team(F.col("n_name"), F.col("n_name"), staff(F.col("n_name")) if base else None)
     if base:
-        fields |= dict(attendance=(cents % 50000).cast("int"), venue=s(name=F.concat(F.col("n_name"), F.lit(" Arena")), city=s(name=F.col("r_name"))), referee=F.when(F.col("o_orderkey") % 6 != 0, s(name=F.concat(F.lit("Ref "), F.col("o_orderpriority")), id=F.col("o_custkey") % 17)))
+        ref = s(name=F.concat(F.lit("Ref "), F.col("o_orderpriority")), slug=slug(F.concat(F.lit("ref-"), F.col("o_orderpriority"))), id=F.col("o_custkey") % 17, yellowCards=cents % 90, redCards=cents % 7, yellowRedCards=cents % 5, games=cents % 30, sport=sport())
+        ground = venue(F.concat(F.col("n_name"), F.lit(" Arena")), F.col("r_name"), F.col("n_nationkey"), capacity=F.lit(50000), venueCoordinates=s(latitude=F.col("n_nationkey") / 2, longitude=F.col("r_regionkey") / 4), stadium=s(name=F.col("n_name"), capacity=50000))
+        fields |= dict(attendance=(cents % 50000).cast("int"), venue=ground, referee=F.when(F.col("o_orderkey") % 6 != 0, ref), defaultPeriodCount=2, defaultPeriodLength=45, defaultOvertimeLength=15, currentPeriodStartTimestamp=F.unix_timestamp("o_orderdate"), fanRatingEvent=True, seasonStatisticsType="overall", showTotoPromo=False)
     return s(**fields)
 
 
@@ -186,17 +193,22 @@ def enc_graph(spark: SparkSession, sf: str) -> DataFrame:
 
 def enc_ab(spark: SparkSession, sf: str) -> DataFrame:
     """Two captures of each base-like document: B changes where id % 7 = 0, is
-    missing where id % 11 = 0, both are where id % 13 = 0."""
+    missing where id % 11 = 0 and broken where id % 17 = 0, both are missing
+    where id % 13 = 0 and broken where id % 34 = 0."""
     orders = table(spark, sf, "orders").withColumn("entity_id", F.col("o_orderkey"))
     changed = F.col("entity_id") % 7 == 0
-    doc = lambda b: F.to_json(s(a=s(x=F.col("o_custkey"), y=F.when(changed & F.lit(b), "changed").otherwise(F.col("o_orderpriority"))), n=F.when((F.col("entity_id") % 14 == 0) & F.lit(b), F.lit(None)).otherwise(F.col("o_orderstatus")), tags=F.array(F.col("o_orderstatus"), F.when(changed & F.lit(b) & (F.col("entity_id") % 3 == 0), "t2").otherwise("t1"))))
+
+    def doc(b: bool) -> Column:
+        x = F.when(F.col("entity_id") % (17 if b else 34) == 0, F.lit("broken")).otherwise(F.col("o_custkey").cast("string"))
+        return F.to_json(s(a=s(x=x, y=F.when(changed & F.lit(b), "changed").otherwise(F.col("o_orderpriority"))), n=F.when((F.col("entity_id") % 14 == 0) & F.lit(b), F.lit(None)).otherwise(F.col("o_orderstatus")), tags=F.array(F.col("o_orderstatus"), F.when(changed & F.lit(b) & (F.col("entity_id") % 3 == 0), "t2").otherwise("t1"))))
+
     a = orders.select("entity_id", F.lit("A").alias("fetch_slot"), F.when(F.col("entity_id") % 13 != 0, doc(False)).alias("payload"))
     b = orders.select("entity_id", F.lit("B").alias("fetch_slot"), F.when((F.col("entity_id") % 13 != 0) & (F.col("entity_id") % 11 != 0), doc(True)).alias("payload"))
     return a.union(b)
 
 
-#: The fields of enc_ab's documents, for comparisons.
-AB_SCHEMA = "a struct<x:bigint,y:string>, n string, tags array<string>"
+#: What enc_ab's documents must hold.
+AB_CONTRACT = Contract("ab", {"a!": {"x!": "int", "y": "str"}, "n": "str", "tags!": ["str"]})
 
 
 COMPONENTS = ("base", "stats", "lineup", "incidents", "graph", "odds")
@@ -218,17 +230,29 @@ def enc_landing(spark: SparkSession, sf: str, made: DataFrame, component: str) -
     return made.select(F.lit(component).alias("component"), "entity_id", F.lit("run1").alias("run_id"), F.lit("A").alias("fetch_slot"), F.lit("2024-01-01 00:00:00").cast("timestamp").alias("fetched_at"), payload.alias("payload"))
 
 
+#: Runs in order of time, which isn't that of their names.
+RUN_IDS = ("run2", "run10", "run11")
+
+
 def enc_runs(spark: SparkSession, sf: str) -> DataFrame:
-    """Three runs of two components of each match: run 2 differs where
-    match % 5 = 0, run 3 where match % 7 = 0 and lacks graphs where match % 11 = 0."""
+    """Three runs of two components of each match: the second differs where
+    match % 5 = 0, the third where match % 7 = 0 and lacks graphs where match %
+    11 = 0; no run has readable stats where match % 23 = 0.  Times of making,
+    at the top and deep inside, differ in every run."""
     orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("match_id"), F.col("o_custkey").alias("v"), F.col("o_orderstatus").alias("st"))
     runs = orders.withColumn("run", F.explode(F.array(*(F.lit(i) for i in (1, 2, 3)))))
     differs = ((F.col("run") == 2) & (F.col("match_id") % 5 == 0)) | ((F.col("run") == 3) & (F.col("match_id") % 7 == 0))
-    stats = runs.select("match_id", F.lit("stats").alias("component"), "run", F.to_json(s(total=F.when(differs, F.col("v") + F.col("run")).otherwise(F.col("v")), kind=F.col("st"), fetchedAt=F.col("run"))).alias("payload"))
+    doc = F.to_json(s(total=F.when(differs, F.col("v") + F.col("run")).otherwise(F.col("v")), kind=F.col("st"), generated_at=F.col("run"), meta=s(generated_at=F.col("run"), by="x"), items=F.array(s(v=F.col("v"), processing_time=F.col("run")))))
+    garbage = F.concat(F.lit("garbage "), F.col("run").cast("string"))
+    stats = runs.select("match_id", F.lit("stats").alias("component"), "run", F.when(F.col("match_id") % 23 == 0, garbage).otherwise(doc).alias("payload"))
     missing = (F.col("run") == 3) & (F.col("match_id") % 11 == 0)
-    graph = runs.where("match_id % 2 = 0").select("match_id", F.lit("graph").alias("component"), "run", F.when(~missing, F.to_json(s(points=F.when(differs & (F.col("match_id") % 4 == 0), 9).otherwise(3), total=F.col("v"), fetchedAt=F.col("run")))).alias("payload"))
-    return stats.union(graph).select("match_id", "component", F.concat(F.lit("run"), F.col("run").cast("string")).alias("run_id"), "payload")
+    graph = runs.where("match_id % 2 = 0").select("match_id", F.lit("graph").alias("component"), "run", F.when(~missing, F.to_json(s(points=F.when(differs & (F.col("match_id") % 4 == 0), 9).otherwise(3), total=F.col("v"), calculatedAt=F.col("run")))).alias("payload"))
+    name = F.element_at(F.array(*map(F.lit, RUN_IDS)), F.col("run"))
+    return stats.union(graph).select("match_id", "component", name.alias("run_id"), F.timestamp_seconds(F.col("run") * 86400).alias("run_at"), "payload")
 
 
-#: What enc_runs' documents hold; fetchedAt is excluded from comparisons.
-RUN_SCHEMA = {"stats": "total bigint, kind string, fetchedAt int", "graph": "points int, total bigint, fetchedAt int"}
+#: What enc_runs' documents must hold.
+RUN_CONTRACTS = {
+    "stats": Contract("stats", {"total!": "int", "kind!": "str", "generated_at": "int", "meta": {"generated_at": "int", "by": "str"}, "items": [{"v": "int", "processing_time": "int"}]}),
+    "graph": Contract("graph", {"points!": "int", "total!": "int", "calculatedAt": "int"}),
+}
