@@ -62,9 +62,8 @@ def save_run(docs: DataFrame, root: str) -> None:
     A run that is saved again replaces itself and no other one."""
     own = docs.select("component", "match_id", "run_at", "payload", *RUN_KEY).repartition(*RUN_KEY)
     own.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*RUN_KEY).parquet(f"{root}/runs")
-    saved = docs.select(*RUN_KEY).distinct()
-    written = load_runs(docs.sparkSession, root).join(saved, list(RUN_KEY), "left_semi")
-    run_stats(written, (*RUN_KEY, "component")).repartition("tournament_id", "season_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*RUN_KEY).parquet(f"{root}/catalogue")
+    saved = [r["run_id"] for r in docs.select("run_id").distinct().collect()]  # those of one call: few
+    run_stats(load_runs(docs.sparkSession, root, run_ids=saved), (*RUN_KEY, "component")).repartition("tournament_id", "season_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*RUN_KEY).parquet(f"{root}/catalogue")
 
 
 def list_runs(spark: SparkSession, root: str) -> DataFrame:

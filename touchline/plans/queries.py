@@ -503,13 +503,76 @@ def snk_route(spark, sf):
     return out
 
 
-@q("""SELECT 'match_statistics' AS table_name, 'unique' AS rule, CAST(l_orderkey AS VARCHAR) || '|' || l_linestatus || '|' || l_returnflag || '|k' || CAST(l_linenumber AS VARCHAR) AS key_text, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1
-UNION ALL SELECT 'match_statistics', 'foreign_key:match_id', CAST(l_orderkey AS VARCHAR) || '|' || l_linestatus || '|' || l_returnflag || '|k' || CAST(l_linenumber AS VARCHAR), count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'P' GROUP BY ALL
-UNION ALL SELECT 'match_statistics', 'domain:group_name', CAST(l_orderkey AS VARCHAR) || '|' || l_linestatus || '|' || l_returnflag || '|k' || CAST(l_linenumber AS VARCHAR), count(*) FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL""")
+#: Parents that are stored: tournaments but every sixth, their seasons, and matches that aren't postponed.
+STORED = "tn AS (SELECT n_nationkey AS id FROM nation WHERE n_nationkey % 6 <> 0), sn AS (SELECT DISTINCT season_id AS id FROM m WHERE n_nationkey % 6 <> 0), ev AS (SELECT o_orderkey AS id FROM orders WHERE o_orderstatus <> 'P')"
+
+
+def _keys(table, rule, rows, key, n="count(*)", having=""):
+    return f"SELECT '{table}' AS table_name, '{rule}' AS rule, count(*) AS keys, CAST(sum(n) AS BIGINT) AS n_rows FROM (SELECT {n} AS n FROM {rows} GROUP BY {key} {having}) HAVING count(*) > 0"
+
+
+RAW_ODDS = "(SELECT * FROM o WHERE NOT bad)"
+CONSTRAINTS = " UNION ALL ".join(
+    [
+        _keys("seasons", "foreign_key:tournament_id", "m WHERE n_nationkey % 6 = 0", "season_id", "1"),
+        *(_keys(t, f"foreign_key:{c}", "m WHERE n_nationkey % 6 = 0", "match_id") for t in ("events", "matches") for c in ("tournament_id", "season_id")),
+        _keys("matches", "foreign_key:match_id", "orders WHERE o_orderstatus = 'P'", "o_orderkey"),
+        _keys("match_component_audit", "foreign_key:match_id", "audit WHERE match_id NOT IN (SELECT id FROM ev)", "audit_id"),
+        _keys("match_component_audit", "not_null:status", "audit WHERE match_id % 7 = 0", "audit_id"),
+        _keys("match_component_audit", "domain:status", "audit WHERE match_id % 7 = 1", "audit_id"),
+        _keys("match_statistics", "unique", "lineitem", "l_orderkey, l_linestatus, l_returnflag, l_linenumber", having="HAVING count(*) > 1"),
+        _keys("match_statistics", "foreign_key:match_id", "lineitem WHERE l_orderkey NOT IN (SELECT id FROM ev)", "l_orderkey, l_linestatus, l_returnflag, l_linenumber"),
+        _keys("match_player_lineups", "unique", "lineitem", "l_orderkey, l_partkey", having="HAVING count(*) > 1"),
+        _keys("match_player_lineups", "foreign_key:match_id", "lineitem WHERE l_orderkey NOT IN (SELECT id FROM ev)", "l_orderkey, l_partkey"),
+        _keys("match_incidents", "foreign_key:match_id", "events WHERE user_id NOT IN (SELECT id FROM ev)", "event_id"),
+        _keys("match_graph", "foreign_key:match_id", "events WHERE user_id NOT IN (SELECT id FROM ev)", "user_id", "1"),
+        _keys("match_odds", "unique", RAW_ODDS, "match_id, market_id, choice_group, raw_name", having="HAVING count(*) > 1"),
+        _keys("match_odds", "foreign_key:match_id", "(SELECT * FROM o WHERE NOT bad AND match_id NOT IN (SELECT id FROM ev))", "match_id, market_id, choice_group, raw_name"),
+    ]
+)
+
+
+def raw_odds_rows(spark, sf):
+    """Odds as they come: names aren't made different."""
+    return flatten.odds(valid(enc.enc_odds(spark, sf), "odds"))
+
+
+def stored_parents(spark, sf):
+    tournaments = flatten.tournaments(valid(enc.enc_tournament(spark, sf), "tournament")).where("tournament_id % 6 <> 0")
+    seasons = flatten.seasons(valid(enc.enc_seasons(spark, sf), "seasons")).where("tournament_id % 6 <> 0")
+    return {"tournaments": tournaments, "seasons": seasons, "events": table(spark, sf, "orders").where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("match_id"))}
+
+
+@q(CONSTRAINTS, (M, O, AUDIT, STORED))
 def snk_constraints(spark, sf):
-    rows = flatten.statistics(valid(enc.enc_stats(spark, sf, table(spark, sf, "lineitem")), "stats"))
-    parents = table(spark, sf, "orders").where("o_orderstatus <> 'P'")
-    return tables.violations(rows, "match_statistics", ["match_id", "period", "group_name", "stat_key"], ["home_value"], (parents, "match_id", "o_orderkey"), ("group_name", ["A", "N"]))
+    """Broken rules of all ten tables, counted by rule."""
+    parents = stored_parents(spark, sf)
+    tasks_ = audit(spark, sf).withColumn("status", F.when(F.col("match_id") % 7 == 0, None).when(F.col("match_id") % 7 == 1, "LOST").otherwise(F.col("status")))
+    incidents = tables.surrogate_ids(flatten.incidents(valid(enc.enc_incidents(spark, sf), "incidents")), ["match_id", "seq"])
+    rows = {
+        "tournaments": flatten.tournaments(valid(enc.enc_tournament(spark, sf), "tournament")), "seasons": flatten.seasons(valid(enc.enc_seasons(spark, sf), "seasons")), "events": flatten.events(valid(enc.enc_events(spark, sf), "events")), "match_component_audit": tasks_,
+        "matches": flatten.match(valid(enc.enc_base(spark, sf), "base")), "match_statistics": flatten.statistics(valid(enc.enc_stats(spark, sf, table(spark, sf, "lineitem")), "stats")), "match_player_lineups": flatten.lineups(valid(enc.enc_lineups(spark, sf), "lineups")),
+        "match_incidents": incidents, "match_graph": flatten.graph(valid(enc.enc_graph(spark, sf), "graph")), "match_odds": raw_odds_rows(spark, sf),
+    }
+    out = None
+    for name, spec in tables.TABLES.items():
+        one = tables.violations(rows[name], spec, parents).groupBy("table_name", "rule").agg(F.count("*").alias("keys"), F.sum("n").alias("n_rows"))
+        out = one if out is None else out.union(one)
+    return out
+
+
+@q("""SELECT audit_id, match_id, CASE WHEN b THEN 'API_ERROR' ELSE 'SUCCESS' END AS status, retry_count + CASE WHEN b THEN 1 ELSE 0 END AS retry_count, CASE WHEN b THEN 'constraint: ' || CASE WHEN f > 0 THEN 'foreign_key:match_id' || CASE WHEN u > 0 THEN ', unique' ELSE '' END ELSE 'unique' END || ' (' || CAST(u + f AS VARCHAR) || ')' END AS error_message, rows_kept
+FROM (SELECT o_orderkey * 10 + 5 AS audit_id, o_orderkey AS match_id, 0 AS retry_count, coalesce(u, 0) AS u, coalesce(f, 0) AS f, coalesce(u, 0) + coalesce(f, 0) > 0 AS b, CASE WHEN coalesce(u, 0) + coalesce(f, 0) = 0 THEN coalesce(n, 0) ELSE 0 END AS rows_kept
+FROM orders LEFT JOIN (SELECT match_id, count(*) FILTER (WHERE n > 1) AS u, count(*) FILTER (WHERE match_id NOT IN (SELECT id FROM ev)) AS f, CAST(sum(n) AS BIGINT) AS n FROM (SELECT match_id, count(*) AS n FROM o WHERE NOT bad GROUP BY match_id, market_id, choice_group, raw_name) GROUP BY 1) ON match_id = o_orderkey)""", (M, O, STORED))
+def snk_constraint_outcomes(spark, sf):
+    """The audit after a load of odds: a match that breaks a rule is an error, and none of its rows are stored."""
+    rows = raw_odds_rows(spark, sf)
+    kept, failed = tables.admitted(rows, tables.violations(rows, tables.TABLES["match_odds"], stored_parents(spark, sf)), "odds")
+    tasks_ = table(spark, sf, "orders").select((F.col("o_orderkey") * 10 + 5).alias("audit_id"), F.col("o_orderkey").alias("match_id"), F.lit("odds").alias("component_name"), F.lit("PENDING").alias("status"), F.lit(0).alias("retry_count"), F.lit(None).cast("string").alias("error_message"))
+    done = tasks_.join(failed, ["match_id", "component_name"], "left_anti").select("match_id", "component_name", F.lit("SUCCESS").alias("outcome"), F.lit(None).cast("string").alias("message"))
+    after = tasks.apply_outcomes(tasks_, failed.unionByName(done))
+    stored = kept.groupBy("match_id").agg(F.count("*").alias("rows_kept"))
+    return after.join(stored, "match_id", "left").select("audit_id", "match_id", "status", "retry_count", "error_message", F.coalesce("rows_kept", F.lit(0)).alias("rows_kept"))
 
 
 IDS = "x AS (SELECT user_id AS match_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS INT) AS seq, ts, event_id, event_type FROM events)"
