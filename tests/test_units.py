@@ -21,7 +21,7 @@ def docs(spark, *payloads):
 
 @pytest.mark.parametrize(("text", "want"), [("4/6", (4, 6)), ("11/10", (11, 10)), ("1/1", (1, 1)), ("0/1", (0, 1)), ("4-6", None), ("N/A", None), ("10", None), (None, None), ("1/two", None)])
 def test_fractions(spark, text, want):
-    (r,) = spark.createDataFrame([(text,)], "t string").select(fraction(F.col("t")).alias("f")).collect()
+    (r,) = spark.createDataFrame([(text,)], "t string").select(F.expr(fraction("t")).alias("f")).collect()
     assert (tuple(r.f) if r.f else None) == want
 
 

@@ -8,11 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def fraction(value: Column) -> Column:
-    """'a/b' as struct<num,den>; null for anything else. A zero denominator is kept."""
-    parts = F.split(value, "/")
-    num, den = F.trim(parts[0]).try_cast("int"), F.trim(parts[1]).try_cast("int")
-    return F.when((F.size(parts) == 2) & num.isNotNull() & den.isNotNull(), F.struct(num.alias("num"), den.alias("den")))
+def fraction(text: str) -> str:
+    """'a/b' as struct<num,den>, in SQL; null for anything else. A zero denominator is kept."""
+    parts = f"transform(split({text}, '/'), p -> try_cast(trim(p) AS int))"
+    return f"transform(array({parts}), f -> CASE WHEN size(f) = 2 AND f[0] IS NOT NULL AND f[1] IS NOT NULL THEN named_struct('num', f[0], 'den', f[1]) END)[0]"
 
 
 def epoch_utc(seconds: Column) -> Column:

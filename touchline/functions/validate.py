@@ -1,12 +1,13 @@
 """Contract validation as generated column expressions.
 
 A payload is parsed once with a shadow schema whose leaves are all strings;
-typed values and a list of errors are generated from it, so lax coercions and
-their failures are seen.  Nothing here leaves the JVM.
+typed values and a list of errors are generated from it, as SQL text, so lax
+coercions and their failures are seen.  Nothing here leaves the JVM.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -52,44 +53,52 @@ def typed(kind: Any) -> str:
     return TYPES[kind]
 
 
-def coerce(value: Column, kind: str) -> Column:
+def coerce(text: str, kind: str) -> str:
     """Lax coercion of a JSON leaf held as text; null where it fails."""
-    text = F.trim(value)
+    t = f"trim({text})"
     if kind == "int":
-        whole = F.when(text.rlike(r"^[+-]?[0-9]+(\.0*)?$"), F.regexp_extract(text, r"^([+-]?[0-9]+)", 1).try_cast("bigint"))
-        return F.when(text == "true", F.lit(1).cast("bigint")).when(text == "false", F.lit(0).cast("bigint")).otherwise(whole)
+        return f"CASE WHEN {t} = 'true' THEN 1L WHEN {t} = 'false' THEN 0L WHEN {t} RLIKE '^[+-]?[0-9]+([.]0*)?$' THEN try_cast(regexp_extract({t}, '^([+-]?[0-9]+)', 1) AS bigint) END"
     if kind == "float":
-        return F.when(text == "true", F.lit(1.0)).when(text == "false", F.lit(0.0)).otherwise(text.try_cast("double"))
+        return f"CASE WHEN {t} = 'true' THEN 1D WHEN {t} = 'false' THEN 0D ELSE try_cast({t} AS double) END"
     if kind == "bool":
-        low = F.lower(text)
-        return F.when(low.isin("true", "1", "1.0", "t", "y", "yes", "on"), True).when(low.isin("false", "0", "0.0", "f", "n", "no", "off"), False)
-    if kind == "fraction":
-        return fraction(value)
-    return value
+        return f"CASE WHEN lower({t}) IN ('true', '1', '1.0', 't', 'y', 'yes', 'on') THEN true WHEN lower({t}) IN ('false', '0', '0.0', 'f', 'n', 'no', 'off') THEN false END"
+    return fraction(text) if kind == "fraction" else text
 
 
-def _fault(path: str, code: str, value: Column | None = None) -> Column:
-    return F.struct(F.lit(path).alias("path"), F.lit(code).alias("code"), (F.lit(None) if value is None else value).cast("string").alias("value"))
+NO_ERRORS = f"cast(array() AS array<{ERROR}>)"
 
 
-def _gather(ones: list[Column], many: list[Column]) -> Column:
+def _fault(path: str, code: str, value: str = "NULL") -> str:
+    return f"named_struct('path', '{path}', 'code', '{code}', 'value', cast({value} AS string))"
+
+
+def _gather(ones: list[str], many: list[str]) -> str:
     """One array of errors from single ones (null: none) and arrays of them."""
-    parts = ([F.array_compact(F.array(*ones))] if ones else []) + [F.coalesce(m, F.array().cast(f"array<{ERROR}>")) for m in many]
-    return F.concat(*parts) if len(parts) > 1 else parts[0] if parts else F.array().cast(f"array<{ERROR}>")
+    parts = ([f"array_compact(array({', '.join(ones)}))"] if ones else []) + [f"coalesce({m}, {NO_ERRORS})" for m in many]
+    return f"concat({', '.join(parts)})" if len(parts) > 1 else parts[0] if parts else NO_ERRORS
+
+
+def _member(parent: str, key: str) -> str:
+    return f"{parent}.`{key}`"
+
+
+def _default(value: object) -> str:
+    return str(value).lower() if isinstance(value, bool) else f"{value}L"
 
 
-def typed_value(value: Column, kind: Any) -> Column:
+def typed_value(value: str, kind: Any, depth: int = 0) -> str:
     if isinstance(kind, tuple):
-        default = F.array().cast(typed(kind)) if isinstance(kind[0], list) else F.lit(kind[1])
-        return F.when(value.isNull(), default).otherwise(typed_value(value, kind[0]))
+        default = f"cast(array() AS {typed(kind)})" if isinstance(kind[0], list) else _default(kind[1])
+        return f"CASE WHEN {value} IS NULL THEN {default} ELSE {typed_value(value, kind[0], depth)} END"
     if isinstance(kind, list):
-        return value if kind[0] in ("str", "raw") else F.transform(value, lambda x: typed_value(x, kind[0]))
+        return value if kind[0] in ("str", "raw") else f"transform({value}, x{depth} -> {typed_value(f'x{depth}', kind[0], depth + 1)})"
     if isinstance(kind, dict):
-        return F.when(value.isNotNull(), F.struct(*(typed_value(value[_split(k)[0]], v).alias(_called(k)) for k, v in kind.items())))
+        members = ", ".join(f"'{_called(k)}', {typed_value(_member(value, _split(k)[0]), v, depth)}" for k, v in kind.items())
+        return f"CASE WHEN {value} IS NOT NULL THEN named_struct({members}) END"
     return value if kind in ("str", "raw", "map") else coerce(value, kind)
 
 
-def faults(value: Column, made: Column, kind: Any, path: str, required: bool, nullable: bool, parent: Column | None) -> tuple[list[Column], list[Column]]:
+def faults(value: str, made: str, kind: Any, path: str, required: bool, nullable: bool, parent: str | None, depth: int = 0) -> tuple[list[str], list[str]]:
     """Errors of a value and what was ``made`` of it: single ones, and arrays of
     those inside arrays.  A leaf that is there but could not be made is wrong.
     What is required is only missed where ``parent`` is there."""
@@ -97,43 +106,66 @@ def faults(value: Column, made: Column, kind: Any, path: str, required: bool, nu
         kind = kind[0]
     ones, many = [], []
     if required and not nullable:
-        ones.append(F.when(value.isNull() if parent is None else value.isNull() & parent.isNotNull(), _fault(path, "missing")))
+        there = "" if parent is None else f" AND {parent} IS NOT NULL"
+        ones.append(f"CASE WHEN {value} IS NULL{there} THEN {_fault(path, 'missing')} END")
     if isinstance(kind, list):
         if isinstance(kind[0], dict):
-            many.append(F.flatten(F.zip_with(value, made, lambda x, t: _gather(*faults(x, t, kind[0], path + "[]", True, False, None)))))
+            inner = _gather(*faults(f"x{depth}", f"t{depth}", kind[0], path + "[]", True, False, None, depth + 1))
+            many.append(f"flatten(zip_with({value}, {made}, (x{depth}, t{depth}) -> {inner}))")
     elif isinstance(kind, dict):
         for name, sub in kind.items():
             key, need, may_null = _split(name)
-            more = faults(value[key], made[_called(name)], sub, f"{path}.{key}".lstrip("."), need, may_null, value)
+            more = faults(_member(value, key), _member(made, _called(name)), sub, f"{path}.{key}".lstrip("."), need, may_null, value, depth)
             ones += more[0]
             many += more[1]
     elif kind not in ("str", "raw", "map"):
-        ones.append(F.when(value.isNotNull() & made.isNull(), _fault(path, kind, value)))
+        ones.append(f"CASE WHEN {value} IS NOT NULL AND {made} IS NULL THEN {_fault(path, kind, value)} END")
     return ones, many
 
 
-def incident_errors(incidents: Column) -> Column:
+def incident_errors(incidents: str) -> str:
     """Required fields by type; an unknown type makes the payload invalid."""
+    kind = "x.incidentType"
+    known = ", ".join(f"'{k}'" for k in INCIDENT_REQUIRED)
+    ones = [f"CASE WHEN {kind} NOT IN ({known}) THEN {_fault('incidents[].incidentType', 'unknown_type', kind)} END"]
+    need: dict[str, list[str]] = {}
+    for name, fields in INCIDENT_REQUIRED.items():
+        for f in fields:
+            if f not in INCIDENT_NULLABLE.get(name, ()):
+                need.setdefault(f, []).append(f"'{name}'")
+    ones += [f"CASE WHEN {kind} IN ({', '.join(names)}) AND x.`{f}` IS NULL THEN {_fault(f'incidents[].{f}', 'missing', kind)} END" for f, names in need.items()]
+    return f"flatten(transform({incidents}, x -> {_gather(ones, [])}))"
+
+
+@dataclass(frozen=True)
+class Compiled:
+    """A contract as SQL text over columns _shadow and parsed: Spark's parser
+    builds the expressions in one call, not one call for each node of them."""
+
+    shadow: str
+    value: str
+    errors: str
+
+
+_COMPILED: dict[str, Compiled] = {}
 
-    def one(x: Column) -> Column:
-        kind = x["incidentType"]
-        ones = [F.when(~kind.isin(*INCIDENT_REQUIRED), _fault("incidents[].incidentType", "unknown_type", kind))]
-        need: dict[str, list[str]] = {}
-        for name, fields in INCIDENT_REQUIRED.items():
-            for f in fields:
-                if f not in INCIDENT_NULLABLE.get(name, ()):
-                    need.setdefault(f, []).append(name)
-        ones += [F.when(kind.isin(*names) & x[f].isNull(), _fault(f"incidents[].{f}", "missing", kind)) for f, names in need.items()]
-        return _gather(ones, [])
 
-    return F.flatten(F.transform(incidents, one))
+def compiled(contract: Contract) -> Compiled:
+    """The text of a contract, made once a process."""
+    key = repr(contract)
+    if key not in _COMPILED:
+        ones, many = faults("_shadow", "parsed", contract.fields, "", False, True, None)
+        if contract.name == "incidents":
+            many.append(incident_errors("_shadow.incidents"))
+        _COMPILED[key] = Compiled(shadow(contract.fields | {"error": {"code": "str"}}), typed_value("_shadow", contract.fields), _gather(ones, many))
+    return _COMPILED[key]
 
 
 def explicit_nulls(payload: Column, where: str, names: tuple[str, ...]) -> Column:
     """Errors for keys that are present with a null where only absence may stand."""
     first, _, rest = where.partition(".")
     bad = lambda keys, n: F.coalesce(F.map_contains_key(keys, n) & keys[n].isNull(), F.lit(False))
-    errors = lambda hit: F.array_compact(F.array(*(F.when(hit(n), _fault(f"{where}.{n}", "null")) for n in names)))
+    errors = lambda hit: F.array_compact(F.array(*(F.when(hit(n), F.expr(_fault(f"{where}.{n}", "null"))) for n in names)))
     if not first.endswith("[]"):
         keys = F.from_json(F.get_json_object(payload, f"$.{where}"), "map<string,string>")
         return let(keys, lambda m: errors(lambda n: bad(m, n)))
@@ -158,18 +190,14 @@ def validate_payload(df: DataFrame, contract: Contract, payload: str = "payload"
     reason: empty, http_<code>, invalid_contract, or null for a valid payload.
     With ``parity`` the error envelope is not looked for, except in odds.
     """
-    text = F.col(payload)
-    wanted = contract.fields | {"error": {"code": "str"}}
-    out = once(df, _shadow=F.from_json(text, shadow(wanted)))
+    text, made = F.col(payload), compiled(contract)
+    out = once(df, _shadow=F.from_json(text, made.shadow))
     code = F.col("_shadow.error.code").try_cast("int") if not parity or contract.name == "odds" else F.lit(None).cast("int")
-    value = F.col("_shadow")
-    out = once(out, parsed=typed_value(value, contract.fields), _code=code)
-    ones, many = faults(value, F.col("parsed"), contract.fields, "", False, True, None)
-    if contract.name == "incidents":
-        many.append(incident_errors(value["incidents"]))
-    for where, names in contract.no_nulls:
-        many.append(F.when(text.contains("null"), explicit_nulls(text, where, names)))  # most payloads have none
-    out = once(out, errors=_gather(ones, many)).drop("_shadow")
+    out = once(out, parsed=F.expr(made.value), _code=code)
+    errors = [F.expr(made.errors)]
+    for where, names in contract.no_nulls:  # most payloads have none
+        errors.append(F.coalesce(F.when(text.contains("null"), explicit_nulls(text, where, names)), F.expr(NO_ERRORS)))
+    out = once(out, errors=F.concat(*errors) if len(errors) > 1 else errors[0]).drop("_shadow")
     reason = F.when(is_empty(text), "empty").when(F.col("_code").isNotNull(), F.concat(F.lit("http_"), F.col("_code").cast("string"))).when(F.size("errors") > 0, "invalid_contract")
     return once(out, reason=reason).drop("_code").withColumn("is_valid", F.col("reason").isNull())
 

@@ -186,7 +186,7 @@ def val_fraction(spark, sf):
     n = F.col("l_quantity").cast("int").cast("string")
     k = F.col("l_partkey") % 5
     text = F.when(k == 0, F.concat(n, F.lit(" / "), F.col("l_linenumber").cast("string"))).when(k == 1, F.concat(n, F.lit("-6"))).when(k == 2, n).when(k == 3, F.concat(n, F.lit("/two"))).otherwise("0/1")
-    return table(spark, sf, "lineitem").withColumn("f", fraction(text)).select("l_orderkey", "l_linenumber", "l_partkey", "f.num", "f.den")
+    return table(spark, sf, "lineitem").withColumn("t", text).withColumn("f", F.expr(fraction("t"))).select("l_orderkey", "l_linenumber", "l_partkey", "f.num", "f.den")
 
 
 @q("SELECT o_orderkey, CASE k WHEN 3 THEN NULL WHEN 4 THEN 1 ELSE o_custkey END AS as_int, CASE k WHEN 3 THEN o_custkey + 0.5 WHEN 4 THEN 1.0 ELSE CAST(o_custkey AS DOUBLE) END AS as_float, CASE WHEN k = 4 THEN true WHEN k <= 2 AND o_custkey = 1 THEN true WHEN k <= 2 AND o_custkey = 0 THEN false END AS as_bool FROM (SELECT *, o_orderkey % 5 AS k FROM orders)")
@@ -194,7 +194,7 @@ def val_coerce(spark, sf):
     k, c = F.col("o_orderkey") % 5, F.col("o_custkey").cast("string")
     text = F.when(k == 0, c).when(k == 1, F.concat(c, F.lit(".0"))).when(k == 2, F.concat(F.lit('"'), c, F.lit('"'))).when(k == 3, F.concat(c, F.lit(".5"))).otherwise("true")
     leaf = F.from_json(F.concat(F.lit('{"x":'), text, F.lit("}")), "x string")["x"]
-    return table(spark, sf, "orders").select("o_orderkey", coerce(leaf, "int").alias("as_int"), coerce(leaf, "float").alias("as_float"), coerce(leaf, "bool").alias("as_bool"))
+    return table(spark, sf, "orders").withColumn("leaf", leaf).select("o_orderkey", *(F.expr(coerce("leaf", kind)).alias(f"as_{kind}") for kind in ("int", "float", "bool")))
 
 
 @q("SELECT match_id AS entity_id, match_id % 5 <> 2 AND match_id % 5 <> 3 AS is_valid, CASE match_id % 5 WHEN 2 THEN 'event.hasXg:null' WHEN 3 THEN 'event.slug:missing' ELSE '' END AS faults, CASE WHEN match_id % 5 IN (2, 3) THEN NULL WHEN match_id % 5 = 1 THEN false ELSE match_id % 2 = 0 END AS has_xg, CASE WHEN match_id % 5 IN (2, 3) THEN NULL WHEN status_type = 'finished' AND match_id % 3 = 0 THEN 2 ELSE 0 END AS injury1 FROM m", (M,))
