@@ -7,6 +7,7 @@ coercions and their failures are seen.  Nothing here leaves the JVM.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
 
@@ -184,14 +185,20 @@ def envelope_code(payload: Column) -> Column:
     return F.get_json_object(payload, "$.error.code").try_cast("int")
 
 
-def validate_payload(df: DataFrame, contract: Contract, payload: str = "payload", parity: bool = False) -> DataFrame:
+def validate_payload(df: DataFrame, contract: Contract, payload: str = "payload", parity: bool = False, shaped: Callable[[Column], dict[str, Column]] | None = None) -> DataFrame:
     """``df`` with parsed, errors, is_valid and reason.
 
+    ``shaped`` may change the document between parsing and checking: of the
+    parsed document, all leaves text, it makes the new _shadow and further columns.
+
     reason: empty, http_<code>, invalid_contract, or null for a valid payload.
     With ``parity`` the error envelope is not looked for, except in odds.
     """
     text, made = F.col(payload), compiled(contract)
     out = once(df, _shadow=F.from_json(text, made.shadow))
+    if shaped:
+        more = shaped(F.col("_shadow"))
+        out = once(out, _shadow=more.pop("_shadow")).withColumns(more)
     code = F.col("_shadow.error.code").try_cast("int") if not parity or contract.name == "odds" else F.lit(None).cast("int")
     out = once(out, parsed=F.expr(made.value), _code=code)
     errors = [F.expr(made.errors)]

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from ..functions.contracts import CONTRACTS, Contract
 from ..functions.validate import validate_payload
 from ..operators import flatten
-from ..operators.odds import sanitise_payload
+from ..operators.odds import clean_odds
 
 
 @dataclass(frozen=True)
@@ -20,7 +20,7 @@ class ComponentSpec:
     table: str
     key: tuple[str, ...]
     mode: str
-    sanitise: Callable[[DataFrame], DataFrame] | None = None
+    check: Callable[[DataFrame], DataFrame] | None = None
 
 
 REGISTRY = {
@@ -32,7 +32,7 @@ REGISTRY = {
     "lineup": ComponentSpec(CONTRACTS["lineups"], flatten.lineups, "match_player_lineups", ("match_id", "player_id"), "upsert"),
     "incidents": ComponentSpec(CONTRACTS["incidents"], flatten.incidents, "match_incidents", ("match_id", "seq"), "replace"),
     "graph": ComponentSpec(CONTRACTS["graph"], flatten.graph, "match_graph", ("match_id",), "upsert"),
-    "odds": ComponentSpec(CONTRACTS["odds"], flatten.odds, "match_odds", ("match_id", "market_id", "choice_group", "choice_name"), "replace", sanitise_payload),
+    "odds": ComponentSpec(CONTRACTS["odds"], flatten.odds, "match_odds", ("match_id", "market_id", "choice_group", "choice_name"), "replace", clean_odds),
 }
 
 
@@ -41,5 +41,5 @@ def route(component: str, documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     if component not in REGISTRY:
         raise ValueError(f"unknown component: {component}")
     spec = REGISTRY[component]
-    checked = validate_payload(spec.sanitise(documents) if spec.sanitise else documents, spec.contract)
+    checked = spec.check(documents) if spec.check else validate_payload(documents, spec.contract)
     return spec.flatten(checked.where("is_valid")), checked.where("not is_valid")
