@@ -23,7 +23,7 @@ def rows_of(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(core.QUERIES) == set(core.ORACLES) and len(core.QUERIES) == 102
+    assert set(core.QUERIES) == set(core.ORACLES) and len(core.QUERIES) == 103
 
 
 @pytest.mark.parametrize("name", sorted(core.QUERIES))

@@ -15,11 +15,11 @@ def component_flags(status: DataFrame) -> DataFrame:
 
 
 def component_errors(status: DataFrame) -> DataFrame:
-    """match_id, successful, failed (in report order), has_errors."""
+    """match_id, successful, failed (in report order), has_errors, and from when to when attempts were made."""
     rank = F.array_position(F.array(*map(F.lit, ORDER)), F.col("component_name"))
     named = lambda ok: F.transform(F.array_sort(F.collect_list(F.when(ok & (rank > 0), F.struct(rank.alias("r"), F.col("component_name").alias("c"))))), lambda x: x["c"])
     good = F.col("status") == "SUCCESS"
-    out = status.groupBy("match_id").agg(named(good).alias("successful"), named(~good).alias("failed"))
+    out = status.groupBy("match_id").agg(named(good).alias("successful"), named(~good).alias("failed"), F.min("first_attempted_at").alias("began"), F.max("last_attempted_at").alias("ended"))
     return out.withColumn("has_errors", F.size("failed") > 0)
 
 
@@ -37,14 +37,21 @@ def match_info(flat: DataFrame) -> DataFrame:
     return flat.select("match_id", "home_team", "away_team", score.alias("score"), F.col("status_text").alias("status"), "venue")
 
 
-def season_totals(errors: DataFrame, season: Column) -> DataFrame:
-    """season, matches, with and without errors, failed components."""
-    return errors.groupBy(season.alias("season_id")).agg(F.count("*").alias("total"), F.count_if(~F.col("has_errors")).alias("successful"), F.count_if("has_errors").alias("failed"), F.sum(F.size("failed")).alias("failed_components"))
+def in_season(errors: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Matches with their tournament and season; null for those that no calendar has."""
+    return errors.join(calendar.select("match_id", "tournament_id", "season_id"), "match_id", "left")
 
 
-def season_failures(errors: DataFrame, season: Column) -> DataFrame:
+def season_totals(errors: DataFrame, calendar: DataFrame) -> DataFrame:
+    """tournament_id, season_id, matches, with and without errors, failed
+    components, and seconds from the first attempt to the last one."""
+    length = F.unix_seconds(F.max("ended").cast("timestamp")) - F.unix_seconds(F.min("began").cast("timestamp"))
+    return in_season(errors, calendar).groupBy("tournament_id", "season_id").agg(F.count("*").alias("total"), F.count_if(~F.col("has_errors")).alias("successful"), F.count_if("has_errors").alias("failed"), F.sum(F.size("failed")).alias("failed_components"), length.alias("duration_seconds"))
+
+
+def season_failures(errors: DataFrame, calendar: DataFrame) -> DataFrame:
     """The failed matches of each season, a row each: a season may have any number."""
-    return errors.where("has_errors").select(season.alias("season_id"), "match_id", error_text(F.col("failed")).alias("summary"))
+    return in_season(errors.where("has_errors"), calendar).select("tournament_id", "season_id", "match_id", error_text(F.col("failed")).alias("summary"))
 
 
 def rate_text(good: Column, total: Column) -> Column:

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .tables import keyed_upsert
+
 RETRYING = ("API_ERROR", "QA_MISMATCH")
 OPEN = ("PENDING", *RETRYING)
 #: Prerequisite of a component, over the columns of the calendar.
@@ -86,7 +88,7 @@ def fold_attempts(attempts: DataFrame, max_retries: int = 3) -> DataFrame:
     order = F.struct("attempted_at", "attempt_id")
     last = F.max_by("outcome", order)
     message = F.max_by("message", F.when(F.col("message").isNotNull(), order))
-    return live.groupBy(*key).agg(last.alias("status"), F.count_if(retrying).cast("int").alias("retry_count"), F.when(last != "SUCCESS", message).alias("error_message"), F.max("attempted_at").alias("last_attempted_at"), F.count("*").alias("attempts"))
+    return live.groupBy(*key).agg(last.alias("status"), F.count_if(retrying).cast("int").alias("retry_count"), F.when(last != "SUCCESS", message).alias("error_message"), F.min("attempted_at").alias("first_attempted_at"), F.max("attempted_at").alias("last_attempted_at"), F.count("*").alias("attempts"))
 
 
 def retry_sweep(audit: DataFrame, scope: DataFrame | None = None, allowed: tuple[str, ...] = RETRYING, max_retries: int = 3) -> DataFrame:
@@ -111,12 +113,25 @@ def recent_seasons(seasons: DataFrame, n: int) -> DataFrame:
     return seasons.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 
-def season_backfill(calendar: DataFrame, audit: DataFrame, components: list[str]) -> DataFrame:
-    """season_id, new finished matches and queued tasks of all seasons at once."""
-    new = queue_components(calendar, audit, components).join(calendar.select("match_id", "season_id"), "match_id")
-    per = new.groupBy("season_id").agg(F.count_if(F.col("status") == "PENDING").alias("queued"), F.count_if(F.col("status") != "PENDING").alias("skipped"))
-    done = finished(calendar).groupBy("season_id").agg(F.count("*").alias("finished"))
-    return done.join(per, "season_id", "left").select("season_id", "finished", F.coalesce("queued", F.lit(0)).alias("queued"), F.coalesce("skipped", F.lit(0)).alias("skipped"))
+def season_backfill(incoming: DataFrame, stored: DataFrame, audit: DataFrame, components: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Brings the calendar up to date and queues what is finished, for all seasons at once.
+
+    Gives the calendar after the sync (``incoming`` rows win, other ``stored``
+    ones stay), the new audit rows, and by tournament and season, with totals
+    (null: all), fetched, inserted and updated matches, those that are newly
+    finished, and queued and skipped tasks.
+    """
+    calendar = keyed_upsert(stored, incoming.select(*stored.columns), ["match_id"], [F.col("status_type")])
+    new = queue_components(calendar, audit, components)
+    tasks = new.groupBy("match_id").agg(F.count_if(F.col("status") == "PENDING").alias("queued"), F.count_if(F.col("status") != "PENDING").alias("skipped"))
+    before = stored.select("match_id", F.struct(*(c for c in stored.columns if c != "match_id")).alias("before"))
+    each = incoming.select("match_id", F.struct(*(c for c in stored.columns if c != "match_id")).alias("now")).join(before, "match_id", "left")
+    done = lambda x: F.coalesce(F.lower(F.col(x)["status_type"]) == "finished", F.lit(False))
+    flags = each.select("match_id", F.col("before").isNull().alias("inserted"), (F.col("before").isNotNull() & (F.col("before") != F.col("now"))).alias("updated"), (done("now") & ~done("before")).alias("newly"))
+    every = calendar.select("match_id", "tournament_id", "season_id").join(flags, "match_id", "left").join(tasks, "match_id", "left")
+    sums = [F.count("inserted").alias("fetched"), F.count_if("inserted").alias("inserted"), F.count_if("updated").alias("updated"), F.count_if("newly").alias("newly_finished")]
+    sums += [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("queued", "skipped")]
+    return calendar, new, every.rollup("tournament_id", "season_id").agg(*sums)
 
 
 def batch_progress(audit: DataFrame, max_retries: int = 3) -> DataFrame:

@@ -54,7 +54,7 @@ AT = C + """, att AS (SELECT user_id AS match_id, component_name, ts, event_id,
   CASE WHEN event_type IN ('error', 'purchase', 'view') AND event_id % 5 <> 0 THEN 'm' || CAST(event_id AS VARCHAR) END AS message FROM events JOIN c ON event_id % 6 = idx),
 f0 AS (SELECT *, outcome IN ('API_ERROR', 'QA_MISMATCH') AS r, coalesce(sum(CASE WHEN outcome IN ('API_ERROR', 'QA_MISMATCH') THEN 1 ELSE 0 END) OVER w, 0) AS before, coalesce(max(CASE WHEN outcome IN ('API_ERROR', 'QA_MISMATCH') THEN 0 ELSE 1 END) OVER w, 0) AS ended
   FROM att WINDOW w AS (PARTITION BY match_id, component_name ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-f AS (SELECT match_id, component_name, arg_max(outcome, event_id) AS status, CAST(count(*) FILTER (WHERE r) AS INT) AS retry_count, count(*) AS attempts, max(ts) AS last_ts, max(event_id) AS last_id FROM f0 WHERE before < 3 AND ended = 0 GROUP BY ALL),
+f AS (SELECT match_id, component_name, arg_max(outcome, event_id) AS status, CAST(count(*) FILTER (WHERE r) AS INT) AS retry_count, count(*) AS attempts, min(ts) AS first_ts, max(ts) AS last_ts, max(event_id) AS last_id FROM f0 WHERE before < 3 AND ended = 0 GROUP BY ALL),
 fold AS (SELECT f.*, CASE WHEN status <> 'SUCCESS' THEN (SELECT arg_max(message, event_id) FROM f0 x WHERE x.match_id = f.match_id AND x.component_name = f.component_name AND before < 3 AND ended = 0 AND message IS NOT NULL) END AS error_message FROM f)"""
 RUN = "['run2', 'run10', 'run11'][run]"
 R = f"""r AS (SELECT match_id, component, run, CASE WHEN component = 'graph' AND run = 3 AND match_id % 11 = 0 OR component = 'stats' AND match_id % 23 = 0 THEN NULL WHEN differs AND (component = 'stats' OR match_id % 4 = 0) THEN CASE component WHEN 'stats' THEN 'd' || CAST(run AS VARCHAR) ELSE 'd' END ELSE 'same' END AS data
@@ -447,7 +447,7 @@ def tsk_apply_outcomes(spark, sf):
 
 @q("SELECT match_id, component_name, status, retry_count, error_message, attempts, CAST(floor(epoch(last_ts)) AS BIGINT) AS last_at FROM fold", (AT,))
 def tsk_fold_attempts(spark, sf):
-    return folded(spark, sf).withColumn("last_at", F.unix_timestamp("last_attempted_at")).drop("last_attempted_at")
+    return folded(spark, sf).withColumn("last_at", F.unix_timestamp("last_attempted_at")).drop("first_attempted_at", "last_attempted_at")
 
 
 @q("SELECT audit_id, CASE WHEN hit THEN 'PENDING' ELSE status END AS status, retry_count, hit AS reset FROM (SELECT a.*, status IN ('QA_MISMATCH', 'API_ERROR') AND retry_count < 3 AND n_nationkey = 7 AS hit FROM audit a JOIN m USING (match_id))".replace("a.*, status", "audit_id, a.status, a.retry_count, a.status"), (M, AUDIT))
@@ -466,9 +466,14 @@ def tsk_recent_seasons(spark, sf):
     return tasks.recent_seasons(flatten.seasons(valid(enc.enc_seasons(spark, sf), "seasons")), 3).select("season_id", "tournament_id", "year", "rank")
 
 
-@q("SELECT season_id, count(DISTINCT match_id) AS finished, count(*) FILTER (WHERE new AND ok) AS queued, count(*) FILTER (WHERE new AND NOT ok) AS skipped FROM (SELECT m.season_id, m.match_id, c.component_name <> 'graph' OR m.match_id % 3 = 0 AS ok, a.match_id IS NULL AS new FROM m CROSS JOIN c LEFT JOIN audit a ON a.match_id = m.match_id AND a.component_name = c.component_name WHERE m.status_type = 'finished') GROUP BY 1", (M, AUDIT))
+@q("""SELECT tournament_id, season_id, count(*) AS fetched, count(*) FILTER (WHERE ins) AS inserted, count(*) FILTER (WHERE NOT ins AND ch) AS updated, count(*) FILTER (WHERE fin AND (ins OR ch)) AS newly_finished, CAST(sum(q) AS BIGINT) AS queued, CAST(sum(s) AS BIGINT) AS skipped
+FROM (SELECT CAST(n_nationkey AS BIGINT) AS tournament_id, season_id, match_id % 5 = 0 AS ins, match_id % 4 = 0 AND status_type <> 'notstarted' AS ch, status_type = 'finished' AS fin, coalesce(q, 0) AS q, coalesce(s, 0) AS s FROM m LEFT JOIN
+(SELECT m.match_id, count(*) FILTER (WHERE c.component_name <> 'graph' OR m.match_id % 3 = 0) AS q, count(*) FILTER (WHERE c.component_name = 'graph' AND m.match_id % 3 <> 0) AS s FROM m CROSS JOIN c LEFT JOIN audit a ON a.match_id = m.match_id AND a.component_name = c.component_name WHERE m.status_type = 'finished' AND a.match_id IS NULL GROUP BY 1) USING (match_id))
+GROUP BY ROLLUP (tournament_id, season_id)""", (M, AUDIT))
 def tsk_season_backfill(spark, sf):
-    return tasks.season_backfill(calendar(spark, sf), audit(spark, sf), list(enc.COMPONENTS))
+    now = calendar(spark, sf)
+    stored = now.where("match_id % 5 <> 0").withColumn("status_type", F.when(F.col("match_id") % 4 == 0, "notstarted").otherwise(F.col("status_type")))
+    return tasks.season_backfill(now.drop("status_code"), stored.drop("status_code"), audit(spark, sf), list(enc.COMPONENTS))[2]
 
 
 @q("SELECT count(*) AS tasks, count(*) FILTER (WHERE status IN ('SUCCESS', 'UNAVAILABLE')) AS completed, count(*) FILTER (WHERE status = 'SUCCESS') AS succeeded, count(*) FILTER (WHERE status NOT IN ('SUCCESS', 'UNAVAILABLE') AND retry_count < 3) AS pending_total, count(*) FILTER (WHERE status NOT IN ('SUCCESS', 'UNAVAILABLE') AND retry_count < 3) > 0 AS work_left FROM audit", (AUDIT,))
@@ -642,20 +647,27 @@ def sum_error_summary(spark, sf):
     return summary.component_errors(folded(spark, sf)).select("match_id", summary.error_text(F.col("failed")).alias("summary"))
 
 
-@q("SELECT match_id % 10 AS season_id, count(*) AS total, count(*) FILTER (WHERE n_bad = 0) AS successful, count(*) FILTER (WHERE n_bad > 0) AS failed, CAST(sum(n_bad) AS BIGINT) AS failed_components FROM e GROUP BY 1", (AT, ERRORS))
+IN_SEASON = "se AS (SELECT e.*, CAST(n_nationkey AS BIGINT) AS tournament_id, season_id, (SELECT min(first_ts) FROM fold WHERE fold.match_id = e.match_id) AS began, (SELECT max(last_ts) FROM fold WHERE fold.match_id = e.match_id) AS ended FROM e LEFT JOIN m USING (match_id))"
+
+
+def season_errors(spark, sf):
+    return summary.component_errors(folded(spark, sf)), calendar(spark, sf)
+
+
+@q("SELECT tournament_id, season_id, count(*) AS total, count(*) FILTER (WHERE n_bad = 0) AS successful, count(*) FILTER (WHERE n_bad > 0) AS failed, CAST(sum(n_bad) AS BIGINT) AS failed_components, CAST(floor(epoch(max(ended))) - floor(epoch(min(began))) AS BIGINT) AS duration_seconds FROM se GROUP BY 1, 2", (AT, ERRORS, M, IN_SEASON))
 def sum_season(spark, sf):
-    return summary.season_totals(summary.component_errors(folded(spark, sf)), F.col("match_id") % 10)
+    return summary.season_totals(*season_errors(spark, sf))
 
 
-@q("SELECT match_id % 10 AS season_id, match_id, 'Failed components: ' || bad AS summary FROM e WHERE n_bad > 0", (AT, ERRORS))
+@q("SELECT tournament_id, season_id, match_id, 'Failed components: ' || bad AS summary FROM se WHERE n_bad > 0", (AT, ERRORS, M, IN_SEASON))
 def sum_season_failures(spark, sf):
-    return summary.season_failures(summary.component_errors(folded(spark, sf)), F.col("match_id") % 10)
+    return summary.season_failures(*season_errors(spark, sf))
 
 
-@q("SELECT match_id % 10 AS season_id, printf('%.1f', round_even(100.0 * count(*) FILTER (WHERE n_bad = 0) / count(*), 1)) || '%' AS rate FROM e GROUP BY 1", (AT, ERRORS))
+@q("SELECT tournament_id, season_id, printf('%.1f', round_even(100.0 * count(*) FILTER (WHERE n_bad = 0) / count(*), 1)) || '%' AS rate FROM se GROUP BY 1, 2", (AT, ERRORS, M, IN_SEASON))
 def sum_season_rate(spark, sf):
-    totals = summary.season_totals(summary.component_errors(folded(spark, sf)), F.col("match_id") % 10)
-    return totals.select("season_id", summary.rate_text(F.col("successful"), F.col("total")).alias("rate"))
+    totals = summary.season_totals(*season_errors(spark, sf))
+    return totals.select("tournament_id", "season_id", summary.rate_text(F.col("successful"), F.col("total")).alias("rate"))
 
 
 @q("SELECT CAST(n_nationkey AS BIGINT) AS tournament_id, n_name || ' (' || r_name || ') - football [' || CAST(n_nationkey AS VARCHAR) || ']' AS info FROM nation JOIN region ON n_regionkey = r_regionkey")
@@ -768,6 +780,14 @@ def cns_summary(spark, sf):
     return cns.summary(run_consensus(spark, sf))
 
 
+@q("""SELECT CAST(n_nationkey AS BIGINT) AS tournament_id, season_id, 3 AS runs, 3 AS last_day, count(*) AS matches, CAST(sum(k) AS BIGINT) AS components, CAST(sum(ok) AS BIGINT) AS agreed, count(*) FILTER (WHERE k = ok) AS golden
+FROM (SELECT match_id, count(*) AS k, count(*) FILTER (WHERE has_consensus) AS ok FROM cn GROUP BY 1) JOIN m USING (match_id) GROUP BY 1, 2""", (R, M))
+def cns_season_state(spark, sf):
+    """Runs, consensus and golden matches of each season."""
+    state = cns.season_state(run_fps(spark, sf), run_consensus(spark, sf), calendar(spark, sf))
+    return state.withColumn("last_day", F.datediff("last_run_at", F.lit("1970-01-01"))).drop("last_run_at")
+
+
 @q("SELECT match_id, string_agg(component || '=run2', ',' ORDER BY component) AS sources, round(count(*) / 2, 4) AS completeness FROM cn WHERE has_consensus GROUP BY 1", (R,))
 def cns_golden(spark, sf):
     return cns.golden_matches(cns.golden(run_consensus(spark, sf), run_fps(spark, sf)), 2)
