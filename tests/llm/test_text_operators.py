@@ -392,6 +392,37 @@ def test_html_wrappers_with_hints_keep_the_article(page):
     assert html.main_text(page).split("\n") == ["Title", "The first paragraph of a story that is long enough to be read.", "A second one, also long enough to be taken for text."]
 
 
+LONG = "A paragraph of the article that is long enough to be taken for text by anybody who reads it."
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f'<article><h1>T</h1><section id="related-work"><p>{LONG}</p></section><section id="search-methods"><p>{LONG}</p></section></article>', ["T", LONG, LONG]),
+        (f'<article><h1>T</h1><h2 id="social-impact">Impact</h2><p>{LONG}</p><h2 id="legal-framework">Law</h2><p>{LONG}</p></article>', ["T", "Impact", LONG, "Law", LONG]),
+        (f'<article><p>{LONG}</p><blockquote class="social">{LONG}</blockquote><p class="promo-text lead">{LONG}</p><blockquote>{LONG}<footer>Somebody</footer></blockquote></article>', [LONG, LONG, LONG, LONG, "Somebody"]),
+        (f'<article><section class="legal"><p>{LONG}</p><p>{LONG}</p></section><div class="related"><a href=x>Other things to read</a></div><div class="ad">Buy this now, it is a good thing.</div></article>', [LONG, LONG]),
+        (f'<body><div class="top">Menu</div><div><h1>T</h1><p>{LONG}</p><h2>More</h2><p>{LONG}</p></div><div><h3>Latest</h3><ul><li><a href=x>One piece of news</a><li><a href=y>Another piece of news</a></ul></div>', ["T", LONG, "More", LONG]),
+        (f'<main><h1>T</h1><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p><div id="c12"><p>I liked this very much and say so in a comment that is long.</p></div><div id="c13"><p>So did I.</p></div></main>', ["T", LONG, LONG, LONG]),
+        (f"<article><header><h1>T</h1><div>By somebody</div></header><p>{LONG}</p></article>", ["T", LONG]),
+        (f"<p title=it's>{LONG}</p><p>It's {LONG}", [LONG, f"It's {LONG}"]),
+        (f'<div a="><p>{LONG}</p>', [LONG]),
+    ],
+)
+def test_html_keeps_what_names_alone_speak_against(page, want):
+    assert html.main_text(page).split("\n") == want
+
+
+@pytest.mark.parametrize("piece", ['<div "', '<div a="', "<p 'x", "<div>", "<b>", "<div class=ad>", "</p>", "<b><div>", "<hr>", "<!--", "<a href='x>", '"', '"<b "', "<svg>", "<!x", "< ", "<li class='comment'>x", '<a style="', "&amp"])
+def test_html_reads_broken_markup_in_linear_time(piece):
+    import time
+
+    page = "<p>Some text.</p><div " * (piece == '"') + piece * (1_000_000 // len(piece)) + ">"
+    began = time.process_time()
+    html.blocks_of(page)
+    assert time.process_time() - began < 12  # a second or so here; quadratic takes hours
+
+
 def test_html_of_clashing_columns_and_long_pages(spark):
     long = "<article>" + "".join(f"<p>Paragraph number {i} of a very long page, with some words in it.</p>" for i in range(4000)) + "</article>"
     frame = spark.createDataFrame([(1, "u", long, "t", 3)], "page_id long, url string, html string, text string, n_chars long")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame
 
 from .common import bounded_batches, text_of
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|iframe|object|math)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>", re.S | re.I)
-ATTRIBUTE = re.compile(r"\b(?:class|id|role|aria-label|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+NAME = re.compile(r"[a-zA-Z][a-zA-Z0-9:-]*")
+STOP = re.compile(r"[\"'>]")
+ATTRIBUTE = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 SPACE = re.compile(r"\s+")
 # HTML's own element names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -21,88 +22,192 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 NEVER = frozenset("head title script style noscript template textarea svg iframe object math select option button input datalist".split())
 CLOSED_BY = {"p": frozenset(["p"]), "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr", "td", "th"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"])}
 CLOSES_P = frozenset("address article aside blockquote details dialog div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
-#: Log-odds of the block classifier: for the innermost ancestors named, hints in their attributes, and the text itself.
+# Elements whose content is no text of the page.
+RAW = frozenset("script style noscript template textarea svg iframe object math".split())
+#: Log-odds of elements by what HTML itself says of them.
 TAG_ODDS = {"nav": -8.0, "footer": -8.0, "aside": -8.0, "form": -8.0, "menu": -8.0, "dialog": -8.0, "header": -6.0, "article": 4.0, "main": 3.0}
-BAD_HINT = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|alert|popup|modal|newsletter|subscribe|signup|login|nav\w*|menu|breadcrumbs?|pagination|pager|sidebar|side|widget|related|recommend\w*|share|sharing|social|footer|header|masthead|copyright|legal|comments?|comment-?\w*|replies|reply|disqus|respond|toolbar|skip|search|tags?|taboola|outbrain)(?:$|[\s_-])", re.I)
-GOOD_HINT = re.compile(r"(?:^|[\s_-])(?:article|articlebody|post|entry|content|main|story|body|text)(?:$|[\s_-])", re.I)
+#: Elements that are text, whatever they are called: no name speaks against them.
+TEXT = frozenset("article main p blockquote pre h1 h2 h3 h4 h5 h6 figure figcaption html body".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Names that say what an element is; the first kind is believed where it stands, the second inside of the article only
+#: with links or little text, see ``speaks``.
+PLAIN_HINT = re.compile(r"(?:^|[_-])(?:ads?|advert\w*|sponsor\w*|cookies?|consent|gdpr|popup|modal|newsletter|breadcrumbs?|pagination|pager|comments?|comment-?\w*|replies|reply|disqus|respond|taboola|outbrain)(?:$|[_-])", re.I)
+VAGUE_HINT = re.compile(r"(?:^|[_-])(?:promo\w*|banner|notice|alert|subscribe|signup|login|nav\w*|menu|sidebar|side|widget|related|recommend\w*|share|sharing|social|footer|header|masthead|copyright|legal|toolbar|skip|search|tags?)(?:$|[_-])", re.I)
+GOOD_HINT = re.compile(r"(?:^|[_-])(?:article|articlebody|post|entry|content|main|story|body|text)(?:$|[_-])", re.I)
+#: The number of a reader's comment.
+NUMBERED = re.compile(r"(?:c|comment|reply)[_-]?[0-9]+", re.I)
 #: Words that tell a page's state or an article's subject, not what an element is.
-STATE = re.compile(r"(?<!\S)(?:(?:has|is|no|with|without|hide|show)[_-]\S*|\S*[_-](?:open|opened|closed|enabled|disabled|visible|collapsed|expanded|active|inactive|on|off)|(?:tags?|category|cat)[_-]\S+)(?!\S)", re.I)
-HIDDEN = re.compile(r"\s(?:hidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true\b|style\s*=\s*(?:\"[^\"]*display\s*:\s*none|'[^']*display\s*:\s*none|display:none))", re.I)
-QUOTED = re.compile(r"(\s(?:style|aria-hidden)\s*=\s*(?:\"[^\"]*\"|'[^']*'))|\"[^\"]*\"|'[^']*'", re.I)
+STATE = re.compile(r"(?:has|is|no|with|without|hide|show)[_-].*|.*[_-](?:open|opened|closed|enabled|disabled|visible|collapsed|expanded|active|inactive|on|off)|(?:tags?|category|cat)[_-].+", re.I)
 BAD_ODDS, GOOD_ODDS, LINK_ODDS, LENGTH_ODDS = -8.0, 1.5, -4.0, 0.02
-#: What a block starts from: anywhere, and outside of <article> and <main> on a page that has one.
-BASE_ODDS, OUTSIDE_ODDS = 0.3, -3.5
+#: Inside of the article: the share of linked text, or the characters of other text, from or up to which a vague name counts.
+LINKED, LITTLE = 0.3, 100
+#: What a block starts from: anywhere, and outside of <article> and <main> on a page that has one; on a page that has none,
+#: a heading, which goes with what follows, and a few words without an end that stand in no paragraph.
+BASE_ODDS, OUTSIDE_ODDS, HEADING_ODDS, LABEL_ODDS, LABEL = 0.3, -3.5, -0.2, -1.2, 40
 #: Capacity of the edge between neighbours in page order, and between blocks of one parent.
 NEXT_EDGE, SIBLING_EDGE = 0.6, 1.2
 
 
+class Hint:
+    """What the names of an element say, and how much text it holds, outside and inside of links."""
+
+    __slots__ = ("above", "holds_article", "inside", "linked", "odds", "plain", "vague")
+
+    def __init__(self, above: Hint | None, odds: float, vague: bool, inside: bool):
+        self.above, self.odds, self.vague, self.inside, self.plain, self.linked, self.holds_article = above, odds, vague, inside, 0, 0, False
+
+
 class Block:
-    __slots__ = ("hints", "inside", "linked", "odds", "parent", "parts", "text")
+    __slots__ = ("headed", "hint", "inside", "linked", "odds", "parent", "parts", "tag", "text")
 
-    def __init__(self, parent: int, odds: float, hints: list[list], inside: bool):
-        self.parent, self.odds, self.hints, self.inside, self.parts, self.linked, self.text = parent, odds, hints, inside, [], 0, ""
+    def __init__(self, element: Element, inside: bool):
+        self.parent, self.tag, self.odds, self.hint, self.headed = element.block, element.block_tag, element.odds, element.hint, element.headed
+        self.inside, self.parts, self.linked, self.text = inside, [], 0, ""
 
 
-def hint_of(tag: str, attributes: str) -> float:
-    """Log-odds of an element's attributes; of <article> and <main> only a whole word speaks against them."""
-    odds = 0.0
-    for hint in ATTRIBUTE.findall(attributes):
-        words = STATE.sub(" ", "".join(hint))
-        if tag in ("article", "main"):
-            bad = any((m := BAD_HINT.match(w)) and m.end() == len(w) for w in words.split())
-        else:
-            bad = BAD_HINT.search(words)
-        odds += BAD_ODDS if bad else GOOD_ODDS if GOOD_HINT.search(words) else 0.0
-    return odds
+class Element:
+    """An open element: what it and those around it say."""
 
+    __slots__ = ("block", "block_tag", "headed", "hint", "odds", "quoted", "shown", "tag")
+
+    def __init__(self, tag: str = "", above: Element | None = None, number: int = 0):
+        self.tag, self.odds, self.hint, self.shown, self.quoted, self.headed, self.block, self.block_tag = tag, 0.0, None, True, False, 0.0, 0, ""
+        if above:
+            self.odds, self.hint, self.shown, self.quoted, self.headed, self.block, self.block_tag = above.odds, above.hint, above.shown, above.quoted, above.headed, above.block, above.block_tag
+        if tag not in INLINE:
+            self.block, self.block_tag = number, tag
 
-def is_hidden(attributes: str) -> bool:
-    return bool(HIDDEN.search(QUOTED.sub(lambda m: m[1] or '""', " " + attributes)))
 
+def tags_of(page: str) -> Iterator[tuple[int, int, bool, str, str]]:
+    """Start, end, whether it closes, name and attributes of every tag; comments,
+    declarations and elements that hold no text have no name.
 
-def blocks_of(page: str) -> list[Block]:
-    """Blocks of visible text in page order, with what their ancestors say.
+    A quote opens a value only after an equals sign.  Where one is never closed
+    all tags from there on end at the next bracket, so the page is gone through
+    twice at most.
+    """
+    at, last, broken = 0, page.rfind(">"), False
+    while (start := page.find("<", at)) >= 0:
+        at = start + 1
+        after = page[at : at + 1]
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            at = len(page) if end < 0 else end + 3
+            yield start, at, False, "", ""
+            continue
+        if start > last:
+            continue
+        if after in ("!", "?"):
+            at = page.find(">", start) + 1
+            yield start, at, False, "", ""
+            continue
+        name = NAME.match(page, at + (after == "/"))
+        if not name:
+            continue
+        i, end = name.end(), -1
+        while not broken and end < 0:
+            stop = STOP.search(page, i)
+            if stop is None:
+                broken = True
+            elif stop[0] == ">":
+                end = stop.end()
+            elif page[max(name.end(), stop.start() - 64) : stop.start()].rstrip().endswith("="):
+                close = page.find(stop[0], stop.end())
+                broken, i = close < 0, close + 1
+            else:
+                i = stop.end()
+        at = end if end >= 0 else page.find(">", name.end()) + 1
+        tag = name[0].lower()
+        attributes = page[name.end() : at - 1]
+        if tag in RAW and after != "/":
+            close = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            at = close.end() if close else len(page)
+            tag = ""
+        yield start, at, after == "/", tag, attributes
+
+
+def read_attributes(text: str) -> dict[str, str]:
+    out: dict[str, str] = {}
+    for name, *values in ATTRIBUTE.findall(text):
+        out.setdefault(name.lower(), "".join(values))
+    return out
+
+
+def is_hidden(attributes: dict[str, str]) -> bool:
+    return "hidden" in attributes or attributes.get("aria-hidden", "").strip().lower() == "true" or "display:none" in SPACE.sub("", attributes.get("style", "")).lower()
+
+
+def hint_of(tag: str, attributes: dict[str, str], began: bool) -> tuple[float, bool]:
+    """Log-odds of an element's names, and whether they need support.  Only
+    classes and roles are names; an id may tell a subject, and counts where it
+    numbers a comment once the text has ``began``."""
+    if began and tag in ("div", "li", "section") and NUMBERED.fullmatch(attributes.get("id", "").strip()):
+        return BAD_ODDS, False
+    words = [w for w in f"{attributes.get('class', '')} {attributes.get('role', '')}".split() if not STATE.fullmatch(w)]
+    if tag in ("article", "main"):  # only a whole word speaks against them
+        bad = any((m := p.match(w)) and m.end() == len(w) for w in words for p in (PLAIN_HINT, VAGUE_HINT))
+        return (BAD_ODDS, False) if bad else (0.0, False)
+    if tag not in TEXT:
+        if any(PLAIN_HINT.search(w) for w in words):
+            return BAD_ODDS, False
+        if any(VAGUE_HINT.search(w) for w in words):
+            return BAD_ODDS, True
+    return (GOOD_ODDS if any(GOOD_HINT.search(w) for w in words) else 0.0), False
+
+
+def speaks(hint: Hint) -> bool:
+    """Whether a name counts: not where the element holds the article, and a
+    vague one within the article only if links or little text support it."""
+    if hint.odds >= 0:
+        return True
+    if hint.holds_article:
+        return False
+    return not (hint.vague and hint.inside) or hint.linked >= LINKED * (hint.plain + hint.linked) or hint.plain < LITTLE
+
+
+def blocks_of(page: str) -> tuple[list[Block], bool]:
+    """Blocks of visible text in page order, with what their ancestors say, and
+    whether the page marks its article.
 
     A forgiving reader: an end tag closes up to its start tag if that is open
     and is ignored otherwise; what is open at the end of the page is closed.
-    What the attributes of an element say against it is void where it holds the
-    page's first article or main, and where it holds the first h1 and half of
-    the text outside of links: it is a wrapper then.
+    The first article or main without a name against it is the article; names of
+    the elements around it are void, as are those of elements that hold the
+    first h1 and half of the text outside of links.  Each tag costs a bounded
+    time, but for the elements that it closes.
     """
-    stack: list[tuple[str, int, float, bool, list[list]]] = []  # tag, number, odds, shown, hints [odds] of it and its ancestors
+    stack, counts = [Element()], Counter()
     marked = False
-    headed: list[list] | None = None
+    headed: Hint | None = None
+    hints: list[Hint] = []
     out: list[Block] = []
     current: Block | None = None
-    number = links = 0
-    at = 0
+    seen = number = at = 0
 
     def add(raw: str) -> None:
-        nonlocal current
-        if not raw or (stack and not stack[-1][3]):
+        nonlocal current, seen
+        if not raw or not stack[-1].shown:
             return
         if current is None:
             if raw.isspace():
                 return
-            block_parent = next((s for s in reversed(stack) if s[0] not in INLINE), ("", 0, 0.0, True, []))
-            current = Block(block_parent[1], stack[-1][2] if stack else 0.0, stack[-1][4] if stack else [], marked and any(t[0] in ("article", "main") for t in stack))
+            current = Block(stack[-1], counts["article"] + counts["main"] > 0)
             out.append(current)
         current.parts.append(raw)
-        if links:
+        seen += len(raw)
+        if counts["a"]:
             current.linked += len(raw)
 
     def close(to: int) -> None:
-        nonlocal links
-        for tag, *_ in stack[to:]:
-            links -= tag == "a"
+        for element in stack[to:]:
+            counts[element.tag] -= 1
         del stack[to:]
 
-    for m in TOKEN.finditer(page):
-        add(page[at : m.start()])
-        at = m.end()
-        tag = (m[3] or "").lower()
+    for start, end, closes, tag, text in tags_of(page):
+        add(page[at:start])
+        at = end
         if not tag:
-            if m[1]:
+            if text:
                 add(" ")
             continue
         if tag == "br":
@@ -110,52 +215,69 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if tag not in INLINE:
             current = None
-        if m[2]:
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), -1)
-            if k >= 0:
-                close(k)
+        if closes:
+            if counts[tag] > 0:
+                close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag))
             continue
         if tag in CLOSES_P or tag in CLOSED_BY:
             shut = CLOSED_BY.get(tag, CLOSED_BY["p"])
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in shut:
-                    close(i)
-                    break
-                if stack[i][0] not in INLINE and stack[i][0] != "p":
-                    break
-        if tag in VOID or m[4].rstrip().endswith("/"):
+            if any(counts[t] > 0 for t in shut):
+                for i in range(len(stack) - 1, 0, -1):
+                    if stack[i].tag in shut:
+                        close(i)
+                        break
+                    if stack[i].tag not in INLINE and stack[i].tag != "p":
+                        break
+        if tag in VOID or text.rstrip().endswith("/"):
             continue
         number += 1
-        odds = (stack[-1][2] if stack else 0.0) + TAG_ODDS.get(tag, 0.0)
-        hints = stack[-1][4] if stack else []
-        own = hint_of(tag, m[4]) if m[4] and tag not in ("html", "body") else 0.0
-        hidden = tag in NEVER or bool(m[4] and is_hidden(m[4]))
-        shown = (not stack or stack[-1][3]) and not hidden
-        if shown and not marked and own >= 0 and tag in ("article", "main"):
-            marked = True
-            for hint in hints:
-                hint[0] = max(0.0, hint[0])
-        if shown and tag == "h1" and headed is None:
-            headed = hints
-        if own:
-            hints = [*hints, [own]]
-        stack.append((tag, number, odds, shown, hints))
-        links += tag == "a"
+        above = stack[-1]
+        element = Element(tag, above, number)
+        attributes = read_attributes(text) if text.strip() else {}
+        odds, vague = hint_of(tag, attributes, seen > 200) if attributes and tag not in ("html", "body") else (0.0, False)
+        element.shown = above.shown and tag not in NEVER and not is_hidden(attributes)
+        inside = marked and counts["article"] + counts["main"] > 0
+        element.quoted = above.quoted or tag in ("blockquote", "figure")
+        own = 0.0 if element.quoted and tag in ("footer", "header") else TAG_ODDS.get(tag, 0.0)
+        element.odds += own
+        if tag == "header" and inside:
+            element.headed += own  # its headings are the article's
+        if element.shown and not marked and odds >= 0 and tag in ("article", "main"):
+            marked, around = True, above.hint
+            while around and not around.holds_article:
+                around.holds_article, around = True, around.above
+        if element.shown and tag == "h1" and headed is None:
+            headed = above.hint
+        if odds:
+            element.hint = Hint(above.hint, odds, vague, inside)
+            hints.append(element.hint)
+        stack.append(element)
+        counts[tag] += 1
     tail = page[at:]
-    cut = tail.find("<")
-    add(tail if cut < 0 or not re.match(r"<[/!?a-zA-Z]", tail[cut:]) else tail[:cut])
+    cut = re.search(r"<[/!?a-zA-Z]", tail)
+    add(tail[: cut.start()] if cut else tail)
     kept = []
     for b in out:
         b.text = SPACE.sub(" ", html.unescape("".join(b.parts))).strip()
         if b.text:
             kept.append(b)
-    plain = [max(0, len(b.text) - b.linked) for b in kept]
-    for hint in headed or []:
-        if hint[0] < 0 and 2 * sum(n for b, n in zip(kept, plain, strict=True) if any(h is hint for h in b.hints)) >= sum(plain):
-            hint[0] = 0.0
+            if b.hint:
+                b.hint.plain += max(0, len(b.text) - b.linked)
+                b.hint.linked += min(len(b.text), b.linked)
+    for h in reversed(hints):  # elements come after those around them
+        if h.above:
+            h.above.plain += h.plain
+            h.above.linked += h.linked
+    whole = sum(max(0, len(b.text) - b.linked) for b in kept)
+    while headed:
+        headed.holds_article = headed.holds_article or 2 * headed.plain >= whole
+        headed = headed.above
+    total: dict[int, float] = {}
+    for h in hints:
+        total[id(h)] = (total[id(h.above)] if h.above else 0.0) + (h.odds if speaks(h) else 0.0)
     for b in kept:
-        b.odds += sum(h[0] for h in b.hints)
-    return kept
+        b.odds += (total[id(b.hint)] if b.hint else 0.0) - (b.headed if b.tag in HEADINGS else 0.0)
+    return kept, marked and any(b.inside for b in kept)
 
 
 def min_cut(gain: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
@@ -218,15 +340,19 @@ def min_cut(gain: list[float], edges: list[tuple[int, int, float]]) -> list[bool
                 break
 
 
-def odds_of(b: Block, outside: bool) -> float:
+def odds_of(b: Block, marked: bool) -> float:
     """The classifier: log-odds that a block is content."""
-    return (OUTSIDE_ODDS if outside else BASE_ODDS) + max(-24.0, min(8.0, b.odds)) + min(2.0, LENGTH_ODDS * len(b.text)) + LINK_ODDS * min(1.0, b.linked / max(1, len(b.text)))
+    base = OUTSIDE_ODDS if marked and not b.inside else BASE_ODDS
+    if not marked and b.tag in HEADINGS and b.tag != "h1":
+        base = HEADING_ODDS
+    elif not marked and b.tag in ("div", "section") and len(b.text) < LABEL and b.text[-1] not in ".!?:;…”\"":
+        base = LABEL_ODDS
+    return base + max(-24.0, min(8.0, b.odds)) + min(2.0, LENGTH_ODDS * len(b.text)) + LINK_ODDS * min(1.0, b.linked / max(1, len(b.text)))
 
 
 def main_text(page: str) -> str:
-    blocks = blocks_of(page)
-    marked = any(b.inside for b in blocks)
-    gain = [odds_of(b, marked and not b.inside) for b in blocks]
+    blocks, marked = blocks_of(page)
+    gain = [odds_of(b, marked) for b in blocks]
     edges, last = [], {}
     for i, b in enumerate(blocks):
         if i and (b.odds >= 0) == (blocks[i - 1].odds >= 0):
@@ -244,7 +370,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     Blocks of text are the nodes of a graph.  The classifier's log-odds of each
     become capacities from the source (content) or to the sink (boilerplate);
     neighbours in page order and blocks of one parent are tied by smoothness
-    edges; a minimum cut labels all blocks of a page at once.  One narrow pass,
+    edges; a minimum cut labels all blocks of a page at once.  The costs come
+    from HTML's own elements, links, lengths and places; names of elements count
+    only as said at ``speaks``, and never against paragraphs, headings, quotes.  One narrow pass,
     a page at a time.  Null, empty and malformed pages give what text they
     have, very long ones all of theirs; repeated rows give repeated results, an
     empty table an empty one; other columns are ignored.
