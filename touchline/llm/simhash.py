@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bloom import without
+from .bloom import split_by_ids, without
 from .common import bounded_batches, stash, text_of, worker_cache
 from .components import components
 
@@ -207,10 +207,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits:
     first (1 - similarity) n + 1 shingles, hot ones ordered last; keys that only
     texts of one group hold are dropped before.
 
-    No text is shuffled, and no shingle set but those of candidate pairs: hashes
-    are, one by one, to be counted, and numbers about texts.  Pairs and chosen
-    texts' numbers are broadcast to the texts while they are at most ``few`` and
-    join them beyond.
+    No text is shuffled while the chosen ones are at most ``few``, and beyond only
+    those that pass a filter over their ids; no shingle set but those of candidate
+    pairs: hashes are, one by one, to be counted, and numbers about texts.  Pairs
+    are broadcast while they are at most ``few`` and join beyond.
 
     Null and blank texts count as the same words; rows of one doc_id as one
     document, which is linked as any of its texts is; rows without doc_id are
@@ -272,7 +272,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits:
     chosen = stash(some.select("doc_id", "node", "same").join(copies.withColumn("again", F.lit(True)), "node", "left"))
 
     def sets_of(part: DataFrame) -> DataFrame:
-        return own.join(spread(part.select("doc_id", "node", "same")), "doc_id").select("text", "node", "same").mapInArrow(shingled, "node long, size long, all0 long, all1 long, shingles array<long>")
+        asked = part.select("doc_id", "node", "same")
+        n = asked.count()
+        # beyond what is broadcast, texts that a filter over the ids rules out aren't shuffled
+        texts = own.join(F.broadcast(asked), "doc_id") if n <= few else split_by_ids(own, asked.select(F.col("doc_id").alias("id")), n)[0].join(asked, "doc_id")
+        return texts.select("text", "node", "same").mapInArrow(shingled, "node long, size long, all0 long, all1 long, shingles array<long>")
 
     sets, many = sets_of(chosen.where("again is null")), chosen.where("again")
     sets = stash(sets if many.isEmpty() else sets.union(sets_of(many).dropDuplicates(["node"])))
