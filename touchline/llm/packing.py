@@ -21,7 +21,7 @@ from .common import bounded_batches, stash, text_of, worker_cache
 #: Pieces that one packing group holds on average, whatever the input's size.
 GROUP_PIECES = 2048
 PIECE = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
-MEMO_CHARS, MEMO_WORDS = 48, 300_000
+MEMO_CHARS, MEMO_WORDS = 48, 150_000
 #: Texts of these characters alone are cut into words here; others go to the library whole.
 PLAIN = re.compile("[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
 #: The tokenizer's own pattern (letters first), written for lower-cased texts of those characters.
