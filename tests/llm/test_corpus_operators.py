@@ -203,6 +203,25 @@ def test_containment_beyond_its_broadcasts(spark, limits):
     assert any(x[0] == 500 for x in want)
 
 
+@pytest.mark.parametrize("limits", [{}, {"most_hashes": 0, "most_pairs": 0, "most_words": 0}, {"shortest": 1}])
+def test_containment_of_short_items(spark, limits):
+    r = np.random.default_rng(21)
+    items = [(g, " ".join(f"t{x}" for x in r.integers(0, 12, 1 + g % 8))) for g in range(40)] + [(50, None), (51, "  ")]
+    rows = [(i, " ".join(f"t{x}" for x in r.integers(0, 12, i % 30))) for i in range(150)] + [(300, items[9][1].upper()), (301, items[8][1]), (302, f"so\n{items[19][1]}\tit is"), (303, None), (304, "t1 " * 5000)]
+    want = []
+    for i, t in rows:
+        d = (t or "").lower().split()
+        for g, own in ((g, (x or "").split()) for g, x in items):
+            k = min(5, len(own))
+            runs = [{tuple(w[j : j + k]) for j in range(len(w) - k + 1)} for w in (d, own)]
+            shared = len(runs[0] & runs[1])
+            if own and (k >= limits.get("shortest", 3) or len(d) == k) and shared >= 0.8 * len(runs[1]):
+                want.append((i, g, shared, len(runs[1]), shared / len(runs[1])))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = decontam.contained(frame, spark.createDataFrame(items, "item_id long, text string"), **limits)
+    assert sorted(tuple(x) for x in got.collect()) == sorted(want) and {300, 301, 302} <= {x[0] for x in want}
+
+
 def test_clean_rows(spark):
     item = " ".join(f"i{k}" for k in range(24))
     rows = [(1, f"a {item} b", 0), (1, "other row of it", 0), (2, "clean text", 0), (None, f"x {item} y", 0), (None, "clean without id", 0), (None, None, 0), (3, None, 0), (2, "clean text", 0)]

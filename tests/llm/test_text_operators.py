@@ -341,6 +341,28 @@ def test_url_scores_by_brute_force(spark):
         assert abs(got[i].score - score / (len(raw) - 4)) < 1e-9
 
 
+def test_url_threshold_by_brute_force(spark):
+    """Every step of the score tried as the threshold on the one half of the held-out fold; the other half and the verdicts follow from it."""
+    r = np.random.default_rng(33)
+    make = lambda letters: "".join(r.choice(list(letters), r.integers(1, 9)))
+    rows = [(i, f"http://a.com/{make('abcdef/')}" if i % 3 else f"http://b.net/es/{make('cdefgh-')}") for i in range(400)] + [(i, f"http://c.org/{make('abcdefgh')}") for i in range(500, 520)] + [(None, "http://a.com/x")]
+    frame = spark.createDataFrame(rows, "page_id long, url string").repartition(4)
+    judged = urls.filter_urls(frame, [("allow", "com/"), ("block", "net/es/")])
+    got = judged.collect()
+    part = {x: zlib.crc32(str(x.page_id).encode()) % 10 if x.page_id is not None else 1 for x in got}
+    assert all(x.fold == (None if x.rule is None else {0: "threshold", 5: "report"}.get(part[x], "train")) for x in got)
+    held = [(x.verdict == "allow", x.score) for x in got if x.fold == "threshold"]
+    tried = []
+    for t in range(-urls.REACH, urls.REACH + 1):
+        share = [np.mean([(s >= t * urls.STEP) == good for good, s in held if good == side]) for side in (True, False)]
+        tried.append((-round(sum(share), 9), abs(t), t))
+    (threshold,) = {x.threshold for x in got}
+    assert threshold == min(tried)[2] * urls.STEP
+    assert all(x.verdict == ("allow" if x.score >= threshold else "block") for x in got if x.rule is None)
+    want = Counter(("allow" if x.score >= threshold else "block", x.verdict) for x in got if x.fold == "report")
+    assert {(x.own, x.ruled): x.n for x in urls.agreement(judged).collect()} == want and len(want) > 1
+
+
 def test_url_filter_of_clashing_columns_and_long_urls(spark):
     rows = [(i, f"http://s.com/{'ab/' * (i * 500)}", 1.0, "x", 2) for i in range(6)] + [(9, f"http://s.net/es/{'zq-' * 9000}", 1.0, "x", 2)]
     frame = spark.createDataFrame(rows, "page_id long, url string, score double, verdict string, chunk long")

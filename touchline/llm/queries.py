@@ -23,7 +23,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urls.filter_urls(table(spark, sf_dir, "pages"), URL_RULES).drop("score")
+    return urls.filter_urls(table(spark, sf_dir, "pages"), URL_RULES).drop("score", "threshold")
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,9 +117,11 @@ WITH w AS (
   SELECT 'd' AS side, doc_id AS id, [x FOR x IN regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+') IF x <> ''] AS words FROM documents
   UNION ALL
   SELECT 'b', item_id, [x FOR x IN regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+') IF x <> ''] FROM benchmark),
+k AS (SELECT DISTINCT least(len(words), 5) AS k FROM w WHERE side = 'b' AND len(words) > 0),
 s AS (
-  SELECT DISTINCT side, id, CASE WHEN len(words) >= 5 THEN array_to_string(words[i:i + 4], ' ') ELSE array_to_string(words, ' ') END AS shingle
-  FROM (SELECT side, id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM w WHERE len(words) > 0)),
+  SELECT DISTINCT side, id, array_to_string(words[i:i + k - 1], ' ') AS shingle
+  FROM (SELECT side, id, words, k, unnest(range(1, len(words) - k + 2)) AS i
+    FROM w JOIN k ON CASE WHEN side = 'b' THEN k = least(len(words), 5) WHEN k < 3 THEN k = len(words) ELSE k <= len(words) END)),
 n AS (SELECT id, count(*) AS n_shingles FROM s WHERE side = 'b' GROUP BY id),
 m AS (SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n_shared FROM s d JOIN s b ON d.shingle = b.shingle AND d.side = 'd' AND b.side = 'b' GROUP BY 1, 2)
 SELECT doc_id, item_id, n_shared, n_shingles, n_shared / n_shingles AS containment

@@ -137,11 +137,13 @@ def calibrate(held_out: DataFrame) -> float:
 
 
 def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
-    """page_id, host, path, rule, verdict, score of every row of ``pages``.
+    """page_id, host, path, rule, verdict, fold, score, threshold of every row of ``pages``.
 
-    URLs that a rule accepts or rejects train the two models, those of one fold
-    (crc32 of the id mod 5 = 0) choose the threshold, and the models judge the
-    URLs without a rule.  The models are exact counts of n-grams, one row each
+    URLs that a rule accepts or rejects train the two models, but for a fifth of
+    them (crc32 of the id mod 5 = 0): one half of it chooses the threshold, the
+    other, which nothing is chosen by, is there to report agreement on.  fold
+    says which it was (train, threshold, report; null without a rule).  The
+    models judge the URLs without a rule.  The models are exact counts of n-grams, one row each
     however many there are; chunks of URLs join them.  URLs of any length are
     scored whole; columns of ``pages`` that aren't named are ignored.  Null URLs and those without ``://`` have an empty host and path
     and no rule; a null or empty URL scores 0.  Without URLs of both kinds every
@@ -152,14 +154,20 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "p
     own = pages.select(pages[id_col].cast("long").alias("page_id"), F.coalesce(url, F.lit("")).alias("url"), host_of(url).alias("host"), path_of(url).alias("path"))
     chunk = F.shiftright(F.monotonically_increasing_id(), BITS).alias("chunk")
     found = stash(own.withColumn("found", longest_rule(rules)).select("page_id", "url", "host", "path", "found.rule", "found.verdict", chunk))
-    labelled = found.where("verdict is not null").withColumn("good", F.col("verdict") == "allow")
-    held_out = F.coalesce(F.crc32(F.col("page_id").cast("string")) % 5 == 0, F.lit(False))
-    own = labelled.where(~held_out)
+    part = F.coalesce(F.crc32(F.col("page_id").cast("string")) % 10, F.lit(1))
+    fold = F.when(F.col("verdict").isNull(), None).when(part == 0, "threshold").when(part == 5, "report").otherwise("train")
+    own = found.where(fold == "train").withColumn("good", F.col("verdict") == "allow")
     total = {r["good"]: float(r["n"]) for r in own.groupBy("good").agg(F.sum(F.octet_length("url") + 1).alias("n")).collect()}
     if len(total) == 2:
         scored = stash(score(found, train(own), (total[False], total[True])))
     else:
         scored = found.withColumn("score", F.lit(0.0))
-    threshold = calibrate(scored.where(F.col("verdict").isNotNull() & held_out).select((F.col("verdict") == "allow").alias("good"), "score"))
+    threshold = calibrate(scored.where(fold == "threshold").select((F.col("verdict") == "allow").alias("good"), "score"))
     own_verdict = F.when(F.col("score") >= threshold, "allow").otherwise("block")
-    return scored.select("page_id", "host", "path", "rule", F.coalesce("verdict", own_verdict).alias("verdict"), "score")
+    return scored.select("page_id", "host", "path", "rule", F.coalesce("verdict", own_verdict).alias("verdict"), fold.alias("fold"), "score", F.lit(threshold).alias("threshold"))
+
+
+def agreement(judged: DataFrame, fold: str = "report") -> DataFrame:
+    """own, ruled, n: how the models alone would have judged the URLs of a fold,
+    beside what their rule says.  ``judged`` is what ``filter_urls`` returns."""
+    return judged.where(F.col("fold") == fold).groupBy(F.when(F.col("score") >= F.col("threshold"), "allow").otherwise("block").alias("own"), F.col("verdict").alias("ruled")).agg(F.count("*").alias("n"))
