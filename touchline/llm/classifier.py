@@ -129,8 +129,9 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col:
     a score.  Null and very short texts have no features and get the share of
     label 1 as score; without labels that share is 0.5.  Of several rows of one
     labelled doc_id one, the greatest by its feature counts, is learned from; of clashing labels of one
-    doc_id the larger holds.  Repeated rows give repeated results; an empty table
-    gives an empty one; other columns are ignored.
+    doc_id the larger holds.  Texts of any length are read whole.  Repeated rows
+    give repeated results; an empty table gives an empty one; other columns are
+    ignored.
     """
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, text_col, label_col))
 

@@ -139,7 +139,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Null or empty texts have one empty line.  Rows that share a doc_id count as
     one document (each loses the same lines); rows without one are left alone.
-    An empty table gives an empty result; columns not kept are ignored.
+    Texts of any length are read whole, their lines hashed one by one.  An empty
+    table gives an empty result; columns not kept are ignored.
     """
     bounded_batches(docs.sparkSession)
     along = {f"along_{i}": c for i, c in enumerate(keep or [])}

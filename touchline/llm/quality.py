@@ -110,8 +110,10 @@ def judge(docs: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_
     the power of the number of rules rows (19,683), whatever the input's size.
     The posterior of each pattern joins back as a table of that many rows.
 
-    Null texts count as texts without words: they fail the base rules.  Repeated
-    rows give repeated results; an empty table gives an empty one.
+    Null texts count as texts without words: they fail the base rules.  Texts
+    of any length are counted whole.  Repeated rows give repeated results and
+    vote as often as they occur; an empty table gives an empty one; other columns
+    are ignored, whatever they are named.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

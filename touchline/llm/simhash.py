@@ -167,7 +167,9 @@ def fingerprint_components(docs: DataFrame, k: int = 3, bits: int = 3, id_col: s
 
     Null, empty and blank texts have fingerprint zero and are linked like any
     other.  Rows without doc_id get their fingerprint's component, null if no
-    row of that component has one.  Repeated rows give repeated results.
+    row of that component has one.  Texts of any length are read whole, all
+    their shingles counted.  Repeated rows give repeated results; an empty table
+    gives an empty one; other columns are ignored, whatever they are named.
     """
     if bits > 3:
         raise ValueError("three segments prove links of at most three bits")

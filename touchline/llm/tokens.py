@@ -156,8 +156,10 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096, id_col: st
     """doc_id, n_bytes, n_tokens, over_limit of every row of ``docs``.
 
     One narrow pass without a shuffle; a batch of Arrow rows at a time is in
-    memory.  Null texts count as empty: 0 bytes, 0 tokens.  Repeated rows give
-    repeated results, an empty table an empty one; other columns are ignored.
+    memory.  Null texts count as empty: 0 bytes, 0 tokens.  Very long texts are
+    counted whole, a unit at a time, so in time that grows as their length.
+    Repeated rows give repeated results, an empty table an empty one; other
+    columns are ignored, whatever they are named.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
