@@ -146,3 +146,17 @@ def test_late_attempts_count_in_order_and_ended_tasks_leave(spark, tmp_path):
     want = {r.match_id: (r.status, r.retry_count, r.error_message, r.attempts) for r in tasks.fold_attempts(spark.createDataFrame(everything, kinds)).collect()}
     assert got == want and want[1] == ("SUCCESS", 2, None, 3) and want[2] == ("API_ERROR", 3, "y", 3) and want[3][0] == "UNAVAILABLE"
     assert sizes[-1] == 2  # the open tasks 4 and 9; those that ended have left
+
+
+def test_match_documents_of_partial_and_repeated_captures(spark, tmp_path):
+    from touchline.operators import export
+
+    kind = "entity_id long, parsed struct<n:int,xs:array<string>>, is_valid boolean, reason string"
+    base = spark.createDataFrame([(1, (5, ["a", None]), True, None), (1, (9, None), False, "http_404"), (2, None, False, "empty"), (1, (5, ["a", None]), True, None)], kind)
+    odds = spark.createDataFrame([(3, (7, []), True, None), (2, (1, ["z"]), True, None)], kind)
+    back = export.write_json(export.match_documents({"base": base, "odds": odds}), str(tmp_path / "documents"))
+    got = {r.match_id: r for r in back.collect()}
+    assert len(got) == back.count() == 3
+    assert got[1].base == (5, ["a", None]) and got[1].odds is None and got[2].base is None and got[3].odds == (7, [])
+    assert got[1].errors == (("success", None), ("not_attempted", None)) and got[2].errors == (("failed", "empty"), ("success", None)) and got[3].errors.base.status == "not_attempted"
+    assert export.match_documents({"base": base.limit(0)}).count() == 0

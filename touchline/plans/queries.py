@@ -12,7 +12,7 @@ from ..functions.contracts import CONTRACTS
 from ..functions.scalars import epoch_utc, fraction, safe_get
 from ..functions.validate import coerce, envelope_code, is_empty, validate_payload
 from ..operators import consensus as cns
-from ..operators import flatten, qa, store, summary, tables, tasks
+from ..operators import export, flatten, qa, store, summary, tables, tasks
 from ..operators.odds import clean_odds, parse_markets
 from ..sources import encode as enc
 from ..sources import landing
@@ -611,11 +611,18 @@ def snk_raw_retention(spark, sf):
     return one.select("match_id", "market_id", F.posexplode(names).alias("pos", "c")).select("match_id", "market_id", (F.col("pos") + 1).alias("pos"), F.col("c.name").alias("raw_name"))
 
 
-@q("SELECT match_id, c_name AS home FROM m", (M,))
+@q(
+    """SELECT match_id, c_name AS home, CASE WHEN coalesce(bad, false) THEN NULL ELSE coalesce(n_markets, 0) END AS n_markets, 'success' AS base_status, CASE WHEN coalesce(bad, false) THEN 'failed' ELSE 'success' END AS odds_status, CASE WHEN bad THEN 'invalid_contract' END AS odds_message
+FROM m LEFT JOIN (SELECT match_id, bool_or(bad) AS bad, CAST(count(DISTINCT market_id) AS INT) AS n_markets FROM o0 GROUP BY 1) USING (match_id)""",
+    (M, O),
+)
 def snk_json_export(spark, sf):
-    path = scratch(spark)
-    flatten.match(valid(enc.enc_base(spark, sf), "base")).select("match_id", F.struct("home_team", "away_team").alias("teams")).write.json(path)
-    return spark.read.schema("match_id bigint, teams struct<home_team:string,away_team:string>").json(path).select("match_id", F.col("teams.home_team").alias("home"))
+    captures = {"base": validate_payload(enc.enc_base(spark, sf), CONTRACTS["base"]), "odds": clean_odds(enc.enc_odds(spark, sf))}
+    documents = export.write_json(export.match_documents(captures), scratch(spark))
+    return documents.select(
+        "match_id", F.col("base.event.homeTeam.name").alias("home"), F.array_size("odds.markets").alias("n_markets"),
+        F.col("errors.base.status").alias("base_status"), F.col("errors.odds.status").alias("odds_status"), F.col("errors.odds.message").alias("odds_message"),
+    )
 
 
 # ---------------------------------------------------------------- summaries
