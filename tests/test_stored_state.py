@@ -160,3 +160,39 @@ def test_match_documents_of_partial_and_repeated_captures(spark, tmp_path):
     assert got[1].base == (5, ["a", None]) and got[1].odds is None and got[2].base is None and got[3].odds == (7, [])
     assert got[1].errors == (("success", None), ("not_attempted", None)) and got[2].errors == (("failed", "empty"), ("success", None)) and got[3].errors.base.status == "not_attempted"
     assert export.match_documents({"base": base.limit(0)}).count() == 0
+
+
+def test_rows_without_a_match_are_an_error_and_payloads_without_one_speak_for_none(spark, tmp_path):
+    path, schema = f"{tmp_path}/t", spark.createDataFrame([], SCHEMA).schema
+    with pytest.raises(Exception, match="without match_id"):
+        store.append(path, *batch(spark, (None, "lost")), "s-0")
+    store.append(path, *batch(spark, (3, "a"), keys=[None, 4]), "s-0")
+    assert read(spark, path) == [(3, "a")]
+    store.compact(spark, path, schema)
+    assert read(spark, path) == [(3, "a")] and store.live_batches(spark, path) == []
+
+
+def test_keys_that_several_matches_hold(spark):
+    """No match of a repeated key gets in, and rows without a match neither."""
+    rows = spark.createDataFrame([(1, 10, "goal"), (1, 11, "goal"), (1, 12, "card"), (2, 13, "goal"), (3, 14, "goal"), (3, 14, "goal"), (4, None, "goal"), (None, 15, "goal"), (5, 16, "dance")], "id long, match_id long, incident_type string")
+    found = tables.violations(rows, tables.TABLES["match_incidents"], {})
+    got = sorted(tuple(r) for r in found.select("rule", "match_id", "key_text", "n").fillna(-1, ["match_id"]).collect())
+    assert got == [
+        ("domain:incident_type", 16, "5", 1), ("not_null:id", 15, "null", 1), ("not_null:match_id", -1, "4", 1),
+        ("unique", 10, "1", 1), ("unique", 11, "1", 1), ("unique", 12, "1", 1), ("unique", 14, "3", 2),
+    ]
+    kept, failed = tables.admitted(rows, found, "incidents")
+    assert [tuple(r) for r in kept.collect()] == [(2, 13, "goal")]
+    assert sorted(r.match_id for r in failed.collect()) == [10, 11, 12, 14, 15, 16]
+
+
+def test_backfill_of_a_calendar_that_names_a_match_twice(spark):
+    kinds = "match_id long, tournament_id long, season_id long, status_type string, has_xg boolean, has_player_heat_map boolean"
+    stored = spark.createDataFrame([(1, 1, 1, "notstarted", None, True), (2, 1, 1, "finished", None, True)], kinds)
+    incoming = spark.createDataFrame([(1, 1, 1, "finished", None, True), (1, 1, 1, "notstarted", None, True), (1, 1, 1, "notstarted", None, True), (3, 1, 2, "finished", True, None)], kinds)
+    audit = spark.createDataFrame([(2, "base")], "match_id long, component_name string")
+    calendar, new, sums = tasks.season_backfill(incoming, stored, audit, ["base", "graph"])
+    assert sorted(r.match_id for r in calendar.collect()) == [1, 2, 3]
+    assert sorted(tuple(r)[:3] for r in new.collect()) == [(1, "base", "PENDING"), (1, "graph", "PENDING"), (2, "graph", "PENDING"), (3, "base", "PENDING"), (3, "graph", "SKIPPED_MISSING")]
+    total = sums.where("tournament_id is null").first().asDict()
+    assert [total[c] for c in ("fetched", "inserted", "updated", "newly_finished", "queued", "skipped")] == [2, 1, 1, 2, 4, 1]

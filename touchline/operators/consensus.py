@@ -60,7 +60,7 @@ def save_run(docs: DataFrame, root: str) -> None:
     """Stores runs: ``docs`` (tournament_id, season_id, run_id, run_at, component,
     match_id, payload) by tournament, season and run, and a catalogue of them.
     A run that is saved again replaces itself and no other one."""
-    own = docs.select("component", "match_id", "run_at", "payload", *RUN_KEY).repartition(*RUN_KEY)
+    own = docs.select("component", "match_id", "run_at", "payload", *RUN_KEY).hint("rebalance", *RUN_KEY)  # splits what is large
     own.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*RUN_KEY).parquet(f"{root}/runs")
     saved = [r["run_id"] for r in docs.select("run_id").distinct().collect()]  # those of one call: few
     run_stats(load_runs(docs.sparkSession, root, run_ids=saved), (*RUN_KEY, "component")).repartition("tournament_id", "season_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*RUN_KEY).parquet(f"{root}/catalogue")

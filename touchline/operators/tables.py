@@ -50,11 +50,16 @@ TABLES = {
 }
 
 
+def last_by_key(rows: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
+    """The last row in ``order`` of each key."""
+    w = Window.partitionBy(*key).orderBy(*(c.desc() for c in order))
+    return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+
+
 def keyed_upsert(target: DataFrame, incoming: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     """State after insert-or-replace by key; within ``incoming`` the last in
     ``order`` wins."""
-    w = Window.partitionBy(*key).orderBy(*(c.desc() for c in order))
-    last = incoming.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select(*target.columns)
+    last = last_by_key(incoming, key, order).select(*target.columns)
     return target.join(last.select(*key), key, "left_anti").select(*target.columns).unionByName(last)
 
 
@@ -97,6 +102,8 @@ def violations(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame]) ->
     and foreign_key:<column>; ``parents`` holds the parent tables that are to be
     looked at.  Each parent is one join with its distinct keys, which marks the
     rows that have it; then all rules are counted in one aggregate by the key.
+    Where the key doesn't name the match, each match that holds a repeated key
+    breaks the rule, with its own rows as n.
     """
     marked, broken = df, {}
     for column in dict.fromkeys((*spec.key, *spec.not_null)):
@@ -110,8 +117,17 @@ def violations(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame]) ->
             broken[f"foreign_key:{column}"] = F.col(column).isNotNull() & F.col(f"_parent{i}").isNull()
     text = F.concat_ws("|", *(F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in spec.key))
     match = F.col("match_id") if "match_id" in df.columns else F.lit(None).cast("long")
-    counts = marked.groupBy(*spec.key).agg(F.count("*").alias("_rows"), F.min(match).alias("_match"), *(F.count_if(c).alias(f"_broken{i}") for i, c in enumerate(broken.values())))
-    found = [F.when(F.col("_rows") > 1, F.struct(F.lit("unique").alias("rule"), F.col("_rows").alias("n")))]
+    spans = "match_id" in df.columns and "match_id" not in spec.key
+    counts = marked.groupBy(*spec.key, *(["match_id"] if spans else [])).agg(F.count("*").alias("_rows"), F.min(match).alias("_match"), *(F.count_if(c).alias(f"_broken{i}") for i, c in enumerate(broken.values())))
+    repeated = F.col("_rows") > 1
+    if spans:
+        names = [f"_key{i}" for i in range(len(spec.key))]
+        held = counts.groupBy(*(F.col(k).alias(n) for k, n in zip(spec.key, names, strict=True))).agg(F.sum("_rows").alias("_all")).where("_all > 1")
+        same = F.lit(True)
+        for k, n in zip(spec.key, names, strict=True):
+            same = same & F.col(k).eqNullSafe(F.col(n))
+        counts, repeated = counts.join(held, same, "left"), F.col("_all").isNotNull()
+    found = [F.when(repeated, F.struct(F.lit("unique").alias("rule"), F.col("_rows").alias("n")))]
     found += [F.when(F.col(f"_broken{i}") > 0, F.struct(F.lit(rule).alias("rule"), F.col(f"_broken{i}").alias("n"))) for i, rule in enumerate(broken)]
     return counts.select(F.col("_match").alias("match_id"), text.alias("key_text"), F.explode(F.array_compact(F.array(*found))).alias("r")).select(F.lit(spec.name).alias("table_name"), "r.rule", "match_id", "key_text", "r.n")
 
@@ -119,11 +135,12 @@ def violations(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame]) ->
 def admitted(rows: DataFrame, found: DataFrame, component: str) -> tuple[DataFrame, DataFrame]:
     """Rows of the matches that break no rule, and an outcome (match_id,
     component_name, outcome, message) for each match that does: the whole task
-    failed, and its message names the rules."""
+    failed, and its message names the rules.  Rows without a match belong to no
+    task and are never admitted; ``found`` names them."""
     bad = found.where("match_id is not null").groupBy("match_id").agg(F.array_sort(F.collect_set("rule")).alias("rules"), F.count("*").alias("n"))
     message = F.concat(F.lit("constraint: "), F.array_join("rules", ", "), F.lit(" ("), F.col("n").cast("string"), F.lit(")"))
     outcomes = bad.select("match_id", F.lit(component).alias("component_name"), F.lit("API_ERROR").alias("outcome"), message.alias("message"))
-    return rows.join(bad.select("match_id"), "match_id", "left_anti").select(*rows.columns), outcomes
+    return rows.where("match_id is not null").join(bad.select("match_id"), "match_id", "left_anti").select(*rows.columns), outcomes
 
 
 def create_schema(spark: SparkSession, database: str, drop: bool = False) -> None:

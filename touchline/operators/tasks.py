@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import keyed_upsert
+from .tables import keyed_upsert, last_by_key
 
 RETRYING = ("API_ERROR", "QA_MISMATCH")
 OPEN = ("PENDING", *RETRYING)
@@ -116,12 +116,14 @@ def recent_seasons(seasons: DataFrame, n: int) -> DataFrame:
 def season_backfill(incoming: DataFrame, stored: DataFrame, audit: DataFrame, components: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Brings the calendar up to date and queues what is finished, for all seasons at once.
 
-    Gives the calendar after the sync (``incoming`` rows win, other ``stored``
-    ones stay), the new audit rows, and by tournament and season, with totals
+    Gives the calendar after the sync (``incoming`` rows win, of several of a
+    match a finished one, then the last by all columns; other ``stored`` ones
+    stay), the new audit rows, and by tournament and season, with totals
     (null: all), fetched, inserted and updated matches, those that are newly
     finished, and queued and skipped tasks.
     """
-    calendar = keyed_upsert(stored, incoming.select(*stored.columns), ["match_id"], [F.col("status_type")])
+    incoming = last_by_key(incoming.select(*stored.columns), ["match_id"], [F.lower("status_type").eqNullSafe("finished"), F.struct(*stored.columns)])
+    calendar = keyed_upsert(stored, incoming, ["match_id"], [F.col("status_type")])
     new = queue_components(calendar, audit, components)
     tasks = new.groupBy("match_id").agg(F.count_if(F.col("status") == "PENDING").alias("queued"), F.count_if(F.col("status") != "PENDING").alias("skipped"))
     before = stored.select("match_id", F.struct(*(c for c in stored.columns if c != "match_id")).alias("before"))
