@@ -196,3 +196,32 @@ def test_backfill_of_a_calendar_that_names_a_match_twice(spark):
     assert sorted(tuple(r)[:3] for r in new.collect()) == [(1, "base", "PENDING"), (1, "graph", "PENDING"), (2, "graph", "PENDING"), (3, "base", "PENDING"), (3, "graph", "SKIPPED_MISSING")]
     total = sums.where("tournament_id is null").first().asDict()
     assert [total[c] for c in ("fetched", "inserted", "updated", "newly_finished", "queued", "skipped")] == [2, 1, 1, 2, 4, 1]
+
+
+def test_runs_are_catalogued_and_loaded_by_season(spark, tmp_path):
+    from touchline.operators import consensus
+
+    root, at = str(tmp_path), lambda day: datetime(2024, 1, day)
+    kinds = "tournament_id long, season_id long, run_id string, run_at timestamp, component string, match_id long, payload string"
+    save = lambda *rows: consensus.save_run(spark.createDataFrame(list(rows), kinds), root)
+    save((1, 1, "run10", at(9), "base", 5, "a"), (1, 1, "run10", at(8), "base", 6, None), (1, 2, "run10", at(9), "stats", 7, "c"))
+    save((1, 1, "run2", at(2), "base", 5, "a"))
+    listed = lambda: sorted(tuple(r) for r in consensus.list_runs(spark, root).collect())
+    others = [(1, 1, "run2", "base", at(2), 1, 1, 1), (1, 2, "run10", "stats", at(9), 1, 1, 1)]
+    assert listed() == sorted([(1, 1, "run10", "base", at(8), 2, 1, 2), *others])
+    save((1, 1, "run10", at(10), "base", 5, "b"))  # replaces its season alone
+    assert listed() == sorted([(1, 1, "run10", "base", at(10), 1, 1, 1), *others])
+    found = consensus.load_runs(spark, root, tournament_id=1, season_id=1, run_ids=["run10"])
+    assert [(r.match_id, r.payload) for r in found.collect()] == [(5, "b")]
+    filters = found._jdf.queryExecution().executedPlan().toString().partition("PartitionFilters: [")[2].partition("]")[0]
+    assert all(name in filters for name in ("tournament_id", "season_id", "run_id"))
+    assert consensus.load_runs(spark, root, season_id=3).isEmpty()
+
+
+def test_golden_rows_come_from_the_earliest_run(spark):
+    from touchline.operators import consensus
+
+    fps = spark.createDataFrame([(1, "base", "run10", datetime(2024, 1, 3), "p10", "x"), (1, "base", "run2", datetime(2024, 1, 2), "p2", "x"), (2, "base", "run10", datetime(2024, 1, 3), "q", None), (2, "base", "run2", datetime(2024, 1, 2), "r", None)], "match_id long, component string, run_id string, run_at timestamp, payload string, fp string")
+    found = consensus.consensus(consensus.groups(fps))
+    assert {r.match_id: (r.has_consensus, r.agreeing) for r in found.collect()} == {1: (True, ["run2", "run10"]), 2: (False, ["run2", "run10"])}
+    assert [(r.match_id, r.source_run, r.payload) for r in consensus.golden(found, fps).collect()] == [(1, "run2", "p2")]

@@ -58,18 +58,19 @@ RUN = "component string, match_id bigint, run_at timestamp, payload string, tour
 
 def save_run(docs: DataFrame, root: str) -> None:
     """Stores runs: ``docs`` (tournament_id, season_id, run_id, run_at, component,
-    match_id, payload) by tournament, season and run, and a catalogue of them.
-    A run that is saved again replaces itself and no other one."""
+    match_id, payload) by tournament, season and run, and a catalogue of them by
+    run: a few rows a season, so seasons have no files of their own there.
+    A run that is saved again replaces itself, season by season, and no other one."""
     own = docs.select("component", "match_id", "run_at", "payload", *RUN_KEY).hint("rebalance", *RUN_KEY)  # splits what is large
     own.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*RUN_KEY).parquet(f"{root}/runs")
     saved = [r["run_id"] for r in docs.select("run_id").distinct().collect()]  # those of one call: few
-    run_stats(load_runs(docs.sparkSession, root, run_ids=saved), (*RUN_KEY, "component")).repartition("tournament_id", "season_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*RUN_KEY).parquet(f"{root}/catalogue")
+    run_stats(load_runs(docs.sparkSession, root, run_ids=saved), (*RUN_KEY, "component")).hint("rebalance", "run_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(f"{root}/catalogue")
 
 
 def list_runs(spark: SparkSession, root: str) -> DataFrame:
     """tournament_id, season_id, run_id, component, run_at, documents, present,
     matches of every stored run: the catalogue alone is read."""
-    kinds = "component string, run_at timestamp, documents bigint, present bigint, matches bigint, tournament_id bigint, season_id bigint, run_id string"
+    kinds = "tournament_id bigint, season_id bigint, component string, run_at timestamp, documents bigint, present bigint, matches bigint, run_id string"
     return spark.read.schema(kinds).parquet(f"{root}/catalogue").select(*RUN_KEY, "component", "run_at", "documents", "present", "matches")
 
 
