@@ -6,11 +6,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.contracts import CONTRACTS, Contract
 from ..functions.validate import validate_payload
 from ..operators import flatten
 from ..operators.odds import clean_odds
+from ..operators.tables import last_by_key
 
 
 @dataclass(frozen=True)
@@ -36,10 +38,41 @@ REGISTRY = {
 }
 
 
-def route(component: str, documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows of the component's table, rejected documents); an unknown component is an error."""
+#: Components whose documents are about one match each.
+OF_MATCH = ("base", "stats", "lineup", "incidents", "graph", "odds")
+
+
+def checked_by(component: str, documents: DataFrame) -> tuple[ComponentSpec, DataFrame]:
     if component not in REGISTRY:
         raise ValueError(f"unknown component: {component}")
     spec = REGISTRY[component]
-    checked = spec.check(documents) if spec.check else validate_payload(documents, spec.contract)
+    return spec, spec.check(documents) if spec.check else validate_payload(documents, spec.contract)
+
+
+def batch_handler(component: str) -> Callable[[DataFrame], tuple[DataFrame, DataFrame, DataFrame]]:
+    """What a continuous ingest does with a batch of landed documents: the
+    matches it speaks for, their rows, and what it rejects, with reasons.
+
+    Of several documents of a match the newest valid one counts, as if the
+    others had come in batches before: one that is newer and not valid is
+    rejected and replaces nothing.  Documents of the same time go by slot, then
+    by text; one without a time is the oldest, and one that names no match is
+    rejected.
+    """
+    if component not in OF_MATCH:
+        raise ValueError(f"documents of {component!r} are not about one match each")
+
+    def handle(batch: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        spec, checked = checked_by(component, batch)
+        good = F.col("is_valid") & F.col("entity_id").isNotNull()
+        newest = last_by_key(checked.where(good), ["entity_id"], [F.col("fetched_at"), F.col("fetch_slot"), F.col("payload")])
+        reason = F.coalesce("reason", F.lit("no_entity"))
+        return newest.select(F.col("entity_id").alias("match_id")), spec.flatten(newest), checked.where(~good).select("entity_id", "run_id", "fetched_at", reason.alias("reason"))
+
+    return handle
+
+
+def route(component: str, documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of the component's table, rejected documents); an unknown component is an error."""
+    spec, checked = checked_by(component, documents)
     return spec.flatten(checked.where("is_valid")), checked.where("not is_valid")
