@@ -228,7 +228,7 @@ def test_golden_rows_come_from_the_earliest_run(spark):
 
 
 def test_the_newest_valid_document_of_a_batch_counts(spark):
-    from touchline.plans.registry import batch_handler
+    from touchline.plans.registry import batch_steps
     from touchline.sources.landing import LANDING
 
     graph = lambda *minutes: '{"graphPoints":[%s],"periodTime":45,"overtimeLength":15,"periodCount":2}' % ",".join('{"minute":%d,"value":1}' % m for m in minutes)
@@ -238,12 +238,14 @@ def test_the_newest_valid_document_of_a_batch_counts(spark):
         ("graph", 2, "r", "A", at(1), graph(3)), ("graph", 2, "r", "B", at(1), graph(4)), ("graph", 2, "r", "A", None, graph(5)), ("graph", 2, "r", "B", at(1), graph(4)),
         ("graph", 3, "r", "A", at(1), '{"error":{"code":404}}'), ("graph", None, "r", "A", at(1), graph(6)),
     ]
-    keys, made, bad = batch_handler("graph")(spark.createDataFrame(rows, LANDING))
+    check, handle = batch_steps("graph")
+    keys, made, bad = handle(check(spark.createDataFrame(rows, LANDING)))
     assert sorted(r.match_id for r in keys.collect()) == [1, 2]
     points = {r.match_id: r.points for r in made.collect()}
     assert made.count() == 2 and points[1].count("minute") == 2 and '"minute":4' in points[2]
     assert sorted((r.entity_id or 0, r.reason) for r in bad.collect()) == [(0, "no_entity"), (1, "empty"), (3, "http_404")]
     with pytest.raises(ValueError, match="seasons"):
-        batch_handler("seasons")
-    keys, made, bad = batch_handler("odds")(spark.createDataFrame([], LANDING))
+        batch_steps("seasons")
+    check, handle = batch_steps("odds")
+    keys, made, bad = handle(check(spark.createDataFrame([], LANDING)))
     assert keys.isEmpty() and made.isEmpty() and bad.isEmpty()

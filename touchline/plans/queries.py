@@ -19,7 +19,7 @@ from ..sources import landing
 from ..sources.encode import table
 from ..sources.scratch import scratch
 from ..streaming import stream
-from .registry import REGISTRY, batch_handler, route
+from .registry import REGISTRY, batch_steps, route
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -824,8 +824,9 @@ def str_ingest(spark, sf):
     land = enc.enc_landing(spark, sf, enc.enc_odds(spark, sf), "odds")
     land.write.parquet(f"{root}/landing")
 
+    check, handle = batch_steps("odds")
     for attempt in (1, 2):  # the second delivery of everything changes nothing
-        stream.ingest(spark, f"{root}/landing", landing.LANDING, f"{root}/table", f"{root}/bad{attempt}", f"{root}/checkpoint{attempt}", batch_handler("odds"), files_a_batch=4, compact_after=3)
+        stream.ingest(spark, f"{root}/landing", landing.LANDING, f"{root}/table", f"{root}/bad{attempt}", f"{root}/checkpoint{attempt}", handle, check, files_a_batch=4, compact_after=3)
     schema = odds_rows(spark, sf).schema
     return store.read(spark, f"{root}/table", schema).groupBy("match_id").agg(F.count("*").alias("n"))
 

@@ -49,9 +49,10 @@ def checked_by(component: str, documents: DataFrame) -> tuple[ComponentSpec, Dat
     return spec, spec.check(documents) if spec.check else validate_payload(documents, spec.contract)
 
 
-def batch_handler(component: str) -> Callable[[DataFrame], tuple[DataFrame, DataFrame, DataFrame]]:
-    """What a continuous ingest does with a batch of landed documents: the
-    matches it speaks for, their rows, and what it rejects, with reasons.
+def batch_steps(component: str) -> tuple[Callable[[DataFrame], DataFrame], Callable[[DataFrame], tuple[DataFrame, DataFrame, DataFrame]]]:
+    """What a continuous ingest does with a batch of landed documents: a step
+    that checks them, and one that gives of the checked ones the matches that
+    they speak for, their rows, and what is rejected, with reasons.
 
     Of several documents of a match the newest valid one counts, as if the
     others had come in batches before: one that is newer and not valid is
@@ -62,14 +63,17 @@ def batch_handler(component: str) -> Callable[[DataFrame], tuple[DataFrame, Data
     if component not in OF_MATCH:
         raise ValueError(f"documents of {component!r} are not about one match each")
 
-    def handle(batch: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-        spec, checked = checked_by(component, batch)
+    def check(batch: DataFrame) -> DataFrame:
+        return checked_by(component, batch)[1]
+
+    def handle(checked: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         good = F.col("is_valid") & F.col("entity_id").isNotNull()
         newest = last_by_key(checked.where(good), ["entity_id"], [F.col("fetched_at"), F.col("fetch_slot"), F.col("payload")])
         reason = F.coalesce("reason", F.lit("no_entity"))
-        return newest.select(F.col("entity_id").alias("match_id")), spec.flatten(newest), checked.where(~good).select("entity_id", "run_id", "fetched_at", reason.alias("reason"))
+        rejects = checked.where(~good).select("entity_id", "run_id", "fetched_at", reason.alias("reason"))
+        return newest.select(F.col("entity_id").alias("match_id")), REGISTRY[component].flatten(newest), rejects
 
-    return handle
+    return check, handle
 
 
 def route(component: str, documents: DataFrame) -> tuple[DataFrame, DataFrame]:
