@@ -249,3 +249,12 @@ def test_the_newest_valid_document_of_a_batch_counts(spark):
     check, handle = batch_steps("odds")
     keys, made, bad = handle(check(spark.createDataFrame([], LANDING)))
     assert keys.isEmpty() and made.isEmpty() and bad.isEmpty()
+
+
+def test_upsert_meets_in_one_shuffle(spark):
+    """Keys with nulls and repeated rows of the target stay; target and incoming are each read and dealt out once."""
+    target = spark.createDataFrame([(1, 1, "a"), (1, 1, "b"), (2, 1, "c"), (None, 1, "d")], "k long, n int, v string")
+    incoming = spark.createDataFrame([(2, 1, "x", 1), (2, 1, "y", 2), (3, 1, "z", 1), (None, 1, "w", 1)], "k long, n int, v string, seq int")
+    out = tables.keyed_upsert(target, incoming, ["k", "n"], [F.col("seq")])
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sorted((r.k or 0, r.v) for r in out.collect()) == [(0, "d"), (0, "w"), (1, "a"), (1, "b"), (2, "y"), (3, "z")]
