@@ -258,3 +258,21 @@ def test_upsert_meets_in_one_shuffle(spark):
     out = tables.keyed_upsert(target, incoming, ["k", "n"], [F.col("seq")])
     assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     assert sorted((r.k or 0, r.v) for r in out.collect()) == [(0, "d"), (0, "w"), (1, "a"), (1, "b"), (2, "y"), (3, "z")]
+
+
+def test_compactions_write_a_fixed_multiple_of_the_rows(spark, tmp_path, monkeypatch):
+    """Every batch touches the one partition: rewriting it after each would write the square of the rows."""
+    rewritten, compact = [], store.compact
+
+    def counted(spark, path, schema):
+        compact(spark, path, schema)
+        rewritten.append(store.read(spark, path, schema).count())
+
+    monkeypatch.setattr(store, "compact", counted)
+    n, root = 12, str(tmp_path)
+    for k in range(n):
+        spark.range(k, 1000 * n, n, 1).select(F.col("id").alias("match_id"), F.sha2(F.col("id").cast("string"), 256).alias("v")).write.mode("append").parquet(f"{root}/land")
+    handle = lambda b: (b.select("match_id"), b, b.where("false"))
+    stream.ingest(spark, f"{root}/land", SCHEMA, f"{root}/t", f"{root}/bad", f"{root}/cp", handle, files_a_batch=1, compact_after=1)
+    assert sum(rewritten) <= 4 * 1000 * n and len(rewritten) < n
+    assert store.read(spark, f"{root}/t", spark.createDataFrame([], SCHEMA).schema).agg(F.count("*"), F.countDistinct("match_id")).first()[:] == (1000 * n, 1000 * n)
