@@ -148,6 +148,20 @@ def test_late_attempts_count_in_order_and_ended_tasks_leave(spark, tmp_path):
     assert sizes[-1] == 2  # the open tasks 4 and 9; those that ended have left
 
 
+def test_a_match_has_one_timer_and_one_state_whatever_its_attempts(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [(m, c, datetime(2024, 1, 1, h), "API_ERROR" if h < 2 else "SUCCESS", f"{h}", 100 * m + h) for m in (1, 2) for c in ("a", "b", "c") for h in (3, 2, 1, 0)]
+    for half in (1, 0):  # the earlier attempts of a task come with the later batch
+        spark.createDataFrame([r for r in rows if r[5] % 2 == half], "match_id long, component_name string, attempted_at timestamp, outcome string, message string, attempt_id long").write.mode("append").parquet(f"{root}/log")
+        states = stream.task_states(spark.readStream.schema("match_id long, component_name string, attempted_at timestamp, outcome string, message string, attempt_id long").parquet(f"{root}/log"), late="10 hours")
+        states.writeStream.foreachBatch(lambda df, i: df.withColumn("batch", F.lit(i)).write.mode("append").parquet(f"{root}/out")).option("checkpointLocation", f"{root}/cp").outputMode("update").trigger(availableNow=True).start().awaitTermination()
+        timers = spark.read.format("statestore").option("readRegisteredTimers", True).load(f"{root}/cp")
+        assert timers.count() <= 4 and timers.select("key").distinct().count() <= 2  # one a match, and one that an earlier attempt left behind
+    assert spark.read.format("statestore").option("stateVarName", "task").load(f"{root}/cp").count() == 2
+    last = spark.read.parquet(f"{root}/out").groupBy("match_id", "component_name").agg(F.max_by(F.struct("status", "retry_count", "attempts"), "batch").alias("s"))
+    assert {tuple(r.s) for r in last.collect()} == {("SUCCESS", 2, 3)} and last.count() == 6
+
+
 def test_match_documents_of_partial_and_repeated_captures(spark, tmp_path):
     from touchline.operators import export
 
