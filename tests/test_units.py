@@ -225,3 +225,16 @@ def test_strict_and_lax_ways_agree(spark):
     assert both[0] == both[1]
     plan = validate.validate_payload(rows, contract)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Generate ") == 2
+
+
+def test_run_documents_are_made_by_all_tasks(spark, sf):
+    """The table of matches may be one file, read by one task; all that follows goes by match and deals out no more."""
+    from touchline.operators import consensus as cns
+    from touchline.sources import encode as enc
+
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    made = enc.enc_runs(spark, sf)
+    assert made.where("component = 'stats'").select(F.spark_partition_id().alias("p")).distinct().count() == n > 1
+    found = cns.consensus(cns.groups(cns.with_fingerprints(made, enc.RUN_CONTRACTS)))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == plan.count("REPARTITION_BY_NUM") == 2
