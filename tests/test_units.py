@@ -238,3 +238,11 @@ def test_run_documents_are_made_by_all_tasks(spark, sf):
     found = cns.consensus(cns.groups(cns.with_fingerprints(made, enc.RUN_CONTRACTS)))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == plan.count("REPARTITION_BY_NUM") == 2
+
+
+def test_wipe_replace_and_odds_read_documents_once_and_make_no_unused_text(spark, sf):
+    from touchline.plans.queries import QUERIES
+
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan(QUERIES["snk_wipe_replace"](spark, sf))  # what was checked is read where it was written
+    assert "raw" not in plan(QUERIES["flt_odds"](spark, sf)).replace("raw_name", "")  # texts of markets
