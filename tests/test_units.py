@@ -246,3 +246,21 @@ def test_wipe_replace_and_odds_read_documents_once_and_make_no_unused_text(spark
     plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
     assert "from_json" not in plan(QUERIES["snk_wipe_replace"](spark, sf))  # what was checked is read where it was written
     assert "raw" not in plan(QUERIES["flt_odds"](spark, sf)).replace("raw_name", "")  # texts of markets
+
+
+def test_errors_are_gathered_where_there_are_any_and_only_there(spark):
+    from touchline.functions import validate
+    from touchline.functions.contracts import CONTRACTS
+
+    choice = '{"initialFractionalValue":"1/2","fractionalValue":%s,"name":"a","change":%s}'
+    market = '{"marketId":1,"marketName":"m","marketGroup":"g","isLive":false,"suspended":%s,"choices":%s}'
+    one = lambda *c: "[" + ",".join(c) + "]"
+    texts = [market % ("false", one(choice % ('"1/3"', "1"))), market % ("false", one(choice % ('"N/A"', "1"))), market % ("false", one(choice % ('"1/3"', "1"), choice % ('"1/3"', "null"))), market % ('"?"', "[]"), market % ("false", one("null")), market % ("false", "null"), "null"]
+    rows = spark.createDataFrame([(i, '{"eventId":7,"markets":[%s]}' % t) for i, t in enumerate(texts)] + [(90, '{"eventId":7}'), (91, '{"eventId":"x","markets":[]}')], "k int, payload string")
+    kind = CONTRACTS["odds"].fields
+    made = rows.withColumn("s", F.from_json("payload", validate.shadow(kind))).withColumn("m", F.expr(validate.typed_value("s", kind)))
+    broken = F.expr(" OR ".join(f"({c})" for c in validate.faulty("s", "m", kind, False, None)))
+    every = F.expr(validate._gather(*validate.faults("s", "m", kind, "", False, True, None)))
+    got = {r.k: (r.b, len(r.e)) for r in made.select("k", broken.alias("b"), every.alias("e")).collect()}
+    assert all(b == (n > 0) for b, n in got.values()) and got[0] == (False, 0) and got[91] == (True, 1) and sum(b for b, _ in got.values()) >= 6
+    assert {r.k: len(r.errors) for r in validate.validate_payload(rows, CONTRACTS["odds"]).collect()} == {k: n for k, (_, n) in got.items()}
