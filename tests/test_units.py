@@ -264,3 +264,38 @@ def test_errors_are_gathered_where_there_are_any_and_only_there(spark):
     got = {r.k: (r.b, len(r.e)) for r in made.select("k", broken.alias("b"), every.alias("e")).collect()}
     assert all(b == (n > 0) for b, n in got.values()) and got[0] == (False, 0) and got[91] == (True, 1) and sum(b for b, _ in got.values()) >= 6
     assert {r.k: len(r.errors) for r in validate.validate_payload(rows, CONTRACTS["odds"]).collect()} == {k: n for k, (_, n) in got.items()}
+
+
+def test_only_asked_members_are_made(spark):
+    """Documents are checked whole, but members that nobody asks for may be null; a fault in one of those still counts."""
+    player = lambda i, **more: {"player": {"name": f"p{i}", "id": i}, "teamId": 7, **more}
+    good = {"home": {"players": [player(1, shirtNumber=9), player(2)]}, "away": {"players": []}}
+    wrong = {"home": {"players": [player(1, shirtNumber="nine")]}, "away": {"players": []}}
+    lacks = {"home": {"players": [{"teamId": 7}]}, "away": {"players": []}}
+    lax = {"home": {"players": [player(1) | {"teamId": "7"}]}, "away": {"players": []}}
+    rows = validate_payload(docs(spark, good, wrong, lacks, lax, None), CONTRACTS["lineups"], only=("home.players.player.id", "home.players.teamId")).orderBy("entity_id").collect()
+    assert [r.reason for r in rows] == [None, "invalid_contract", "invalid_contract", None, "empty"]
+    assert [[(p.player.id, p.teamId) for p in rows[i].parsed.home.players] for i in (0, 3)] == [[(1, 7), (2, 7)], [(1, 7)]]
+    assert rows[0].parsed.home.players[0].shirtNumber is None and rows[0].parsed.away is None
+    whole = validate_payload(docs(spark, good), CONTRACTS["lineups"]).first()
+    assert whole.parsed.home.players[0].shirtNumber == 9 and whole.parsed.away.players == []
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_raw_elements_are_made_only_where_asked(spark):
+    """Incidents without their raw texts don't read the payload a second time."""
+    kit = {"goalkeeperColor": {}, "playerColor": {}}
+    cards = [{"incidentType": "card", "playerName": "a"}, {"incidentType": "card", "playerName": "b"}]
+    rows = flatten.incidents(validate_payload(docs(spark, {"incidents": cards, "home": kit, "away": kit}), CONTRACTS["incidents"]).where("is_valid"))
+    assert [(r.seq, json.loads(r.data)) for r in rows.orderBy("seq").collect()] == list(enumerate(cards))
+    assert "$.incidents" in plan_of(rows) and "$.incidents" not in plan_of(rows.select("match_id", "incident_type"))
+
+
+def test_seasons_are_not_dealt_by_match(spark, sf):
+    """Making the lists of seasons shuffles nations' years, not all matches."""
+    from touchline.sources import encode
+
+    assert "RepartitionByExpression" not in plan_of(encode.enc_seasons(spark, sf)) and "RepartitionByExpression" in plan_of(encode.enc_base(spark, sf))
