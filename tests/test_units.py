@@ -299,3 +299,43 @@ def test_seasons_are_not_dealt_by_match(spark, sf):
     from touchline.sources import encode
 
     assert "RepartitionByExpression" not in plan_of(encode.enc_seasons(spark, sf)) and "RepartitionByExpression" in plan_of(encode.enc_base(spark, sf))
+
+
+def test_assess_judges_without_making_documents(spark):
+    """States are those of the validated documents; of a parsed one only the state leaves the assessment."""
+    from touchline.functions.validate import envelope_code
+    from touchline.operators import consensus as cns
+
+    kit, point, player = {"goalkeeperColor": {}, "playerColor": {}}, {"minute": 1, "value": 2}, {"player": {"name": "p", "id": 1}, "teamId": 7}
+    ends = {"periodTime": 45, "overtimeLength": 15, "periodCount": 2}
+    cards = lambda **more: {"incidents": [{"incidentType": "card"} | more], "home": kit, "away": kit}
+    side = lambda *players, **more: {"home": {"players": list(players)} | more, "away": {"players": [player]}}
+    odd = (None, "{}", " { }", "[]", "{", '{"error":{"code":404}}', '{"error":1}', '{"error":{"code":5},"error":null}', '{"\\u0065rror":{"code":"7"}}')
+    given = {
+        "graph": docs(spark, ends | {"graphPoints": [point] * 5}, ends | {"graphPoints": [point] * 4}, ends, ends | {"periodTime": "45", "graphPoints": [point] * 5}, ends | {"graphPoints": [{"minute": "x"}] * 5}, ends | {"graphPoints": [point] * 5, "error": {"code": 500}}, *odd),
+        "incidents": docs(spark, cards(), cards(incidentType="new"), cards(incidentType="goal"), cards(text=[1], player="none"), cards(time="late"), {"incidents": []}, *odd),
+        "lineup": docs(spark, side(player), side(), side(player, missingPlayers=None), side(player, formation=3, playerColor="red"), side(player | {"shirtNumber": "nine"}), side({"teamId": 7}), *odd),
+    }
+    rules = cns.configured(lineup=cns.Rule(True, cns.at_least(1, "home.players", "away.players")), incidents=cns.Rule(False, lambda d: ~F.exists(d["incidents"], lambda x: x["player"].isNotNull())))
+    states = cns.assess(given, rules)
+    got = {(r.component, r.match_id): r.state for r in states.collect()}
+    want = {}
+    for name, frame in given.items():
+        checked = validate_payload(frame, CONTRACTS[cns.CONTRACT_OF.get(name, name)])
+        state = F.when(F.col("payload").isNull(), "missing").when(envelope_code(F.col("payload")).isNotNull(), "error").when(F.col("is_valid") & rules[name].holds(F.col("parsed")), "valid").otherwise("invalid")
+        want |= {(name, r.entity_id): r.state for r in checked.select("entity_id", state.alias("state")).collect()}
+    assert got == want and set(got.values()) == {"missing", "error", "valid", "invalid"} and got["graph", 0] == got["lineup", 0] == got["incidents", 0] == "valid"
+    assert "_new_state#" in plan_of(states) and "_new_parsed#" not in plan_of(states)
+
+
+def test_statistics_are_gathered_by_one_grouping(spark, sf):
+    """Of each key the first item, by one aggregate of an order's items and no window."""
+    from touchline.sources import encode
+
+    plan = plan_of(encode.enc_stats(spark, sf))
+    assert plan.count("Aggregate") == 1 and "Window" not in plan
+    item = lambda number, price, status="O", flag="N": (1, 1, 1, number, 5.0, price, 0.0, 0.0, flag, status, None)
+    rows = spark.createDataFrame([item(2, 3.0), item(2, 1.0), item(1, 2.0), item(2, 4.0, flag="A"), item(1, 9.0, "F")], encode.table(spark, sf, "lineitem").schema)
+    made = lambda one: [(p["period"], [(g["groupName"], [(x["key"], x["awayValue"]) for x in g["statisticsItems"]]) for g in p["groups"]]) for p in json.loads(one)["statistics"]]
+    (all_,) = encode.enc_stats(spark, sf, rows).where("entity_id = 1").collect()
+    assert made(all_.payload) == [("F", [("N", [("k1", 9.0)])]), ("O", [("A", [("k2", 4.0)]), ("N", [("k1", 2.0), ("k2", 1.0), ("k2", 3.0)])])]
