@@ -85,6 +85,14 @@ def test_fingerprint_components(spark, docs, nothing):
     assert simhash.fingerprint_components(nothing).count() == 0
 
 
+def test_keys_of_fingerprints_are_never_broadcast(spark, docs, monkeypatch):
+    plans = []
+    monkeypatch.setattr(simhash, "components", lambda links: plans.append(links._jdf.queryExecution().executedPlan().toString()) or components(links))
+    assert simhash.fingerprint_components(docs).count() == docs.count()
+    # the 84 keys of a node count as one row in Spark's estimate, which is far below its threshold here
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
+
+
 def test_most_frequent_hashes_are_bounded(spark):
     counts = spark.createDataFrame([(100 - n, n) for n in range(1, 101)], "h long, n long")
     h, n = simhash.most_frequent(counts, most=60)

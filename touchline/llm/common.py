@@ -68,6 +68,15 @@ def stash(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` for a join that is to be a shuffle, never a broadcast of Spark's own.
+
+    Spark sizes what explode or a Python operator yields by the rows that go in,
+    however many come out of each, so it would broadcast any number of them.
+    """
+    return df.hint("merge")
+
+
 def release(stashed: DataFrame) -> None:
     """Delete a ``stash`` that nothing reads any more."""
     spark = stashed.sparkSession

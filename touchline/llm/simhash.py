@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bloom import split_by_ids, without
-from .common import bounded_batches, stash, text_of, worker_cache
+from .common import bounded_batches, shuffled, stash, text_of, worker_cache
 from .components import components
 
 FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -163,7 +163,8 @@ def fingerprint_components(docs: DataFrame, k: int = 3, bits: int = 3, id_col: s
     map-side aggregate, so groups of copies of any size cost one row each.  Of
     two linked fingerprints the narrow keys of one meet the wide keys of the
     other in an equi-join that verifies the distance in its condition: every
-    link is found, whatever the number of partners.  Components are joins too.
+    link is found, whatever the number of partners.  It is always a shuffle, as
+    Spark counts a row for the 84 keys of a node.  Components are joins too.
 
     Null, empty and blank texts have fingerprint zero and are linked like any
     other.  Rows without doc_id get their fingerprint's component, null if no
@@ -177,7 +178,7 @@ def fingerprint_components(docs: DataFrame, k: int = 3, bits: int = 3, id_col: s
     nodes = stash(rows.groupBy("fp").agg(F.min("doc_id").alias("node")).where("node is not null"))
     one = keyed(nodes, ["fp"], wide=False).select("key", F.col("node").alias("a"), F.col("fp").alias("fp_a"))
     other = keyed(nodes, ["fp"], wide=True).select("key", F.col("node").alias("b"), F.col("fp").alias("fp_b"))
-    links = one.join(other, "key").where((F.col("fp_a") < F.col("fp_b")) & (_differ("fp_a", "fp_b") <= bits)).select("a", "b")
+    links = shuffled(one).join(other, "key").where((F.col("fp_a") < F.col("fp_b")) & (_differ("fp_a", "fp_b") <= bits)).select("a", "b")
     found = components(links.distinct())
     named = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return rows.join(named, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
