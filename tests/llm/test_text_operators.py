@@ -341,6 +341,15 @@ def test_url_scores_by_brute_force(spark):
         assert abs(got[i].score - score / (len(raw) - 4)) < 1e-9
 
 
+def test_url_models_are_never_broadcast(spark):
+    from touchline.llm.common import stash
+
+    rows = stash(spark.createDataFrame([(0, "http://a.com/b", True), (0, "http://a.net/c", False)], "chunk long, url string, good boolean"))
+    plan = urls.score(rows, urls.train(rows), (20.0, 20.0))._jdf.queryExecution().executedPlan().toString()
+    # all n-grams of a URL count as one row in Spark's estimate, which is far below its threshold here
+    assert "SortMergeJoin [gram" in plan and "Broadcast" not in plan
+
+
 def test_url_threshold_by_brute_force(spark):
     """Every step of the score tried as the threshold on the one half of the held-out fold; the other half and the verdicts follow from it."""
     r = np.random.default_rng(33)

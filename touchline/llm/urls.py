@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, lower_ascii, stash
+from .common import bounded_batches, lower_ascii, shuffled, stash
 
 #: Longest context plus one; 2 to the power of BITS URLs are scored together.
 ORDER, BITS, STRENGTH = 5, 11, 4.0
@@ -100,7 +100,8 @@ def score(df: DataFrame, model: DataFrame, total: tuple[float, float]) -> DataFr
     """``df`` (with url and chunk) with score: 0 for an empty url.
 
     The distinct n-grams of each chunk meet the model in a join, and what it has
-    of them goes back to the chunk's URLs."""
+    of them goes back to the chunk's URLs.  Neither is broadcast: Spark counts a
+    row a URL for both."""
 
     def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,7 +118,7 @@ def score(df: DataFrame, model: DataFrame, total: tuple[float, float]) -> DataFr
         found = [ratio(counts, u.as_py(), known, total) if u.as_py() else 0.0 for u in rows["url"]]
         return rows.append_column("score", pa.array(found, pa.float64()))
 
-    asked = df.select("chunk", "url").where("url <> ''").mapInArrow(needed, "chunk long, gram long").join(model, "gram")
+    asked = df.select("chunk", "url").where("url <> ''").mapInArrow(needed, "chunk long, gram long").join(shuffled(model), "gram")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", score double"
     return df.groupby("chunk").cogroup(asked.groupby("chunk")).applyInArrow(judge, kinds)
 
