@@ -93,6 +93,14 @@ def test_keys_of_fingerprints_are_never_broadcast(spark, docs, monkeypatch):
     assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
 
 
+def test_keys_of_near_duplicates_are_never_broadcast(spark, docs, monkeypatch):
+    plans, real = [], simhash.stash
+    monkeypatch.setattr(simhash, "stash", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df))
+    assert simhash.near_duplicates(docs).count() > 0
+    # both joins by key within links, and that of keys which several groups hold
+    assert sum("SortMergeJoin [key#" in p for p in plans) == 3 and not any("BroadcastHashJoin [key#" in p for p in plans)
+
+
 def test_most_frequent_hashes_are_bounded(spark):
     counts = spark.createDataFrame([(100 - n, n) for n in range(1, 101)], "h long, n long")
     h, n = simhash.most_frequent(counts, most=60)

@@ -15,8 +15,8 @@ from .common import bounded_batches, stash
 SEGMENT_BITS, HASHES = 10, 3
 #: Bits a hash, and the largest filter that is broadcast, as powers of two: 2^30 bits are 128 MB, for 67 million hashes.
 PER_HASH, LARGEST = 4, 30
-#: Rows (a long each) up to which Spark broadcasts a set of ids, about 50 MB with overhead.
-BROADCAST_IDS = 1_000_000
+#: Rows (a long each) up to which Spark broadcasts a set of ids, about 40 MB of the driver with overhead.
+BROADCAST_IDS = 250_000
 
 
 def places(h: np.ndarray, bits: int) -> np.ndarray:

@@ -22,8 +22,10 @@ GENERATOR = 0b101011100011
 #: The 64 bits of a fingerprint as three segments of at most 23 bits: first bit and width.
 SEGMENTS = ((0, 21), (21, 21), (42, 22))
 SEED = 42
-#: Candidate pairs (16 bytes each) up to which they are broadcast to the texts, about 100 MB with overhead.
-BROADCAST_PAIRS = 2_000_000
+#: Rows (48 bytes at most) up to which candidates are broadcast: about 50 MB of the driver at once, and several are alive.
+BROADCAST_PAIRS = 200_000
+#: Hot shingles (16 bytes each) that are told apart at most.
+MOST_HOT = 1_000_000
 #: Shingle hashes beyond its prefix by which texts without a partner are told, and the least share of its shingles (1 in so many); a pair has as many in common.
 LOW, LOW_SHARE = 32, 20
 #: Texts that hold a shingle from which on it counts as hot and is ordered by that number, after all others.
@@ -213,7 +215,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits:
     No text is shuffled while the chosen ones are at most ``few``, and beyond only
     those that pass a filter over their ids; no shingle set but those of candidate
     pairs: hashes are, one by one, to be counted, and numbers about texts.  Pairs
-    are broadcast while they are at most ``few`` and join beyond.
+    are broadcast while they are at most ``few`` and join beyond; keys are never,
+    as Spark counts a row for the many keys of a text.
 
     Null and blank texts count as the same words; rows of one doc_id as one
     document, which is linked as any of its texts is; rows without doc_id are
@@ -306,7 +309,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits:
     known = ("size", "lone", "p0", "p1")
     star = keyed(some, ["fp1", "fp2"], wide=True, along=known)
     least = star.groupBy("key").agg(F.min(F.struct("lone", "node", "fp1", "fp2", "size", "p0", "p1")).alias("m"), F.count("*").alias("n")).where("n > 1").drop("n")
-    star = star.join(least, "key")
+    star = shuffled(star).join(least, "key")
     close = _differ("m.fp1", "fp1") + _differ("m.fp2", "fp2") <= bits
     links = verified(stash(star.where((F.col("m.node") != F.col("node")) & close & able("m.", "")).select(F.col("m.node").alias("a"), F.col("node").alias("b")).distinct()))
     # then all pairs that are still apart and share one of their first shingles
@@ -330,13 +333,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits:
 
     keys = stash(own_sets.where("size(shingles) > 0").select("node", "part", "shingles").mapInArrow(firsts_of, "node long, part long, at long, key long"))
     mixed = keys.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("key")
-    keys = stash(keys.join(mixed, "key").drop("part").join(parted, "node"))
+    keys = stash(shuffled(keys).join(mixed, "key").drop("part").join(parted, "node"))
     one, other = (keys.select("key", *(F.col(c).alias(f"{n}_{c}") for c in ("node", "part", "at", *known))) for n in ("a", "b"))
     apart = (F.col("a_node") < F.col("b_node")) & (F.col("a_part") != F.col("b_part")) & able("a_", "b_")
     # at the first shingle in common, no more can be shared than what follows in either
     rest = F.least(*(F.col(f"{n}_size") - F.col(f"{n}_at") for n in ("a", "b")))
     apart &= rest * (1 + similarity) >= similarity * (F.col("a_size") + F.col("b_size")) - 1e-9
-    links = links.union(verified(stash(one.join(other, "key").where(apart).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct())))
+    links = links.union(verified(stash(shuffled(one).join(other, "key").where(apart).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct())))
     # the texts of a document are one, too
     texts = named.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("doc_id", "a")
     links = links.union(named.join(texts, "doc_id").where("a <> node").select("a", F.col("node").alias("b")).distinct())
@@ -346,7 +349,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8, bits:
     return parts.join(least, "part").select("doc_id", "component_id").where("doc_id <> component_id").distinct()
 
 
-def most_frequent(counts: DataFrame, most: int = BROADCAST_PAIRS) -> tuple[np.ndarray, np.ndarray]:
+def most_frequent(counts: DataFrame, most: int = MOST_HOT) -> tuple[np.ndarray, np.ndarray]:
     """Hashes (sorted) of ``counts`` (h, n) and their counts: those of the largest
     counts, by powers of two, ``most`` at most.  Which ones these are decides
     about work only: any order of shingles that holds for all texts will do."""
