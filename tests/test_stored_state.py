@@ -176,6 +176,20 @@ def test_match_documents_of_partial_and_repeated_captures(spark, tmp_path):
     assert export.match_documents({"base": base.limit(0)}).count() == 0
 
 
+def test_exported_documents_are_gzipped_lines(spark, tmp_path):
+    import gzip
+    import json
+
+    from touchline.operators import export
+
+    rows = spark.createDataFrame([(i, ("name that every document repeats " * 20, None)) for i in range(500)], "match_id long, base struct<name:string,gone:int>").coalesce(1)
+    back = export.write_json(rows, str(tmp_path / "documents"))
+    files = [x for x in (tmp_path / "documents").iterdir() if x.name.startswith("part-")]
+    lines = [json.loads(line) for x in files for line in gzip.open(x, "rt")]
+    assert sorted(x["match_id"] for x in lines) == list(range(500)) and sum(x.stat().st_size for x in files) < 20_000
+    assert back.schema == rows.schema and sorted(back.collect()) == sorted(rows.collect())
+
+
 def test_rows_without_a_match_are_an_error_and_payloads_without_one_speak_for_none(spark, tmp_path):
     path, schema = f"{tmp_path}/t", spark.createDataFrame([], SCHEMA).schema
     with pytest.raises(Exception, match="without match_id"):

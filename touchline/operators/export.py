@@ -34,7 +34,8 @@ def match_documents(captures: dict[str, DataFrame]) -> DataFrame:
 
 
 def write_json(documents: DataFrame, path: str) -> DataFrame:
-    """One JSON document a line under ``path``, and the documents as read back
-    with the types that they were written with."""
-    documents.write.json(path)
+    """One JSON document a line in gzipped files under ``path``, and the documents
+    as read back with the types that they were written with.  Plain, names that
+    every document repeats would take many times the room of what was captured."""
+    documents.write.option("compression", "gzip").json(path)
     return documents.sparkSession.read.schema(documents.schema).json(path)
