@@ -304,3 +304,19 @@ def test_compactions_write_a_fixed_multiple_of_the_rows(spark, tmp_path, monkeyp
     stream.ingest(spark, f"{root}/land", SCHEMA, f"{root}/t", f"{root}/bad", f"{root}/cp", handle, files_a_batch=1, compact_after=1)
     assert sum(rewritten) <= 4 * 1000 * n and len(rewritten) < n
     assert store.read(spark, f"{root}/t", spark.createDataFrame([], SCHEMA).schema).agg(F.count("*"), F.countDistinct("match_id")).first()[:] == (1000 * n, 1000 * n)
+
+
+def test_the_check_of_documents_is_planned_once_for_all_batches(spark, tmp_path):
+    from touchline.plans.registry import batch_steps
+    from touchline.sources.landing import LANDING
+
+    root, planned, batches = str(tmp_path), [], []
+    for k in range(3):
+        rows = [("graph", 10 * k + i, "r", "A", datetime(2024, 1, 1), '{"graphPoints":[],"periodTime":45,"overtimeLength":15,"periodCount":2}' if i else "{}") for i in range(2)]
+        spark.createDataFrame(rows, LANDING).coalesce(1).write.mode("append").parquet(f"{root}/land")
+    check, handle = batch_steps("graph")
+    stream.ingest(spark, f"{root}/land", LANDING, f"{root}/t", f"{root}/bad", f"{root}/cp", lambda b: batches.append(1) or handle(b), lambda b: planned.append(1) or check(b), files_a_batch=1)
+    assert len(batches) == 3 and len(planned) == 1
+    schema = handle(check(spark.createDataFrame([], LANDING)))[1].schema
+    assert sorted(r.match_id for r in store.read(spark, f"{root}/t", schema).collect()) == [1, 11, 21]
+    assert sorted((r.entity_id, r.reason) for r in spark.read.parquet(f"{root}/bad").collect()) == [(0, "empty"), (10, "empty"), (20, "empty")]
